@@ -1,4 +1,97 @@
-"""Streaming queries of the catalogue (filled in below)."""
+"""Streaming runs of catalogue queries over the ``events`` file, read back
+from their Parquet sinks.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE_SQL: dict = {}
+Append mode emits a window once the watermark (max event time - 5 s) has
+passed its end, so the result holds the closed windows only; the oracle
+applies the same cut.  ``availableNow`` processes the backlog in micro-batches
+and closes with a no-data batch that advances the watermark.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import session as S
+from ..functions.time import instant_to_ntz
+from ..operators import windows
+from ..plans.catalog import (CHANGE_WINDOW, DELTA_THRESHOLD, EVENT_ORDER, REVENUE_WINDOW,
+                             SESSION_GAP, WATERMARK, money)
+from ..plans.oracle import ORACLE_SQL
+from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
+from .stateful import PreviousWindowDelta
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    S.configure(spark)
+    return event_stream(spark, sf_dir).withWatermark("evt", WATERMARK)
+
+
+def _ntz_bounds(df: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
+    return df.select(*keys, instant_to_ntz("window_start").alias("window_start"),
+                     instant_to_ntz("window_end").alias("window_end"), *rest)
+
+
+def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _stream(spark, sf_dir)
+    agg = windows.tumbling(ev, "evt", REVENUE_WINDOW, ["user_id"], {
+        "window_sales": F.sum(money() * F.col("volume")).cast("double"),
+        "n_events": F.count(F.lit(1))})
+    out = run_to_parquet(agg, "stream_tumbling", "append")
+    return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
+
+
+def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _stream(spark, sf_dir)
+    agg = windows.session(ev, "evt", SESSION_GAP, ["user_id"], {
+        "window_sales": F.sum(money() * F.col("volume")).cast("double"),
+        "n_events": F.count(F.lit(1))})
+    out = run_to_parquet(agg, "stream_session", "append")
+    return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
+
+
+DELTA_OUT = T.StructType([
+    T.StructField("event_type", T.StringType()),
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("prev_max", T.DoubleType()),
+    T.StructField("cur_max", T.DoubleType()),
+    T.StructField("pct_change", T.DoubleType()),
+    T.StructField("max_ts", T.TimestampNTZType()),
+])
+
+
+def stream_large_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window maxima per event type (append mode), then a stateful processor
+    compares each closed window with the key's previous one."""
+    use_rocksdb_state(spark)
+    ev = _stream(spark, sf_dir)
+    arg_key = F.struct((-F.col("value")).alias("neg"), *[F.col(c) for c in EVENT_ORDER])
+    per_window = windows.tumbling(ev, "evt", CHANGE_WINDOW, ["event_type"], {
+        "cur_max": F.greatest(F.max("value"), F.lit(0.0)),
+        "max_ts": F.min_by(F.col("ts"), arg_key)})
+    alerts = per_window.groupBy("event_type").transformWithStateInPandas(
+        statefulProcessor=PreviousWindowDelta("event_type", DELTA_THRESHOLD),
+        outputStructType=DELTA_OUT, outputMode="Append", timeMode="None")
+    out = run_to_parquet(alerts, "stream_large_delta", "append")
+    return _ntz_bounds(read_back(spark, out, DELTA_OUT), ["event_type"],
+                       ["prev_max", "cur_max", "pct_change", "max_ts"])
+
+
+def _closed(sql: str, end_col: str = "window_end") -> str:
+    return (f"SELECT * FROM ({sql}) WHERE {end_col} <= "
+            f"(SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'")
+
+
+STREAM_QUERIES = {
+    "stream_tumbling": stream_tumbling,
+    "stream_session": stream_session,
+    "stream_large_delta": stream_large_delta,
+}
+
+STREAM_ORACLE_SQL = {
+    "stream_tumbling": _closed(ORACLE_SQL["tumbling_revenue"]),
+    "stream_session": _closed(ORACLE_SQL["session_revenue"]),
+    "stream_large_delta": _closed(ORACLE_SQL["large_delta"]),
+}
