@@ -145,8 +145,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     w_ck = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w_ck.rowsBetween(Window.unboundedPreceding, -1)
-    carried_cols = [F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}")
-                    for n in sums]
+    # SQL sum semantics: null until the first non-null value, so the carried
+    # total stays null (not 0) while every earlier value was null.
+    carried_cols = [F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
     if count_name:
         carried_cols.append(F.coalesce(F.sum("_t__n").over(before), F.lit(0)).alias("_o__n"))
     if firsts:
@@ -156,7 +157,8 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     joined = _join_back(rows, carried, keys, plan, max_broadcast_rows)
     out = [F.col(f"_r.{c}") for c in df.columns]
-    out += [(F.col(f"_c._o_{n}") + F.col(f"_r._in_{n}")).alias(n) for n in sums]
+    out += [F.coalesce(F.col(f"_c._o_{n}") + F.col(f"_r._in_{n}"), F.col(f"_c._o_{n}"),
+                       F.col(f"_r._in_{n}")).alias(n) for n in sums]
     if count_name:
         out.append((F.col("_c._o__n") + F.col("_r._in__n")).alias(count_name))
     out += [F.col(f"_c._o__first.{c}").alias(f"first_{c}") for c in firsts]
