@@ -114,3 +114,16 @@ def test_row_stats_matches_statistics_module(spark):
         assert got[sid]["total"] == sum(qs)
         assert math.isclose(got[sid]["mean"], round(statistics.mean(qs), 2))
         assert math.isclose(got[sid]["stdev"], round(statistics.stdev(qs), 2), abs_tol=0.011)
+
+
+def test_row_summary_udf_agrees_with_native(spark):
+    from tidepool.functions.rowstats import row_summary_udf
+    data = [("LNK", 10000, 12300, 9600, 13200), ("NWK", 2100, 2500, 2250, 2700)]
+    df = spark.createDataFrame(data, "seller_id string, q1 int, q2 int, q3 int, q4 int")
+    qs = ["q1", "q2", "q3", "q4"]
+    udf_rows = {r["seller_id"]: r["s"] for r in df.select("seller_id", row_summary_udf(qs).alias("s")).collect()}
+    nat = {r["seller_id"]: r for r in df.select(*row_summary("seller_id", qs)).collect()}
+    for sid in nat:
+        assert udf_rows[sid]["total"] == nat[sid]["total"]
+        assert math.isclose(udf_rows[sid]["mean"], nat[sid]["mean"])
+        assert math.isclose(round(udf_rows[sid]["stdev"], 2), nat[sid]["stdev"])

@@ -36,4 +36,27 @@ def row_summary(id_col: str, cols: Sequence[str], digits: int = 2) -> list[Colum
             F.round(row_sample_stdev(cols), digits).alias("stdev")]
 
 
-__all__ = ["row_total", "row_mean", "row_sample_stdev", "row_summary"]
+
+
+
+def row_summary_udf(cols: Sequence[str]):
+    """The same summary as a vectorised (Arrow) pandas UDF returning a struct,
+    for users who bring their own row function; prefer :func:`row_summary`,
+    which stays inside whole-stage codegen."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    n = len(cols)
+
+    @pandas_udf("total long, mean double, stdev double")
+    def summary(*series: pd.Series) -> pd.DataFrame:
+        frame = pd.concat(series, axis=1).astype("float64")
+        total = frame.sum(axis=1)
+        mean = total / n
+        dev = frame.sub(mean, axis=0)
+        ss = (dev * dev).sum(axis=1)
+        return pd.DataFrame({"total": total.astype("int64"), "mean": mean.round(2),
+                             "stdev": (ss / (n - 1)) ** 0.5})
+
+    return summary(*[F.col(c) for c in cols])
+__all__ = ["row_total", "row_mean", "row_sample_stdev", "row_summary", "row_summary_udf"]
