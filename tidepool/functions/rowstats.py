@@ -49,8 +49,8 @@ def row_summary_udf(cols: Sequence[str]):
     n = len(cols)
 
     @pandas_udf("total long, mean double, stdev double")
-    def summary(*series: pd.Series) -> pd.DataFrame:
-        frame = pd.concat(series, axis=1).astype("float64")
+    def summary(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.astype("float64")
         total = frame.sum(axis=1)
         mean = total / n
         dev = frame.sub(mean, axis=0)
@@ -58,5 +58,5 @@ def row_summary_udf(cols: Sequence[str]):
         return pd.DataFrame({"total": total.astype("int64"), "mean": mean.round(2),
                              "stdev": (ss / (n - 1)) ** 0.5})
 
-    return summary(*[F.col(c) for c in cols])
+    return summary(F.struct(*[F.col(c) for c in cols]))
 __all__ = ["row_total", "row_mean", "row_sample_stdev", "row_summary", "row_summary_udf"]
