@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,7 +44,6 @@ def row_summary_udf(cols: Sequence[str]):
     """The same summary as a vectorised (Arrow) pandas UDF returning a struct,
     for users who bring their own row function; prefer :func:`row_summary`,
     which stays inside whole-stage codegen."""
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     n = len(cols)
