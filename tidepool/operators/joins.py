@@ -28,11 +28,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def maybe_broadcast(df: DataFrame, estimated_rows: float, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint from an upper estimate that was computed anyway."""
-    return F.broadcast(df) if estimated_rows <= max_rows else df
-
-
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:
@@ -78,5 +73,5 @@ def equi_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: s
     return left.join(right, on, how)
 
 
-__all__ = ["BROADCAST_MAX_ROWS", "fits", "sized_broadcast", "maybe_broadcast", "null_safe_on",
+__all__ = ["BROADCAST_MAX_ROWS", "fits", "sized_broadcast", "null_safe_on",
            "semi_join", "equi_join"]

@@ -2,22 +2,24 @@
 
 A running total or a previous-row comparison per key is naturally a window
 ``partitionBy(key).orderBy(...)``; with few keys (five event types, three
-months) or one hot key that puts a third of the data on one task.  Here the
-order axis is cut into ``n`` ranges ("chunks") whose boundaries are
-approximate quantiles of the first order column:
-
-1. one aggregate pass gives the chunk boundaries and an estimate of the key
-   count (both tiny results);
-2. rows are windowed per ``(key, chunk)``, so work spreads over
-   ``keys x chunks`` tasks;
-3. a per-``(key, chunk)`` summary (one row per chunk) carries totals and
-   boundary values from chunk to chunk with a window over chunks;
-4. the carried values are joined back on ``(key, chunk)``.
+months) or one hot key that puts a third of the data on one task.  Here hot
+keys are split along the order axis into ranges ("chunks"):
+
+1. one aggregate pass gives the row count and approximate quantiles of the
+   first order column (the chunk boundaries); both results are tiny;
+2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows
+   (``P`` = shuffle partitions), so there are at most ``2P`` heavy keys; that
+   list is computed inside the job and broadcast (a proven bound);
+3. heavy keys' rows get a chunk id from the boundaries, light keys stay in
+   chunk 0; rows are windowed per ``(key, chunk)``: one shuffle;
+4. a one-row-per-chunk summary of the heavy keys (at most ``2P x n`` rows,
+   again a proven bound) carries totals and boundary values from chunk to
+   chunk, and is broadcast back onto the rows.
 
 The chunk of a row is a pure function of its order value and the fixed
 boundaries, so re-running a lost task yields the same chunks; no
 lineage-cutting checkpoint is needed.  Equal first-order values always share
-a chunk, and within a chunk the full order (with tie-breakers) applies, so
+a chunk and within a chunk the full order (with tie-breakers) applies, so
 results equal the single-window plan exactly.
 """
 
@@ -30,50 +32,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import order_number
-from .joins import BROADCAST_MAX_ROWS, maybe_broadcast
+from .joins import BROADCAST_MAX_ROWS
 
 CHUNK = "_chunk"
+HEAVY = "_heavy"
+MAX_CHUNKS = 1024  # depth-10 CASE tree; raise for keys of many TB
 
 
 @dataclass(frozen=True)
 class ChunkPlan:
     bounds: tuple
-    est_keys: int
+    total: int
+    threshold: float
 
     @property
     def n_chunks(self) -> int:
         return len(self.bounds) + 1
 
-    @property
-    def est_summary_rows(self) -> float:
-        # approx_count_distinct has ~5% relative error; keep a wide margin.
-        return 1.5 * max(self.est_keys, 1) * self.n_chunks
-
 
 def _dtype(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def default_chunks(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(8, 2 * parts)
+    return max(8, 2 * _partitions(df))
 
 
-def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
-                n_chunks: int | None = None) -> ChunkPlan:
-    """One aggregate pass: quantile boundaries of ``order_col`` and the key count."""
+def max_heavy_keys(df: DataFrame, keys: Sequence[str]) -> int:
+    return 2 * _partitions(df) if keys else 1
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
+                max_summary_rows: int = BROADCAST_MAX_ROWS) -> ChunkPlan:
+    """One aggregate pass: row count and quantile boundaries of ``order_col``.
+
+    ``n`` is capped so the heavy-key summary (``max_heavy_keys x n`` rows at
+    most) stays within ``max_summary_rows``.
+    """
     n = n_chunks or default_chunks(df)
+    n = max(1, min(n, MAX_CHUNKS, max_summary_rows // max_heavy_keys(df, keys)))
     proxy = order_number(order_col, _dtype(df, order_col))
     fracs = [i / n for i in range(1, n)]
-    accuracy = max(10_000, 50 * n)
-    aggs = [F.percentile_approx(proxy, fracs, accuracy).alias("b") if fracs else F.array().alias("b")]
-    if keys:
-        aggs.append(F.approx_count_distinct(F.struct(*[F.col(k) for k in keys])).alias("k"))
-    else:
-        aggs.append(F.lit(1).alias("k"))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if fracs:
+        aggs.append(F.percentile_approx(proxy, fracs, max(10_000, 50 * n)).alias("b"))
     row = df.agg(*aggs).first()
-    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None}))
-    return ChunkPlan(bounds=bounds, est_keys=int(row["k"] or 0))
+    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None})) if fracs else ()
+    total = int(row["n"] or 0)
+    threshold = total / (2 * _partitions(df)) if keys else -1.0
+    return ChunkPlan(bounds=bounds, total=total, threshold=threshold)
 
 
 def chunk_of(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
@@ -94,99 +105,111 @@ def chunk_of(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
     return F.when(x.isNull(), F.lit(0)).otherwise(build(0, len(b)))
 
 
+def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
+
+
 def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 n_chunks: int | None = None) -> tuple[DataFrame, ChunkPlan]:
+    """Add ``_heavy`` (key is split) and ``_chunk`` (0 for light keys)."""
     plan = plan_chunks(df, keys, order[0], n_chunks)
-    return df.withColumn(CHUNK, chunk_of(df, order[0], plan)), plan
+    if plan.n_chunks == 1:
+        return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
+    if keys:
+        # each listed key holds > 1/(2P) of the rows: at most 2P rows
+        heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")) \
+            .where(F.col("_cnt") > F.lit(plan.threshold)).select(*keys, F.lit(True).alias(HEAVY))
+        tagged = df.alias("_d").join(F.broadcast(heavy).alias("_h"), _null_safe("_d", "_h", keys), "left") \
+            .select("_d.*", F.coalesce(F.col(f"_h.{HEAVY}"), F.lit(False)).alias(HEAVY))
+    else:
+        tagged = df.withColumn(HEAVY, F.lit(True))
+    chunk = F.when(F.col(HEAVY), chunk_of(tagged, order[0], plan)).otherwise(F.lit(0))
+    return tagged.withColumn(CHUNK, chunk), plan
 
 
 def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in order]
 
 
-def _join_back(rows: DataFrame, carried: DataFrame, keys: Sequence[str], plan: ChunkPlan,
-               max_rows: int) -> DataFrame:
-    carried = maybe_broadcast(carried, plan.est_summary_rows, max_rows)
-    r, c = rows.alias("_r"), carried.alias("_c")
-    cond = F.col(f"_r.{CHUNK}") == F.col(f"_c.{CHUNK}")
-    for k in keys:
-        cond = cond & F.col(f"_r.{k}").eqNullSafe(F.col(f"_c.{k}"))
-    return r.join(c, cond, "inner")
+def _join_back(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of the (bounded, broadcast) carry table; light keys find none."""
+    cond = _null_safe("_r", "_c", [*keys, CHUNK])
+    return rows.alias("_r").join(F.broadcast(carried).alias("_c"), cond, "left")
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    sums: Mapping[str, Column] | None = None, count_name: str | None = None,
-                   firsts: Sequence[str] = (), n_chunks: int | None = None,
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   firsts: Sequence[str] = (), n_chunks: int | None = None) -> DataFrame:
     """Every input row plus running aggregates per key in ``order``.
 
-    ``sums``: name -> expression, running ``sum`` up to and including the row.
-    ``count_name``: running row count.  ``firsts``: columns of the key's first
-    row, output as ``first_<col>``.  ``order`` must be unique per key for a
-    deterministic result (add a tie-breaker column).
+    ``sums``: name -> expression, running ``sum`` up to and including the row
+    (SQL semantics: null until the first non-null value).  ``count_name``:
+    running row count.  ``firsts``: columns of the key's first row, output as
+    ``first_<col>``.  ``order`` must be unique per key for a deterministic
+    result (add a tie-breaker column).
     """
     sums = dict(sums or {})
-    chunked, plan = with_chunks(df, keys, order, n_chunks)
+    tagged, _ = with_chunks(df, keys, order, n_chunks)
     part = [*keys, CHUNK]
     w_in = Window.partitionBy(*part).orderBy(*_order_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     within = [F.sum(e).over(w_in).alias(f"_in_{n}") for n, e in sums.items()]
     if count_name:
         within.append(F.count(F.lit(1)).over(w_in).alias("_in__n"))
-    rows = chunked.select(*[F.col(c) for c in df.columns], F.col(CHUNK), *within)
+    within += [F.first(c).over(w_in).alias(f"_in__f_{c}") for c in firsts]
+    rows = tagged.select(*[F.col(c) for c in df.columns], F.col(CHUNK), *within)
 
+    # heavy keys only: at most 2P x n rows
     summary_aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
-    if count_name:
-        summary_aggs.append(F.count(F.lit(1)).alias("_t__n"))
+    summary_aggs.append(F.count(F.lit(1)).alias("_t__n"))
     if firsts:
         summary_aggs.append(F.min_by(F.struct(*[F.col(c) for c in firsts]),
                                      F.struct(*_order_cols(order))).alias("_t__first"))
-    summary = chunked.groupBy(*part).agg(*summary_aggs)
+    summary = tagged.where(F.col(HEAVY)).groupBy(*part).agg(*summary_aggs)
 
     w_ck = Window.partitionBy(*keys).orderBy(CHUNK)
     before = w_ck.rowsBetween(Window.unboundedPreceding, -1)
-    # SQL sum semantics: null until the first non-null value, so the carried
-    # total stays null (not 0) while every earlier value was null.
     carried_cols = [F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
-    if count_name:
-        carried_cols.append(F.coalesce(F.sum("_t__n").over(before), F.lit(0)).alias("_o__n"))
+    carried_cols.append(F.coalesce(F.sum("_t__n").over(before), F.lit(0)).alias("_o__n"))
     if firsts:
         whole = w_ck.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         carried_cols.append(F.first("_t__first").over(whole).alias("_o__first"))
     carried = summary.select(*keys, CHUNK, *carried_cols)
 
-    joined = _join_back(rows, carried, keys, plan, max_broadcast_rows)
+    joined = _join_back(rows, carried, keys)
     out = [F.col(f"_r.{c}") for c in df.columns]
     out += [F.coalesce(F.col(f"_c._o_{n}") + F.col(f"_r._in_{n}"), F.col(f"_c._o_{n}"),
                        F.col(f"_r._in_{n}")).alias(n) for n in sums]
     if count_name:
-        out.append((F.col("_c._o__n") + F.col("_r._in__n")).alias(count_name))
-    out += [F.col(f"_c._o__first.{c}").alias(f"first_{c}") for c in firsts]
+        out.append((F.coalesce(F.col("_c._o__n"), F.lit(0)) + F.col("_r._in__n")).alias(count_name))
+    matched = F.col("_c._o__n").isNotNull()
+    out += [F.when(matched, F.col(f"_c._o__first.{c}")).otherwise(F.col(f"_r._in__f_{c}"))
+            .alias(f"first_{c}") for c in firsts]
     return joined.select(*out)
 
 
 def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                   prev_name: str = "prev_value", count_name: str = "n_changes",
-                  n_chunks: int | None = None,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  n_chunks: int | None = None) -> DataFrame:
     """Every row plus the previous non-null ``value`` of its key and the running
     number of changes (a row whose value differs from the previous non-null
     value).  Rows whose value is null neither change nor reset anything.
     """
-    chunked, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
+    tagged, _ = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
     part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(*_order_cols(order))
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
     upto_cur = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_in = F.last("_v", ignorenulls=True).over(upto_prev)
-    step1 = chunked.withColumn("_prev_in", prev_in).withColumn(
+    step1 = tagged.withColumn("_prev_in", F.last("_v", ignorenulls=True).over(upto_prev)).withColumn(
         "_flag_in", (F.col("_v").isNotNull() & F.col("_prev_in").isNotNull()
                      & (F.col("_v") != F.col("_prev_in"))).cast("int"))
     rows = step1.withColumn("_run_in", F.sum("_flag_in").over(upto_cur))
 
-    ordered = F.struct(*_order_cols(order))
-    present = F.when(F.col("_v").isNotNull(), ordered)
-    summary = step1.groupBy(*part).agg(
+    present = F.when(F.col("_v").isNotNull(), F.struct(*_order_cols(order)))
+    summary = step1.where(F.col(HEAVY)).groupBy(*part).agg(
         F.min_by("_v", present).alias("_first_v"),
         F.max_by("_v", present).alias("_last_v"),
         F.sum("_flag_in").alias("_changes_in"))
@@ -199,16 +222,16 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
         F.sum(F.col("_changes_in") + F.col("_edge")).over(before), F.lit(0)))
     carried = carry.select(*keys, CHUNK, "_carry", "_edge", "_offset")
 
-    joined = _join_back(rows, carried, keys, plan, max_broadcast_rows)
-    # The chunk's first non-null row is the only one compared with the carry;
-    # every later row already has a non-null previous value inside the chunk.
+    joined = _join_back(rows, carried, keys)
+    # Only the chunk's first non-null row is compared with the carry; every
+    # later row already has a non-null previous value inside the chunk.
     seen_first = F.col("_r._prev_in").isNotNull() | F.col("_r._v").isNotNull()
-    n_changes = F.col("_c._offset") + F.when(seen_first, F.col("_c._edge")).otherwise(0) \
-        + F.col("_r._run_in")
+    edge = F.when(seen_first, F.coalesce(F.col("_c._edge"), F.lit(0))).otherwise(0)
+    n_changes = F.coalesce(F.col("_c._offset"), F.lit(0)) + edge + F.col("_r._run_in")
     return joined.select(*[F.col(f"_r.{c}") for c in df.columns],
                          F.coalesce(F.col("_r._prev_in"), F.col("_c._carry")).alias(prev_name),
                          n_changes.cast("bigint").alias(count_name))
 
 
 __all__ = ["ChunkPlan", "plan_chunks", "chunk_of", "with_chunks", "running_totals", "change_counts",
-           "default_chunks", "CHUNK"]
+           "default_chunks", "max_heavy_keys", "CHUNK", "HEAVY", "MAX_CHUNKS"]
