@@ -62,3 +62,23 @@ def test_only_heavy_keys_are_split(spark):
     assert per_key["hot"][0] == 1 and per_key["hot"][1] >= 6
     # with 8 partitions a key needs > 1/16 of the rows to be split; k0..k9 hold ~6.6% each
     assert all(c == 1 for k, (h, c) in per_key.items() if not h)
+
+
+def test_global_running_total_without_keys(spark):
+    df = _data(spark, n=1500, seed=3)
+    got = running_totals(df, [], ["t", "id"], sums={"s": F.col("v")}, count_name="c", n_chunks=6)
+    w = Window.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0
+    assert exp.select(*got.columns).exceptAll(got).count() == 0
+
+
+def test_no_heavy_key_uses_single_window(spark):
+    rows = [(i, f"k{i % 50}", i // 50, i % 7) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, k string, t long, v long")
+    plan = plan_chunks(df, ["k"], "t", 8)
+    assert plan.heavy == () and not plan.splits
+    got = running_totals(df, ["k"], ["t", "id"], sums={"s": F.col("v")}, count_name="c")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0

@@ -5,11 +5,12 @@ A running total or a previous-row comparison per key is naturally a window
 months) or one hot key that puts a third of the data on one task.  Here hot
 keys are split along the order axis into ranges ("chunks"):
 
-1. one aggregate pass gives the row count and approximate quantiles of the
-   first order column (the chunk boundaries); both results are tiny;
-2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows
-   (``P`` = shuffle partitions), so there are at most ``2P`` heavy keys; that
-   list is computed inside the job and broadcast (a proven bound);
+1. one aggregate pass gives the row count, approximate quantiles of the
+   first order column (the chunk boundaries) and the approximate most
+   frequent keys (``approx_top_k`` over a 64-bit hash of the key, at most
+   ``2P`` items, ``P`` = shuffle partitions); all results are tiny;
+2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows, so at
+   most ``2P`` keys qualify; when none does, the plain window is used;
 3. heavy keys' rows get a chunk id from the boundaries, light keys stay in
    chunk 0; rows are windowed per ``(key, chunk)``: one shuffle;
 4. a one-row-per-chunk summary of the heavy keys (at most ``2P x n`` rows,
@@ -44,11 +45,17 @@ class ChunkPlan:
     bounds: tuple
     total: int
     threshold: float
+    heavy: tuple  # xxhash64 of the heavy keys (empty: no key is split)
+    keyed: bool
 
     @property
     def n_chunks(self) -> int:
         return len(self.bounds) + 1
 
+    @property
+    def splits(self) -> bool:
+        return self.n_chunks > 1 and (bool(self.heavy) or not self.keyed)
+
 
 def _dtype(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
@@ -68,23 +75,36 @@ def max_heavy_keys(df: DataFrame, keys: Sequence[str]) -> int:
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
                 max_summary_rows: int = BROADCAST_MAX_ROWS) -> ChunkPlan:
-    """One aggregate pass: row count and quantile boundaries of ``order_col``.
+    """One aggregate pass: row count, quantile boundaries of ``order_col`` and
+    the heavy keys.
 
     ``n`` is capped so the heavy-key summary (``max_heavy_keys x n`` rows at
     most) stays within ``max_summary_rows``.
     """
+    k = max_heavy_keys(df, keys)
     n = n_chunks or default_chunks(df)
-    n = max(1, min(n, MAX_CHUNKS, max_summary_rows // max_heavy_keys(df, keys)))
+    n = max(1, min(n, MAX_CHUNKS, max_summary_rows // k))
     proxy = order_number(order_col, _dtype(df, order_col))
     fracs = [i / n for i in range(1, n)]
     aggs = [F.count(F.lit(1)).alias("n")]
     if fracs:
         aggs.append(F.percentile_approx(proxy, fracs, max(10_000, 50 * n)).alias("b"))
+        if keys:
+            aggs.append(F.call_function("approx_top_k", key_hash(keys), F.lit(k),
+                                        F.lit(max(10_000, 4 * k))).alias("top"))
     row = df.agg(*aggs).first()
-    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None})) if fracs else ()
     total = int(row["n"] or 0)
-    threshold = total / (2 * _partitions(df)) if keys else -1.0
-    return ChunkPlan(bounds=bounds, total=total, threshold=threshold)
+    if not fracs:
+        return ChunkPlan((), total, 0.0, (), bool(keys))
+    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None}))
+    threshold = total / (2 * _partitions(df))
+    heavy = tuple(sorted(t["item"] for t in row["top"] if t["count"] > threshold)) if keys else ()
+    return ChunkPlan(bounds, total, threshold, heavy, bool(keys))
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    """64-bit hash of a (possibly multi-column, possibly null) key."""
+    return F.xxhash64(*[F.col(k) for k in keys])
 
 
 def chunk_of(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
@@ -114,18 +134,13 @@ def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
 
 def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 n_chunks: int | None = None) -> tuple[DataFrame, ChunkPlan]:
-    """Add ``_heavy`` (key is split) and ``_chunk`` (0 for light keys)."""
+    """Add ``_heavy`` (the key is split) and ``_chunk`` (0 for light keys)."""
     plan = plan_chunks(df, keys, order[0], n_chunks)
-    if plan.n_chunks == 1:
+    if not plan.splits:
         return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
-    if keys:
-        # each listed key holds > 1/(2P) of the rows: at most 2P rows
-        heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")) \
-            .where(F.col("_cnt") > F.lit(plan.threshold)).select(*keys, F.lit(True).alias(HEAVY))
-        tagged = df.alias("_d").join(F.broadcast(heavy).alias("_h"), _null_safe("_d", "_h", keys), "left") \
-            .select("_d.*", F.coalesce(F.col(f"_h.{HEAVY}"), F.lit(False)).alias(HEAVY))
-    else:
-        tagged = df.withColumn(HEAVY, F.lit(True))
+    # a literal set of at most 2P hashes: an InSet probe, no join
+    heavy = key_hash(keys).isin(list(plan.heavy)) if keys else F.lit(True)
+    tagged = df.withColumn(HEAVY, heavy)
     chunk = F.when(F.col(HEAVY), chunk_of(tagged, order[0], plan)).otherwise(F.lit(0))
     return tagged.withColumn(CHUNK, chunk), plan
 
@@ -152,7 +167,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     result (add a tie-breaker column).
     """
     sums = dict(sums or {})
-    tagged, _ = with_chunks(df, keys, order, n_chunks)
+    tagged, plan = with_chunks(df, keys, order, n_chunks)
     part = [*keys, CHUNK]
     w_in = Window.partitionBy(*part).orderBy(*_order_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -161,6 +176,10 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         within.append(F.count(F.lit(1)).over(w_in).alias("_in__n"))
     within += [F.first(c).over(w_in).alias(f"_in__f_{c}") for c in firsts]
     rows = tagged.select(*[F.col(c) for c in df.columns], F.col(CHUNK), *within)
+    if not plan.splits:  # no hot key: the single window is the whole plan
+        return rows.select(*df.columns, *[F.col(f"_in_{n}").alias(n) for n in sums],
+                           *([F.col("_in__n").alias(count_name)] if count_name else []),
+                           *[F.col(f"_in__f_{c}").alias(f"first_{c}") for c in firsts])
 
     # heavy keys only: at most 2P x n rows
     summary_aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
@@ -198,7 +217,7 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     number of changes (a row whose value differs from the previous non-null
     value).  Rows whose value is null neither change nor reset anything.
     """
-    tagged, _ = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
+    tagged, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
     part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(*_order_cols(order))
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -207,6 +226,9 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
         "_flag_in", (F.col("_v").isNotNull() & F.col("_prev_in").isNotNull()
                      & (F.col("_v") != F.col("_prev_in"))).cast("int"))
     rows = step1.withColumn("_run_in", F.sum("_flag_in").over(upto_cur))
+    if not plan.splits:  # no hot key: the single window is the whole plan
+        return rows.select(*df.columns, F.col("_prev_in").alias(prev_name),
+                           F.coalesce(F.col("_run_in"), F.lit(0)).cast("bigint").alias(count_name))
 
     present = F.when(F.col("_v").isNotNull(), F.struct(*_order_cols(order)))
     summary = step1.where(F.col(HEAVY)).groupBy(*part).agg(
@@ -234,4 +256,4 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 __all__ = ["ChunkPlan", "plan_chunks", "chunk_of", "with_chunks", "running_totals", "change_counts",
-           "default_chunks", "max_heavy_keys", "CHUNK", "HEAVY", "MAX_CHUNKS"]
+           "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "MAX_CHUNKS"]
