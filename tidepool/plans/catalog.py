@@ -316,3 +316,11 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_where": distinct_where,
     "row_stats": row_stats,
 }
+
+
+def _sql_queries() -> dict:
+    from .sql_windows import SQL_QUERIES
+    return SQL_QUERIES
+
+
+BATCH_QUERIES.update(_sql_queries())

@@ -270,3 +270,9 @@ ORACLE_SQL: dict[str, str] = {
     "distinct_where": _DISTINCT_WHERE,
     "row_stats": _ROW_STATS,
 }
+
+ORACLE_SQL.update({
+    "tumbling_revenue_sql": _TUMBLING,
+    "sliding_revenue_sql": _SLIDING,
+    "session_revenue_sql": _SESSION,
+})

@@ -45,6 +45,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **RUNTIME_CONF,
     }
     conf.update(extra or {})

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from .. import session as S
 from ..functions.time import instant_to_ntz
-from ..operators import windows
-from ..plans.catalog import (CHANGE_WINDOW, DELTA_THRESHOLD, EVENT_ORDER, REVENUE_WINDOW,
-                             SESSION_GAP, WATERMARK, money)
+from ..operators import rules, windows
+from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, DELTA_THRESHOLD,
+                             EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, TXN_COLS, WATERMARK,
+                             _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
 from .stateful import PreviousWindowDelta
@@ -25,6 +26,7 @@ from .stateful import PreviousWindowDelta
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.configure(spark)
+    use_rocksdb_state(spark)
     return event_stream(spark, sf_dir).withWatermark("evt", WATERMARK)
 
 
@@ -79,6 +81,27 @@ def stream_large_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ["prev_max", "cur_max", "pct_change", "max_ts"])
 
 
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert stream: membership rules (stream-static semi-joins, stateless;
+    the member lists are re-read every micro-batch) unioned with the windowed
+    activity rule (stateful, emitted when its window closes), append mode."""
+    ev = _stream(spark, sf_dir)
+    txns = ev.select(*TXN_COLS, "evt")
+    alarmed = rules.flag_members(txns, "user_id", _alarmed(spark, sf_dir), "c_custkey",
+                                 rules.RULE_ALARMED, TXN_COLS)
+    lost = rules.flag_members(txns, "user_id", _lost(spark, sf_dir), "s_suppkey",
+                              rules.RULE_LOST_CARD, TXN_COLS)
+    per_window = windows.tumbling(txns, "evt", ACTIVITY_WINDOW, ["user_id"], {
+        "n": F.count(F.lit(1)),
+        "_first": windows.first_by([c for c in TXN_COLS if c != "user_id"], EVENT_ORDER)})
+    busy = per_window.where(F.col("n") > ACTIVITY_THRESHOLD).select(
+        F.lit(rules.RULE_EXCESSIVE).alias("rule"),
+        *[(F.col(c) if c == "user_id" else F.col(f"_first.{c}")).alias(c) for c in TXN_COLS],
+        instant_to_ntz("window_start").alias("window_start"), F.col("n").cast("bigint").alias("n"))
+    out = run_to_parquet(rules.union_alerts(alarmed, lost, busy), "stream_alerts", "append")
+    return read_back(spark, out)
+
+
 def _closed(sql: str, end_col: str = "window_end") -> str:
     return (f"SELECT * FROM ({sql}) WHERE {end_col} <= "
             f"(SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'")
@@ -88,10 +111,14 @@ STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
     "stream_session": stream_session,
     "stream_large_delta": stream_large_delta,
+    "stream_alerts": stream_alerts,
 }
 
 STREAM_ORACLE_SQL = {
     "stream_tumbling": _closed(ORACLE_SQL["tumbling_revenue"]),
     "stream_session": _closed(ORACLE_SQL["session_revenue"]),
     "stream_large_delta": _closed(ORACLE_SQL["large_delta"]),
+    "stream_alerts": (f"{ORACLE_SQL['flag_alarmed']} UNION ALL {ORACLE_SQL['flag_lost_card']} UNION ALL "
+                      f"SELECT * FROM ({ORACLE_SQL['excessive_activity']}) WHERE window_start + "
+                      f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'"),
 }

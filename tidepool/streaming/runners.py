@@ -18,14 +18,18 @@ from ..sources.files import parquet_stream
 from ..sources.tables import events_schema
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Stateful processors need the RocksDB state store; it also keeps large
-    state off the JVM heap.  Applies to queries started afterwards."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != STATE_PROVIDER:
-        spark.conf.set(key, STATE_PROVIDER)
+    state off the JVM heap.  Changelog checkpointing commits only the changed
+    keys per micro-batch instead of a snapshot.  Applies to queries started
+    afterwards (a checkpoint keeps the provider it was created with)."""
+    for key, value in (("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER),
+                       (CHANGELOG, "true")):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
