@@ -127,3 +127,52 @@ def test_processing_time_window_shape(spark, scratch):
     agg = processing_time_window(raw, "10 seconds", ["seller_id"], {"n": F.count(F.lit(1))})
     assert agg.isStreaming
     assert set(agg.columns) == {"seller_id", "window_start", "window_end", "n"}
+
+
+def test_fan_out_split_from_one_stream(spark, scratch):
+    """One stream, three outputs (pass-through, even as text, odd as numbers)
+    written from one foreachBatch over a persisted micro-batch."""
+    from tidepool.operators import split
+    from tidepool.streaming.runners import run_foreach_batch
+
+    src = f"{scratch}/src"
+    os.makedirs(src)
+    for i, chunk in enumerate([[454, 565, 45654], [767, 889, 78, -3]]):
+        with open(f"{src}/part{i}.txt", "w") as f:
+            f.write("\n".join(str(v) for v in chunk) + "\n")
+    nums = spark.readStream.option("maxFilesPerTrigger", 1).text(src) \
+        .select(F.col("value").cast("bigint").alias("n"))
+
+    def handler(batch, epoch_id):
+        batch.persist()
+        outs = split.split_parity(batch, "n")
+        outs["main"].write.mode("append").parquet(f"{scratch}/all")
+        outs["even"].write.mode("append").parquet(f"{scratch}/even")
+        outs["odd"].write.mode("append").parquet(f"{scratch}/odd")
+        batch.unpersist()
+
+    run_foreach_batch(nums, "fan", handler)
+    assert spark.read.parquet(f"{scratch}/all").count() == 7
+    assert sorted(r[0] for r in spark.read.parquet(f"{scratch}/even").collect()) == ["454", "45654", "78"]
+    assert sorted(r[0] for r in spark.read.parquet(f"{scratch}/odd").collect()) == [-3, 565, 767, 889]
+
+
+def test_stream_stream_join_with_time_bound(spark, scratch):
+    from tidepool.operators.joins import equi_join
+
+    a, b = f"{scratch}/scores", f"{scratch}/cats"
+    _write_batches(a, [[("ann", "x", 7, 0.0, _s(1)), ("bob", "x", 3, 0.0, _s(2))],
+                       [("ann", "y", 9, 0.0, _s(50))]])
+    _write_batches(b, [[("ann", "gold", 0, 0.0, _s(3)), ("bob", "silver", 0, 0.0, _s(4))],
+                       [("ann", "late", 0, 0.0, _s(500))]])
+    left = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(a) \
+        .select(F.col("seller_id").alias("name"), F.col("quantity").alias("score"),
+                F.timestamp_millis("sale_ts").alias("t1"))
+    right = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(b) \
+        .select(F.col("seller_id").alias("name2"), F.col("product").alias("que"),
+                F.timestamp_millis("sale_ts").alias("t2"))
+    joined = equi_join(left.withColumnRenamed("name", "k"), right.withColumnRenamed("name2", "k"), "k",
+                       left_time="t1", right_time="t2", watermark="10 seconds", within="30 seconds")
+    out = read_back(spark, run_to_parquet(joined.select("l.k", "score", "que"), "j", path=f"{scratch}/out"))
+    assert sorted((r["k"], r["score"], r["que"]) for r in out.collect()) == [
+        ("ann", 7, "gold"), ("bob", 3, "silver")]

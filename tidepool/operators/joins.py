@@ -15,10 +15,10 @@ BROADCAST_MAX_ROWS = 2_000_000
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops early on a large
-    side, so the check costs at most one bounded pass.
+    A plain ``count()``: one pruned scan (filters pushed down) that sends one
+    partial count per task, never rows.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -40,12 +40,14 @@ def semi_join(df: DataFrame, key_col: str, members: DataFrame, member_key: str,
               check_size: bool = True, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``df`` whose ``key_col`` appears in ``members``; each row at most once.
 
-    The member list is projected to its key and de-duplicated first, so what
-    is broadcast (or shuffled) is one small column.
+    The member list is projected to its key.  When its row count (an upper
+    bound on its distinct keys) is within ``max_rows`` the de-duplicated keys
+    are broadcast; otherwise it is a shuffle semi-join, which needs no
+    de-duplication (and AQE may still broadcast it once measured).
     """
-    keys = members.select(F.col(member_key).alias("_member")).dropDuplicates()
-    if check_size:
-        keys = sized_broadcast(keys, max_rows)
+    keys = members.select(F.col(member_key).alias("_member"))
+    if check_size and fits(keys, max_rows):
+        keys = F.broadcast(keys.dropDuplicates())
     return df.join(keys, F.col(key_col) == F.col("_member"), "left_semi")
 
 
