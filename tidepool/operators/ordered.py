@@ -5,20 +5,27 @@ A running total or a previous-row comparison per key is naturally a window
 months) or one hot key that puts a third of the data on one task.  Here hot
 keys are split along the order axis into ranges ("chunks"):
 
-1. one aggregate pass gives the row count, approximate quantiles of the
-   first order column (the chunk boundaries) and the approximate most
-   frequent keys (``approx_top_k`` over a 64-bit hash of the key, at most
-   ``2P`` items, ``P`` = shuffle partitions); all results are tiny;
+1. one aggregate pass gives the row count, the min/max and approximate
+   quantiles of the first order column, and the approximate most frequent
+   keys (``approx_top_k`` over a 64-bit hash of the key, at most ``2P``
+   items, ``P`` = shuffle partitions); all results are tiny;
 2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows, so at
    most ``2P`` keys qualify; when none does, the plain window is used;
-3. heavy keys' rows get a chunk id from the boundaries, light keys stay in
-   chunk 0; rows are windowed per ``(key, chunk)``: one shuffle;
-4. a one-row-per-chunk summary of the heavy keys (at most ``2P x n`` rows,
-   again a proven bound) carries totals and boundary values from chunk to
-   chunk, and is broadcast back onto the rows.
-
-The chunk of a row is a pure function of its order value and the fixed
-boundaries, so re-running a lost task yields the same chunks; no
+3. the order axis is cut into ``n = 2P`` fine ranges: quantile buckets (a
+   CASE tree of at most 1024 leaves) each split evenly into sub-ranges; a
+   heavy key with share ``s`` of the rows takes about ``n*s`` consecutive
+   fine ranges per chunk-group via its *stride* (a literal map of at most
+   ``2P`` entries), i.e. about ``total/n`` rows per chunk: one shuffle
+   partition's worth, however hot the key;
+4. light keys stay in chunk 0; rows are windowed per ``(key, chunk)``: one
+   shuffle;
+5. a one-row-per-chunk summary of the heavy keys carries totals and boundary
+   values from chunk to chunk and is broadcast back.  Its size is at most
+   ``sum(ceil(n / stride))`` over the heavy keys, computed from the literals
+   before the job runs (a proven bound, scaled down if over the limit).
+
+The chunk of a row is a pure function of its order value, its key and fixed
+literals, so re-running a lost task yields the same chunks; no
 lineage-cutting checkpoint is needed.  Equal first-order values always share
 a chunk and within a chunk the full order (with tie-breakers) applies, so
 results equal the single-window plan exactly.
@@ -26,6 +33,7 @@ results equal the single-window plan exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -37,24 +45,32 @@ from .joins import BROADCAST_MAX_ROWS
 
 CHUNK = "_chunk"
 HEAVY = "_heavy"
-MAX_CHUNKS = 1024  # depth-10 CASE tree; raise for keys of many TB
+MAX_COARSE = 1024  # quantile buckets: a depth-10 CASE tree
 
 
 @dataclass(frozen=True)
 class ChunkPlan:
-    bounds: tuple
+    bounds: tuple          # quantile boundaries between coarse buckets
+    lo: float              # min / max of the order proxy
+    hi: float
+    sub: int               # even sub-ranges per coarse bucket
     total: int
-    threshold: float
-    heavy: tuple  # xxhash64 of the heavy keys (empty: no key is split)
+    strides: tuple         # (key hash, stride) of the heavy keys
     keyed: bool
 
     @property
-    def n_chunks(self) -> int:
-        return len(self.bounds) + 1
+    def n_fine(self) -> int:
+        return (len(self.bounds) + 1) * self.sub
 
     @property
     def splits(self) -> bool:
-        return self.n_chunks > 1 and (bool(self.heavy) or not self.keyed)
+        return self.n_fine > 1 and (bool(self.strides) or not self.keyed)
+
+    @property
+    def summary_bound(self) -> int:
+        """Most (key, chunk) pairs the carry table can hold."""
+        return sum(math.ceil(self.n_fine / st) for _, st in self.strides) if self.keyed \
+            else math.ceil(self.n_fine / max(self.strides[0][1] if self.strides else 1, 1))
 
 
 def _dtype(df: DataFrame, col: str) -> str:
@@ -73,47 +89,55 @@ def max_heavy_keys(df: DataFrame, keys: Sequence[str]) -> int:
     return 2 * _partitions(df) if keys else 1
 
 
-def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
-                max_summary_rows: int = BROADCAST_MAX_ROWS) -> ChunkPlan:
-    """One aggregate pass: row count, quantile boundaries of ``order_col`` and
-    the heavy keys.
+def key_hash(keys: Sequence[str]) -> Column:
+    """64-bit hash of a (possibly multi-column, possibly null) key."""
+    return F.xxhash64(*[F.col(k) for k in keys])
 
-    ``n`` is capped so the heavy-key summary (``max_heavy_keys x n`` rows at
-    most) stays within ``max_summary_rows``.
-    """
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
+                max_summary_rows: int = BROADCAST_MAX_ROWS, max_coarse: int = MAX_COARSE) -> ChunkPlan:
+    """One aggregate pass: row count, range and quantiles of ``order_col``, and
+    the heavy keys with their strides."""
     k = max_heavy_keys(df, keys)
-    n = n_chunks or default_chunks(df)
-    n = max(1, min(n, MAX_CHUNKS, max_summary_rows // k))
-    proxy = order_number(order_col, _dtype(df, order_col))
-    fracs = [i / n for i in range(1, n)]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if fracs:
-        aggs.append(F.percentile_approx(proxy, fracs, max(10_000, 50 * n)).alias("b"))
+    n = max(1, n_chunks or default_chunks(df))
+    coarse = max(1, min(n, max_coarse))
+    sub = math.ceil(n / coarse)
+    proxy = order_number(order_col, _dtype(df, order_col)).cast("double")
+    fracs = [i / coarse for i in range(1, coarse)]
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(proxy).alias("lo"), F.max(proxy).alias("hi")]
+    if n > 1:
+        if fracs:
+            aggs.append(F.percentile_approx(proxy, fracs, max(10_000, 50 * coarse)).alias("b"))
         if keys:
             aggs.append(F.call_function("approx_top_k", key_hash(keys), F.lit(k),
                                         F.lit(max(10_000, 4 * k))).alias("top"))
     row = df.agg(*aggs).first()
     total = int(row["n"] or 0)
-    if not fracs:
-        return ChunkPlan((), total, 0.0, (), bool(keys))
-    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None}))
-    threshold = total / (2 * _partitions(df))
-    heavy = tuple(sorted(t["item"] for t in row["top"] if t["count"] > threshold)) if keys else ()
-    return ChunkPlan(bounds, total, threshold, heavy, bool(keys))
-
-
-def key_hash(keys: Sequence[str]) -> Column:
-    """64-bit hash of a (possibly multi-column, possibly null) key."""
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
-def chunk_of(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
-    """Chunk id by binary search over the boundaries (a CASE tree, codegen'd).
-
-    Chunk ``i`` holds ``bounds[i-1] <= x < bounds[i]``; nulls sort first, so
-    they go to chunk 0.
-    """
-    x = order_number(order_col, _dtype(df, order_col))
+    lo, hi = row["lo"], row["hi"]
+    if n == 1 or lo is None:
+        return ChunkPlan((), 0.0, 0.0, 1, total, (), bool(keys))
+    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None})) if fracs else ()
+    n_fine = (len(bounds) + 1) * sub
+    per_chunk = max(1.0, total / n_fine)          # rows one chunk should hold
+    if keys:
+        threshold = total / (2 * _partitions(df))
+        counts = [(t["item"], t["count"]) for t in row["top"] if t["count"] > threshold]
+    else:
+        counts = [(0, total)]
+    strides = [(h, max(1, n_fine // max(1, math.ceil(c / per_chunk)))) for h, c in counts]
+    plan = ChunkPlan(bounds, float(lo), float(hi), sub, total, tuple(sorted(strides)), bool(keys))
+    if plan.summary_bound > max_summary_rows:   # coarser chunks until the carry table fits
+        factor = math.ceil(plan.summary_bound / max_summary_rows)
+        plan = ChunkPlan(bounds, float(lo), float(hi), sub, total,
+                         tuple((h, st * factor) for h, st in plan.strides), bool(keys))
+    return plan
+
+
+def fine_range(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
+    """Fine range id in ``[0, n_fine)``: quantile bucket by binary search (a
+    CASE tree, codegen'd), then an even split of that bucket.  Nulls sort
+    first, so they go to range 0."""
+    x = order_number(order_col, _dtype(df, order_col)).cast("double")
     b = plan.bounds
 
     def build(lo: int, hi: int) -> Column:
@@ -122,7 +146,15 @@ def chunk_of(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
         mid = (lo + hi) // 2
         return F.when(x < F.lit(b[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return F.when(x.isNull(), F.lit(0)).otherwise(build(0, len(b)))
+    coarse = build(0, len(b))
+    if plan.sub > 1:
+        edges = F.array(*[F.lit(float(e)) for e in (plan.lo, *b, plan.hi)])
+        left = F.element_at(edges, coarse + 1)
+        width = F.element_at(edges, coarse + 2) - left
+        frac = F.when(width > 0, (x - left) / width).otherwise(F.lit(0.0))
+        part = F.least(F.floor(frac * plan.sub), F.lit(plan.sub - 1))
+        coarse = coarse * plan.sub + part
+    return F.when(x.isNull(), F.lit(0)).otherwise(coarse).cast("int")
 
 
 def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
@@ -133,16 +165,21 @@ def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                n_chunks: int | None = None) -> tuple[DataFrame, ChunkPlan]:
+                n_chunks: int | None = None, max_coarse: int = MAX_COARSE) -> tuple[DataFrame, ChunkPlan]:
     """Add ``_heavy`` (the key is split) and ``_chunk`` (0 for light keys)."""
-    plan = plan_chunks(df, keys, order[0], n_chunks)
+    plan = plan_chunks(df, keys, order[0], n_chunks, max_coarse=max_coarse)
     if not plan.splits:
         return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
-    # a literal set of at most 2P hashes: an InSet probe, no join
-    heavy = key_hash(keys).isin(list(plan.heavy)) if keys else F.lit(True)
-    tagged = df.withColumn(HEAVY, heavy)
-    chunk = F.when(F.col(HEAVY), chunk_of(tagged, order[0], plan)).otherwise(F.lit(0))
-    return tagged.withColumn(CHUNK, chunk), plan
+    if keys:
+        # literal map of at most 2P entries: a hash lookup, no join
+        pairs = [F.lit(v) for h, st in plan.strides for v in (h, st)]
+        stride = F.try_element_at(F.create_map(*pairs), key_hash(keys))
+    else:
+        stride = F.lit(plan.strides[0][1])
+    tagged = df.withColumn("_stride", stride).withColumn(HEAVY, F.col("_stride").isNotNull())
+    chunk = F.when(F.col(HEAVY), F.floor(fine_range(tagged, order[0], plan) / F.col("_stride"))) \
+        .otherwise(F.lit(0)).cast("int")
+    return tagged.withColumn(CHUNK, chunk).drop("_stride"), plan
 
 
 def _order_cols(order: Sequence[str]) -> list[Column]:
@@ -157,7 +194,8 @@ def _join_back(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Data
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    sums: Mapping[str, Column] | None = None, count_name: str | None = None,
-                   firsts: Sequence[str] = (), n_chunks: int | None = None) -> DataFrame:
+                   firsts: Sequence[str] = (), n_chunks: int | None = None,
+                   max_coarse: int = MAX_COARSE) -> DataFrame:
     """Every input row plus running aggregates per key in ``order``.
 
     ``sums``: name -> expression, running ``sum`` up to and including the row
@@ -167,7 +205,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     result (add a tie-breaker column).
     """
     sums = dict(sums or {})
-    tagged, plan = with_chunks(df, keys, order, n_chunks)
+    tagged, plan = with_chunks(df, keys, order, n_chunks, max_coarse)
     part = [*keys, CHUNK]
     w_in = Window.partitionBy(*part).orderBy(*_order_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -212,12 +250,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                   prev_name: str = "prev_value", count_name: str = "n_changes",
-                  n_chunks: int | None = None) -> DataFrame:
+                  n_chunks: int | None = None, max_coarse: int = MAX_COARSE) -> DataFrame:
     """Every row plus the previous non-null ``value`` of its key and the running
     number of changes (a row whose value differs from the previous non-null
     value).  Rows whose value is null neither change nor reset anything.
     """
-    tagged, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
+    tagged, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks, max_coarse)
     part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(*_order_cols(order))
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -255,5 +293,5 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
                          n_changes.cast("bigint").alias(count_name))
 
 
-__all__ = ["ChunkPlan", "plan_chunks", "chunk_of", "with_chunks", "running_totals", "change_counts",
-           "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "MAX_CHUNKS"]
+__all__ = ["ChunkPlan", "plan_chunks", "fine_range", "with_chunks", "running_totals", "change_counts",
+           "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "MAX_COARSE"]
