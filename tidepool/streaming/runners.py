@@ -42,9 +42,30 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
               .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new streaming query: the shuffle partition
+    setting, but no more than the cluster's task slots, so that every
+    micro-batch runs its stateful stage in one wave."""
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(conf, spark.sparkContext.defaultParallelism))
+
+
+def start_with_partitions(spark: SparkSession, writer, path: str | None, partitions: int):
+    """Start a query with ``partitions`` shuffle/state partitions.  The query
+    runs on a clone of the session taken at start, so the setting is restored
+    right after; a restarted query keeps the count stored in its checkpoint."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start(path) if path else writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                    path: str | None = None, partition_by: list[str] | None = None,
-                   timeout_s: float | None = None) -> str:
+                   timeout_s: float | None = None, partitions: int | None = None) -> str:
     """Process everything available now (possibly several micro-batches plus a
     closing no-data batch) into Parquet files; returns the output folder."""
     spark = df.sparkSession
@@ -54,7 +75,7 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
               .trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(out)
+    query = start_with_partitions(spark, writer, out, partitions or state_partitions(spark))
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
@@ -67,8 +88,9 @@ def run_foreach_batch(df: DataFrame, name: str, handler: Callable[[DataFrame, in
     micro-batch (persist the batch inside when writing it more than once)."""
     spark = df.sparkSession
     ckpt = S.scratch_path(spark, name)
-    query = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    writer = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
+              .option("checkpointLocation", ckpt).trigger(availableNow=True))
+    query = start_with_partitions(spark, writer, None, state_partitions(spark))
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
@@ -81,5 +103,5 @@ def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return reader.parquet(folder)
 
 
-__all__ = ["use_rocksdb_state", "event_stream", "run_to_parquet", "run_foreach_batch", "read_back",
-           "STATE_PROVIDER"]
+__all__ = ["use_rocksdb_state", "event_stream", "state_partitions", "start_with_partitions",
+           "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]
