@@ -15,10 +15,14 @@ T0 = int(dt.datetime(2024, 1, 1).timestamp() * 1000)
 
 
 def _write_batches(folder, batches):
+    """One file per micro-batch; the file source takes files in modification
+    time order, so give them strictly increasing times."""
     os.makedirs(folder, exist_ok=True)
     for i, rows in enumerate(batches):
+        path = f"{folder}/part-{i:03d}.json"
         pd.DataFrame(rows, columns=["seller_id", "product", "quantity", "product_price", "sale_ts"]) \
-            .to_json(f"{folder}/part-{i:03d}.json", orient="records", lines=True)
+            .to_json(path, orient="records", lines=True)
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
 
 
 def _sales_stream(spark, folder):
@@ -148,6 +152,7 @@ def test_fan_out_split_from_one_stream(spark, scratch):
     for i, chunk in enumerate([[454, 565, 45654], [767, 889, 78, -3]]):
         with open(f"{src}/part{i}.txt", "w") as f:
             f.write("\n".join(str(v) for v in chunk) + "\n")
+        os.utime(f"{src}/part{i}.txt", (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
     nums = spark.readStream.option("maxFilesPerTrigger", 1).text(src) \
         .select(F.col("value").cast("bigint").alias("n"))
 
