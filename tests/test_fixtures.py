@@ -127,3 +127,20 @@ def test_row_summary_udf_agrees_with_native(spark):
         assert udf_rows[sid]["total"] == nat[sid]["total"]
         assert math.isclose(udf_rows[sid]["mean"], nat[sid]["mean"])
         assert math.isclose(round(udf_rows[sid]["stdev"], 2), nat[sid]["stdev"])
+
+
+def test_alert_lines_match_flagged_output(spark):
+    raw = _lines(spark, X.TXN_LINES)
+    txns = parse_lines(raw, TXN_LINE, keep=["seq", "value"])
+    alarmed = parse_lines(_lines(spark, X.ALARMED_LINES), ALARMED_LINE)
+    lost = parse_lines(_lines(spark, X.LOST_CARD_LINES), LOST_CARD_LINE)
+    cols = ["txn_id", "customer_id", "value"]
+    a = rules.flag_members(txns, "customer_id", alarmed, "customer_id", rules.RULE_ALARMED, cols) \
+        .select(render.alert_line(rules.RULE_ALARMED, "customer_id", "value").alias("l"))
+    lc = rules.flag_members(txns, "card_id", lost, "card_id", rules.RULE_LOST_CARD, cols) \
+        .select(render.alert_line(rules.RULE_LOST_CARD, "customer_id", "value").alias("l"))
+    got = {r["l"] for r in a.union(lc).collect()}
+    assert set(X.FLAGGED_LINES) <= got
+    city = spark.createDataFrame([("id_741yce", X.CITY_CHANGE_LINE.split(",(", 1)[1].split(",", 1)[1]
+                                   .rsplit(")marked", 1)[0])], "k string, line string")
+    assert city.select(render.alert_line(rules.RULE_CITY_CHANGE, "k", "line")).first()[0] == X.CITY_CHANGE_LINE

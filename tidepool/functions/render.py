@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 # Message templates of the alert and report lines.
 DELTA_TEMPLATE = "Large Change Detected of %.2f%% (%s - %s) at  %s"
 REPORT_TEMPLATE = "%s - %s, %s, %s, %.2f, %s, %s, %.2f"
-ALARMED_SUFFIX = " is by an ALARMED customer"
-LOST_CARD_SUFFIX = " issued via LOST card"
-EXCESSIVE_SUFFIX = " marked for >10 TXNs"
-CITY_SUFFIX = "marked for FREQUENT city changes"
+ALERT_TEMPLATES = {
+    "alarmed_customer": ("____ALARM___", "Transaction: (%s,%s) is by an ALARMED customer"),
+    "lost_card": ("__ALARM__", "Transaction: (%s,%s) issued via LOST card"),
+    "excessive_activity": ("__ALARM__", "(%s,%s,%s) marked for >10 TXNs"),
+    "frequent_city_change": ("__ALARM__", "(%s,%s)marked for FREQUENT city changes"),
+}
 
 
 def _c(col) -> Column:
@@ -39,12 +41,15 @@ def window_report(start, end, max_price, min_price, price_change, max_vol, min_v
                            _c(max_vol).cast("string"), _c(min_vol).cast("string"), _c(vol_change))
 
 
-def txn_alert(rule: str, txn_text) -> Column:
-    """Alert text for one flagged transaction (``txn_text`` is its rendered row)."""
-    suffix = {"alarmed_customer": ALARMED_SUFFIX, "lost_card": LOST_CARD_SUFFIX,
-              "excessive_activity": EXCESSIVE_SUFFIX, "frequent_city_change": CITY_SUFFIX}[rule]
-    return F.concat(F.lit("Transaction: "), _c(txn_text), F.lit(suffix))
+def alert_line(rule: str, key, line, n=None) -> Column:
+    """One alert line as the original job printed it: ``(tag,message)`` where
+    the message embeds ``(key,raw line)`` (and the count for the activity rule)."""
+    tag, template = ALERT_TEMPLATES[rule]
+    args = [_c(key).cast("string"), _c(line)]
+    if n is not None:
+        args.append(_c(n).cast("string"))
+    return F.format_string("(%s,%s)", F.lit(tag), F.format_string(template, *args))
 
 
-__all__ = ["DELTA_TEMPLATE", "REPORT_TEMPLATE", "java_double", "delta_alert", "window_report",
-           "txn_alert"]
+__all__ = ["DELTA_TEMPLATE", "REPORT_TEMPLATE", "ALERT_TEMPLATES", "java_double", "delta_alert",
+           "window_report", "alert_line"]
