@@ -21,7 +21,7 @@ from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW,
                              _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
-from .stateful import PreviousWindowDelta
+from .stateful import PreviousWindowDelta, WindowReport
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,40 @@ def stream_large_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ["prev_max", "cur_max", "pct_change", "max_ts"])
 
 
+REPORT_COLS = ["event_type", "window_start", "window_end", "max_price", "min_price", "max_volume",
+               "min_volume", "first_ts", "last_ts"]
+
+
+def stream_window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-window report on a stream: window stats (append mode), then a
+    stateful processor adds the percent change of both maxima against the
+    key's previous window."""
+    ev = _stream(spark, sf_dir)
+    ordered = F.struct(*[F.col(c) for c in EVENT_ORDER])
+    stats = windows.tumbling(ev, "evt", CHANGE_WINDOW, ["event_type"], {
+        "max_price": F.greatest(F.max("value"), F.lit(0.0)),
+        "min_price": F.min("value"),
+        "max_volume": F.greatest(F.max("volume"), F.lit(0)),
+        "min_volume": F.min("volume"),
+        "first_ts": F.min_by("ts", ordered),
+        "last_ts": F.max_by("ts", ordered)})
+    schema = T.StructType([
+        T.StructField("event_type", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("max_price", T.DoubleType()), T.StructField("min_price", T.DoubleType()),
+        T.StructField("max_volume", T.IntegerType()), T.StructField("min_volume", T.IntegerType()),
+        T.StructField("first_ts", T.TimestampNTZType()), T.StructField("last_ts", T.TimestampNTZType()),
+        T.StructField("max_price_change", T.DoubleType()),
+        T.StructField("max_volume_change", T.DoubleType())])
+    report = stats.groupBy("event_type").transformWithStateInPandas(
+        statefulProcessor=WindowReport(REPORT_COLS), outputStructType=schema,
+        outputMode="Append", timeMode="None")
+    out = run_to_parquet(report, "stream_window_change", "append")
+    return _ntz_bounds(read_back(spark, out, schema), ["event_type"],
+                       [c for c in schema.fieldNames() if c not in ("event_type", "window_start", "window_end")])
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert stream: membership rules (stream-static semi-joins, stateless;
     the member lists are re-read every micro-batch) unioned with the windowed
@@ -112,9 +146,11 @@ STREAM_QUERIES = {
     "stream_session": stream_session,
     "stream_large_delta": stream_large_delta,
     "stream_alerts": stream_alerts,
+    "stream_window_change": stream_window_change,
 }
 
 STREAM_ORACLE_SQL = {
+    "stream_window_change": _closed(ORACLE_SQL["window_change"]),
     "stream_tumbling": _closed(ORACLE_SQL["tumbling_revenue"]),
     "stream_session": _closed(ORACLE_SQL["session_revenue"]),
     "stream_large_delta": _closed(ORACLE_SQL["large_delta"]),

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 PREV_SCHEMA = StructType([StructField("prev_max", DoubleType(), True)])
+PREV_MAXIMA_SCHEMA = StructType([StructField("prev_price", DoubleType(), True),
+                                 StructField("prev_volume", LongType(), True)])
 
 
 class PreviousWindowDelta(StatefulProcessor):
@@ -52,6 +54,40 @@ class PreviousWindowDelta(StatefulProcessor):
         pass
 
 
+def _pct(cur, prev) -> float:
+    return 0.0 if prev is None or prev == 0 else ((cur - prev) / prev) * 100.0
+
+
+class WindowReport(StatefulProcessor):
+    """Input: closed windows of one key with ``max_price``/``max_volume`` (and
+    any other stats).  Output: every window plus the percent change of both
+    maxima against the key's previous window (0.0 for the first).  State: the
+    previous window's two maxima."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev_maxima", PREV_MAXIMA_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("window_start")
+        prev_p, prev_v = self.prev.get() if self.prev.exists() else (None, None)
+        price_change, volume_change = [], []
+        for p, v in zip(batch["max_price"].tolist(), batch["max_volume"].tolist()):
+            price_change.append(_pct(float(p), prev_p))
+            volume_change.append(_pct(float(v), prev_v))
+            prev_p, prev_v = float(p), int(v)
+        self.prev.update((prev_p, prev_v))
+        out = batch[self.columns].copy()
+        out["max_price_change"] = price_change
+        out["max_volume_change"] = volume_change
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
 def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str):
     """``applyInPandasWithState`` function: per-record running count and sum
     of ``value_col`` per key, in ``order_cols`` order within a micro-batch and
@@ -75,4 +111,5 @@ def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str)
     return fn
 
 
-__all__ = ["PreviousWindowDelta", "PREV_SCHEMA", "rolling_state_fn"]
+__all__ = ["PreviousWindowDelta", "WindowReport", "PREV_SCHEMA", "PREV_MAXIMA_SCHEMA",
+           "rolling_state_fn"]
