@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,12 +58,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, streaming state and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset (unit
-    tests, a laptop) a private folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset on a
+    local master (unit tests, a laptop) a private folder is created and
+    registered; on a cluster an unset setting is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(checkpoints and streaming state must survive lost executors)")
         root = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         sc.setCheckpointDir(root)
     return root
