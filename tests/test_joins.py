@@ -48,3 +48,38 @@ def test_running_totals_property(spark, rows, n_chunks):
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("*", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
     assert sorted(got.collect()) == sorted(exp.select(*got.columns).collect())
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 12),
+                          st.sampled_from(["X", "x", "Y", "", None])), min_size=1, max_size=50),
+       st.integers(2, 5))
+def test_change_counts_property(spark, rows, n_chunks):
+    from tidepool.operators.ordered import change_counts
+    df = spark.createDataFrame([(i, k, t, c) for i, (k, t, c) in enumerate(rows)],
+                               "id long, k string, t long, city string")
+    v = F.nullif(F.lower("city"), F.lit(""))
+    got = change_counts(df, ["k"], ["t", "id"], v, n_chunks=n_chunks)
+    # brute force in Python: walk each key in order
+    exp = {}
+    for k in {r[0] for r in rows}:
+        last, n = None, 0
+        for i, (kk, t, c) in sorted(((i, r) for i, r in enumerate(rows) if r[0] == k),
+                                    key=lambda x: (x[1][1], x[0])):
+            prev = last
+            c = c.lower() if c else None
+            if c is not None:
+                if last is not None and c != last:
+                    n += 1
+                last = c
+            exp[i] = (prev, n)
+    assert {r["id"]: (r["prev_value"], r["n_changes"]) for r in got.collect()} == exp
+
+
+def test_running_totals_independent_of_input_partitioning(spark):
+    df = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 11}", i % 97, i % 13)
+                                for i in range(3000)], "id long, k string, t long, v long")
+    a = running_totals(df, ["k"], ["t", "id"], sums={"s": F.col("v")}, count_name="c", n_chunks=12)
+    b = running_totals(df.repartition(7).sortWithinPartitions(F.rand(3)), ["k"], ["t", "id"],
+                       sums={"s": F.col("v")}, count_name="c", n_chunks=12)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -24,6 +24,9 @@ keys are split along the order axis into ranges ("chunks"):
    ``sum(ceil(n / stride))`` over the heavy keys, computed from the literals
    before the job runs (a proven bound, scaled down if over the limit).
 
+(A 64-bit hash collision would only chunk a light key along with a heavy
+one; results stay exact.)
+
 The chunk of a row is a pure function of its order value, its key and fixed
 literals, so re-running a lost task yields the same chunks; no
 lineage-cutting checkpoint is needed.  Equal first-order values always share
