@@ -62,8 +62,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     local master (unit tests, a laptop) a private folder is created and
     registered; on a cluster an unset setting is an error.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach") from None
+    root = sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "

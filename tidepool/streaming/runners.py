@@ -47,7 +47,11 @@ def state_partitions(spark: SparkSession) -> int:
     setting, but no more than the cluster's task slots, so that every
     micro-batch runs its stateful stage in one wave."""
     conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(conf, spark.sparkContext.defaultParallelism))
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        return conf
+    return max(1, min(conf, slots))
 
 
 def start_with_partitions(spark: SparkSession, writer, path: str | None, partitions: int):
