@@ -222,7 +222,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                            *([F.col("_in__n").alias(count_name)] if count_name else []),
                            *[F.col(f"_in__f_{c}").alias(f"first_{c}") for c in firsts])
 
-    # heavy keys only: at most 2P x n rows
+    # heavy keys only: at most plan.summary_bound rows (fixed before the job runs)
     summary_aggs = [F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
     summary_aggs.append(F.count(F.lit(1)).alias("_t__n"))
     if firsts:
