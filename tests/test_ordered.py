@@ -100,3 +100,22 @@ def test_hot_key_gets_chunks_in_proportion(spark):
     w = Window.partitionBy("k").orderBy("t", "id")
     mono = tagged.withColumn("p", F.lag("_chunk").over(w)).where(F.col("p") > F.col("_chunk")).count()
     assert mono == 0
+
+
+@pytest.mark.parametrize("n_chunks", [2, 8, 24])
+def test_session_split_equals_plain_sessions(spark, n_chunks):
+    import random
+
+    from tidepool.operators.windows import session, session_split
+    rnd = random.Random(n_chunks)
+    rows, t = [], 0
+    for i in range(2500):
+        t += rnd.choice([1, 2, 5, 30, 30, 31, 200])      # gaps around the 30 s session gap
+        k = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"
+        rows.append((i, k, t, rnd.randint(0, 9)))
+    df = spark.createDataFrame(rows, "id long, k string, s long, v long") \
+        .withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = session_split(df, "ts", "30 seconds", ["k"], {"total": F.col("v")}, "n", n_chunks=n_chunks)
+    exp = session(df, "ts", "30 seconds", ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))})
+    assert got.count() == exp.count()
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,14 +47,69 @@ def session(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
             aggs: Mapping[str, Column]) -> DataFrame:
     """Gap-based sessions per key; rows exactly ``gap`` apart share a session.
 
-    With ``sessionWindow.merge.sessions.in.local.partition`` on (see
-    ``tidepool.session``) sessions are pre-merged per map task, so a hot key
-    is shuffled as partial sessions rather than raw rows.
+    Plain form: every row of a key meets in one task (sessions are merged
+    after the shuffle).  On streams ``sessionWindow.merge.sessions.in.local.
+    partition`` pre-merges per task; for batch input with hot keys use
+    :func:`session_split`.
     """
     grouped = df.groupBy(F.session_window(time_col, gap).alias("_w"), *keys).agg(*_agg_list(aggs))
     return _flatten(grouped, "_w", keys, list(aggs))
 
 
+def session_split(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
+                  sums: Mapping[str, Column], count_name: str | None = None,
+                  n_chunks: int | None = None) -> DataFrame:
+    """Sessions per key whose hot keys are split along time.
+
+    Heavy keys (see :mod:`tidepool.operators.ordered`) get time chunks;
+    sessions are built per ``(key, chunk)`` in parallel.  Only a chunk's
+    first and last session can continue across a chunk edge, so just those
+    (at most two per chunk) are merged again, by a second session window
+    whose per-row gap is the sub-session's own length: touching or
+    overlapping sub-sessions join, exactly as their rows would have.  The
+    aggregates must be combinable: ``sums`` (name -> expression) and a row
+    count.  Light keys take the plain path inside the same plan.
+    """
+    from .ordered import CHUNK, HEAVY, with_chunks
+
+    tagged, plan = with_chunks(df, keys, [time_col], n_chunks)
+    if not plan.splits:
+        aggs = {n: F.sum(e) for n, e in sums.items()}
+        if count_name:
+            aggs[count_name] = F.count(F.lit(1))
+        return session(df, time_col, gap, keys, aggs)
+
+    first_aggs = [F.sum(e).alias(n) for n, e in sums.items()]
+    if count_name:
+        first_aggs.append(F.count(F.lit(1)).alias(count_name))
+    names = [*sums, *([count_name] if count_name else [])]
+    pieces = tagged.groupBy(*keys, CHUNK, HEAVY, F.session_window(time_col, gap).alias("_w")) \
+        .agg(*first_aggs) \
+        .select(*keys, CHUNK, HEAVY, F.col("_w.start").alias("window_start"),
+                F.col("_w.end").alias("window_end"), *names)
+    edge = Window.partitionBy(*keys, CHUNK)
+    pieces = pieces.withColumn("_edge", F.col(HEAVY) & (
+        (F.col("window_start") == F.min("window_start").over(edge))
+        | (F.col("window_start") == F.max("window_start").over(edge))))
+    inner = pieces.where(~F.col("_edge")).select(*keys, "window_start", "window_end", *names)
+
+    dtype = df.schema[time_col].dataType.simpleString()
+    span = F.concat(_micros_between("window_start", "window_end", dtype).cast("string"),
+                    F.lit(" microseconds"))
+    merged = pieces.where(F.col("_edge")) \
+        .groupBy(*keys, F.session_window("window_start", span).alias("_w")) \
+        .agg(*[F.sum(n).alias(n) for n in names]) \
+        .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                *names)
+    return inner.unionByName(merged)
+
+
+def _micros_between(start: str, end: str, dtype: str) -> Column:
+    from ..functions.time import order_number
+
+    return order_number(end, dtype) - order_number(start, dtype)
+
+
 def global_window(df: DataFrame, time_col: str, size: str, aggs: Mapping[str, Column]) -> DataFrame:
     """Non-keyed tumbling window.  Unlike a parallelism-1 window operator, each
     task pre-aggregates and only one row per window and task is shuffled."""
@@ -89,4 +144,5 @@ def window_reduce(df: DataFrame, time_col: str, size: str, keys: Sequence[str],
     return out
 
 
-__all__ = ["tumbling", "sliding", "session", "global_window", "window_reduce", "first_by", "last_by"]
+__all__ = ["tumbling", "sliding", "session", "session_split", "global_window", "window_reduce",
+           "first_by", "last_by"]

@@ -76,8 +76,9 @@ def sliding_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
-    return windows.session(ev, "ts", SESSION_GAP, ["user_id"],
-                           {"window_sales": _revenue(ev), "n_events": F.count(F.lit(1))})
+    out = windows.session_split(ev, "ts", SESSION_GAP, ["user_id"],
+                                {"window_sales": money() * F.col("volume")}, "n_events")
+    return out.withColumn("window_sales", F.col("window_sales").cast("double"))
 
 
 def window_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
