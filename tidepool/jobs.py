@@ -28,7 +28,7 @@ from .functions import render
 from .functions.parse import (ALARMED_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE, TICK_LINE, TXN_LINE,
                               parse_lines)
 from .operators import aggregates, rolling, rules, split, text, windows
-from .sinks.files import stream_bucketed, write_csv, write_text
+from .sinks.files import write_csv, write_text
 from .streaming.operators import stream_city_changes
 from .streaming.runners import start_with_partitions, state_partitions, use_rocksdb_state
 from .streaming.stateful import PreviousWindowDelta, WindowReport
