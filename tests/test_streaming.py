@@ -189,3 +189,19 @@ def test_stream_stream_join_with_time_bound(spark, scratch):
     out = read_back(spark, run_to_parquet(joined.select("l.k", "score", "que"), "j", path=f"{scratch}/out"))
     assert sorted((r["k"], r["score"], r["que"]) for r in out.collect()) == [
         ("ann", 7, "gold"), ("bob", 3, "silver")]
+
+
+def test_stream_bucketed_and_text_sinks(spark, scratch):
+    from tidepool.sinks.files import stream_bucketed, stream_text
+
+    src = f"{scratch}/src"
+    _write_batches(src, [[("LNK", "a", 1, 2.0, _s(1))], [("NWK", "b", 2, 1.5, _s(3700))]])
+    sales = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(src) \
+        .withColumn("evttime", F.timestamp_millis("sale_ts"))
+    q = stream_bucketed(sales, f"{scratch}/b", f"{scratch}/ck_b", fmt="json", time_col="evttime")
+    q.awaitTermination()
+    assert sorted(os.listdir(f"{scratch}/b")) == ["_spark_metadata", "bucket=2024-01-01--00",
+                                                   "bucket=2024-01-01--01"]
+    q = stream_text(sales.select("seller_id", "quantity"), f"{scratch}/t", f"{scratch}/ck_t")
+    q.awaitTermination()
+    assert sorted(r[0] for r in spark.read.text(f"{scratch}/t").collect()) == ["(LNK,1)", "(NWK,2)"]

@@ -36,7 +36,8 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """``events`` files of a folder as a stream, with an instant-typed event time
     ``evt`` (watermarks need ``timestamp``) and the integer ``volume``."""
-    schema = events_schema(spark, folder) if glob == "events.parquet" else None
+    schema = events_schema(spark, folder) if glob == "events.parquet" else \
+        spark.read.option("pathGlobFilter", glob).parquet(folder).schema
     raw = parquet_stream(spark, folder, schema, glob, max_files_per_trigger)
     return raw.withColumn("evt", ntz_to_instant("ts")) \
               .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
