@@ -128,11 +128,10 @@ def stock_job(spark: SparkSession, input_dir: str, output: str, threshold: float
         .withColumn("ts", F.to_timestamp(F.concat_ws(" ", "date", "time"), "dd/MM/yyyy HH:mm:ss")) \
         .withColumn("line_no", F.xxhash64("value")).withColumn("symbol", F.lit(symbol)) \
         .withWatermark("ts", "0 seconds")
-    ordered = F.struct(*[F.col(c) for c in _TICK_ORDER])
     stats = windows.tumbling(ticks, "ts", "1 minute", ["symbol"], {
         "max_price": F.greatest(F.max("price"), F.lit(0.0)), "min_price": F.min("price"),
         "max_volume": F.greatest(F.max("volume"), F.lit(0)), "min_volume": F.min("volume"),
-        "first_ts": F.min_by("ts", ordered), "last_ts": F.max_by("ts", ordered)})
+        "first_ts": F.min("ts"), "last_ts": F.max("ts")})
     report_cols = ["symbol", "window_start", "window_end", "max_price", "min_price", "max_volume",
                    "min_volume", "first_ts", "last_ts"]
     report_schema = ("symbol string, window_start timestamp, window_end timestamp, max_price double, "

@@ -90,14 +90,13 @@ def stream_window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     stateful processor adds the percent change of both maxima against the
     key's previous window."""
     ev = _stream(spark, sf_dir)
-    ordered = F.struct(*[F.col(c) for c in EVENT_ORDER])
     stats = windows.tumbling(ev, "evt", CHANGE_WINDOW, ["event_type"], {
         "max_price": F.greatest(F.max("value"), F.lit(0.0)),
         "min_price": F.min("value"),
         "max_volume": F.greatest(F.max("volume"), F.lit(0)),
         "min_volume": F.min("volume"),
-        "first_ts": F.min_by("ts", ordered),
-        "last_ts": F.max_by("ts", ordered)})
+        "first_ts": F.min("ts"),
+        "last_ts": F.max("ts")})
     schema = T.StructType([
         T.StructField("event_type", T.StringType()),
         T.StructField("window_start", T.TimestampType()),
