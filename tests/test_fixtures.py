@@ -144,3 +144,18 @@ def test_alert_lines_match_flagged_output(spark):
     city = spark.createDataFrame([("id_741yce", X.CITY_CHANGE_LINE.split(",(", 1)[1].split(",", 1)[1]
                                    .rsplit(")marked", 1)[0])], "k string, line string")
     assert city.select(render.alert_line(rules.RULE_CITY_CHANGE, "k", "line")).first()[0] == X.CITY_CHANGE_LINE
+
+
+def test_first_row_and_arg_max_tie_breaks(spark):
+    from tidepool.operators import windows
+    rows = [(5, "2024-01-01 00:00:10", "u1", 3.0), (2, "2024-01-01 00:00:10", "u2", 7.0),
+            (9, "2024-01-01 00:00:20", "u3", 7.0), (1, "2024-01-01 00:00:30", "u4", 1.0)]
+    df = spark.createDataFrame(rows, "id long, t string, who string, price double") \
+        .withColumn("ts", F.col("t").cast("timestamp_ntz")).withColumn("k", F.lit("x"))
+    red = windows.window_reduce(df, "ts", "1 minute", ["k"], "price", ["ts", "id"],
+                                first_cols=["id", "who"]).first()
+    assert (red["first_id"], red["first_who"], red["n"]) == (2, "u2", 4)   # equal ts: smaller id
+    later = df.withColumn("ts", F.col("ts") + F.expr("interval 1 minute")).withColumn("price", F.col("price") * 2)
+    out = changes.large_delta(df.unionByName(later), "ts", "1 minute", ["k"], "price", ["ts", "id"], 5.0).first()
+    assert out["prev_max"] == 7.0 and out["cur_max"] == 14.0
+    assert str(out["max_ts"]) == "2024-01-01 00:01:10"                     # equal maxima: earliest

@@ -83,3 +83,20 @@ def test_running_totals_independent_of_input_partitioning(spark):
     b = running_totals(df.repartition(7).sortWithinPartitions(F.rand(3)), ["k"], ["t", "id"],
                        sums={"s": F.col("v")}, count_name="c", n_chunks=12)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]),
+                          st.sampled_from([0, 1, 5, 10, 11, 40])), min_size=2, max_size=80),
+       st.integers(2, 12))
+def test_session_split_property(spark, steps, n_chunks):
+    from tidepool.operators.windows import session, session_split
+    t, rows = 0, []
+    for i, (k, gap) in enumerate(steps):
+        t += gap
+        rows.append((i, k, t, i % 4))
+    df = spark.createDataFrame(rows, "id long, k string, s long, v long") \
+        .withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = session_split(df, "ts", "10 seconds", ["k"], {"total": F.col("v")}, "n", n_chunks=n_chunks)
+    exp = session(df, "ts", "10 seconds", ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))})
+    assert sorted(got.collect()) == sorted(exp.select(*got.columns).collect())
