@@ -17,8 +17,8 @@ from .. import session as S
 from ..functions.time import instant_to_ntz
 from ..operators import rules, windows
 from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, DELTA_THRESHOLD,
-                             EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, TXN_COLS, WATERMARK,
-                             _alarmed, _lost, money)
+                             EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
+                             SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
 from .stateful import PreviousWindowDelta, WindowReport
@@ -44,6 +44,15 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
 
 
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _stream(spark, sf_dir)
+    agg = windows.sliding(ev, "evt", SLIDING_SIZE, SLIDING_SLIDE, ["user_id"], {
+        "window_sales": F.sum(money() * F.col("volume")).cast("double"),
+        "n_events": F.count(F.lit(1))})
+    out = run_to_parquet(agg, "stream_sliding", "append")
+    return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
+
+
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _stream(spark, sf_dir)
     agg = windows.session(ev, "evt", SESSION_GAP, ["user_id"], {
@@ -142,6 +151,7 @@ def _closed(sql: str, end_col: str = "window_end") -> str:
 
 STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
+    "stream_sliding": stream_sliding,
     "stream_session": stream_session,
     "stream_large_delta": stream_large_delta,
     "stream_alerts": stream_alerts,
@@ -151,6 +161,7 @@ STREAM_QUERIES = {
 STREAM_ORACLE_SQL = {
     "stream_window_change": _closed(ORACLE_SQL["window_change"]),
     "stream_tumbling": _closed(ORACLE_SQL["tumbling_revenue"]),
+    "stream_sliding": _closed(ORACLE_SQL["sliding_revenue"]),
     "stream_session": _closed(ORACLE_SQL["session_revenue"]),
     "stream_large_delta": _closed(ORACLE_SQL["large_delta"]),
     "stream_alerts": (f"{ORACLE_SQL['flag_alarmed']} UNION ALL {ORACLE_SQL['flag_lost_card']} UNION ALL "
