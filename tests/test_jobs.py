@@ -73,3 +73,10 @@ def test_stock_job_minute_report(spark, scratch):
     _write(f"{scratch}/ticks/t2.txt", ["06/10/2010,09:00:00,100.0,1"], 1_700_000_010)
     jobs.stock_job(spark, f"{scratch}/ticks", f"{scratch}/out")
     assert sorted(_lines(spark, f"{scratch}/out/report")) == sorted(X.MINUTE_REPORT)
+
+
+def test_word_count_stream_job_per_record(spark, scratch):
+    _write(f"{scratch}/lines/a.txt", X.WORDS[:3], 1_700_000_000)   # xinchao New None
+    _write(f"{scratch}/lines/b.txt", X.WORDS[3:], 1_700_000_010)   # THanh New NeW
+    jobs.word_count_stream_job(spark, f"{scratch}/lines", f"{scratch}/out")
+    assert sorted(_lines(spark, f"{scratch}/out")) == ["(NeW,1)", "(New,1)", "(New,2)", "(None,1)"]

@@ -1,6 +1,7 @@
 """The original example programs as runnable Spark jobs over files.
 
     python -m tidepool.jobs word-count --input lines.txt [--output out]
+    python -m tidepool.jobs word-count-stream --input lines/ --output out
     python -m tidepool.jobs avg-profit --input sales/ --output out
     python -m tidepool.jobs split      --input numbers/ --output out
     python -m tidepool.jobs cab        --input trips/ --output out
@@ -29,7 +30,7 @@ from .functions.parse import (ALARMED_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE,
                               parse_lines)
 from .operators import aggregates, rolling, rules, split, text, windows
 from .sinks.files import write_csv, write_text
-from .streaming.operators import stream_city_changes
+from .streaming.operators import stream_city_changes, stream_rolling
 from .streaming.runners import start_with_partitions, state_partitions, use_rocksdb_state
 from .streaming.stateful import PreviousWindowDelta, WindowReport
 
@@ -46,6 +47,26 @@ def word_count_job(spark: SparkSession, input_path: str, output: str | None = No
     return counts
 
 
+def word_count_stream_job(spark: SparkSession, input_dir: str, output: str):
+    """Running count per line starting with "N", one updated ``(line,count)``
+    per input line (keyed state).  Files are taken in modification-time
+    order; inside a file equal lines are interchangeable, so no line index is
+    needed."""
+    S.configure(spark)
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(input_dir) \
+        .where(F.startswith(F.col("value"), F.lit("N"))) \
+        .select(F.col("value").alias("word"),
+                F.col("_metadata.file_modification_time").alias("seq"),
+                F.lit(1).cast("bigint").alias("one"))
+    counts = stream_rolling(lines, ["word"], ["seq"], "one")
+    writer = (counts.select(F.format_string("(%s,%d)", "word", "running_count").alias("value"))
+              .writeStream.format("text").outputMode("append")
+              .option("checkpointLocation", f"{output}/_checkpoint").trigger(availableNow=True))
+    query = start_with_partitions(spark, writer, output, state_partitions(spark))
+    query.awaitTermination()
+    return query
+
+
 def avg_profit_job(spark: SparkSession, input_path: str, output: str | None = None) -> DataFrame:
     sales = parse_lines(_numbered_lines(spark, input_path), SALE_LINE, keep=["seq"])
     out = rolling.rolling_avg(sales, ["month"], ["seq"], "profit").orderBy("seq")
@@ -171,7 +192,8 @@ def stock_job(spark: SparkSession, input_dir: str, output: str, threshold: float
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m tidepool.jobs")
-    p.add_argument("job", choices=["word-count", "avg-profit", "split", "cab", "bank", "stock"])
+    p.add_argument("job", choices=["word-count", "word-count-stream", "avg-profit", "split", "cab",
+                                   "bank", "stock"])
     p.add_argument("--input", required=True)
     p.add_argument("--output")
     p.add_argument("--alarmed")
@@ -184,6 +206,8 @@ def main(argv: list[str] | None = None) -> None:
         df = word_count_job(spark, a.input, a.output)
         if not a.output:
             df.show(truncate=False)
+    elif a.job == "word-count-stream":
+        word_count_stream_job(spark, a.input, a.output)
     elif a.job == "avg-profit":
         avg_profit_job(spark, a.input, a.output)
     elif a.job == "split":
