@@ -77,6 +77,6 @@ def test_stock_job_minute_report(spark, scratch):
 
 def test_word_count_stream_job_per_record(spark, scratch):
     _write(f"{scratch}/lines/a.txt", X.WORDS[:3], 1_700_000_000)   # xinchao New None
-    _write(f"{scratch}/lines/b.txt", X.WORDS[3:], 1_700_000_010)   # THanh New NeW
+    _write(f"{scratch}/lines/b.txt", X.WORDS[3:], 1_700_000_010)   # Tokyo New NeW
     jobs.word_count_stream_job(spark, f"{scratch}/lines", f"{scratch}/out")
     assert sorted(_lines(spark, f"{scratch}/out")) == ["(NeW,1)", "(New,1)", "(New,2)", "(None,1)"]
