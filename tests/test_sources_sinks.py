@@ -91,3 +91,19 @@ def test_text_csv_and_bucketed_sinks(spark, scratch):
     stamped = parsed.withColumn("t", F.to_timestamp(F.lit("2024-02-26 23:10:00")))
     K.write_bucketed(stamped, f"{scratch}/b", fmt="json", time_col="t")
     assert os.path.isdir(f"{scratch}/b/bucket=2024-02-26--23")
+
+
+def test_kafka_shaped_rows_decode_with_metadata(spark):
+    """Rows shaped like the Kafka source (binary value, int partition, long
+    offset) decode to typed columns plus bigint partition/offset."""
+    from tidepool.sources.kafka import decode_messages
+
+    raw = spark.createDataFrame(
+        [(bytearray(b'{"id": 1, "name": "ann", "score": 7}'), 0, 10),
+         (bytearray(b'{"id": 2, "name": "bob", "score": 3}'), 1, 4)],
+        "value binary, partition int, offset long")
+    out = decode_messages(raw, "id int, name string, score int")
+    assert out.dtypes == [("partition", "bigint"), ("offset", "bigint"), ("id", "int"),
+                          ("name", "string"), ("score", "int")]
+    assert sorted((r["name"], r["score"], r["offset"]) for r in out.collect()) == [
+        ("ann", 7, 10), ("bob", 3, 4)]
