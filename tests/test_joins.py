@@ -100,3 +100,20 @@ def test_session_split_property(spark, steps, n_chunks):
     got = session_split(df, "ts", "10 seconds", ["k"], {"total": F.col("v")}, "n", n_chunks=n_chunks)
     exp = session(df, "ts", "10 seconds", ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))})
     assert sorted(got.collect()) == sorted(exp.select(*got.columns).collect())
+
+
+def test_flag_members_many_matches_separate_rules(spark):
+    from tidepool.operators import rules
+
+    txns = spark.createDataFrame([(i, f"c{i % 9}", f"k{i % 4}") for i in range(60)],
+                                 "id long, cust string, card string")
+    alarmed = spark.createDataFrame([("c1",), ("c2",), ("c2",)], "c string")
+    lost = spark.createDataFrame([("k3",)], "k string")
+    cols = ["id", "cust", "card"]
+    separate = rules.union_alerts(
+        rules.flag_members(txns, "cust", alarmed, "c", rules.RULE_ALARMED, cols),
+        rules.flag_members(txns, "card", lost, "k", rules.RULE_LOST_CARD, cols))
+    checks = [("cust", alarmed, "c", rules.RULE_ALARMED), ("card", lost, "k", rules.RULE_LOST_CARD)]
+    for limit in (100, 2):          # both lists broadcast / the alarm list over the limit
+        combined = rules.flag_members_many(txns, checks, cols, max_rows=limit)
+        assert sorted(combined.collect()) == sorted(separate.select(*combined.columns).collect())

@@ -245,8 +245,12 @@ def city_change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.union_alerts(flag_alarmed(spark, sf_dir), flag_lost_card(spark, sf_dir),
-                              excessive_activity(spark, sf_dir), city_change_alerts(spark, sf_dir))
+    """All four rules; both membership lists in one pass over the feed."""
+    members = rules.flag_members_many(_txns(spark, sf_dir), [
+        ("user_id", _alarmed(spark, sf_dir), "c_custkey", rules.RULE_ALARMED),
+        ("user_id", _lost(spark, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)], TXN_COLS)
+    return rules.union_alerts(members, excessive_activity(spark, sf_dir),
+                              city_change_alerts(spark, sf_dir))
 
 
 # -- joins, counts, distinct, row statistics -------------------------------

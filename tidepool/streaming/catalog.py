@@ -129,10 +129,9 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     activity rule (stateful, emitted when its window closes), append mode."""
     ev = _stream(spark, sf_dir)
     txns = ev.select(*TXN_COLS, "evt")
-    alarmed = rules.flag_members(txns, "user_id", _alarmed(spark, sf_dir), "c_custkey",
-                                 rules.RULE_ALARMED, TXN_COLS)
-    lost = rules.flag_members(txns, "user_id", _lost(spark, sf_dir), "s_suppkey",
-                              rules.RULE_LOST_CARD, TXN_COLS)
+    members = rules.flag_members_many(txns, [
+        ("user_id", _alarmed(spark, sf_dir), "c_custkey", rules.RULE_ALARMED),
+        ("user_id", _lost(spark, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)], TXN_COLS)
     per_window = windows.tumbling(txns, "evt", ACTIVITY_WINDOW, ["user_id"], {
         "n": F.count(F.lit(1)),
         "_first": windows.first_by([c for c in TXN_COLS if c != "user_id"], EVENT_ORDER)})
@@ -140,7 +139,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(rules.RULE_EXCESSIVE).alias("rule"),
         *[(F.col(c) if c == "user_id" else F.col(f"_first.{c}")).alias(c) for c in TXN_COLS],
         instant_to_ntz("window_start").alias("window_start"), F.col("n").cast("bigint").alias("n"))
-    out = run_to_parquet(rules.union_alerts(alarmed, lost, busy), "stream_alerts", "append")
+    out = run_to_parquet(rules.union_alerts(members, busy), "stream_alerts", "append")
     return read_back(spark, out)
 
 
