@@ -5,10 +5,11 @@ A running total or a previous-row comparison per key is naturally a window
 months) or one hot key that puts a third of the data on one task.  Here hot
 keys are split along the order axis into ranges ("chunks"):
 
-1. one aggregate pass gives the row count, the min/max and approximate
-   quantiles of the first order column, and the approximate most frequent
-   keys (``approx_top_k`` over a 64-bit hash of the key, at most ``2P``
-   items, ``P`` = shuffle partitions); all results are tiny;
+1. one aggregate pass gives the exact row count and min/max of the first
+   order column, and, from a 1% Bernoulli sample, its approximate quantiles
+   and the most frequent keys (``approx_top_k`` over a 64-bit hash of the
+   key, at most ``2P`` items, ``P`` = shuffle partitions); all results are
+   tiny, and the sample only steers balance, never results;
 2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows, so at
    most ``2P`` keys qualify; when none does, the plain window is used;
 3. the order axis is cut into ``n = 2P`` fine ranges: quantile buckets (a
@@ -97,34 +98,59 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+SAMPLE_FRACTION = 0.01   # rows fed to the quantile and top-k sketches
+MIN_SAMPLE = 20_000      # below this many sampled rows, sketch every row
+
+
+def _stats(df: DataFrame, keys: Sequence[str], proxy: Column, fracs: list, k: int,
+           frac: float, accuracy: int):
+    """One aggregate pass.  Count and range are exact; quantiles and top keys
+    come from a Bernoulli sample (they only steer balance, never results)."""
+    cols = [proxy.alias("_x"), (F.rand(17) < F.lit(frac) if frac < 1 else F.lit(True)).alias("_pick")]
+    if keys:
+        cols.append(key_hash(keys).alias("_h"))
+    picked = df.select(*cols)   # the random pick lives in a projection, not in the aggregate
+    x, sampled = F.col("_x"), F.when(F.col("_pick"), F.col("_x"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+            F.count(sampled).alias("m")]
+    if fracs:
+        aggs.append(F.percentile_approx(sampled, fracs, accuracy).alias("b"))
+    if keys:
+        aggs.append(F.call_function("approx_top_k", F.when(F.col("_pick"), F.col("_h")), F.lit(k),
+                                    F.lit(max(10_000, 4 * k))).alias("top"))
+    return picked.agg(*aggs).first()
+
+
 def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
                 max_summary_rows: int = BROADCAST_MAX_ROWS, max_coarse: int = MAX_COARSE) -> ChunkPlan:
-    """One aggregate pass: row count, range and quantiles of ``order_col``, and
-    the heavy keys with their strides."""
+    """Row count, range and quantiles of ``order_col``, and the heavy keys
+    with their strides (one pass over a sample; a second, exact pass only
+    when the input is too small for the sample to be meaningful)."""
     k = max_heavy_keys(df, keys)
     n = max(1, n_chunks or default_chunks(df))
     coarse = max(1, min(n, max_coarse))
     sub = math.ceil(n / coarse)
     proxy = order_number(order_col, _dtype(df, order_col)).cast("double")
+    if n == 1:
+        return ChunkPlan((), 0.0, 0.0, 1, int(df.count()), (), bool(keys))
     fracs = [i / coarse for i in range(1, coarse)]
-    aggs = [F.count(F.lit(1)).alias("n"), F.min(proxy).alias("lo"), F.max(proxy).alias("hi")]
-    if n > 1:
-        if fracs:
-            aggs.append(F.percentile_approx(proxy, fracs, max(10_000, 50 * coarse)).alias("b"))
-        if keys:
-            aggs.append(F.call_function("approx_top_k", key_hash(keys), F.lit(k),
-                                        F.lit(max(10_000, 4 * k))).alias("top"))
-    row = df.agg(*aggs).first()
+    accuracy = max(10_000, 50 * coarse)
+    row = _stats(df, keys, proxy, fracs, k, SAMPLE_FRACTION, accuracy)
+    frac = SAMPLE_FRACTION
+    if (row["m"] or 0) < MIN_SAMPLE and (row["n"] or 0) > (row["m"] or 0):
+        row, frac = _stats(df, keys, proxy, fracs, k, 1.0, accuracy), 1.0
     total = int(row["n"] or 0)
     lo, hi = row["lo"], row["hi"]
-    if n == 1 or lo is None:
+    if lo is None:
         return ChunkPlan((), 0.0, 0.0, 1, total, (), bool(keys))
     bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None})) if fracs else ()
     n_fine = (len(bounds) + 1) * sub
     per_chunk = max(1.0, total / n_fine)          # rows one chunk should hold
     if keys:
+        scale = total / max(row["m"] or 1, 1)     # sampled count -> estimated rows
         threshold = total / (2 * _partitions(df))
-        counts = [(t["item"], t["count"]) for t in row["top"] if t["count"] > threshold]
+        counts = [(t["item"], t["count"] * scale) for t in (row["top"] or [])
+                  if t["item"] is not None and t["count"] * scale > threshold]
     else:
         counts = [(0, total)]
     strides = [(h, max(1, n_fine // max(1, math.ceil(c / per_chunk)))) for h, c in counts]
@@ -296,5 +322,5 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
                          n_changes.cast("bigint").alias(count_name))
 
 
-__all__ = ["ChunkPlan", "plan_chunks", "fine_range", "with_chunks", "running_totals", "change_counts",
+__all__ = ["SAMPLE_FRACTION", "MIN_SAMPLE", "ChunkPlan", "plan_chunks", "fine_range", "with_chunks", "running_totals", "change_counts",
            "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "MAX_COARSE"]

@@ -63,12 +63,14 @@ def session_split(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
 
     Heavy keys (see :mod:`tidepool.operators.ordered`) get time chunks;
     sessions are built per ``(key, chunk)`` in parallel.  Only a chunk's
-    first and last session can continue across a chunk edge, so just those
-    (at most two per chunk) are merged again, by a second session window
-    whose per-row gap is the sub-session's own length: touching or
-    overlapping sub-sessions join, exactly as their rows would have.  The
-    aggregates must be combinable: ``sums`` (name -> expression) and a row
-    count.  Light keys take the plain path inside the same plan.
+    first and last session can continue across a chunk edge, so a second
+    session window over the heavy keys' pieces (per-row gap = the piece's
+    own length, so touching or overlapping pieces join exactly as their rows
+    would have) groups those edge pieces together while every other piece
+    stays in its own chunk group and passes through.  Light keys take the
+    plain session plan in a separate branch, so their rows are shuffled once
+    and never re-merged.  The aggregates must be combinable: ``sums``
+    (name -> expression) and a row count.
     """
     from .ordered import CHUNK, HEAVY, with_chunks
 
@@ -83,25 +85,35 @@ def session_split(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
     if count_name:
         first_aggs.append(F.count(F.lit(1)).alias(count_name))
     names = [*sums, *([count_name] if count_name else [])]
-    pieces = tagged.groupBy(*keys, CHUNK, HEAVY, F.session_window(time_col, gap).alias("_w")) \
-        .agg(*first_aggs) \
-        .select(*keys, CHUNK, HEAVY, F.col("_w.start").alias("window_start"),
+
+    # light keys: the plain session plan (each row shuffled once, no re-merge)
+    light = tagged.where(~F.col(HEAVY)) \
+        .groupBy(*keys, F.session_window(time_col, gap).alias("_w")).agg(*first_aggs) \
+        .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                *names)
+
+    # heavy keys: sessions per (key, chunk) in parallel, then one more session
+    # pass over their pieces grouped by (key, grp): interior pieces keep their
+    # chunk as grp (they never touch each other, so they pass through and stay
+    # spread over the chunks); edge pieces (a chunk's first and last, at most
+    # two per chunk) share grp -1 and merge across chunk edges
+    pieces = tagged.where(F.col(HEAVY)) \
+        .groupBy(*keys, CHUNK, F.session_window(time_col, gap).alias("_w")).agg(*first_aggs) \
+        .select(*keys, CHUNK, F.col("_w.start").alias("window_start"),
                 F.col("_w.end").alias("window_end"), *names)
     edge = Window.partitionBy(*keys, CHUNK)
-    pieces = pieces.withColumn("_edge", F.col(HEAVY) & (
-        (F.col("window_start") == F.min("window_start").over(edge))
-        | (F.col("window_start") == F.max("window_start").over(edge))))
-    inner = pieces.where(~F.col("_edge")).select(*keys, "window_start", "window_end", *names)
-
+    is_edge = (F.col("window_start") == F.min("window_start").over(edge)) \
+        | (F.col("window_start") == F.max("window_start").over(edge))
+    grp = F.when(is_edge, F.lit(-1)).otherwise(F.col(CHUNK))
     dtype = df.schema[time_col].dataType.simpleString()
     span = F.concat(_micros_between("window_start", "window_end", dtype).cast("string"),
                     F.lit(" microseconds"))
-    merged = pieces.where(F.col("_edge")) \
-        .groupBy(*keys, F.session_window("window_start", span).alias("_w")) \
+    heavy = pieces.withColumn("_grp", grp) \
+        .groupBy(*keys, "_grp", F.session_window("window_start", span).alias("_w")) \
         .agg(*[F.sum(n).alias(n) for n in names]) \
         .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                 *names)
-    return inner.unionByName(merged)
+    return light.unionByName(heavy)
 
 
 def _micros_between(start: str, end: str, dtype: str) -> Column:
