@@ -1,0 +1,115 @@
+"""Quality rules and language identification: exact figures by brute force, models by held-out accuracy."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidepool.llm import langid, quality
+from tidepool.llm.common import read
+from tests.conftest import SF01
+from tests.llm.conftest import edge_rows
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_repeats(words):
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    seen = Counter(windows)
+    return len({i + j for i, w in enumerate(windows) if seen[w] > 1 for j in range(8)})
+
+
+def brute_figures(text):
+    text = text or ""
+    words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
+            brute_repeats(words))
+
+
+@given(st.lists(st.sampled_from("ab"), max_size=120))
+@settings(max_examples=200, deadline=None)
+def test_repeated_windows(words):
+    ids = np.array([ord(w) for w in words], dtype=np.int64)
+    assert quality.repeated_words(ids) == brute_repeats(words)
+
+
+def test_quality_figures_edges(spark, edge, empty):
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(30, 70)] + [(31, None, "x"), (None, 1, "x"), (999, 0, "x"), (32, 7, "x")],
+                                   "doc_id long, quality int, label string")
+    model = quality.train_quality(edge, labels)
+    got = quality.judge_quality(edge, model).collect()
+    want = Counter((r[0], *brute_figures(r[1])) for r in edge_rows())
+    assert Counter(tuple(r)[:6] for r in got) == want
+    for r in got:
+        assert r["base_failed"] == (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])
+        assert 0.0 <= r["score"] <= 1.0 and r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
+    nothing = quality.train_quality(edge, labels.limit(0))
+    assert all(r["kept"] == (not r["base_failed"]) for r in quality.judge_quality(edge, nothing).collect())
+    assert quality.judge_quality(empty, quality.train_quality(empty, labels)).count() == 0
+
+
+def test_quality_on_unseen_labels(spark):
+    docs, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels")
+    learn = labels.where(F.col("doc_id") % 2 == 0)
+    model = quality.train_quality(docs, learn)
+    again = quality.train_quality(docs, learn)
+    assert np.array_equal(model.weights, again.weights) and model.slope == again.slope
+    judged = quality.judge_quality(docs, model).join(labels.where(F.col("doc_id") % 2 == 1), "doc_id").toPandas()
+    good, bad = judged[judged.quality == 1], judged[judged.quality == 0]
+    assert good.kept.mean() > 0.97 and bad.kept.mean() < 0.1
+    # calibrated: the mean probability is near the share of good rows
+    assert abs(judged.score.mean() - judged.quality.mean()) < 0.08
+
+
+def test_languages_edges(edge, empty):
+    model = langid.train_languages(edge)
+    got = langid.identify(edge, model).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in edge_rows())
+    texts = {r[0]: r[1] for r in edge_rows()}
+    for r in got:
+        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        text = texts[r["doc_id"]]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        else:
+            assert r["lang_pred"] in ("en", "fr", "de") and 0.0 < r["score"] <= 1.0
+    none = langid.train_languages(empty)
+    assert {(r["lang_pred"], r["score"]) for r in langid.identify(edge, none).collect()} == {("und", 0.0)}
+    assert langid.identify(empty, model).count() == 0
+
+
+def test_languages_held_out_accuracy_and_sparsity(spark):
+    docs = read(spark, SF01, "documents")
+    model = langid.train_languages(docs, per_class=100)
+    assert model.languages == ["de", "en", "es", "fr"]
+    assert (model.weights == 0).mean() > 0.5
+    out = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    held = out[out.held_out & out.lang.notna()]
+    assert len(held) > 150 and (held.lang_pred == held.lang).mean() > 0.97
+    # only the text decides: other ids, languages and sources give the same predictions
+    other = docs.select((F.col("doc_id") + 5).alias("doc_id"), "text", F.lit("zz").alias("lang"), F.lit("q").alias("source"))
+    moved = langid.identify(other, model).select((F.col("doc_id") - 5).alias("doc_id"), "lang_pred", "score").toPandas()
+    same = out[["doc_id", "lang_pred", "score"]].merge(moved, on=["doc_id", "lang_pred", "score"])
+    assert len(same) == len(out)
+
+
+def test_language_sample_is_bounded_and_ignores_held_out_rows(spark):
+    docs = read(spark, SF01, "documents")
+    spoiled = docs.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))
+    model = langid.train_languages(spoiled, per_class=20)
+    assert "zz" not in model.languages
+    bounds = langid._sample_bounds(docs.select("lang", F.xxhash64("text", "doc_id").alias("draw")), 20)
+    picked = docs.select("lang", F.xxhash64("text", "doc_id").alias("draw")).join(bounds, "lang").where("draw <= bound")
+    assert {r["count"] for r in picked.groupBy("lang").count().collect()} == {20}
+
+
+def test_keep_known_drops_texts_without_letters(edge):
+    model = langid.train_languages(edge)
+    kept = langid.keep_known(edge, model, least=0.0001)
+    assert kept.columns == edge.columns
+    want = [r for r in edge_rows() if r[1] and any(c.isalpha() for c in r[1])]
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in want)
