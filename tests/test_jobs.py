@@ -2,8 +2,11 @@
 
 import os
 
+import pytest
+
 from tests import fixtures as X
 from tidepool import jobs
+from tidepool.functions.parse import TXN_LINE
 
 
 def _write(path, lines, mtime=None):
@@ -48,7 +51,31 @@ def test_cab_job(spark, scratch):
         ("Airport", 3.0), ("Airport", 4.0), ("Station", 2.0)]
 
 
-def test_bank_job_alert_lines(spark, scratch):
+@pytest.fixture(params=["UTC", "America/New_York", "Asia/Kolkata"])
+def zone(spark, request):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_bank_job_city_changes_in_any_zone(spark, scratch, zone, files):
+    def line(i, city):
+        cols = X.TXN_LINES[0].split(",")
+        return ",".join({"txn_id": f"t{i}", "txn_ts": f"2021-03-05 10:00:0{i}", "city": city, "customer_id": "id_move"}.get(n, v)
+                        for (n, _), v in zip(TXN_LINE, cols))
+    _write(f"{scratch}/txns/a.txt", [line(1, "Pune"), line(2, "Goa")], 1_700_000_000)
+    _write(f"{scratch}/txns/b.txt", [line(3, "Pune"), line(4, "Pune")], 1_700_000_010)
+    alarmed = _write(f"{scratch}/alarmed.txt", X.ALARMED_LINES)
+    lost = _write(f"{scratch}/lost.txt", X.LOST_CARD_LINES)
+    jobs.bank_job(spark, f"{scratch}/txns", alarmed, lost, f"{scratch}/out", window="10 minutes", files_per_trigger=files)
+    moved = [g for g in _lines(spark, f"{scratch}/out") if "id_move" in g and ("10:00:03" in g or "10:00:04" in g)]
+    assert len(moved) >= 2
+
+
+def test_bank_job_alert_lines(spark, scratch, zone):
     half = len(X.TXN_LINES) // 2
     _write(f"{scratch}/txns/a.txt", X.TXN_LINES[:half], 1_700_000_000)
     _write(f"{scratch}/txns/b.txt", X.TXN_LINES[half:], 1_700_000_010)
@@ -62,7 +89,7 @@ def test_bank_job_alert_lines(spark, scratch):
     assert sum("LOST card" in g for g in got) == len(X.LOST_TXN_IDS)
 
 
-def test_stock_job_minute_report(spark, scratch):
+def test_stock_job_minute_report(spark, scratch, zone):
     ticks = []
     for line in X.MINUTE_REPORT:
         span, mx, mn, _, vmx, vmn, _ = [s.strip() for s in line.split(",")]

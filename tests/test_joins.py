@@ -19,21 +19,29 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_semi_join_broadcasts_only_small_lists(spark):
+def test_semi_join_takes_each_row_once(spark):
     txns = spark.createDataFrame([(i, f"c{i % 7}") for i in range(100)], "id long, cust string")
     members = spark.createDataFrame([("c1",), ("c3",), ("c3",)], "cust_id string")
-    small = semi_join(txns, "cust", members, "cust_id", max_rows=10)
-    big = semi_join(txns, "cust", members, "cust_id", max_rows=2)
-    assert "BroadcastExchange" in _plan(small)
-    # over the limit no hint is added; Spark's own statistics (or AQE at run
-    # time) may still choose a broadcast for a side this tiny
-    ids = lambda d: sorted(r["id"] for r in d.collect())
-    assert ids(small) == ids(big) == [i for i in range(100) if i % 7 in (1, 3)]
+    hits = semi_join(txns, "cust", members, "cust_id")
+    assert "strategy=broadcast" not in _plan(hits)  # no hint: statistics decide
+    assert sorted(r["id"] for r in hits.collect()) == [i for i in range(100) if i % 7 in (1, 3)]
 
 
-def test_fits_counts_rows(spark):
-    df = spark.range(50)
-    assert fits(df, 50) and not fits(df, 49)
+def test_fits_counts_bytes(spark):
+    short, long = spark.createDataFrame([("k",)] * 50, "k string"), spark.createDataFrame([("k" * 1000,)] * 50, "k string")
+    assert fits(short, 50 * 33) and not fits(short, 50 * 33 - 1) and not fits(long, 50 * 1000)
+
+
+def test_bounded_join_needs_all_bounds_and_keeps_one_key(spark):
+    import pytest
+    from tidepool.operators.joins import equi_join
+    a = spark.createDataFrame([(1, 10)], "k long, x long").withColumn("t1", F.timestamp_seconds("x"))
+    b = spark.createDataFrame([(1, 20)], "k long, y long").withColumn("t2", F.timestamp_seconds("y"))
+    with pytest.raises(ValueError):
+        equi_join(a, b, "k", left_time="t1", right_time="t2", watermark="5 seconds")
+    full = equi_join(a, b, "k", left_time="t1", right_time="t2", watermark="5 seconds", within="30 seconds")
+    assert full.columns == ["k", "x", "t1", "y", "t2"] and full.count() == 1
+    assert equi_join(a, b, "k").columns == ["k", "x", "t1", "y", "t2"]
 
 
 @settings(max_examples=4, deadline=None)
@@ -114,6 +122,10 @@ def test_flag_members_many_matches_separate_rules(spark):
         rules.flag_members(txns, "cust", alarmed, "c", rules.RULE_ALARMED, cols),
         rules.flag_members(txns, "card", lost, "k", rules.RULE_LOST_CARD, cols))
     checks = [("cust", alarmed, "c", rules.RULE_ALARMED), ("card", lost, "k", rules.RULE_LOST_CARD)]
-    for limit in (100, 2):          # both lists broadcast / the alarm list over the limit
-        combined = rules.flag_members_many(txns, checks, cols, max_rows=limit)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    for limit in (before, "-1"):    # lists broadcast / shuffled
+        spark.conf.set(key, limit)
+        combined = rules.flag_members_many(txns, checks, cols)
         assert sorted(combined.collect()) == sorted(separate.select(*combined.columns).collect())
+    spark.conf.set(key, before)

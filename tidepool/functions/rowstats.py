@@ -37,9 +37,6 @@ def row_summary(id_col: str, cols: Sequence[str], digits: int = 2) -> list[Colum
             F.round(row_sample_stdev(cols), digits).alias("stdev")]
 
 
-
-
-
 def row_summary_udf(cols: Sequence[str]):
     """The same summary as a vectorised (Arrow) pandas UDF returning a struct,
     for users who bring their own row function; prefer :func:`row_summary`,
@@ -59,4 +56,6 @@ def row_summary_udf(cols: Sequence[str]):
                              "stdev": (ss / (n - 1)) ** 0.5})
 
     return summary(F.struct(*[F.col(c) for c in cols]))
+
+
 __all__ = ["row_total", "row_mean", "row_sample_stdev", "row_summary", "row_summary_udf"]

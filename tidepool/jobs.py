@@ -31,10 +31,14 @@ from .functions.parse import (ALARMED_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE,
 from .operators import aggregates, rolling, rules, split, text, windows
 from .sinks.files import write_csv, write_text
 from .streaming.operators import stream_city_changes, stream_rolling
-from .streaming.runners import start_with_partitions, state_partitions, use_rocksdb_state
+from .streaming.runners import use_rocksdb_state
 from .streaming.stateful import PreviousWindowDelta, WindowReport
 
 
+# Files that one micro-batch of a streaming job takes.
+FILES_PER_TRIGGER = 1000
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with a ``seq`` that follows file and line order of this read."""
     return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
@@ -47,13 +51,14 @@ def word_count_job(spark: SparkSession, input_path: str, output: str | None = No
     return counts
 
 
-def word_count_stream_job(spark: SparkSession, input_dir: str, output: str):
+def word_count_stream_job(spark: SparkSession, input_dir: str, output: str,
+                          files_per_trigger: int = FILES_PER_TRIGGER):
     """Running count per line starting with "N", one updated ``(line,count)``
     per input line (keyed state).  Files are taken in modification-time
     order; inside a file equal lines are interchangeable, so no line index is
     needed."""
     S.configure(spark)
-    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(input_dir) \
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(input_dir) \
         .where(F.startswith(F.col("value"), F.lit("N"))) \
         .select(F.col("value").alias("word"),
                 F.col("_metadata.file_modification_time").alias("seq"),
@@ -62,7 +67,7 @@ def word_count_stream_job(spark: SparkSession, input_dir: str, output: str):
     writer = (counts.select(F.format_string("(%s,%d)", "word", "running_count").alias("value"))
               .writeStream.format("text").outputMode("append")
               .option("checkpointLocation", f"{output}/_checkpoint").trigger(availableNow=True))
-    query = start_with_partitions(spark, writer, output, state_partitions(spark))
+    query = writer.start(output)
     query.awaitTermination()
     return query
 
@@ -102,11 +107,12 @@ def cab_job(spark: SparkSession, input_path: str, output: str | None = None) ->
 
 
 def bank_job(spark: SparkSession, input_dir: str, alarmed_path: str, lost_path: str, output: str,
-             window: str = "10 seconds", threshold: int = 10, lateness: str = "0 seconds"):
+             window: str = "10 seconds", threshold: int = 10, lateness: str = "0 seconds",
+             files_per_trigger: int = FILES_PER_TRIGGER):
     """Four fraud rules over a transaction feed, one alert stream in hourly buckets."""
     S.configure(spark)
     use_rocksdb_state(spark)
-    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(input_dir)
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(input_dir)
     txns = parse_lines(raw, TXN_LINE, keep=["value"]) \
         .withColumn("evt", F.to_timestamp("txn_ts", "yyyy-MM-dd HH:mm:ss")) \
         .withWatermark("evt", lateness)
@@ -129,25 +135,25 @@ def bank_job(spark: SparkSession, input_dir: str, alarmed_path: str, lost_path:
     writer = (alerts.withColumn("bucket", F.date_format(F.current_timestamp(), "yyyy-MM-dd--HH"))
               .writeStream.format("text").partitionBy("bucket").outputMode("append")
               .option("checkpointLocation", f"{output}/_checkpoint").trigger(availableNow=True))
-    query = start_with_partitions(spark, writer, output, state_partitions(spark))
+    query = writer.start(output)
     query.awaitTermination()
     return query
 
 
-_TICK_ORDER = ["ts", "line_no"]
+_TICK_ORDER = ["ts", "line_key"]
 _FMT = "dd/MM/yyyy:HH:mm:ss"
 
 
 def stock_job(spark: SparkSession, input_dir: str, output: str, threshold: float = 5.0,
-              symbol: str = "XYZ"):
+              symbol: str = "XYZ", files_per_trigger: int = FILES_PER_TRIGGER):
     """Per-minute report and 5-minute large-change alerts over a tick feed
     (two sinks from one source, each with its own checkpoint)."""
     S.configure(spark)
     use_rocksdb_state(spark)
-    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(input_dir)
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(input_dir)
     ticks = parse_lines(raw, TICK_LINE, keep=["value"]) \
         .withColumn("ts", F.to_timestamp(F.concat_ws(" ", "date", "time"), "dd/MM/yyyy HH:mm:ss")) \
-        .withColumn("line_no", F.xxhash64("value")).withColumn("symbol", F.lit(symbol)) \
+        .withColumn("line_key", F.xxhash64("value")).withColumn("symbol", F.lit(symbol)) \
         .withWatermark("ts", "0 seconds")
     stats = windows.tumbling(ticks, "ts", "1 minute", ["symbol"], {
         "max_price": F.greatest(F.max("price"), F.lit(0.0)), "min_price": F.min("price"),
@@ -184,7 +190,7 @@ def stock_job(spark: SparkSession, input_dir: str, output: str, threshold: float
                   .drop("window_start").writeStream.format("text").partitionBy("bucket")
                   .outputMode("append").option("checkpointLocation", f"{output}/_checkpoint_{name}")
                   .trigger(availableNow=True))
-        queries.append(start_with_partitions(spark, writer, f"{output}/{name}", state_partitions(spark)))
+        queries.append(writer.start(f"{output}/{name}"))
     for q in queries:
         q.awaitTermination()
     return queries
@@ -200,6 +206,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--lost")
     p.add_argument("--threshold", type=float, default=None)
     p.add_argument("--window", default="10 seconds")
+    p.add_argument("--files-per-trigger", type=int, default=FILES_PER_TRIGGER)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidepool-{a.job}").getOrCreate()
     if a.job == "word-count":
@@ -207,7 +214,7 @@ def main(argv: list[str] | None = None) -> None:
         if not a.output:
             df.show(truncate=False)
     elif a.job == "word-count-stream":
-        word_count_stream_job(spark, a.input, a.output)
+        word_count_stream_job(spark, a.input, a.output, a.files_per_trigger)
     elif a.job == "avg-profit":
         avg_profit_job(spark, a.input, a.output)
     elif a.job == "split":
@@ -216,9 +223,11 @@ def main(argv: list[str] | None = None) -> None:
         cab_job(spark, a.input, a.output)
     elif a.job == "bank":
         bank_job(spark, a.input, a.alarmed, a.lost, a.output, a.window,
-                 int(a.threshold) if a.threshold is not None else 10)
+                 int(a.threshold) if a.threshold is not None else 10,
+                 files_per_trigger=a.files_per_trigger)
     else:
-        stock_job(spark, a.input, a.output, a.threshold if a.threshold is not None else 5.0)
+        stock_job(spark, a.input, a.output, a.threshold if a.threshold is not None else 5.0,
+                  files_per_trigger=a.files_per_trigger)
 
 
 if __name__ == "__main__":

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check, stream/table equi-joins."""
+"""Join helpers: broadcasts left to statistics or behind a byte check, stream/table equi-joins."""
 
 from __future__ import annotations
 
@@ -7,25 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor.  A membership list of this
-# many short keys is a few tens of MB.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes we are willing to ship to every executor.
+BROADCAST_MAX_BYTES = 64 << 20
+_ROW_OVERHEAD = 32
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df``'s values and row overhead add up to at most ``max_bytes``.
 
-    A plain ``count()``: one pruned scan (filters pushed down) that sends one
-    partial count per task, never rows.
+    One pruned scan that sends one partial sum per task, never rows.
     """
-    return df.count() <= max_rows
+    size = F.lit(_ROW_OVERHEAD)
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return (df.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= max_bytes
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint when the side is proven small; otherwise unchanged, so the
     join falls back to a shuffle join (which AQE may still turn into a
     broadcast at runtime once it has measured the shuffled size)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -36,18 +38,13 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return cond
 
 
-def semi_join(df: DataFrame, key_col: str, members: DataFrame, member_key: str,
-              check_size: bool = True, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def semi_join(df: DataFrame, key_col: str, members: DataFrame, member_key: str) -> DataFrame:
     """Rows of ``df`` whose ``key_col`` appears in ``members``; each row at most once.
 
-    The member list is projected to its key.  When its row count (an upper
-    bound on its distinct keys) is within ``max_rows`` the de-duplicated keys
-    are broadcast; otherwise it is a shuffle semi-join, which needs no
-    de-duplication (and AQE may still broadcast it once measured).
+    No hint: Spark broadcasts the list's keys if its statistics (or AQE's
+    measured size) are below the session's threshold, and shuffles otherwise.
     """
     keys = members.select(F.col(member_key).alias("_member"))
-    if check_size and fits(keys, max_rows):
-        keys = F.broadcast(keys.dropDuplicates())
     return df.join(keys, F.col(key_col) == F.col("_member"), "left_semi")
 
 
@@ -56,24 +53,28 @@ def equi_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: s
               watermark: str | None = None, within: str | None = None) -> DataFrame:
     """Inner equi-join keeping every match (tables or two streams).
 
-    For two unbounded streams pass ``watermark`` and ``within`` so Spark can
-    expire join state: rows match only when their times are at most
-    ``within`` apart.  Without them the join state grows without bound,
-    exactly as the unbounded regular join it reproduces.
+    For two unbounded streams pass ``left_time``, ``right_time``, ``watermark``
+    and ``within``, all four, so Spark can expire join state: rows match only
+    when their times are at most ``within`` apart.  Without them the join
+    state grows without bound, exactly as the unbounded regular join it
+    reproduces.  The key columns appear once, the left side's first; other
+    column names must differ between the sides.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if watermark and left_time and right_time:
-        left = left.withWatermark(left_time, watermark)
-        right = right.withWatermark(right_time, watermark)
-    if within and left_time and right_time:
-        l, r = left.alias("l"), right.alias("r")
-        cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on]
-        cond.append(F.col(f"r.{right_time}").between(
-            F.col(f"l.{left_time}") - F.expr(f"interval {within}"),
-            F.col(f"l.{left_time}") + F.expr(f"interval {within}")))
-        return l.join(r, cond, how)
-    return left.join(right, on, how)
-
-
-__all__ = ["BROADCAST_MAX_ROWS", "fits", "sized_broadcast", "null_safe_on",
+    bounds = [left_time, right_time, watermark, within]
+    if not any(bounds):
+        return left.join(right, on, how)
+    if not all(bounds):
+        raise ValueError("a time-bounded join needs left_time, right_time, watermark and within")
+    l = left.withWatermark(left_time, watermark).alias("l")
+    r = right.withWatermark(right_time, watermark).alias("r")
+    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on]
+    cond.append(F.col(f"r.{right_time}").between(
+        F.col(f"l.{left_time}") - F.expr(f"interval {within}"),
+        F.col(f"l.{left_time}") + F.expr(f"interval {within}")))
+    return l.join(r, cond, how).select(*[F.col(f"l.{c}") for c in left.columns],
+                                       *[F.col(f"r.{c}") for c in right.columns if c not in on])
+
+
+__all__ = ["BROADCAST_MAX_BYTES", "fits", "sized_broadcast", "null_safe_on",
            "semi_join", "equi_join"]

@@ -12,11 +12,10 @@ keys are split along the order axis into ranges ("chunks"):
    tiny, and the sample only steers balance, never results;
 2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows, so at
    most ``2P`` keys qualify; when none does, the plain window is used;
-3. the order axis is cut into ``n = 2P`` fine ranges: quantile buckets (a
-   CASE tree of at most 1024 leaves) each split evenly into sub-ranges; a
-   heavy key with share ``s`` of the rows takes about ``n*s`` consecutive
-   fine ranges per chunk-group via its *stride* (a literal map of at most
-   ``2P`` entries), i.e. about ``total/n`` rows per chunk: one shuffle
+3. the order axis is cut into ``n = 2P`` fine ranges: at most 1024 quantile
+   buckets, each split evenly into sub-ranges; a heavy key with share ``s`` of
+   the rows takes about ``n*s`` consecutive fine ranges per chunk-group via its
+   *stride* (a broadcast table of at most ``2P`` rows), i.e. about ``total/n`` rows per chunk: one shuffle
    partition's worth, however hot the key;
 4. light keys stay in chunk 0; rows are windowed per ``(key, chunk)``: one
    shuffle;
@@ -45,11 +44,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import order_number
-from .joins import BROADCAST_MAX_ROWS
 
 CHUNK = "_chunk"
 HEAVY = "_heavy"
-MAX_COARSE = 1024  # quantile buckets: a depth-10 CASE tree
+MAX_COARSE = 1024  # quantile buckets
+CASE_LEAVES = 32   # up to so many are a CASE tree inside generated code
+MAX_CARRY_ROWS = 200_000  # rows of the broadcast carry table
 
 
 @dataclass(frozen=True)
@@ -122,10 +122,12 @@ def _stats(df: DataFrame, keys: Sequence[str], proxy: Column, fracs: list, k: in
 
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
-                max_summary_rows: int = BROADCAST_MAX_ROWS, max_coarse: int = MAX_COARSE) -> ChunkPlan:
+                max_summary_rows: int = MAX_CARRY_ROWS, max_coarse: int = MAX_COARSE) -> ChunkPlan:
     """Row count, range and quantiles of ``order_col``, and the heavy keys
     with their strides (one pass over a sample; a second, exact pass only
     when the input is too small for the sample to be meaningful)."""
+    if _dtype(df, order_col) in ("string", "binary", "boolean"):
+        raise TypeError(f"the first order column {order_col!r} must be a number, date or timestamp")
     k = max_heavy_keys(df, keys)
     n = max(1, n_chunks or default_chunks(df))
     coarse = max(1, min(n, max_coarse))
@@ -163,9 +165,12 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: in
 
 
 def fine_range(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
-    """Fine range id in ``[0, n_fine)``: quantile bucket by binary search (a
-    CASE tree, codegen'd), then an even split of that bucket.  Nulls sort
-    first, so they go to range 0."""
+    """Fine range id in ``[0, n_fine)``: quantile bucket by binary search, then
+    an even split of that bucket.  Nulls sort first, so they go to range 0.
+
+    Few buckets are a CASE tree inside generated code; more are searched by
+    halving steps over one literal array, so the plan's code does not grow
+    with the number of partitions."""
     x = order_number(order_col, _dtype(df, order_col)).cast("double")
     b = plan.bounds
 
@@ -175,7 +180,13 @@ def fine_range(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
         mid = (lo + hi) // 2
         return F.when(x < F.lit(b[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    coarse = build(0, len(b))
+    if len(b) < CASE_LEAVES:
+        coarse = build(0, len(b))
+    else:
+        bounds = F.array(*[F.lit(float(e)) for e in b])  # folded to one literal
+        steps = [1 << i for i in reversed(range(len(b).bit_length()))]
+        coarse = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
+            F.get(bounds, at + step - 1) <= x, at + step).otherwise(at))
     if plan.sub > 1:
         edges = F.array(*[F.lit(float(e)) for e in (plan.lo, *b, plan.hi)])
         left = F.element_at(edges, coarse + 1)
@@ -200,12 +211,15 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if not plan.splits:
         return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
     if keys:
-        # literal map of at most 2P entries: a hash lookup, no join
-        pairs = [F.lit(v) for h, st in plan.strides for v in (h, st)]
-        stride = F.try_element_at(F.create_map(*pairs), key_hash(keys))
+        # at most 2P heavy keys: a broadcast hash join, the same cost per row however many they are
+        hashes, strides = zip(*plan.strides)
+        heavy = df.sparkSession.range(1).select(F.explode(F.arrays_zip(
+            F.array(*map(F.lit, hashes)).alias("h"), F.array(*map(F.lit, strides)).alias("s"))).alias("x")) \
+            .select(F.col("x.h").alias("_heavy_hash"), F.col("x.s").alias("_stride"))
+        tagged = df.join(F.broadcast(heavy), key_hash(keys) == F.col("_heavy_hash"), "left").drop("_heavy_hash")
     else:
-        stride = F.lit(plan.strides[0][1])
-    tagged = df.withColumn("_stride", stride).withColumn(HEAVY, F.col("_stride").isNotNull())
+        tagged = df.withColumn("_stride", F.lit(plan.strides[0][1]))
+    tagged = tagged.withColumn(HEAVY, F.col("_stride").isNotNull())
     chunk = F.when(F.col(HEAVY), F.floor(fine_range(tagged, order[0], plan) / F.col("_stride"))) \
         .otherwise(F.lit(0)).cast("int")
     return tagged.withColumn(CHUNK, chunk).drop("_stride"), plan

@@ -3,7 +3,7 @@
 Batch form: every row carries the aggregate of its key up to and including
 itself, in an explicit order (tables have no arrival order).  The work is
 spread over order-range chunks (see :mod:`tidepool.operators.ordered`).
-Streaming form: :mod:`tidepool.streaming.rolling`.
+Streaming form: :func:`tidepool.streaming.operators.stream_rolling`.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 Four rules over one transaction feed:
 
-1. the customer is on an alarm list (membership, broadcast when small);
+1. the customer is on an alarm list (membership);
 2. the card is on a lost-card list (membership);
 3. more than ``threshold`` transactions of a customer in one window;
 4. the city changed at least twice within a customer's window.
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .changes import frequent_change
-from .joins import BROADCAST_MAX_ROWS, fits, semi_join
+from .joins import semi_join
 from .windows import first_by, tumbling
 
 # Rule names used in the alert stream.
@@ -48,36 +48,23 @@ def flag_members(txns: DataFrame, key_col: str, members: DataFrame, member_key:
 
 
 def flag_members_many(txns: DataFrame, checks: Sequence[tuple[str, DataFrame, str, str]],
-                      txn_cols: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      txn_cols: Sequence[str]) -> DataFrame:
     """Several membership rules over one feed, one alert per (transaction, rule).
 
-    ``checks``: ``(key_col, members, member_key, rule)``.  Lists proven small
-    are applied together in a single pass over the transactions (broadcast
-    left joins set one flag per rule; flagged rows are exploded into one row
-    per matched rule), so the feed is read once instead of once per rule.
-    A list that is not small keeps its own shuffle semi-join.
+    ``checks``: ``(key_col, members, member_key, rule)``.  All lists are
+    applied in a single pass over the transactions: a left join per list with
+    its distinct keys sets one flag per rule, flagged rows are exploded into
+    one row per matched rule.  No hints: a list that Spark's statistics or
+    AQE's measured size show to be small is broadcast, any other is shuffled.
     """
-    small, large = [], []
+    flagged, hits = txns, []
     for i, (key_col, members, member_key, rule) in enumerate(checks):
-        keys = members.select(F.col(member_key).alias(f"_m{i}"))
-        (small if fits(keys, max_rows) else large).append((i, key_col, keys, rule))
-    parts = [flag_members(txns, key_col, members, member_key, rule, txn_cols)
-             for key_col, members, member_key, rule in [checks[i] for i, *_ in large]]
-    if small:
-        flagged = txns
-        for i, key_col, keys, _ in small:
-            flagged = flagged.join(F.broadcast(keys.dropDuplicates()), F.col(key_col) == F.col(f"_m{i}"),
-                                   "left")
-        hit = [F.col(f"_m{i}").isNotNull() for i, *_ in small]
-        any_hit = hit[0]
-        for h in hit[1:]:
-            any_hit = any_hit | h
-        rules_col = F.explode(F.array(*[F.when(h, F.lit(rule)) for h, (_, _, _, rule) in zip(hit, small)]))
-        one = flagged.where(any_hit).select(*txn_cols, rules_col.alias("rule")).where(F.col("rule").isNotNull())
-        parts.append(one.select(F.col("rule"), *[F.col(c) for c in txn_cols],
-                                F.lit(None).cast("timestamp_ntz").alias("window_start"),
-                                F.lit(1).cast("bigint").alias("n")))
-    return union_alerts(*parts)
+        keys = members.select(F.col(member_key).alias(f"_m{i}")).dropDuplicates()
+        flagged = flagged.join(keys, F.col(key_col) == F.col(f"_m{i}"), "left")
+        hits.append(F.when(F.col(f"_m{i}").isNotNull(), F.lit(rule)))
+    return flagged.select(*txn_cols, F.explode(F.array_compact(F.array(*hits))).alias("rule")).select(
+        "rule", *txn_cols, F.lit(None).cast("timestamp_ntz").alias("window_start"),
+        F.lit(1).cast("bigint").alias("n"))
 
 
 def excessive_activity(txns: DataFrame, key: str, time_col: str, size: str,

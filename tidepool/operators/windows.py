@@ -43,6 +43,22 @@ def sliding(df: DataFrame, time_col: str, size: str, slide: str, keys: Sequence[
     return _flatten(grouped, "_w", keys, list(aggs))
 
 
+def sliding_sums(df: DataFrame, time_col: str, size: str, slide: str, keys: Sequence[str],
+                 sums: Mapping[str, Column], count_name: str | None = None) -> DataFrame:
+    """Hopping windows of sums and a row count, through panes.
+
+    Rows are first added up per slide-wide pane, each once; only the panes
+    (one row per key and slide) are then expanded into the windows they belong
+    to.  ``size`` must be a multiple of ``slide``.
+    """
+    pane_aggs = {n: F.sum(e) for n, e in sums.items()}
+    if count_name:
+        pane_aggs[count_name] = F.count(F.lit(1))
+    panes = tumbling(df, time_col, slide, keys, pane_aggs)
+    return sliding(panes.drop("window_end").withColumnRenamed("window_start", "_pane"), "_pane", size, slide, keys,
+                   {n: F.sum(n) for n in pane_aggs})
+
+
 def session(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
             aggs: Mapping[str, Column]) -> DataFrame:
     """Gap-based sessions per key; rows exactly ``gap`` apart share a session.
@@ -156,5 +172,5 @@ def window_reduce(df: DataFrame, time_col: str, size: str, keys: Sequence[str],
     return out
 
 
-__all__ = ["tumbling", "sliding", "session", "session_split", "global_window", "window_reduce",
+__all__ = ["tumbling", "sliding", "sliding_sums", "session", "session_split", "global_window", "window_reduce",
            "first_by", "last_by"]

@@ -221,7 +221,7 @@ _DISTINCT_WHERE = "SELECT DISTINCT user_id, event_type FROM events WHERE value <
 
 def _q(i: int) -> str:
     return (f"COALESCE(SUM(CASE WHEN quarter(o_orderdate) = {i} "
-            f"THEN CAST(floor(o_totalprice) AS BIGINT) END), 0)")
+            f"THEN CAST(round(o_totalprice * 100) AS BIGINT) END), 0)")
 
 
 def _d(q: str) -> str:
@@ -234,9 +234,9 @@ WITH q AS (
          CAST({_q(3)} AS BIGINT) AS q3, CAST({_q(4)} AS BIGINT) AS q4
   FROM orders GROUP BY 1),
 m AS (SELECT *, q1 + q2 + q3 + q4 AS total, CAST(q1 + q2 + q3 + q4 AS DOUBLE) / 4.0 AS m FROM q)
-SELECT seller_id, total AS total_sales, round(m, 2) AS quarter_avg,
+SELECT seller_id, total / 100.0 AS total_sales, ((2 * total + 4) // 8) / 100.0 AS quarter_avg,
        round(sqrt(({_d('q1')} * {_d('q1')} + {_d('q2')} * {_d('q2')} + {_d('q3')} * {_d('q3')}
-                   + {_d('q4')} * {_d('q4')}) / 3.0), 2) AS quarter_stdev
+                   + {_d('q4')} * {_d('q4')}) / 3.0) / 100.0, 2) AS quarter_stdev
 FROM m ORDER BY seller_id
 """
 
@@ -264,6 +264,7 @@ ORACLE_SQL: dict[str, str] = {
     "excessive_activity": _EXCESSIVE,
     "flag_alarmed": _FLAG_ALARMED,
     "flag_lost_card": _FLAG_LOST,
+    "city_change_alerts": _CITY_ALERTS,
     "flagged_all": _FLAGGED_ALL,
     "stream_join": _STREAM_JOIN,
     "group_count": _GROUP_COUNT,

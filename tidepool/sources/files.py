@@ -33,7 +33,8 @@ def json_lines(spark: SparkSession, path: str, schema, streaming: bool = False,
 
 
 def parquet_stream(spark: SparkSession, folder: str, schema, glob: str | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of a folder as a stream (each new file is new input).
 
     ``glob`` restricts the files, e.g. ``events.parquet`` to stream one table
@@ -44,6 +45,8 @@ def parquet_stream(spark: SparkSession, folder: str, schema, glob: str | None =
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(folder)
 
 

@@ -5,6 +5,12 @@ Append mode emits a window once the watermark (max event time - 5 s) has
 passed its end, so the result holds the closed windows only; the oracle
 applies the same cut.  ``availableNow`` processes the backlog in micro-batches
 and closes with a no-data batch that advances the watermark.
+
+Contract for disorder: rows of later micro-batches may be older than rows of
+earlier ones by no more than the watermark delay.  A run in which any row was
+dropped as late raises instead of returning a short result; a table whose part
+files are not split by time has to fit one micro-batch (see the rate limits in
+``runners``) or be given a longer delay.
 """
 
 from __future__ import annotations
@@ -16,14 +22,20 @@ from pyspark.sql import types as T
 from .. import session as S
 from ..functions.time import instant_to_ntz
 from ..operators import rules, windows
-from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, DELTA_THRESHOLD,
+from ..operators.joins import equi_join
+from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, CITY_MIN_CHANGES,
+                             CITY_WINDOW, DELTA_THRESHOLD,
                              EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
                              SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
+from .operators import flag_members_refreshed, stream_city_changes, stream_rolling
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
 from .stateful import PreviousWindowDelta, WindowReport
 
 
+JOIN_WITHIN = "1 hour"
+
+
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.configure(spark)
     use_rocksdb_state(spark)
@@ -40,7 +52,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = windows.tumbling(ev, "evt", REVENUE_WINDOW, ["user_id"], {
         "window_sales": F.sum(money() * F.col("volume")).cast("double"),
         "n_events": F.count(F.lit(1))})
-    out = run_to_parquet(agg, "stream_tumbling", "append")
+    out = run_to_parquet(agg, "stream_tumbling", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
 
 
@@ -49,7 +61,7 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = windows.sliding(ev, "evt", SLIDING_SIZE, SLIDING_SLIDE, ["user_id"], {
         "window_sales": F.sum(money() * F.col("volume")).cast("double"),
         "n_events": F.count(F.lit(1))})
-    out = run_to_parquet(agg, "stream_sliding", "append")
+    out = run_to_parquet(agg, "stream_sliding", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
 
 
@@ -58,7 +70,7 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = windows.session(ev, "evt", SESSION_GAP, ["user_id"], {
         "window_sales": F.sum(money() * F.col("volume")).cast("double"),
         "n_events": F.count(F.lit(1))})
-    out = run_to_parquet(agg, "stream_session", "append")
+    out = run_to_parquet(agg, "stream_session", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
 
 
@@ -85,7 +97,7 @@ def stream_large_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = per_window.groupBy("event_type").transformWithStateInPandas(
         statefulProcessor=PreviousWindowDelta("event_type", DELTA_THRESHOLD),
         outputStructType=DELTA_OUT, outputMode="Append", timeMode="None")
-    out = run_to_parquet(alerts, "stream_large_delta", "append")
+    out = run_to_parquet(alerts, "stream_large_delta", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out, DELTA_OUT), ["event_type"],
                        ["prev_max", "cur_max", "pct_change", "max_ts"])
 
@@ -118,20 +130,23 @@ def stream_window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = stats.groupBy("event_type").transformWithStateInPandas(
         statefulProcessor=WindowReport(REPORT_COLS), outputStructType=schema,
         outputMode="Append", timeMode="None")
-    out = run_to_parquet(report, "stream_window_change", "append")
+    out = run_to_parquet(report, "stream_window_change", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out, schema), ["event_type"],
                        [c for c in schema.fieldNames() if c not in ("event_type", "window_start", "window_end")])
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alert stream: membership rules (stream-static semi-joins, stateless;
-    the member lists are re-read every micro-batch) unioned with the windowed
-    activity rule (stateful, emitted when its window closes), append mode."""
+    """All four rules on a stream: membership (stateless; the lists are read
+    again for every micro-batch), the windowed activity rule (emitted when its
+    window closes) and the city-change rule (emitted per transaction)."""
     ev = _stream(spark, sf_dir)
     txns = ev.select(*TXN_COLS, "evt")
-    members = rules.flag_members_many(txns, [
-        ("user_id", _alarmed(spark, sf_dir), "c_custkey", rules.RULE_ALARMED),
-        ("user_id", _lost(spark, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)], TXN_COLS)
+
+    def lists(session: SparkSession):
+        return [("user_id", _alarmed(session, sf_dir), "c_custkey", rules.RULE_ALARMED),
+                ("user_id", _lost(session, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)]
+
+    members = flag_members_refreshed(event_stream(spark, sf_dir).select(*TXN_COLS), lists, TXN_COLS)
     per_window = windows.tumbling(txns, "evt", ACTIVITY_WINDOW, ["user_id"], {
         "n": F.count(F.lit(1)),
         "_first": windows.first_by([c for c in TXN_COLS if c != "user_id"], EVENT_ORDER)})
@@ -139,7 +154,38 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(rules.RULE_EXCESSIVE).alias("rule"),
         *[(F.col(c) if c == "user_id" else F.col(f"_first.{c}")).alias(c) for c in TXN_COLS],
         instant_to_ntz("window_start").alias("window_start"), F.col("n").cast("bigint").alias("n"))
-    out = run_to_parquet(rules.union_alerts(members, busy), "stream_alerts", "append")
+    busy = read_back(spark, run_to_parquet(busy, "stream_alerts_busy", "append", fail_on_late=True), busy.schema)
+    moves = stream_city_changes(txns, "user_id", "evt", CITY_WINDOW, "event_type", EVENT_ORDER,
+                                TXN_COLS, CITY_MIN_CHANGES)
+    moves = moves.select(F.lit(rules.RULE_CITY_CHANGE).alias("rule"), *TXN_COLS,
+                         instant_to_ntz("window_start").alias("window_start"), F.col("n_changes").alias("n"))
+    moves = read_back(spark, run_to_parquet(moves, "stream_alerts_moves", "append", fail_on_late=True), moves.schema)
+    return rules.union_alerts(members, busy, moves)
+
+
+def stream_rolling_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-record running count and sum (in cents) per event type."""
+    S.configure(spark)
+    ev = event_stream(spark, sf_dir).select("event_type", *EVENT_ORDER,
+                                            (money() * 100).cast("bigint").alias("cents"))
+    out = run_to_parquet(stream_rolling(ev, ["event_type"], EVENT_ORDER, "cents"), "stream_rolling_sums")
+    return read_back(spark, out)
+
+
+def stream_event_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams joined on the user: purchases and errors at most ``JOIN_WITHIN`` apart."""
+    S.configure(spark)
+    use_rocksdb_state(spark)
+
+    def of(kind: str, prefix: str) -> DataFrame:
+        return event_stream(spark, sf_dir).where(F.col("event_type") == kind).select(
+            "user_id", F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"),
+            F.col("evt").alias(f"{prefix}_evt"))
+
+    joined = equi_join(of("purchase", "purchase"), of("error", "error"), "user_id", left_time="purchase_evt",
+                       right_time="error_evt", watermark=WATERMARK, within=JOIN_WITHIN)
+    out = run_to_parquet(joined.select("user_id", "purchase_id", "error_id", "purchase_ts", "error_ts"),
+                         "stream_event_join", fail_on_late=True)
     return read_back(spark, out)
 
 
@@ -155,6 +201,8 @@ STREAM_QUERIES = {
     "stream_large_delta": stream_large_delta,
     "stream_alerts": stream_alerts,
     "stream_window_change": stream_window_change,
+    "stream_rolling_sums": stream_rolling_sums,
+    "stream_event_join": stream_event_join,
 }
 
 STREAM_ORACLE_SQL = {
@@ -165,5 +213,13 @@ STREAM_ORACLE_SQL = {
     "stream_large_delta": _closed(ORACLE_SQL["large_delta"]),
     "stream_alerts": (f"{ORACLE_SQL['flag_alarmed']} UNION ALL {ORACLE_SQL['flag_lost_card']} UNION ALL "
                       f"SELECT * FROM ({ORACLE_SQL['excessive_activity']}) WHERE window_start + "
-                      f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'"),
+                      f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds' "
+                      f"UNION ALL {ORACLE_SQL['city_change_alerts']}"),
+    "stream_rolling_sums": (f"SELECT event_id, ts, event_type, running_count, CAST(round(running_sum * 100) AS BIGINT) "
+                            f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']})"),
+    "stream_event_join": """
+        SELECT p.user_id, p.event_id AS purchase_id, e.event_id AS error_id, p.ts AS purchase_ts, e.ts AS error_ts
+        FROM events p JOIN events e ON p.user_id = e.user_id
+        WHERE p.event_type = 'purchase' AND e.event_type = 'error'
+          AND e.ts BETWEEN p.ts - INTERVAL '1 hour' AND p.ts + INTERVAL '1 hour'""",
 }

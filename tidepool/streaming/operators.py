@@ -11,21 +11,23 @@ reduce and the per-window city-change rule keep their own state:
   window end, so state does not grow with time.
 
 Window aggregations (tumbling, sliding, session, global) and membership
-rules need no extra code: the batch operators accept streaming frames.
-A stream-static join re-plans the static side every micro-batch, so an
-updated member list is picked up without restarting the query.
+rules need no extra code: the batch operators accept streaming frames.  A
+stream-static join lists the static side's files once, at the start; lists
+that change while a query runs go through :func:`flag_members_refreshed`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators import windows
+from .. import session as S
+from ..operators import rules, windows
+from .runners import read_back, run_foreach_batch
 from .stateful import rolling_state_fn
 
 
@@ -45,7 +47,7 @@ def stream_rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
         GroupStateTimeout.NoTimeout)
 
 
-def _city_change_fn(key_cols, order_cols, out_cols, min_changes):
+def _city_change_fn(order_cols, out_cols, min_changes):
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
@@ -63,7 +65,7 @@ def _city_change_fn(key_cols, order_cols, out_cols, min_changes):
                 rows.append(i)
                 counts.append(n)
         state.update((last, n))
-        state.setTimeoutTimestamp(int(key[-1].timestamp() * 1000))
+        state.setTimeoutTimestamp(int(key[-1]))
         if rows:
             out = pdf.iloc[rows][out_cols].copy()
             out["n_changes"] = counts
@@ -74,19 +76,47 @@ def _city_change_fn(key_cols, order_cols, out_cols, min_changes):
 def stream_city_changes(df: DataFrame, key: str, time_col: str, size: str, city: str,
                         order: Sequence[str], keep: Sequence[str], min_changes: int = 2) -> DataFrame:
     """Rows from the ``min_changes``-th city change on, per key and tumbling
-    window (input needs a watermark on ``time_col``)."""
+    window (input needs a watermark on ``time_col``).  The state's timeout is
+    the window end as epoch milliseconds computed by Spark, so it does not
+    depend on the session's or the workers' time zone."""
     w = F.window(time_col, size)
-    keyed = df.withColumn("_wend", w.end).withColumn("_wstart", w.start) \
-        .withColumn("_city", F.col(city))
+    keyed = df.withColumn("_wstart", w.start) \
+        .withColumn("_wend_ms", F.unix_millis(w.end)).withColumn("_city", F.col(city))
     out_cols = list(dict.fromkeys([key, "_wstart", *keep, *order]))
     schema = ", ".join(f"{c} {_spark_type(keyed, c)}" for c in out_cols) + ", n_changes bigint"
-    fn = _city_change_fn([key, "_wend"], list(order), out_cols, min_changes)
-    return keyed.select(*dict.fromkeys([*out_cols, "_wend", "_city"])) \
-        .groupBy(key, "_wend").applyInPandasWithState(
+    fn = _city_change_fn(list(order), out_cols, min_changes)
+    # the watermark travels with the time column
+    return keyed.select(*dict.fromkeys([*out_cols, time_col, "_wend_ms", "_city"])) \
+        .groupBy(key, "_wend_ms").applyInPandasWithState(
             fn, schema, "last string, n bigint", "append", GroupStateTimeout.EventTimeTimeout) \
         .withColumnRenamed("_wstart", "window_start")
 
 
+def flag_members_refreshed(txns: DataFrame, load_checks: Callable[[SparkSession], Sequence[tuple]],
+                           txn_cols: Sequence[str]) -> DataFrame:
+    """Membership rules over a stream whose lists may change while it runs.
+
+    ``load_checks(spark)`` gives the (key column, members, member key, rule)
+    checks and is called for every micro-batch, so a list is read again, and
+    its join planned by its size then, each time.  Each micro-batch's alerts
+    are written to a folder of its own (a repeated batch overwrites itself);
+    returns the alerts of all of them.
+    """
+    out = S.scratch_path(txns.sparkSession, "members")
+    schema = []
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        alerts = rules.flag_members_many(batch, load_checks(batch.sparkSession), txn_cols)
+        schema[:] = [alerts.schema]
+        alerts.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+
+    run_foreach_batch(txns, "members-run", handle)
+    if not schema:  # nothing arrived
+        spark = txns.sparkSession
+        return rules.flag_members_many(spark.createDataFrame([], txns.schema), load_checks(spark), txn_cols)
+    return read_back(txns.sparkSession, out).select(*schema[0].fieldNames())
+
+
 def processing_time_window(df: DataFrame, size: str, keys: Sequence[str],
                            aggs: Mapping[str, Column], lateness: str = "0 seconds") -> DataFrame:
     """Tumbling window on arrival (processing) time: the clock of the
@@ -96,4 +126,4 @@ def processing_time_window(df: DataFrame, size: str, keys: Sequence[str],
     return windows.tumbling(stamped, "_proc_time", size, keys, aggs)
 
 
-__all__ = ["stream_rolling", "stream_city_changes", "processing_time_window"]
+__all__ = ["stream_rolling", "stream_city_changes", "flag_members_refreshed", "processing_time_window"]

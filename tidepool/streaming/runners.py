@@ -7,6 +7,7 @@ from the commit log instead of starting over.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,58 +33,85 @@ def use_rocksdb_state(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+# Session settings of the catalogue's streams: rate limits per micro-batch.
+FILES_PER_TRIGGER = "tidepool.stream.maxFilesPerTrigger"
+BYTES_PER_TRIGGER = "tidepool.stream.maxBytesPerTrigger"
+DEFAULT_BYTES_PER_TRIGGER = 64 << 30
+
+
+class LateRowsDropped(RuntimeError):
+    """The input's disorder between micro-batches exceeded the watermark delay."""
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+
+
 def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """``events`` files of a folder as a stream, with an instant-typed event time
-    ``evt`` (watermarks need ``timestamp``) and the integer ``volume``."""
-    schema = events_schema(spark, folder) if glob == "events.parquet" else \
-        spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    raw = parquet_stream(spark, folder, schema, glob, max_files_per_trigger)
+    ``evt`` (watermarks need ``timestamp``) and the integer ``volume``.
+
+    A table that is a folder of part files is streamed from that folder; only
+    a single file needs the name filter on its parent.  Without explicit limits
+    the session settings above bound a micro-batch.  Files are taken in
+    modification-time order.
+    """
+    if max_files_per_trigger is None:
+        limit = spark.conf.get(FILES_PER_TRIGGER, None)
+        max_files_per_trigger = int(limit) if limit else None
+    if max_files_per_trigger is None and max_bytes_per_trigger is None:
+        max_bytes_per_trigger = int(spark.conf.get(BYTES_PER_TRIGGER, str(DEFAULT_BYTES_PER_TRIGGER)))
+    if glob == "events.parquet":
+        schema = events_schema(spark, folder)
+        table = f"{folder.rstrip('/')}/{glob}"
+        if _is_folder(spark, table):
+            folder, glob = table, None
+    else:
+        schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
+    raw = parquet_stream(spark, folder, schema, glob, max_files_per_trigger, max_bytes_per_trigger)
     return raw.withColumn("evt", ntz_to_instant("ts")) \
               .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new streaming query: the shuffle partition
-    setting, but no more than the cluster's task slots, so that every
-    micro-batch runs its stateful stage in one wave."""
-    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
-        return conf
-    return max(1, min(conf, slots))
-
-
-def start_with_partitions(spark: SparkSession, writer, path: str | None, partitions: int):
-    """Start a query with ``partitions`` shuffle/state partitions.  The query
-    runs on a clone of the session taken at start, so the setting is restored
-    right after; a restarted query keeps the count stored in its checkpoint."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
-    try:
-        return writer.start(path) if path else writer.start()
-    finally:
-        spark.conf.set(key, before)
+def rows_dropped(query) -> int:
+    """Rows that stateful operators dropped as late, over the kept progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        report = p if isinstance(p, dict) else json.loads(p.json)
+        total += sum(op.get("numRowsDroppedByWatermark", 0) for op in report.get("stateOperators", []))
+    return total
 
 
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                    path: str | None = None, partition_by: list[str] | None = None,
-                   timeout_s: float | None = None, partitions: int | None = None) -> str:
+                   timeout_s: float | None = None, fail_on_late: bool = False) -> str:
     """Process everything available now (possibly several micro-batches plus a
-    closing no-data batch) into Parquet files; returns the output folder."""
+    closing no-data batch) into Parquet files; returns the output folder.
+
+    State partitions are the session's shuffle partitions at the first start
+    (the checkpoint keeps them): set them for the cluster's full size.  With
+    ``fail_on_late`` the run raises if any row was dropped behind the watermark.
+    """
     spark = df.sparkSession
     out = path or S.scratch_path(spark, name)
+    if fail_on_late:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     writer = (df.writeStream.format("parquet").outputMode(output_mode)
               .option("checkpointLocation", f"{out}/_checkpoint")
               .trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = start_with_partitions(spark, writer, out, partitions or state_partitions(spark))
+    query = writer.start(out)
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
+    if fail_on_late and (late := rows_dropped(query)):
+        raise LateRowsDropped(f"{name}: {late} rows came later than the watermark delay; "
+                              "raise the delay or the rate limit, or order the files by time")
     return out
 
 
@@ -95,7 +123,7 @@ def run_foreach_batch(df: DataFrame, name: str, handler: Callable[[DataFrame, in
     ckpt = S.scratch_path(spark, name)
     writer = (df.writeStream.outputMode(output_mode).foreachBatch(handler)
               .option("checkpointLocation", ckpt).trigger(availableNow=True))
-    query = start_with_partitions(spark, writer, None, state_partitions(spark))
+    query = writer.start()
     query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
@@ -108,5 +136,4 @@ def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return reader.parquet(folder)
 
 
-__all__ = ["use_rocksdb_state", "event_stream", "state_partitions", "start_with_partitions",
-           "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]
+__all__ = ["use_rocksdb_state", "event_stream", "rows_dropped", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]

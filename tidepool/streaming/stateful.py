@@ -92,14 +92,14 @@ def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str)
     """``applyInPandasWithState`` function: per-record running count and sum
     of ``value_col`` per key, in ``order_cols`` order within a micro-batch and
     arrival order across batches (one output row per input row).  Pass an
-    integer value (e.g. cents) to keep sums exact.  A group holds one key's
+    integer value (e.g. cents) to keep sums exact; a null value adds nothing.  A group holds one key's
     rows of one micro-batch, bounded by the trigger's batch size."""
 
     def fn(key, pdfs, state):
         n, total = state.get if state.exists else (0, 0)
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols)
         counts = n + pd.Series(range(1, len(pdf) + 1), index=pdf.index, dtype="int64")
-        sums = total + pdf[value_col].cumsum()
+        sums = total + pdf[value_col].fillna(0).astype(type(total)).cumsum()  # nulls add nothing
         out = pdf[key_cols + order_cols].copy()
         out["running_count"] = counts
         out["running_sum"] = sums
