@@ -172,6 +172,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     # at most 2 * per_class rows of three numbers: bounded whatever the input
     rows = (docs.select(key.alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
             .join(F.broadcast(sample), "__id").select(F.col("label").cast("int").alias("label"), "draw", "t")
+            .distinct()  # repeated rows teach once
             .mapInArrow(_features, "label int, draw long, index binary, value binary").toPandas())
     if rows["label"].nunique() < 2:
         return QualityModel(None)
