@@ -3,8 +3,8 @@
 Fingerprints of 64 bits that differ in at most 3 are cut into 2 segments, one
 of which then differs in at most one bit.  Each segment is indexed under
 variants with one bit wiped out (32 per segment), so two segments at most one
-bit apart share a variant; candidates come from an equality join on
-(segment, wiped bit, what is left) and are verified on all 64 bits.
+bit apart share a variant; candidates meet by equality of (segment, wiped bit,
+what is left) and are verified on all 64 bits.
 
 Copies cost nothing: only distinct fingerprints are indexed.  Pairs within a
 dense group are never all made: in every bucket the members are first linked
@@ -15,8 +15,8 @@ No link between components can be missed, since every linked pair shares a
 bucket and is either inside one component already or joined here.
 
 Scale: all exchanges carry 16-byte rows; buckets are keyed by 31 bits of
-fingerprint, the joins are plain equi-joins that the skew join can split, and
-components are found by rounds of joins over written tables.
+fingerprint and shuffled once (of a dense group each of its 64 variants has its
+own), the joins are plain equi-joins that the skew join can split, and components are found by rounds of joins over written tables.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import materialize, row_key
 
@@ -72,12 +73,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _variants(fps: DataFrame) -> DataFrame:
-    """64 rows per fingerprint: ``slot`` (segment and wiped bit) and ``key`` (what is left of the segment)."""
+    """64 rows per fingerprint; ``bucket`` names the segment, the wiped bit and what is left of the segment."""
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (fps.repartition(spread, "fp").select("*", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("slot"))
-            .withColumn("key", F.expr(
-                "(CASE WHEN slot < 32 THEN fp & 4294967295L ELSE shiftrightunsigned(fp, 32) END)"
-                " & ~shiftleft(1L, slot % 32) & 4294967295L")))
+    return (fps.repartition(spread, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("slot"))
+            .select("fp", F.expr(
+                "shiftleft(CAST(slot AS BIGINT), 32) |"
+                " ((CASE WHEN slot < 32 THEN fp & 4294967295L ELSE shiftrightunsigned(fp, 32) END)"
+                " & ~shiftleft(1L, slot % 32) & 4294967295L)").alias("bucket")))
 
 
 def _apart(a, b):
@@ -120,21 +122,21 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, root): the component of every distinct fingerprint; links are ``max_bits`` or fewer bits."""
     if max_bits > 3:
         raise ValueError("two segments with one wiped bit each cover distances up to 3")
-    hubs = (_variants(fps).groupBy("slot", "key").agg(F.min("fp").alias("hub"), F.count("*").alias("n"))
-            .where(F.col("n") > 1).drop("n"))
-    hubs = materialize(hubs, "simhash-buckets")
-    crowded = _variants(fps).join(hubs, ["slot", "key"])
-    crowded = materialize(crowded, "simhash-members")  # members of buckets with two fingerprints or more
+    whole = Window.partitionBy("bucket")
+    # members of buckets with two fingerprints or more, with the bucket's hub
+    crowded = materialize(
+        _variants(fps).withColumns({"hub": F.min("fp").over(whole), "n": F.count("*").over(whole)})
+        .where(F.col("n") > 1).drop("n"), "simhash-members")
     stars = crowded.where((F.col("fp") != F.col("hub")) & (_apart(F.col("fp"), F.col("hub")) <= max_bits))
     first = materialize(components(stars.select(F.col("fp").alias("a"), F.col("hub").alias("b"))), "simhash-stars")
 
     member = (crowded.join(first.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("slot", "key", "fp", F.coalesce("root", "fp").alias("part")))
-    mixed = (member.groupBy("slot", "key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-             .where(F.col("lo") != F.col("hi")).select("slot", "key"))
-    member = materialize(member.join(mixed, ["slot", "key"], "left_semi"), "simhash-mixed")
+              .select("bucket", "fp", F.coalesce("root", "fp").alias("part")))
+    mixed = (member.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+             .where(F.col("lo") != F.col("hi")).select("bucket"))
+    member = materialize(member.join(mixed, "bucket", "left_semi"), "simhash-mixed")
     left, right = member.alias("l"), member.alias("r")
-    across = (left.join(right, (F.col("l.slot") == F.col("r.slot")) & (F.col("l.key") == F.col("r.key"))
+    across = (left.join(right, (F.col("l.bucket") == F.col("r.bucket"))
                         & (F.col("l.part") < F.col("r.part")) & (_apart(F.col("l.fp"), F.col("r.fp")) <= max_bits))
               .select(F.col("l.part").alias("a"), F.col("r.part").alias("b")).distinct())
     second = components(across)
