@@ -26,7 +26,7 @@ from .common import materialize, row_key
 
 SHARDS = 24
 SEED = 91
-PART_ROWS = 1 << 14
+PART_ROWS = 1 << 12
 MAX_PARTS = 8192
 RANGE_ROWS = 1 << 12
 
