@@ -23,8 +23,11 @@ from pyspark.sql import types as T
 
 from .. import session as S
 from ..functions import json as J
-from ..functions.parse import SALE_LINE, split_fields
+from ..functions.parse import (AMOUNT_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE, TICK_LINE, key_by_field, parse_lines,
+                               split_fields)
+from ..functions.render import alert_line
 from ..functions.rowstats import row_sample_stdev, row_total
+from ..functions.time import millis_to_ts, ntz_micros, parse_ts
 from ..operators import aggregates, changes, rolling, rules, split, text, windows
 from ..operators.joins import equi_join
 from ..sources.tables import events, table
@@ -175,6 +178,55 @@ def parse_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("event_id", *split_fields("value", SALE_LINE)).drop("sale_date")
 
 
+def parse_cab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders rendered as cab lines and parsed; ongoing trips only, passengers cast after the filter."""
+    o = table(spark, sf_dir, "orders")
+    line = F.concat_ws(",", "o_orderkey", F.concat(F.lit("P"), "o_custkey"), F.lit("sedan"), "o_custkey",
+                       F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no"), "o_orderpriority", "o_orderstatus",
+                       F.when(F.col("o_orderstatus") == "F", F.month("o_orderdate").cast("string")).otherwise("none"))
+    trips = parse_lines(o.select(line.alias("value")), CAB_LINE)
+    return aggregates.ongoing(trips, "ongoing", "yes", {"passengers": "int"})
+
+
+def parse_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as ``date,time,price,volume`` ticks, parsed, with the time of both text fields."""
+    ev = _ev(spark, sf_dir)
+    line = F.concat_ws(",", F.date_format("ts", "MM/dd/yyyy"), F.date_format("ts", "HH:mm:ss"), F.col("value").cast("string"),
+                       F.col("volume").cast("string"))
+    ticks = parse_lines(ev.select("event_id", line.alias("line")), TICK_LINE, "line", keep=["event_id"])
+    at = parse_ts(F.concat_ws(" ", "date", "time"), "MM/dd/yyyy HH:mm:ss")
+    return ticks.select("event_id", F.unix_seconds(at).alias("at_seconds"), "price", "volume")
+
+
+def parse_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as ``ms,amount`` lines, parsed, with the event time of the milliseconds."""
+    ev = _ev(spark, sf_dir)
+    line = F.concat_ws(",", F.floor(ntz_micros("ts") / 1000).cast("string"), F.col("volume").cast("string"))
+    rows = parse_lines(ev.select("event_id", line.alias("line")), AMOUNT_LINE, "line", keep=["event_id"])
+    return rows.select("event_id", F.unix_millis(millis_to_ts("ts_ms")).alias("event_ms"), "amount")
+
+
+def lines_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sale lines counted by their product field."""
+    keyed = key_by_field(sale_lines(spark, sf_dir), 3, "product")
+    return keyed.groupBy("product").agg(F.count("*").alias("n_lines"))
+
+
+def parse_lost_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers rendered as lost-card lines and parsed."""
+    s = table(spark, sf_dir, "supplier")
+    line = F.concat_ws(",", "s_suppkey", F.lit("2024-01-01"), "s_name",
+                       F.when(F.col("s_acctbal") < 0, "lost").otherwise("held"))
+    return parse_lines(s.select(line.alias("value")), LOST_CARD_LINE)
+
+
+def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarmed customers' transactions as the alert lines that the job prints."""
+    hits = flag_alarmed(spark, sf_dir)
+    line = F.concat_ws(",", "event_id", "user_id", "event_type")
+    return hits.select("event_id", alert_line(rules.RULE_ALARMED, "user_id", line).alias("alert"))
+
+
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
 
 
@@ -315,6 +367,12 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_even": split_even,
     "split_odd": split_odd,
     "parse_line": parse_line,
+    "parse_cab": parse_cab,
+    "parse_tick": parse_tick,
+    "parse_amount": parse_amount,
+    "parse_lost_card": parse_lost_card,
+    "lines_by_field": lines_by_field,
+    "alert_text": alert_text,
     "json_decode": json_decode,
     "json_encode": json_encode,
     "window_change": window_change,

@@ -112,6 +112,35 @@ SELECT event_id, strftime(ts, '%B') AS month, event_type AS category,
 FROM events
 """
 
+_PARSE_CAB = """
+SELECT CAST(o_orderkey AS VARCHAR) AS cab_id, 'P' || o_custkey AS plate, 'sedan' AS cab_type,
+       CAST(o_custkey AS VARCHAR) AS driver, 'yes' AS ongoing, o_orderpriority AS pickup, o_orderstatus AS destination,
+       CAST(month(o_orderdate) AS INTEGER) AS passengers
+FROM orders WHERE o_orderstatus = 'F'
+"""
+
+_PARSE_TICK = f"""
+SELECT event_id, CAST(epoch_us(date_trunc('second', ts)) // 1000000 AS BIGINT) AS at_seconds, value AS price, {VOL} AS volume
+FROM events
+"""
+
+# epoch_ms() rounds; a millisecond counts once it is over
+_PARSE_AMOUNT = f"SELECT event_id, epoch_us(ts) // 1000 AS event_ms, CAST({VOL} AS BIGINT) AS amount FROM events"
+
+_PARSE_LOST = """
+SELECT CAST(s_suppkey AS VARCHAR) AS card_id, '2024-01-01' AS reported_ts, s_name AS name,
+       CASE WHEN s_acctbal < 0 THEN 'lost' ELSE 'held' END AS status
+FROM supplier
+"""
+
+_LINES_BY_FIELD = "SELECT CAST(user_id AS VARCHAR) AS product, count(*) AS n_lines FROM events GROUP BY user_id"
+
+_ALERT_TEXT = """
+SELECT event_id, '(____ALARM___,Transaction: (' || user_id || ',' || event_id || ',' || user_id || ',' || event_type
+       || ') is by an ALARMED customer)' AS alert
+FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+"""
+
 _JSON_DECODE = f"SELECT event_id, {VOL} AS k FROM events"
 
 _JSON_ENCODE = f"""
@@ -256,6 +285,12 @@ ORACLE_SQL: dict[str, str] = {
     "split_even": _SPLIT_EVEN,
     "split_odd": _SPLIT_ODD,
     "parse_line": _PARSE_LINE,
+    "parse_cab": _PARSE_CAB,
+    "parse_tick": _PARSE_TICK,
+    "parse_amount": _PARSE_AMOUNT,
+    "parse_lost_card": _PARSE_LOST,
+    "lines_by_field": _LINES_BY_FIELD,
+    "alert_text": _ALERT_TEXT,
     "json_decode": _JSON_DECODE,
     "json_encode": _JSON_ENCODE,
     "window_change": _WINDOW_CHANGE,
