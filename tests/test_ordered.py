@@ -23,11 +23,11 @@ def _data(spark, n=3000, seed=7, hot=True):
     return spark.createDataFrame(rows, "id long, k string, t long, v long, city string")
 
 
-@pytest.mark.parametrize("n_chunks,max_coarse", [(1, 1024), (3, 1024), (16, 1024), (40, 4)])
-def test_running_totals_equal_plain_window(spark, n_chunks, max_coarse):
+@pytest.mark.parametrize("n_chunks", [1, 3, 16, 40])
+def test_running_totals_equal_plain_window(spark, n_chunks):
     df = _data(spark)
     got = running_totals(df, ["k"], ["t", "id"], sums={"s": F.col("v")}, count_name="c",
-                         firsts=["v", "city"], n_chunks=n_chunks, max_coarse=max_coarse)
+                         firsts=["v", "city"], n_chunks=n_chunks)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("*", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"),
                     F.first("v").over(w).alias("first_v"), F.first("city").over(w).alias("first_city"))
@@ -36,11 +36,11 @@ def test_running_totals_equal_plain_window(spark, n_chunks, max_coarse):
     assert exp.select(*got.columns).exceptAll(got).count() == 0
 
 
-@pytest.mark.parametrize("n_chunks,max_coarse", [(1, 1024), (5, 1024), (32, 1024), (30, 3)])
-def test_change_counts_equal_plain_window(spark, n_chunks, max_coarse):
+@pytest.mark.parametrize("n_chunks", [1, 5, 32, 100])
+def test_change_counts_equal_plain_window(spark, n_chunks):
     df = _data(spark, seed=11)
     v = F.nullif(F.lower("city"), F.lit(""))
-    got = change_counts(df, ["k"], ["t", "id"], v, n_chunks=n_chunks, max_coarse=max_coarse)
+    got = change_counts(df, ["k"], ["t", "id"], v, n_chunks=n_chunks)
     w = Window.partitionBy("k").orderBy("t", "id")
     prev = F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     exp = df.withColumn("_v", v).withColumn("prev_value", prev)
@@ -54,12 +54,12 @@ def test_change_counts_equal_plain_window(spark, n_chunks, max_coarse):
 
 def test_only_heavy_keys_are_split(spark):
     df = _data(spark, n=4000)
-    plan = plan_chunks(df, ["k"], "t", 8)
-    assert plan.n_fine >= 6 and plan.total == 4000
+    plan = plan_chunks(df, ["k"], ["t", "id"], 8)
+    assert plan.n_chunks == 8 and plan.total == 4000
     tagged, _ = with_chunks(df, ["k"], ["t", "id"], 8)
     per_key = {r["k"]: (r["h"], r["c"]) for r in tagged.groupBy("k").agg(
         F.max(F.col("_heavy").cast("int")).alias("h"), F.countDistinct("_chunk").alias("c")).collect()}
-    # ~34% of the rows over 8 fine ranges: about a third of them as chunks
+    # ~34% of the rows over 8 chunks: about a third of them
     assert per_key["hot"][0] == 1 and per_key["hot"][1] >= 3
     # with 8 partitions a key needs > 1/16 of the rows to be split; k0..k9 hold ~6.6% each
     assert all(c == 1 for k, (h, c) in per_key.items() if not h)
@@ -77,8 +77,8 @@ def test_global_running_total_without_keys(spark):
 def test_no_heavy_key_uses_single_window(spark):
     rows = [(i, f"k{i % 50}", i // 50, i % 7) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, k string, t long, v long")
-    plan = plan_chunks(df, ["k"], "t", 8)
-    assert plan.strides == () and not plan.splits
+    plan = plan_chunks(df, ["k"], ["t", "id"], 8)
+    assert plan.bounds == {} and not plan.splits
     got = running_totals(df, ["k"], ["t", "id"], sums={"s": F.col("v")}, count_name="c")
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("*", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
@@ -86,22 +86,38 @@ def test_no_heavy_key_uses_single_window(spark):
 
 
 def test_hot_key_gets_chunks_in_proportion(spark):
-    """A key with about a third of the rows gets about a third of the fine
-    ranges per chunk count; keys just over the threshold get few chunks."""
+    """A key with about a third of the rows gets about a third of the chunks."""
     df = _data(spark, n=4000)
-    plan = plan_chunks(df, ["k"], "t", 48, max_coarse=6)
-    assert plan.sub == 8 and plan.n_fine >= 40
-    strides = dict(plan.strides)
-    tagged, _ = with_chunks(df, ["k"], ["t", "id"], 48, max_coarse=6)
+    plan = plan_chunks(df, ["k"], ["t", "id"], 48)
+    tagged, _ = with_chunks(df, ["k"], ["t", "id"], 48)
     per_key = {r["k"]: r["c"] for r in tagged.groupBy("k").agg(F.countDistinct("_chunk").alias("c")).collect()}
     assert per_key["hot"] >= 10            # ~ n * 0.34 chunks for the hot key
-    assert plan.summary_bound <= sum(-(-plan.n_fine // st) for st in strides.values())
+    assert plan.summary_bound <= 2 * 48
     # chunks are monotone in the order column within a key
     w = Window.partitionBy("k").orderBy("t", "id")
     mono = tagged.withColumn("p", F.lag("_chunk").over(w)).where(F.col("p") > F.col("_chunk")).count()
     assert mono == 0
 
 
+@pytest.mark.parametrize("first", ["three values", "burst", "text", "null"])
+def test_hot_key_splits_evenly(spark, first):
+    """Chunks of a hot key stay within twice their target, however its order values lie."""
+    n = 60_000
+    hot = F.col("id") % 3 == 0
+    t = {"three values": (F.col("id") % 7 % 3).cast("string").cast("long"),
+         "burst": F.when(hot, F.lit(10**9) + F.col("id") % 1000).otherwise(F.xxhash64("id") % 10**12),
+         "text": (F.col("id") % 11).cast("string"),
+         "null": F.when(F.col("id") % 5 > 0, F.lit(None).cast("long")).otherwise(F.col("id"))}[first]
+    df = spark.range(n).select("id", F.when(hot, F.lit(-1)).otherwise(F.col("id") % 4001).alias("k"), t.alias("t"))
+    tagged, plan = with_chunks(df, ["k"], ["t", "id"], 16)
+    sizes = [r["count"] for r in tagged.where("k = -1").groupBy("_chunk").count().collect()]
+    assert sum(sizes) == n // 3 and len(sizes) >= 5 and max(sizes) <= 2 * n / 16
+    got = running_totals(df, ["k"], ["t", "id"], sums={"s": F.col("id")}, count_name="c", n_chunks=16)
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.sum("id").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert got.count() == n and got.exceptAll(exp.select(*got.columns)).count() == 0
+
+
 @pytest.mark.parametrize("n_chunks", [2, 8, 24])
 def test_session_split_equals_plain_sessions(spark, n_chunks):
     import random

@@ -49,7 +49,7 @@ def test_filters_and_columns_reach_the_scan(plans):
 
 
 def test_chunked_scan_broadcasts_only_bounded_tables(plans):
-    # the heavy keys' strides (read by the rows and by the summary) and the carry table
+    # the heavy keys' boundaries (read by the rows and by the summary) and the carry table
     s = summarise(plans["rolling_count"])
     assert s["broadcasts"] <= 3 and s["windows"] == 2
 
@@ -80,4 +80,4 @@ def test_many_ranges_compile(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.codegen.fallback")
-    assert plan.n_fine > 2000 and per[1] > 1500 and per[0] < 400
+    assert plan.n_chunks > 2000 and per[1] > 1500 and per[0] < 400

@@ -5,80 +5,69 @@ A running total or a previous-row comparison per key is naturally a window
 months) or one hot key that puts a third of the data on one task.  Here hot
 keys are split along the order axis into ranges ("chunks"):
 
-1. one aggregate pass gives the exact row count and min/max of the first
-   order column, and, from a 1% Bernoulli sample, its approximate quantiles
-   and the most frequent keys (``approx_top_k`` over a 64-bit hash of the
-   key, at most ``2P`` items, ``P`` = shuffle partitions); all results are
-   tiny, and the sample only steers balance, never results;
+1. one aggregate pass gives the exact row count and, from a 1% Bernoulli
+   sample, the most frequent keys (``approx_top_k`` over a 64-bit hash of the
+   key, at most ``2P`` items, ``P`` = shuffle partitions);
 2. a key is *heavy* when it holds more than ``1/(2P)`` of the rows, so at
    most ``2P`` keys qualify; when none does, the plain window is used;
-3. the order axis is cut into ``n = 2P`` fine ranges: at most 1024 quantile
-   buckets, each split evenly into sub-ranges; a heavy key with share ``s`` of
-   the rows takes about ``n*s`` consecutive fine ranges per chunk-group via its
-   *stride* (a broadcast table of at most ``2P`` rows), i.e. about ``total/n`` rows per chunk: one shuffle
-   partition's worth, however hot the key;
+3. every heavy key gets boundaries of its own: a second sample of the heavy
+   keys' rows, about ``PER_CHUNK`` rows for each chunk-to-be (so its size
+   follows ``P``, not the data), is sorted per key and cut into equal parts of
+   about ``total/n`` rows, ``n = 2P``: one shuffle partition's worth, however
+   hot the key and however bunched in time.  A boundary is a value of the
+   whole order (tie-breakers included), so rows that share the first order
+   column split too.  All keys together have at most ``n + 2P`` boundaries;
+   they are a broadcast table, searched by halving.  Samples only steer
+   balance, never results;
 4. light keys stay in chunk 0; rows are windowed per ``(key, chunk)``: one
    shuffle;
 5. a one-row-per-chunk summary of the heavy keys carries totals and boundary
-   values from chunk to chunk and is broadcast back.  Its size is at most
-   ``sum(ceil(n / stride))`` over the heavy keys, computed from the literals
-   before the job runs (a proven bound, scaled down if over the limit).
+   values from chunk to chunk and is broadcast back.  Its size is the number
+   of chunks, known before the job runs.
 
 (A 64-bit hash collision would only chunk a light key along with a heavy
 one; results stay exact.)
 
-The chunk of a row is a pure function of its order value, its key and fixed
-literals, so re-running a lost task yields the same chunks; no
-lineage-cutting checkpoint is needed.  Equal first-order values always share
-a chunk and within a chunk the full order (with tie-breakers) applies, so
-results equal the single-window plan exactly.
+The chunk of a row is a pure function of its key, its order values and the
+boundaries, which are literals of the plan, so re-running a lost task yields
+the same chunks; no lineage-cutting checkpoint is needed.  Chunks follow the
+full order, so results equal the single-window plan exactly.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import order_number
 
 CHUNK = "_chunk"
 HEAVY = "_heavy"
-MAX_COARSE = 1024  # quantile buckets
-CASE_LEAVES = 32   # up to so many are a CASE tree inside generated code
-MAX_CARRY_ROWS = 200_000  # rows of the broadcast carry table
+MAX_CARRY_ROWS = 200_000  # rows of the broadcast boundary and carry tables
+SAMPLE_FRACTION = 0.01    # rows fed to the top-k sketch
+MIN_SAMPLE = 20_000       # below this many sampled rows, sketch every row
+PER_CHUNK = 128           # sampled rows behind one boundary
 
 
 @dataclass(frozen=True)
 class ChunkPlan:
-    bounds: tuple          # quantile boundaries between coarse buckets
-    lo: float              # min / max of the order proxy
-    hi: float
-    sub: int               # even sub-ranges per coarse bucket
     total: int
-    strides: tuple         # (key hash, stride) of the heavy keys
+    n_chunks: int   # chunks that the whole table would be cut into
+    bounds: dict    # key hash of a heavy key -> its boundaries, ascending rows of order values
     keyed: bool
 
-    @property
-    def n_fine(self) -> int:
-        return (len(self.bounds) + 1) * self.sub
-
     @property
     def splits(self) -> bool:
-        return self.n_fine > 1 and (bool(self.strides) or not self.keyed)
+        return any(self.bounds.values())
 
     @property
     def summary_bound(self) -> int:
         """Most (key, chunk) pairs the carry table can hold."""
-        return sum(math.ceil(self.n_fine / st) for _, st in self.strides) if self.keyed \
-            else math.ceil(self.n_fine / max(self.strides[0][1] if self.strides else 1, 1))
-
-
-def _dtype(df: DataFrame, col: str) -> str:
-    return df.schema[col].dataType.simpleString()
+        return sum(len(b) + 1 for b in self.bounds.values())
 
 
 def _partitions(df: DataFrame) -> int:
@@ -94,107 +83,75 @@ def max_heavy_keys(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def key_hash(keys: Sequence[str]) -> Column:
-    """64-bit hash of a (possibly multi-column, possibly null) key."""
-    return F.xxhash64(*[F.col(k) for k in keys])
+    """64-bit hash of a (possibly multi-column, possibly null) key; 0 without keys."""
+    return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
-SAMPLE_FRACTION = 0.01   # rows fed to the quantile and top-k sketches
-MIN_SAMPLE = 20_000      # below this many sampled rows, sketch every row
+def order_values(df: DataFrame, order: Sequence[str]) -> Column:
+    """The row's place in the order as one struct that sorts like the window (nulls first).
 
+    Dates and times are numbers in it, so boundaries pass through the driver
+    whatever the session zone."""
+    return F.struct(*[order_number(c, df.schema[c].dataType.simpleString()).alias(f"o{i}") for i, c in enumerate(order)])
 
-def _stats(df: DataFrame, keys: Sequence[str], proxy: Column, fracs: list, k: int,
-           frac: float, accuracy: int):
-    """One aggregate pass.  Count and range are exact; quantiles and top keys
-    come from a Bernoulli sample (they only steer balance, never results)."""
-    cols = [proxy.alias("_x"), (F.rand(17) < F.lit(frac) if frac < 1 else F.lit(True)).alias("_pick")]
-    if keys:
-        cols.append(key_hash(keys).alias("_h"))
-    picked = df.select(*cols)   # the random pick lives in a projection, not in the aggregate
-    x, sampled = F.col("_x"), F.when(F.col("_pick"), F.col("_x"))
-    aggs = [F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-            F.count(sampled).alias("m")]
-    if fracs:
-        aggs.append(F.percentile_approx(sampled, fracs, accuracy).alias("b"))
-    if keys:
-        aggs.append(F.call_function("approx_top_k", F.when(F.col("_pick"), F.col("_h")), F.lit(k),
-                                    F.lit(max(10_000, 4 * k))).alias("top"))
-    return picked.agg(*aggs).first()
-
-
-def plan_chunks(df: DataFrame, keys: Sequence[str], order_col: str, n_chunks: int | None = None,
-                max_summary_rows: int = MAX_CARRY_ROWS, max_coarse: int = MAX_COARSE) -> ChunkPlan:
-    """Row count, range and quantiles of ``order_col``, and the heavy keys
-    with their strides (one pass over a sample; a second, exact pass only
-    when the input is too small for the sample to be meaningful)."""
-    if _dtype(df, order_col) in ("string", "binary", "boolean"):
-        raise TypeError(f"the first order column {order_col!r} must be a number, date or timestamp")
-    k = max_heavy_keys(df, keys)
-    n = max(1, n_chunks or default_chunks(df))
-    coarse = max(1, min(n, max_coarse))
-    sub = math.ceil(n / coarse)
-    proxy = order_number(order_col, _dtype(df, order_col)).cast("double")
+
+def _heavy_keys(df: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
+    """Exact row count, and hashes of the keys that hold more than 1/(2P) of the rows."""
+    k, frac = max_heavy_keys(df, keys), SAMPLE_FRACTION
+    while True:
+        pick = F.rand(17) < F.lit(frac) if frac < 1 else F.lit(True)
+        picked = df.select(F.when(pick, key_hash(keys)).alias("_h"))  # the random pick lives in a projection
+        row = picked.agg(F.count(F.lit(1)).alias("n"), F.count("_h").alias("m"),
+                         F.call_function("approx_top_k", F.col("_h"), F.lit(k), F.lit(max(10_000, 4 * k))).alias("top")).first()
+        if row["m"] >= MIN_SAMPLE or row["m"] == row["n"]:
+            break
+        frac = 1.0  # too few rows for a sample
+    least = row["m"] / (2 * _partitions(df))
+    return row["n"], [t["item"] for t in row["top"] or [] if t["item"] is not None and t["count"] > least]
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], n_chunks: int | None = None) -> ChunkPlan:
+    """Row count, and the heavy keys with their boundaries along ``order``."""
+    n = min(max(1, n_chunks or default_chunks(df)), MAX_CARRY_ROWS)
     if n == 1:
-        return ChunkPlan((), 0.0, 0.0, 1, int(df.count()), (), bool(keys))
-    fracs = [i / coarse for i in range(1, coarse)]
-    accuracy = max(10_000, 50 * coarse)
-    row = _stats(df, keys, proxy, fracs, k, SAMPLE_FRACTION, accuracy)
-    frac = SAMPLE_FRACTION
-    if (row["m"] or 0) < MIN_SAMPLE and (row["n"] or 0) > (row["m"] or 0):
-        row, frac = _stats(df, keys, proxy, fracs, k, 1.0, accuracy), 1.0
-    total = int(row["n"] or 0)
-    lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        return ChunkPlan((), 0.0, 0.0, 1, total, (), bool(keys))
-    bounds = tuple(sorted({b for b in (row["b"] or []) if b is not None})) if fracs else ()
-    n_fine = (len(bounds) + 1) * sub
-    per_chunk = max(1.0, total / n_fine)          # rows one chunk should hold
+        return ChunkPlan(0, 1, {}, bool(keys))
+    total, heavy = _heavy_keys(df, keys) if keys else (df.count(), [0])
+    if not total or not heavy:
+        return ChunkPlan(total, n, {}, bool(keys))
+    frac = min(1.0, PER_CHUNK * n / total)
+    rows = df.select(key_hash(keys).alias("h"), order_values(df, order).alias("o"))
     if keys:
-        scale = total / max(row["m"] or 1, 1)     # sampled count -> estimated rows
-        threshold = total / (2 * _partitions(df))
-        counts = [(t["item"], t["count"] * scale) for t in (row["top"] or [])
-                  if t["item"] is not None and t["count"] * scale > threshold]
-    else:
-        counts = [(0, total)]
-    strides = [(h, max(1, n_fine // max(1, math.ceil(c / per_chunk)))) for h, c in counts]
-    plan = ChunkPlan(bounds, float(lo), float(hi), sub, total, tuple(sorted(strides)), bool(keys))
-    if plan.summary_bound > max_summary_rows:   # coarser chunks until the carry table fits
-        factor = math.ceil(plan.summary_bound / max_summary_rows)
-        plan = ChunkPlan(bounds, float(lo), float(hi), sub, total,
-                         tuple((h, st * factor) for h, st in plan.strides), bool(keys))
-    return plan
-
-
-def fine_range(df: DataFrame, order_col: str, plan: ChunkPlan) -> Column:
-    """Fine range id in ``[0, n_fine)``: quantile bucket by binary search, then
-    an even split of that bucket.  Nulls sort first, so they go to range 0.
-
-    Few buckets are a CASE tree inside generated code; more are searched by
-    halving steps over one literal array, so the plan's code does not grow
-    with the number of partitions."""
-    x = order_number(order_col, _dtype(df, order_col)).cast("double")
-    b = plan.bounds
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(b[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    if len(b) < CASE_LEAVES:
-        coarse = build(0, len(b))
-    else:
-        bounds = F.array(*[F.lit(float(e)) for e in b])  # folded to one literal
-        steps = [1 << i for i in reversed(range(len(b).bit_length()))]
-        coarse = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
-            F.get(bounds, at + step - 1) <= x, at + step).otherwise(at))
-    if plan.sub > 1:
-        edges = F.array(*[F.lit(float(e)) for e in (plan.lo, *b, plan.hi)])
-        left = F.element_at(edges, coarse + 1)
-        width = F.element_at(edges, coarse + 2) - left
-        frac = F.when(width > 0, (x - left) / width).otherwise(F.lit(0.0))
-        part = F.least(F.floor(frac * plan.sub), F.lit(plan.sub - 1))
-        coarse = coarse * plan.sub + part
-    return F.when(x.isNull(), F.lit(0)).otherwise(coarse).cast("int")
+        rows = rows.where(F.col("h").isin(heavy))
+    if frac < 1:
+        rows = rows.where(F.rand(23) < F.lit(frac))
+    size, per_chunk = F.size("s"), F.lit(max(1.0, total * frac / n))
+    parts = F.least(size, F.greatest(F.lit(1), F.ceil(size / per_chunk))).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("s", F.floor(i * size / parts).cast("int")))
+    found = (rows.groupBy("h").agg(F.sort_array(F.collect_list("o")).alias("s"))  # PER_CHUNK * n rows in all
+             .select("h", F.when(parts > 1, F.array_distinct(cut)).alias("b")).collect())
+    return ChunkPlan(total, n, {r["h"]: [tuple(x) for x in r["b"] or []] for r in found}, bool(keys))
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                n_chunks: int | None = None) -> tuple[DataFrame, ChunkPlan]:
+    """Add ``_heavy`` (the key is split) and ``_chunk`` (0 for light keys)."""
+    plan = plan_chunks(df, keys, order, n_chunks)
+    if not plan.splits:
+        return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
+    place = order_values(df, order)
+    schema = T.StructType([T.StructField("_heavy_hash", T.LongType()),
+                           T.StructField("_bounds", T.ArrayType(df.select(place.alias("o")).schema["o"].dataType))])
+    # at most 2P heavy keys with n + 2P boundaries in all: a broadcast hash join
+    heavy = df.sparkSession.createDataFrame(list(plan.bounds.items()), schema)
+    # without keys a 0 that is not folded away keeps the join an equi-join
+    tagged = df.withColumn("_hash", key_hash(keys) if keys else F.monotonically_increasing_id() * 0)
+    tagged = tagged.join(F.broadcast(heavy), F.col("_hash") == F.col("_heavy_hash"), "left")
+    # boundaries not above the row's place, counted by halving steps
+    steps = [1 << i for i in reversed(range(max(map(len, plan.bounds.values())).bit_length()))]
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        F.get("_bounds", at + step - 1) <= place, at + step).otherwise(at))
+    tagged = tagged.withColumn(HEAVY, F.col("_bounds").isNotNull())
+    return tagged.withColumn(CHUNK, F.when(F.col(HEAVY), below).otherwise(F.lit(0))).drop("_hash", "_heavy_hash", "_bounds"), plan
 
 
 def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
@@ -204,27 +161,6 @@ def _null_safe(left: str, right: str, cols: Sequence[str]) -> Column:
     return cond
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                n_chunks: int | None = None, max_coarse: int = MAX_COARSE) -> tuple[DataFrame, ChunkPlan]:
-    """Add ``_heavy`` (the key is split) and ``_chunk`` (0 for light keys)."""
-    plan = plan_chunks(df, keys, order[0], n_chunks, max_coarse=max_coarse)
-    if not plan.splits:
-        return df.withColumn(HEAVY, F.lit(False)).withColumn(CHUNK, F.lit(0)), plan
-    if keys:
-        # at most 2P heavy keys: a broadcast hash join, the same cost per row however many they are
-        hashes, strides = zip(*plan.strides)
-        heavy = df.sparkSession.range(1).select(F.explode(F.arrays_zip(
-            F.array(*map(F.lit, hashes)).alias("h"), F.array(*map(F.lit, strides)).alias("s"))).alias("x")) \
-            .select(F.col("x.h").alias("_heavy_hash"), F.col("x.s").alias("_stride"))
-        tagged = df.join(F.broadcast(heavy), key_hash(keys) == F.col("_heavy_hash"), "left").drop("_heavy_hash")
-    else:
-        tagged = df.withColumn("_stride", F.lit(plan.strides[0][1]))
-    tagged = tagged.withColumn(HEAVY, F.col("_stride").isNotNull())
-    chunk = F.when(F.col(HEAVY), F.floor(fine_range(tagged, order[0], plan) / F.col("_stride"))) \
-        .otherwise(F.lit(0)).cast("int")
-    return tagged.withColumn(CHUNK, chunk).drop("_stride"), plan
-
-
 def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in order]
 
@@ -237,8 +173,7 @@ def _join_back(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Data
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    sums: Mapping[str, Column] | None = None, count_name: str | None = None,
-                   firsts: Sequence[str] = (), n_chunks: int | None = None,
-                   max_coarse: int = MAX_COARSE) -> DataFrame:
+                   firsts: Sequence[str] = (), n_chunks: int | None = None) -> DataFrame:
     """Every input row plus running aggregates per key in ``order``.
 
     ``sums``: name -> expression, running ``sum`` up to and including the row
@@ -248,7 +183,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     result (add a tie-breaker column).
     """
     sums = dict(sums or {})
-    tagged, plan = with_chunks(df, keys, order, n_chunks, max_coarse)
+    tagged, plan = with_chunks(df, keys, order, n_chunks)
     part = [*keys, CHUNK]
     w_in = Window.partitionBy(*part).orderBy(*_order_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -293,12 +228,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                   prev_name: str = "prev_value", count_name: str = "n_changes",
-                  n_chunks: int | None = None, max_coarse: int = MAX_COARSE) -> DataFrame:
+                  n_chunks: int | None = None) -> DataFrame:
     """Every row plus the previous non-null ``value`` of its key and the running
     number of changes (a row whose value differs from the previous non-null
     value).  Rows whose value is null neither change nor reset anything.
     """
-    tagged, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks, max_coarse)
+    tagged, plan = with_chunks(df.withColumn("_v", value), keys, order, n_chunks)
     part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(*_order_cols(order))
     upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -336,5 +271,5 @@ def change_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
                          n_changes.cast("bigint").alias(count_name))
 
 
-__all__ = ["SAMPLE_FRACTION", "MIN_SAMPLE", "ChunkPlan", "plan_chunks", "fine_range", "with_chunks", "running_totals", "change_counts",
-           "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "MAX_COARSE"]
+__all__ = ["ChunkPlan", "plan_chunks", "with_chunks", "order_values", "running_totals", "change_counts",
+           "default_chunks", "max_heavy_keys", "key_hash", "CHUNK", "HEAVY", "PER_CHUNK", "SAMPLE_FRACTION", "MIN_SAMPLE"]
