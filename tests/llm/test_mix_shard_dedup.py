@@ -151,7 +151,8 @@ def flips(value, n, r):
     return value
 
 
-def test_links_against_all_pairs(spark):
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 2])
+def test_links_against_all_pairs(spark, crowd):
     r = random.Random(11)
     centres = [r.getrandbits(64) for _ in range(8)]
     values = {flips(c, r.randint(0, 4), r) for c in centres for _ in range(60)}  # dense groups
@@ -161,7 +162,7 @@ def test_links_against_all_pairs(spark):
     values |= set(chain) | {r.getrandbits(64) for _ in range(300)} | {0, 2**64 - 1, 7, 2**63, 1 << 31, 0xF}
     want = brute_components(values)
     signed = [(v - 2**64 if v >= 2**63 else v,) for v in values]
-    got = simhash.link_fingerprints(spark.createDataFrame(signed, "fp long")).collect()
+    got = simhash.link_fingerprints(spark.createDataFrame(signed, "fp long"), crowd=crowd).collect()
     assert len(got) == len(values)
     parts, other = defaultdict(set), defaultdict(set)
     for x in got:

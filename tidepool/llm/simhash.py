@@ -11,6 +11,8 @@ dense group are never all made: in every bucket the members are first linked
 to one hub (its smallest fingerprint) where they are within the distance;
 after the components of those links are known, only buckets that still hold
 several components are joined with themselves, and only across components.
+There, members of a bucket of more than ``CROWD`` meet only where a byte of
+the other segment is equal too: of its four bytes at most three can differ.
 No link between components can be missed, since every linked pair shares a
 bucket and is either inside one component already or joined here.
 
@@ -33,6 +35,7 @@ from .common import materialize, row_key
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
+CROWD = 256  # buckets with more members are joined by byte of the other segment
 _CHUNK = 1 << 15
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -86,6 +89,13 @@ def _apart(a, b):
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def _cells(crowd: int):
+    """-1 in a bucket of up to ``crowd`` members, else the four bytes of the other segment, told apart by place."""
+    return F.expr(
+        f"explode(CASE WHEN n <= {crowd} THEN array(-1L) ELSE transform(array(0, 1, 2, 3), i -> i * 256L +"
+        " (shiftrightunsigned(fp, (CASE WHEN bucket < (32L * 4294967296L) THEN 32 ELSE 0 END) + 8 * i) & 255L)) END)")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected edges (a, b): root is the component's smallest node.
 
@@ -118,8 +128,10 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
 
 
-def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, root): the component of every distinct fingerprint; links are ``max_bits`` or fewer bits."""
+def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+    """(fp, root): the component of every distinct fingerprint; links are ``max_bits`` or fewer bits.
+
+    ``crowd`` only chooses how a bucket's members meet; links are the same."""
     if max_bits > 3:
         raise ValueError("two segments with one wiped bit each cover distances up to 3")
     whole = Window.partitionBy("bucket")
@@ -132,11 +144,12 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     member = (crowded.join(first.withColumnRenamed("node", "fp"), "fp", "left")
               .select("bucket", "fp", F.coalesce("root", "fp").alias("part")))
-    mixed = (member.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-             .where(F.col("lo") != F.col("hi")).select("bucket"))
-    member = materialize(member.join(mixed, "bucket", "left_semi"), "simhash-mixed")
+    mixed = (member.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"))
+             .where(F.col("lo") != F.col("hi")).select("bucket", "n"))
+    member = materialize(member.join(mixed, "bucket").select("bucket", _cells(crowd).alias("cell"), "fp", "part"),
+                         "simhash-mixed")
     left, right = member.alias("l"), member.alias("r")
-    across = (left.join(right, (F.col("l.bucket") == F.col("r.bucket"))
+    across = (left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.cell") == F.col("r.cell"))
                         & (F.col("l.part") < F.col("r.part")) & (_apart(F.col("l.fp"), F.col("r.fp")) <= max_bits))
               .select(F.col("l.part").alias("a"), F.col("r.part").alias("b")).distinct())
     second = components(across)
