@@ -282,3 +282,32 @@ def test_rolling_stream_skips_null_values(spark, scratch):
     raw = spark.readStream.schema("k string, i long, v long").json(f"{scratch}/src")
     out = read_back(spark, run_to_parquet(stream_rolling(raw, ["k"], ["i"], "v"), "n", path=f"{scratch}/out"))
     assert sorted((r["i"], r["running_count"], r["running_sum"]) for r in out.collect()) == [(1, 1, 5), (2, 2, 5), (3, 3, 7)]
+
+
+def _overlapping(scratch, part_rows):
+    """An events table of part files, one for each list of (event_id, seconds, user, type, value)."""
+    os.makedirs(f"{scratch}/sf/events.parquet")
+    for i, rows in enumerate(part_rows):
+        path = f"{scratch}/sf/events.parquet/part-{i:03d}.parquet"
+        ev = pd.DataFrame([(e, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), u, t, v, '{"k": 1}') for e, s, u, t, v in rows],
+                          columns=["event_id", "ts", "user_id", "event_type", "value", "props"])
+        ev.to_parquet(path, index=False, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    for t in ("customer", "supplier"):
+        pd.read_parquet(f"/root/testdata/sf0.001/{t}.parquet").to_parquet(f"{scratch}/sf/{t}.parquet", index=False)
+    return f"{scratch}/sf"
+
+
+@pytest.mark.parametrize("name", ["stream_rolling_sums", "stream_alerts"])
+def test_part_files_that_overlap_within_the_delay_fail_per_record_queries(spark, scratch, one_file_per_trigger, name):
+    # event 3 stands between 1 and 2 but comes a micro-batch later, inside the 5 s that the watermark allows
+    sf = _overlapping(scratch, [[(1, 0, 7, "a", 1.0), (2, 3, 7, "a", 2.0)], [(3, 1, 7, "b", 4.0), (4, 2, 7, "a", 8.0)]])
+    with pytest.raises(LateRowsDropped, match="event_id"):
+        STREAM_QUERIES[name](spark, sf)
+
+
+def test_ties_of_time_over_micro_batches_go_by_the_tie_breaker(spark, scratch, one_file_per_trigger):
+    sf = _overlapping(scratch, [[(2, 3, 7, "a", 2.0), (1, 3, 7, "a", 1.0)], [(4, 3, 7, "a", 8.0), (9, 1, 7, "b", 1.0)]])
+    got = STREAM_QUERIES["stream_rolling_sums"](spark, sf).collect()
+    assert sorted((r["event_id"], r["running_count"], r["running_sum"]) for r in got) == [
+        (1, 1, 100), (2, 2, 300), (4, 3, 1100), (9, 1, 100)]

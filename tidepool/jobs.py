@@ -63,7 +63,7 @@ def word_count_stream_job(spark: SparkSession, input_dir: str, output: str,
         .select(F.col("value").alias("word"),
                 F.col("_metadata.file_modification_time").alias("seq"),
                 F.lit(1).cast("bigint").alias("one"))
-    counts = stream_rolling(lines, ["word"], ["seq"], "one")
+    counts = stream_rolling(lines, ["word"], ["seq"], "one", strict=False)
     writer = (counts.select(F.format_string("(%s,%d)", "word", "running_count").alias("value"))
               .writeStream.format("text").outputMode("append")
               .option("checkpointLocation", f"{output}/_checkpoint").trigger(availableNow=True))

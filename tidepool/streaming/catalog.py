@@ -8,7 +8,10 @@ and closes with a no-data batch that advances the watermark.
 
 Contract for disorder: rows of later micro-batches may be older than rows of
 earlier ones by no more than the watermark delay.  A run in which any row was
-dropped as late raises instead of returning a short result; a table whose part
+dropped as late raises instead of returning a short result.  The per-record
+queries (``stream_rolling_sums`` and the city changes of ``stream_alerts``) write
+a row as it comes, so they bear no disorder of a key's rows between micro-batches
+and raise at the first such row.  A table whose part
 files are not split by time has to fit one micro-batch (see the rate limits in
 ``runners``) or be given a longer delay.
 """

@@ -4,12 +4,16 @@ Spark rejects ``lag`` and row frames on streams, so the per-record rolling
 reduce and the per-window city-change rule keep their own state:
 
 * rolling reduce: ``applyInPandasWithState`` keyed by the series key, state =
-  (count, sum); one output row per input row (arrival order across
-  micro-batches, explicit order within one).
-* city changes: keyed by (customer, window); state = (last city, changes);
+  (count, sum, last order value); one output row per input row in the
+  explicit order.
+* city changes: keyed by (customer, window); state = (last city, changes,
+  last order value);
   an event-time timeout drops the state once the watermark passes the
   window end, so state does not grow with time.
 
+Both sort within a micro-batch and fail with ``LateRowsDropped`` where a later
+micro-batch brings a row of the key that stands before one already written.
+
 Window aggregations (tumbling, sliding, session, global) and membership
 rules need no extra code: the batch operators accept streaming frames.  A
 stream-static join lists the static side's files once, at the start; lists
@@ -28,7 +32,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from .. import session as S
 from ..operators import rules, windows
 from .runners import read_back, run_foreach_batch
-from .stateful import rolling_state_fn
+from .stateful import in_order, rolling_state_fn
 
 
 def _spark_type(df: DataFrame, col: str) -> str:
@@ -36,14 +40,17 @@ def _spark_type(df: DataFrame, col: str) -> str:
 
 
 def stream_rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                   sum_type: str = "bigint") -> DataFrame:
-    """Per-record running count and sum of ``value`` per key (update per row)."""
+                   sum_type: str = "bigint", strict: bool = True) -> DataFrame:
+    """Per-record running count and sum of ``value`` per key (update per row).
+
+    With ``strict`` off, rows of a later micro-batch count after those of
+    earlier ones whatever their order: only for rows that are interchangeable."""
     cols = [*keys, *order]
     schema = ", ".join(f"{c} {_spark_type(df, c)}" for c in cols)
     schema += f", running_count bigint, running_sum {sum_type}"
-    state = f"n bigint, total {sum_type}"
+    state = f"n bigint, total {sum_type}, last binary"
     return df.select(*cols, value).groupBy(*keys).applyInPandasWithState(
-        rolling_state_fn(list(keys), list(order), value), schema, state, "append",
+        rolling_state_fn(list(keys), list(order), value, strict), schema, state, "append",
         GroupStateTimeout.NoTimeout)
 
 
@@ -52,8 +59,9 @@ def _city_change_fn(order_cols, out_cols, min_changes):
         if state.hasTimedOut:
             state.remove()
             return
-        last, n = state.get if state.exists else (None, 0)
+        last, n, place = state.get if state.exists else (None, 0, None)
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols)
+        place = in_order(pdf, order_cols, place, key)
         rows, counts = [], []
         for i, city in enumerate(pdf["_city"].tolist()):
             city = city.lower() if isinstance(city, str) and city else None
@@ -64,7 +72,7 @@ def _city_change_fn(order_cols, out_cols, min_changes):
             if n >= min_changes:
                 rows.append(i)
                 counts.append(n)
-        state.update((last, n))
+        state.update((last, n, place))
         state.setTimeoutTimestamp(int(key[-1]))
         if rows:
             out = pdf.iloc[rows][out_cols].copy()
@@ -76,7 +84,8 @@ def _city_change_fn(order_cols, out_cols, min_changes):
 def stream_city_changes(df: DataFrame, key: str, time_col: str, size: str, city: str,
                         order: Sequence[str], keep: Sequence[str], min_changes: int = 2) -> DataFrame:
     """Rows from the ``min_changes``-th city change on, per key and tumbling
-    window (input needs a watermark on ``time_col``).  The state's timeout is
+    window (input needs a watermark on ``time_col``).  Rows of one key and window
+    have to reach the micro-batches in ``order``, or the run fails.  The state's timeout is
     the window end as epoch milliseconds computed by Spark, so it does not
     depend on the session's or the workers' time zone."""
     w = F.window(time_col, size)
@@ -88,7 +97,7 @@ def stream_city_changes(df: DataFrame, key: str, time_col: str, size: str, city:
     # the watermark travels with the time column
     return keyed.select(*dict.fromkeys([*out_cols, time_col, "_wend_ms", "_city"])) \
         .groupBy(key, "_wend_ms").applyInPandasWithState(
-            fn, schema, "last string, n bigint", "append", GroupStateTimeout.EventTimeTimeout) \
+            fn, schema, "last string, n bigint, place binary", "append", GroupStateTimeout.EventTimeTimeout) \
         .withColumnRenamed("_wstart", "window_start")
 
 

@@ -8,8 +8,10 @@ from the commit log instead of starting over.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ DEFAULT_BYTES_PER_TRIGGER = 64 << 30
 
 
 class LateRowsDropped(RuntimeError):
-    """The input's disorder between micro-batches exceeded the watermark delay."""
+    """The input's disorder between micro-batches exceeded what the query can put in order:
+    the watermark delay, or none at all for per-record results already written."""
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
@@ -95,6 +98,7 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     State partitions are the session's shuffle partitions at the first start
     (the checkpoint keeps them): set them for the cluster's full size.  With
     ``fail_on_late`` the run raises if any row was dropped behind the watermark.
+    Rows out of an order that a stateful operator needs always raise.
     """
     spark = df.sparkSession
     out = path or S.scratch_path(spark, name)
@@ -106,9 +110,14 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.start(out)
-    query.awaitTermination(timeout_s)
-    if query.exception() is not None:
-        raise query.exception()
+    try:
+        query.awaitTermination(timeout_s)
+        if query.exception() is not None:
+            raise query.exception()
+    except StreamingQueryException as failed:
+        if (said := re.search(rf"{LateRowsDropped.__name__}: (.*)", str(failed))) is None:
+            raise
+        raise LateRowsDropped(f"{name}: {said[1]}") from failed
     if fail_on_late and (late := rows_dropped(query)):
         raise LateRowsDropped(f"{name}: {late} rows came later than the watermark delay; "
                               "raise the delay or the rate limit, or order the files by time")

@@ -9,12 +9,15 @@ Only one small value per key is stored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from .runners import LateRowsDropped
+
 PREV_SCHEMA = StructType([StructField("prev_max", DoubleType(), True)])
 PREV_MAXIMA_SCHEMA = StructType([StructField("prev_price", DoubleType(), True),
                                  StructField("prev_volume", LongType(), True)])
@@ -88,16 +91,40 @@ class WindowReport(StatefulProcessor):
         pass
 
 
-def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str):
+def _order_value(row: pd.Series, order_cols: list[str]) -> tuple:
+    """A row's place in the order as plain values that compare; nulls last, as ``sort_values`` puts them."""
+    values = [row[c] for c in order_cols]
+    return tuple((1, 0) if pd.isna(v) else (0, v.value if isinstance(v, pd.Timestamp) else getattr(v, "item", lambda v=v: v)())
+                 for v in values)
+
+
+def in_order(pdf: pd.DataFrame, order_cols: list[str], last: bytes | None, key) -> bytes | None:
+    """The order value that a key's sorted rows of one micro-batch end with, to
+    keep in its state; raises if the first of them stands before ``last``, the
+    value an earlier micro-batch ended with (its rows are already written)."""
+    if not len(pdf):
+        return last
+    first, before = _order_value(pdf.iloc[0], order_cols), pickle.loads(last) if last is not None else None
+    if before is not None and first < before:
+        raise LateRowsDropped(f"key {key}: a row at {first} of ({', '.join(order_cols)}) came in a later micro-batch than "
+                              f"one at {before}; raise the rate limit or order the files by time")
+    return pickle.dumps(_order_value(pdf.iloc[-1], order_cols))
+
+
+def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str, strict: bool = True):
     """``applyInPandasWithState`` function: per-record running count and sum
-    of ``value_col`` per key, in ``order_cols`` order within a micro-batch and
-    arrival order across batches (one output row per input row).  Pass an
+    of ``value_col`` per key, in ``order_cols`` order (one output row per input
+    row).  A micro-batch's rows are sorted; a row that comes in a later
+    micro-batch than one of its key that stands after it raises
+    ``LateRowsDropped``, or with ``strict`` off counts where it arrives.  Pass an
     integer value (e.g. cents) to keep sums exact; a null value adds nothing.  A group holds one key's
     rows of one micro-batch, bounded by the trigger's batch size."""
 
     def fn(key, pdfs, state):
-        n, total = state.get if state.exists else (0, 0)
+        n, total, last = state.get if state.exists else (0, 0, None)
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols)
+        if strict:
+            last = in_order(pdf, order_cols, last, key)
         counts = n + pd.Series(range(1, len(pdf) + 1), index=pdf.index, dtype="int64")
         sums = total + pdf[value_col].fillna(0).astype(type(total)).cumsum()  # nulls add nothing
         out = pdf[key_cols + order_cols].copy()
@@ -105,11 +132,11 @@ def rolling_state_fn(key_cols: list[str], order_cols: list[str], value_col: str)
         out["running_sum"] = sums
         if len(pdf):
             n, total = int(counts.iloc[-1]), sums.iloc[-1].item()
-        state.update((n, total))
+        state.update((n, total, last))
         yield out
 
     return fn
 
 
 __all__ = ["PreviousWindowDelta", "WindowReport", "PREV_SCHEMA", "PREV_MAXIMA_SCHEMA",
-           "rolling_state_fn"]
+           "in_order", "rolling_state_fn"]
