@@ -291,3 +291,16 @@ def test_lost_run_leaves_no_half_result(spark, tmp_path):
     blob = hashlib.sha256(b"token = abcdefgh1").hexdigest()
     spark.createDataFrame([(blob, "assign", 1, 5, 9, "lost")], secret_ledger._FINDINGS).write.parquet(f"{ledger}/findings")
     assert scan(docs, ledger) == Counter({(1, "assign:0:17"): 1})
+
+
+def test_short_items_are_found(spark):
+    items = [(1, "Blue Whale"), (2, "cat"), (3, "seventeen letters"), (4, " "), (5, "東京"), (6, "c++")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, "the  blue\nwhale, it sings"), (2, "concatenate"), (3, "a CAT."), (4, "xx seventeen leters yy"), (5, "私は東京都に"),
+            (6, "blue whales"), (7, "in c++, say"), (8, None), (9, "cat")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.find_leaks(df, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in got) == [
+        (1, 1, 0), (3, 2, 0), (4, 3, 1), (5, 5, 0), (7, 6, 0), (9, 2, 0)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()) == [2, 6, 8]
+    assert decontaminate.find_leaks(df, bench, min_chars=20).count() == 0

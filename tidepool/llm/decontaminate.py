@@ -18,14 +18,18 @@ from functools import reduce
 
 import ahocorasick
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 ERROR_RATE = 0.08
-MIN_CHARS = 20
+MIN_CHARS = 1
+WORD_CHARS = 12  # items of up to so many characters without a budget stand as whole words
 BLOCK_CHARS = 1 << 20
+_IN_WORD = regex.compile(r"[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]",
+                         regex.V1)  # not of scripts that write words without blanks
 
 _LEAKS = "array<struct<item_id: bigint, distance: int, item_chars: int>>"
 
@@ -60,6 +64,11 @@ def myers_best(pattern_bits: dict[str, int], m: int, text: str) -> int:
     return best
 
 
+def _whole(text: str, lo: int, hi: int) -> bool:
+    """No word of ``text`` goes on over an end of ``text[lo:hi]``."""
+    return not any(0 < at < len(text) and _IN_WORD.match(text[at - 1]) and _IN_WORD.match(text[at]) for at in (lo, hi))
+
+
 class ItemMatcher:
     """Finds all items of one block in a text."""
 
@@ -86,10 +95,14 @@ class ItemMatcher:
         if not self.items or not text:
             return []
         starts: dict[int, set[int]] = {}
+        words: set[int] = set()
         for end, (size, owners) in self.automaton.iter(text):
             for item, offset in owners:
-                starts.setdefault(item, set()).add(end - size + 1 - offset)
-        found = []
+                if self.items[item][2] > WORD_CHARS or self.items[item][3]:
+                    starts.setdefault(item, set()).add(end - size + 1 - offset)
+                elif item not in words and _whole(text, end - size + 1, end + 1):
+                    words.add(item)
+        found = [(self.items[item][0], 0, self.items[item][2]) for item in words]
         for item, at in starts.items():
             item_id, whole, m, k, bits = self.items[item]
             best = k + 1
@@ -163,9 +176,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     Columns: the id, ``item_id``, ``distance`` (smallest edit distance of the
     normalised item to any substring of the normalised text, at most
     ``floor(rate * item_chars)``) and ``item_chars``.  Both sides are
-    lower-cased with white space collapsed.  Items shorter than ``min_chars``
-    after that are no evidence of anything and match nothing; null or empty
-    texts contain nothing.  Repeated document or item rows give repeated
+    lower-cased with white space collapsed.  Items of up to ``WORD_CHARS``
+    characters with no budget count where they stand as whole words (letters and
+    digits of scripts written with blanks do not go on over their ends).  Empty
+    items, and those shorter than ``min_chars`` where a caller sets it, match
+    nothing; null or empty texts contain nothing.  Repeated document or item rows give repeated
     result rows; equal items with two ids give one row each.
     """
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, item_id bigint, distance int, item_chars int"
