@@ -304,3 +304,15 @@ def test_short_items_are_found(spark):
         (1, 1, 0), (3, 2, 0), (4, 3, 1), (5, 5, 0), (7, 6, 0), (9, 2, 0)]
     assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()) == [2, 6, 8]
     assert decontaminate.find_leaks(df, bench, min_chars=20).count() == 0
+
+
+def test_line_index_knows_its_own_keys_only():
+    r = np.random.default_rng(2)
+    h = r.integers(-2**63, 2**63 - 1, (64, 2))
+    index = LineIndex.from_bytes(LineIndex.build(h[:, 0].copy(), h[:, 1].copy(), np.full(64, 9), np.arange(64)).to_bytes())
+    # strangers with the upper half of a key's second hash, which the fingerprint was before
+    h2 = (np.repeat(h[:, 1], 200) & ~np.int64(2**32 - 1)) | r.integers(0, 2**32, 64 * 200)
+    h1 = r.integers(-2**63, 2**63 - 1, 64 * 200)
+    assert (index.probe(h1, h2)[0] == 0).all()
+    assert (index.probe(np.repeat(h[:, 0], 200), h2)[0] == 0).all()
+    assert (index.probe(h1, np.repeat(h[:, 1], 200))[0] == 0).all()

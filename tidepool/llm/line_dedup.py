@@ -14,8 +14,9 @@
    sent to every task, and their probes are answered before the exchange.
 4. Positions to drop go back to their document, the only exchange of texts.
 
-The index holds every distinct line, so a probe always finds its own entry;
-the fingerprint is a guard, not a filter.
+A shard holds every distinct line of rows with an id.  Other lines probe too:
+all of them the hot blob, and those of rows with a null id their shard.  The
+fingerprint is the whole key, so a line that is not held is never taken for one.
 """
 
 from __future__ import annotations

@@ -74,24 +74,21 @@ class PerfectHash:
 
 
 class LineIndex:
-    """Fingerprint, document count and keeper arrays behind a perfect hash."""
+    """Fingerprint, document count and keeper arrays behind a perfect hash; a
+    fingerprint is the whole 128-bit key, so no other key is taken for it."""
 
     def __init__(self, mph: PerfectHash, prints: np.ndarray, counts: np.ndarray, keepers: np.ndarray):
         self.mph, self.prints, self.counts, self.keepers = mph, prints, counts, keepers
 
-    @staticmethod
-    def _print(h2: np.ndarray) -> np.ndarray:
-        return (h2 >> np.uint64(32)).astype(np.uint32)
-
     @classmethod
     def build(cls, h1, h2, counts, keepers) -> LineIndex:
         h1, h2 = np.asarray(h1).view(np.uint64), np.asarray(h2).view(np.uint64)
         mph = PerfectHash.build(h1, h2)
         at = mph.index(h1, h2)
-        prints = np.empty(len(h1), np.uint32)
+        prints = np.empty((len(h1), 2), np.uint64)
         packed = np.empty(len(h1), np.uint32)
         kept = np.empty(len(h1), np.int64)
-        prints[at] = cls._print(h2)
+        prints[at, 0], prints[at, 1] = h1, h2
         packed[at] = np.minimum(counts, 2**32 - 1)
         kept[at] = keepers
         return cls(mph, prints, packed, kept)
@@ -102,7 +99,7 @@ class LineIndex:
         if not len(self.prints):
             return np.zeros(len(h1), np.int64), np.zeros(len(h1), np.int64)
         at = self.mph.index(h1, h2)
-        known = (at >= 0) & (self.prints[at] == self._print(h2))
+        known = (at >= 0) & (self.prints[at, 0] == h1) & (self.prints[at, 1] == h2)
         return np.where(known, self.counts[at].astype(np.int64), 0), self.keepers[at]
 
     def to_bytes(self) -> bytes:
