@@ -113,3 +113,13 @@ def test_keep_known_drops_texts_without_letters(edge):
     assert kept.columns == edge.columns
     want = [r for r in edge_rows() if r[1] and any(c.isalpha() for c in r[1])]
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r in want)
+
+
+def test_languages_of_repeated_rows_get_a_bound(spark):
+    r = np.random.default_rng(4)
+    # one row many times, above any bound from the row count; one small draw repeated among others
+    draws = [("fr", 2**62)] * 20000 + [("de", -2**63 + 1)] * 50 + [("de", int(x)) for x in r.integers(-2**63, 2**63 - 1, 100)]
+    draws += [("en", int(x)) for x in r.integers(-2**63, 2**63 - 1, 3000)]
+    rows = spark.createDataFrame(draws, "lang string, draw long")
+    bounds = {b["lang"]: b["bound"] for b in langid._sample_bounds(rows, 20).collect()}
+    assert bounds == {lang: sorted({d for x, d in draws if x == lang})[:20][-1] for lang in ("de", "en", "fr")}
