@@ -123,3 +123,15 @@ def test_languages_of_repeated_rows_get_a_bound(spark):
     rows = spark.createDataFrame(draws, "lang string, draw long")
     bounds = {b["lang"]: b["bound"] for b in langid._sample_bounds(rows, 20).collect()}
     assert bounds == {lang: sorted({d for x, d in draws if x == lang})[:20][-1] for lang in ("de", "en", "fr")}
+
+
+def test_quality_places_go_to_labels_that_teach(spark):
+    docs, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels").select("doc_id", "quality")
+    learn = labels.where(F.col("doc_id") % 2 == 0)
+    alone = quality.train_quality(docs, learn, per_class=60)
+    # labels of a larger corpus, and one label repeated
+    strangers = spark.range(10**12, 10**12 + 4000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    again = learn.limit(1).crossJoin(spark.range(2000)).drop("id")
+    more = learn.unionByName(strangers.withColumn("quality", F.col("quality").cast(learn.schema["quality"].dataType))).unionByName(again)
+    model = quality.train_quality(docs, more, per_class=60)
+    assert model.weights is not None and np.array_equal(model.weights, alone.weights) and model.slope == alone.slope

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\f\r"
@@ -158,12 +160,14 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   label_col: str = "quality", per_class: int = TRAIN_PER_CLASS) -> QualityModel:
     """Learn from at most ``per_class`` labelled rows of each class, chosen by a hash of the id.
 
-    Labels other than 0 and 1 and labels of unknown ids are ignored.  With
-    fewer than two classes there is nothing to learn and every text passes.
+    Labels other than 0 and 1, labels of ids without a document and repeated
+    labels are left out before the choice.  With fewer than two classes there
+    is nothing to learn and every text passes.
     """
     key = F.col(id_col)
     labels = labels.select(key.alias("__id"), F.col(label_col).alias("label"), F.xxhash64(F.lit("draw"), key).alias("draw"))
-    labels = labels.where(F.col("label").isin(0, 1) & F.col("__id").isNotNull())
+    labels = labels.where(F.col("label").isin(0, 1) & F.col("__id").isNotNull()).distinct()
+    labels = materialize(labels.join(docs.select(key.alias("__id")).distinct(), "__id", "left_semi"), "quality-labels")
     share = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     sample = None
     for c in (0, 1):
