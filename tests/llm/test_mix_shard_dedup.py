@@ -294,3 +294,22 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF001)
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("spread", ["mix", "shards"])
+def test_equal_rows_carry_no_arrays(spark, spread):
+    rows = [(1, "one text", "a", f"x{i}") for i in range(300)] + [(i, f"text {i}", "a", "y") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string").repartition(5)
+    if spread == "mix":
+        out, copies = mixing.mix(docs), Counter()
+        for r in mixing.plan_mix(docs).collect():
+            copies[r["doc_id"]] += r["copies"]
+        assert Counter(r["doc_id"] for r in out.collect()) == +copies
+    else:
+        out = sharding.shuffle_into_shards(docs, shards=7)
+        got = out.collect()
+        assert Counter((r["doc_id"], r["text"], r["source"], r["extra"]) for r in got) == Counter(rows)
+        assert len({(r["shard"], r["slot"]) for r in got}) == len(rows)
+    # the places or copies of a group of equal rows never stand in one row
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__places" not in plan and "map_from_entries" not in plan

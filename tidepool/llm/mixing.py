@@ -169,15 +169,11 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: every input row as often as its copies say, columns as given."""
     plan = plan_mix(docs, id_col, text_col, source_col, **options).where(F.col("copies") > 0)
-    # copies of equal rows, by their number: one array per distinct row
-    per_row = plan.groupBy("key", "key2").agg(
-        F.map_from_entries(F.collect_list(F.struct("copy", "copies"))).alias("__copies"))
+    # equal rows meet their copies by their number, one to one
+    per_row = plan.select(*[F.col(c).alias(f"__{c}") for c in ("key", "key2", "copy", "copies")])
     k1, k2 = row_key(F.col(id_col), F.col(text_col), F.col(source_col))
-    keyed = docs.withColumns({"__key": k1, "__key2": k2})
-    per_row = per_row.withColumnsRenamed({"key": "__key", "key2": "__key2"})
-    numbered = keyed.join(per_row, ["__key", "__key2"]).withColumn(
+    numbered = docs.withColumns({"__key": k1, "__key2": k2}).withColumn(
         "__copy", F.row_number().over(Window.partitionBy("__key", "__key2").orderBy("__key")))
-    times = F.coalesce(F.try_element_at("__copies", F.col("__copy")), F.lit(0))
-    return (numbered.withColumn("__times", times).where(F.col("__times") > 0)
-            .withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return (numbered.join(per_row, ["__key", "__key2", "__copy"])
+            .withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
             .select(*docs.columns))

@@ -118,13 +118,11 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def shuffle_into_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
                         seed: int = SEED) -> DataFrame:
     """The rows themselves with ``shard`` and ``slot`` (columns of these names are replaced)."""
-    places = (assign_shards(docs, id_col, text_col, shards, seed).groupBy("key", "key2")
-              .agg(F.sort_array(F.collect_list(F.struct("copy", "shard", "slot"))).alias("__places"))
-              .withColumnsRenamed({"key": "__key", "key2": "__key2"}))
+    places = assign_shards(docs, id_col, text_col, shards, seed).select(
+        *[F.col(c).alias(f"__{c}") for c in ("key", "key2", "copy", "shard", "slot")])
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
     number = F.row_number().over(Window.partitionBy("__key", "__key2").orderBy("__key"))
-    return (docs.withColumns({"__key": k1, "__key2": k2}).join(places, ["__key", "__key2"])
-            .withColumn("__copy", number)
-            .withColumn("__place", F.element_at("__places", F.col("__copy")))
-            .select(*keep, F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot")))
+    return (docs.withColumns({"__key": k1, "__key2": k2}).withColumn("__copy", number)
+            .join(places, ["__key", "__key2", "__copy"])
+            .select(*keep, F.col("__shard").alias("shard"), F.col("__slot").alias("slot")))
