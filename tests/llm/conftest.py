@@ -42,3 +42,8 @@ def edge(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"

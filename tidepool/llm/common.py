@@ -12,6 +12,11 @@ Conventions of the whole subpackage:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,9 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Rows per Arrow batch: texts may be long, so batches stay small.
 ARROW_ROWS = 256
+# Bytes of text that a Python worker splits into words at a time.
+SLICE_BYTES = 4 << 20
+_REMEMBERED = 1 << 18
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,3 +78,29 @@ def rows(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in values]
     return spark.range(1).select(F.explode(F.array(*structs)).alias("x")).select(*[F.col(f"x.{n}").alias(n) for n in names])
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; those seen lately are remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+HASHES = WordHashes()
+
+
+def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of an Arrow batch in parts of about ``SLICE_BYTES`` of text; a longer text is a part of its own."""
+    sizes = pc.binary_length(batch.column(text)).to_pylist()
+    start, held = 0, 0
+    for i, size in enumerate(x or 0 for x in sizes):
+        if i > start and held + size > SLICE_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)

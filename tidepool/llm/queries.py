@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, langid, line_dedup, mixing, quality, secret_ledger, sharding, simhash, token_count, url_filter
+from . import (decontaminate, langid, line_dedup, merkle, mixing, periodic_runs, phrase_dedup, quality, secret_ledger, sharding,
+               simhash, token_count, url_filter)
 from .common import read, rows
 
 # The url rules of op2 (host, path, verdict).
@@ -77,6 +78,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 7 == 0
+    altered = F.when(picked, F.col("n_chars") + 1).otherwise(F.col("n_chars"))  # a null stays
+    return merkle.manifest(read(spark, sf_dir, "documents"), tampered={"n_chars": altered}).drop("path")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrase_dedup.dedup_phrases(read(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["length"])
+    return out.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(read(spark, sf_dir, "documents"), rewrite=periodic_runs.plant_period)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"),
+                                                                 r["period"].alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n"))))
+    return (out.withColumn("best", longest)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+                    (-F.col("best.less")).alias("length"), F.col("best.period").alias("period"),
+                    F.floor(-F.col("best.less") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+                    F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filters": op2_url_filters,
@@ -88,11 +114,16 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_FIELD = "coalesce(strlen(({0})::VARCHAR) || ':' || ({0})::VARCHAR, '-')"
+
 ORACLE_SQL = {
     "op1_line_dedup": f"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -136,4 +167,61 @@ ORACLE_SQL = {
         SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
                sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM d LEFT JOIN f USING (rid)""",
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE rows_ AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '-') AS g,
+                   {_FIELD.format("doc_id")} || {_FIELD.format("source")} || {_FIELD.format("lang")} AS head,
+                   {_FIELD.format("n_chars")} AS size_, {_FIELD.format("text")} AS tail,
+                   {_FIELD.format("n_chars + 1")} AS size_1,
+                   (list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                        lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc_
+            FROM documents),
+        leaves AS (
+            SELECT rid, doc_id, g, sha256(head || size_ || tail) AS leaf,
+                   CASE WHEN xor(crc_, 4294967295) % 7 = 0 THEN sha256(head || size_1 || tail) ELSE sha256(head || size_ || tail) END AS now
+            FROM rows_),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY g) AS n FROM leaves),
+        up AS (
+            SELECT g, 0 AS lvl, pos, leaf AS h, n FROM placed
+            UNION ALL
+            SELECT g, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM up WHERE n > 1
+            GROUP BY g, lvl, pos // 2, n),
+        subroots AS (SELECT g, h, lvl AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+        top_ AS (
+            SELECT 0 AS lvl, pos, h, n FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM top_ WHERE n > 1
+            GROUP BY lvl, pos // 2, n),
+        folded AS (
+            SELECT rid, g, pos, now, '' AS sibs, 0 AS lvl, n FROM placed
+            UNION ALL
+            SELECT f.rid, f.g, f.pos // 2,
+                   CASE WHEN f.pos % 2 = 0 THEN sha256(f.now || coalesce(u.h, '')) ELSE sha256(u.h || f.now) END,
+                   f.sibs || coalesce(u.h, ''), f.lvl + 1, (f.n + 1) // 2
+            FROM folded f LEFT JOIN up u ON u.g = f.g AND u.lvl = f.lvl AND u.pos = xor(f.pos, 1) WHERE f.n > 1),
+        folded_top AS (
+            SELECT f.rid, s.pos, f.now, f.sibs, 0 AS lvl, s.n FROM folded f JOIN subroots s USING (g) WHERE f.n = 1
+            UNION ALL
+            SELECT f.rid, f.pos // 2,
+                   CASE WHEN f.pos % 2 = 0 THEN sha256(f.now || coalesce(u.h, '')) ELSE sha256(u.h || f.now) END,
+                   f.sibs || coalesce(u.h, ''), f.lvl + 1, (f.n + 1) // 2
+            FROM folded_top f LEFT JOIN top_ u ON u.lvl = f.lvl AND u.pos = xor(f.pos, 1) WHERE f.n > 1)
+        SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, sha256(f.sibs) AS proof_sha256, f.now AS folded_root, f.now = r.h AS verified
+        FROM placed p JOIN subroots s USING (g) JOIN folded_top f ON f.rid = p.rid AND f.n = 1 CROSS JOIN (SELECT h FROM top_ WHERE n = 1) r""",
+    "op12_substring_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        w AS (SELECT rid, doc_id, unnest(range(len(ws) - 12)) AS i0, ws FROM d WHERE len(ws) >= 13),
+        k AS (SELECT rid, doc_id, i0, array_to_string(ws[i0 + 1:i0 + 13], ' ') AS key FROM w),
+        owner AS (SELECT key, min(doc_id) AS least FROM k GROUP BY key),
+        gone AS (SELECT DISTINCT rid, i0 + unnest(range(13)) AS i FROM k JOIN owner USING (key)
+                 WHERE least IS NOT NULL AND (doc_id IS NULL OR least < doc_id)),
+        x AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM d),
+        y AS (SELECT x.rid, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY x.i) FILTER (gone.i IS NULL) AS kept
+              FROM x LEFT JOIN gone ON gone.rid = x.rid AND gone.i = x.i GROUP BY x.rid)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN y USING (rid)""",
 }
