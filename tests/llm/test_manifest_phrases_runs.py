@@ -71,20 +71,21 @@ def key(row):
     return tuple((x is None, x) for x in row)
 
 
-TAMPER = {"n_chars": F.when(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 7 == 0, F.col("n_chars") + 1)
-          .otherwise(F.col("n_chars"))}
+def tamper():
+    picked = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 7 == 0
+    return {"n_chars": F.when(picked, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
 
 
 @pytest.mark.parametrize("fanout", [2, 3])
 def test_manifest_equals_brute_force_on_edge_rows(spark, edge, fanout):
-    got = merkle.manifest(edge, fanout=fanout, tampered=TAMPER).drop("path").collect()
+    got = merkle.manifest(edge, fanout=fanout, tampered=tamper()).drop("path").collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute_manifest(with_sizes(edge_rows()), fanout, tampered), key=key)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 33, 300])
+@pytest.mark.parametrize("n", [1, 3, 17, 300])
 def test_manifest_of_any_size(spark, n):
     rows = [(i * 3, f"text {i}", ["en", None, "de", "en"][i % 4 if n > 3 else 0], "s", i) for i in range(n)]
-    got = merkle.manifest(spark.createDataFrame(rows, SCHEMA), tampered=TAMPER).drop("path").collect()
+    got = merkle.manifest(spark.createDataFrame(rows, SCHEMA), tampered=tamper()).drop("path").collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute_manifest(rows, 2, tampered), key=key)
 
 
