@@ -5,24 +5,28 @@ smallest id that holds it.
 
 1. *Anchors.*  Each window names its smallest hashed group of ``GROUP`` words
    (leftmost on ties).  Equal windows name equal groups, and neighbouring
-   windows mostly the same one, so the groups named are about two in nine.  A
+   windows mostly the same place, so the places named are about two in nine.  A
    window can recur only if its group is named in two documents.
-2. *Phrases.*  The windows that name one place make a context of at most
-   ``2 * size - GROUP`` words.  Contexts at anchors seen twice are grouped by
-   content, and their windows are compared exactly by 128-bit keys: a window is
-   confirmed if it stands in two documents, and its owner is the smallest id.
-   Contexts with a confirmed window are the phrases.
+2. *Confirmed passages.*  The windows that name one place make a context of at
+   most ``2 * size - GROUP`` words.  Contexts at anchors seen twice travel to
+   their anchor as window keys (128 bits with the anchor's), sorted by id, and
+   a stream tells for every window the smallest id that holds it.  Contexts
+   with a window of a smaller id are the passages to look for.
 3. *Automata.*  Documents are dealt into shards of about ``SHARD_BYTES`` of
-   text.  A shard gets the phrases that its own documents may hold, compiles
-   them with pyahocorasick over word numbers, and streams its documents past
-   the automaton, which finds every occurrence of every phrase, word for word.
+   text.  A shard cuts its passages from its documents, compiles them with
+   pyahocorasick over word numbers, and streams its documents past the
+   automaton, which finds every occurrence of every passage, word for word.
 
 Scale: texts are exchanged once, to their shards; anchors are 16-byte rows, a
-fifth as many as words.  Anchors seen twice are kept as a bitmap of at most
-``MAX_BITS`` bits in every task while that holds them (false positives only
-make more contexts); beyond, contexts find their anchor in a join.  Every
-exchange is combined before it or is an equi-join that can split a hot key;
-rows equal in id and text that are a large share of all go to several shards.
+fifth as many as words, and contexts travel without words.  Anchors seen twice
+are kept as a bitmap of at most ``MAX_BITS`` bits in every task while that holds
+them (false positives only make more contexts); beyond, contexts find their
+anchor in a join.  An anchor that holds a large share of the contexts (no more
+than ``SHARES`` of them can) goes to several tasks, each of which gets the
+owners of the anchor's recurring windows, found by a combined aggregation.
+Rows equal in id and text that are a large share of all go to several shards; a
+shard holds each of them once.  Memory is a batch, the distinct windows of one
+anchor, or one shard.
 """
 
 from __future__ import annotations
@@ -37,27 +41,31 @@ from .common import HASHES, materialize, row_key, slices
 
 WINDOW = 13
 GROUP = 6
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 20
 MAX_BITS = 1 << 30
 BITS_PER_ANCHOR = 12
-SHARES = 1024  # rows equal in id and text are heavy from this part of all rows on
-_PHRASE, _TEXT = 0, 1
+SHARES = 1024  # an anchor, or rows equal in id and text, are heavy from this part of all on
+_OWNER, _CONTEXT = 0, 1
+_PASSAGE, _TEXT = 0, 1
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _rolled(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
     """A 64-bit hash of every ``size`` neighbours."""
+    mixed = _mixed(hashes + np.uint64(seed))
     n = len(hashes) - size + 1
-    out = np.full(n, seed, np.uint64)
-    for j in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + _mixed(hashes[j:n + j] + np.uint64(seed))
+    out = mixed[:n].copy()
+    for j in range(1, size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += mixed[j:n + j]
     return _mixed(out)
 
 
@@ -66,29 +74,35 @@ class Batch:
 
     def __init__(self, texts: list, size: int, group: int):
         split = [(t or "").encode().split() for t in texts]
-        self.words = [w for ws in split for w in ws]
-        self.lengths = np.array([len(ws) for ws in split], np.int64)
-        n, spread = len(self.words), size - group + 1
+        words = [w for ws in split for w in ws]
+        lengths = np.array([len(ws) for ws in split], np.int64)
+        self.before = np.cumsum(lengths) - lengths  # words of the texts before
+        n, spread = len(words), size - group + 1
         none = np.zeros(0, np.int64)
         self.first, self.last, self.doc, self.anchor = none, none, none, none.astype(np.uint64)
-        self.hashes = np.fromiter(map(HASHES.__getitem__, self.words), np.uint64, n)
+        self.hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
         if n < size:
             return
-        doc = np.repeat(np.arange(len(texts)), self.lengths)
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
         groups = _rolled(self.hashes, group, 11)
-        starts = np.flatnonzero(doc[:n - size + 1] == doc[size - 1:])  # windows inside one text
+        windows = n - size + 1
+        least = groups[:windows].copy()
+        for j in range(1, spread):
+            np.minimum(least, groups[j:windows + j], out=least)
+        place = np.empty(windows, np.int64)
+        at = np.arange(windows)
+        for j in range(spread - 1, -1, -1):  # the leftmost of equal groups is written last
+            np.copyto(place, at + j, where=groups[j:windows + j] == least)
+        starts = np.flatnonzero(doc[:windows] == doc[size - 1:])  # windows inside one text
         if not len(starts):
             return
-        place = starts + np.lib.stride_tricks.sliding_window_view(groups, spread)[starts].argmin(axis=1)
+        place = place[starts]
         new = np.concatenate([[True], (place[1:] != place[:-1]) | (doc[starts[1:]] != doc[starts[:-1]])])
         at = np.flatnonzero(new)
         self.first = starts[at]  # first and last window that name one place
         self.last = starts[np.concatenate([at[1:], [len(starts)]]) - 1]
         self.doc, self.anchor = doc[self.first], groups[place[at]]
 
-    def text(self, a: int, z: int) -> str:
-        return b" ".join(self.words[a:z]).decode()
-
 
 def _anchors(size: int, group: int):
     """Anchors of each text, each once per text."""
@@ -103,10 +117,6 @@ def _anchors(size: int, group: int):
     return run
 
 
-def _bit(anchor: np.ndarray, bits: int) -> np.ndarray:
-    return anchor & np.uint64(bits - 1)
-
-
 class Bitmap:
     """Anchors seen twice, by their low bits."""
 
@@ -114,94 +124,123 @@ class Bitmap:
         self.words, self.bits = words, bits
 
     def holds(self, anchor: np.ndarray) -> np.ndarray:
-        at = _bit(anchor, self.bits)
+        at = anchor & np.uint64(self.bits - 1)
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def anchor_bitmap(recurring: DataFrame, bits: int) -> Bitmap:
     """The bitmap of a table of anchors; at most ``bits / 64`` longs come to the driver."""
-    bit = F.col("anchor").bitwiseAND(F.lit(bits - 1))
-    words = (recurring.select(F.shiftright(bit, 6).alias("word"),
-                              F.expr(f"shiftleft(1L, CAST((anchor & {bits - 1}L) & 63 AS INT))").alias("one"))
+    words = (recurring.select(F.expr(f"shiftright(anchor & {bits - 1}L, 6)").alias("word"),
+                              F.expr("shiftleft(1L, CAST(anchor & 63 AS INT))").alias("one"))
              .groupBy("word").agg(F.bit_or("one").alias("ones")).toPandas())
     out = np.zeros(bits // 64, np.uint64)
     out[words["word"].to_numpy(np.int64)] = words["ones"].to_numpy(np.int64).view(np.uint64)
     return Bitmap(out, bits)
 
 
-def _contexts(size: int, group: int, shipped):
-    """Contexts at anchors that the bitmap holds; all where there is none."""
-    names = ["id", "r1", "r2", "anchor", "c1", "c2", "text"]
+_STREAM = "anchor long, salt int, kind int, id long, r1 long, start int, windows binary, owner long"
+
+
+def _contexts(size: int, group: int, shipped, ways: dict[int, int]):
+    """Contexts at anchors that the bitmap holds (all without one), those of heavy anchors salted."""
+    heavy = np.array(sorted(ways), np.int64)
+    shares = np.array([ways[a] for a in heavy.tolist()], np.int64)
 
     def run(batches):
         bitmap = shipped.value if shipped is not None else None
+        seen: set[int] = set()  # equal rows have equal contexts: a task sends them once
         for b in batches:
-            for part in slices(b, "t"):
+            r1 = b.column("r1").to_pylist()
+            new = [r not in seen and not seen.add(r) for r in r1]
+            for part in slices(b.filter(pa.array(new, pa.bool_())), "t"):
                 x = Batch(part.column("t").to_pylist(), size, group)
                 keep = np.flatnonzero(bitmap.holds(x.anchor)) if bitmap is not None else np.arange(len(x.anchor))
                 if not len(keep):
                     continue
-                first, last = x.first[keep], x.last[keep]
-                length = (last - first + 1).astype(np.uint64)
-                keys = []
-                for seed in (3, 7):  # a context is its first and last window
-                    w = _rolled(x.hashes, size, seed)
-                    keys.append(pa.array(_mixed(w[first] * np.uint64(31) + _mixed(w[last] + length)).view(np.int64)))
-                texts = [x.text(a, z) for a, z in zip(first.tolist(), (last + size).tolist())]
-                of = pa.array(x.doc[keep])
+                first, last, doc = x.first[keep], x.last[keep], x.doc[keep]
+                keys = _rolled(x.hashes, size, 3).tobytes()
+                windows = [keys[8 * a:8 * z + 8] for a, z in zip(first.tolist(), last.tolist())]
+                of = pa.array(doc)
+                anchor, r1 = x.anchor[keep].view(np.int64), part.column("r1").take(of)
+                salt = np.zeros(len(keep), np.int64)
+                if len(heavy):
+                    at = np.minimum(np.searchsorted(heavy, anchor), len(heavy) - 1)
+                    salt = np.where(heavy[at] == anchor, r1.to_numpy(zero_copy_only=False) % shares[at], 0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(of) for c in ("id", "r1", "r2")]
-                    + [pa.array(x.anchor[keep].view(np.int64)), *keys, pa.array(texts, pa.string())], names=names)
+                    [pa.array(anchor), pa.array(salt.astype(np.int32)), pa.array(np.full(len(keep), _CONTEXT, np.int32)),
+                     part.column("id").take(of), r1, pa.array((first - x.before[doc]).astype(np.int32)),
+                     pa.array(windows, pa.binary()), pa.nulls(len(keep), pa.int64())],
+                    names=["anchor", "salt", "kind", "id", "r1", "start", "windows", "owner"])
     return run
 
 
-def _windows(size: int):
-    """The windows of each context with their 128-bit keys."""
+def _heavy_windows(size: int, group: int, ways: dict[int, int]):
+    """The windows of heavy anchors: (anchor, key, id), each once per slice."""
+    heavy = np.array(sorted(ways), np.int64)
+
     def run(batches):
         for b in batches:
-            split = [t.encode().split() for t in b.column("text").to_pylist()]
-            flat = [w for ws in split for w in ws]
-            lengths = np.array([len(ws) for ws in split], np.int64)
-            of = np.repeat(np.arange(len(split)), lengths)
-            hashes = np.fromiter(map(HASHES.__getitem__, flat), np.uint64, len(flat))
-            at = np.flatnonzero(of[:len(flat) - size + 1] == of[size - 1:])  # windows inside one context
-            j = at - (np.cumsum(lengths) - lengths)[of[at]]
-            rows = pa.array(of[at])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c).take(rows) for c in ("c1", "c2", "lo", "hi", "open")]
-                + [pa.array(j.astype(np.int32)), *(pa.array(_rolled(hashes, size, seed)[at].view(np.int64)) for seed in (3, 7))],
-                names=["c1", "c2", "lo", "hi", "open", "j", "h1", "h2"])
+            for part in slices(b, "t"):
+                x = Batch(part.column("t").to_pylist(), size, group)
+                keep = np.flatnonzero(np.isin(x.anchor.view(np.int64), heavy))
+                if not len(keep):
+                    continue
+                count = x.last[keep] - x.first[keep] + 1
+                at = np.repeat(x.first[keep] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(x.anchor[keep].view(np.int64), count)), pa.array(_rolled(x.hashes, size, 3)[at].view(np.int64)),
+                     part.column("id").take(pa.array(np.repeat(x.doc[keep], count)))], names=["anchor", "key", "id"])
     return run
 
 
-class PhraseAutomaton:
-    """Phrases over word numbers: every word is two characters, so that no node has many children."""
+def _resolve(batches):
+    """Sorted by anchor, salt, kind, id and place: every window's smallest id, and the contexts that lose windows to one."""
+    held, owners, before = None, {}, None
+    for b in batches:
+        out = {"r1": [], "start": [], "owners": []}
+        for anchor, salt, kind, i, r1, start, windows, owner in zip(*(c.to_pylist() for c in b.columns)):
+            if held != (anchor, salt):
+                held, owners = (anchor, salt), {}
+            if kind == _OWNER:
+                owners[windows] = owner
+                continue
+            if before == (anchor, r1, start):  # an equal row of another task
+                continue
+            before = (anchor, r1, start)
+            by = []
+            for k in range(0, len(windows), 8):
+                key = windows[k:k + 8]
+                of = owners.get(key)
+                if of is None and i is not None:
+                    owners[key] = i  # rows come by id
+                by.append(of if of is not None and (i is None or of < i) else None)
+            if any(o is not None for o in by):
+                out["r1"].append(r1)
+                out["start"].append(start)
+                out["owners"].append(by)
+        yield pa.RecordBatch.from_arrays([pa.array(out["r1"], pa.int64()), pa.array(out["start"], pa.int32()),
+                                          pa.array(out["owners"], pa.list_(pa.int64()))], names=["r1", "start", "owners"])
+
+
+class PassageAutomaton:
+    """Passages over word numbers: every word is two characters, so that no node has many children."""
 
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.phrases: list[tuple[list[int], tuple]] = []
-        self.automaton = None
+        self.automaton = ahocorasick.Automaton()
 
-    def add(self, text: str, owners: list) -> None:
+    def add(self, words: list[bytes], owners: list) -> None:
         number = self.number
-        ids = [number.setdefault(w, len(number) + 1) for w in text.encode().split()]
-        self.phrases.append((ids, tuple(owners)))
+        ids = [number.setdefault(w, len(number) + 1) for w in words]
+        self.automaton.add_word(self._string(np.array(ids, np.int64)), (len(ids), tuple(owners)))
 
     @staticmethod
     def _string(ids: np.ndarray) -> str:
         pair = np.empty((len(ids), 2), np.uint32)
         pair[:, 0], pair[:, 1] = 256 + (ids >> 8), ids & 255
-        # numbers past the surrogates' block skip it
-        pair[:, 0] += np.where(pair[:, 0] >= 0xD800, 0x800, 0).astype(np.uint32)
+        pair[:, 0] += np.where(pair[:, 0] >= 0xD800, 0x800, 0).astype(np.uint32)  # past the surrogates
         return pair.astype("<u4").tobytes().decode("utf-32-le")
 
-    def compile(self) -> None:
-        self.automaton = ahocorasick.Automaton()
-        for ids, owners in self.phrases:
-            self.automaton.add_word(self._string(np.array(ids, np.int64)), (len(ids), owners))
-        self.phrases = []
-        self.automaton.make_automaton()
-
     def covered(self, words: list[bytes], doc_id: int | None, size: int) -> np.ndarray:
         """Which words a window covers that a smaller id owns (any id, where the document has none)."""
         edge = np.zeros(len(words) + 1, np.int64)
@@ -221,62 +260,73 @@ def _spans(gone: np.ndarray) -> list[dict]:
     return [{"start": a, "length": z - a} for a, z in zip(edge[::2], edge[1::2])]
 
 
+class _Shard:
+    """The passages and documents of one shard; equal rows are held once."""
+
+    def __init__(self):
+        self.passages: dict[int, list] = {}
+        self.docs: dict[tuple, list] = {}
+
+    def rows(self, size: int):
+        """(id, number of words, removed spans, kept text) of every document."""
+        compiled, seen = PassageAutomaton(), set()
+        split = {key: (text or "").encode().split() for key, (text, _) in self.docs.items()}
+        for (r1, _), words in split.items():
+            for start, owners in self.passages.pop(r1, ()):
+                passage = words[start:start + size + len(owners) - 1]
+                # equal passages can lose different windows to their documents: the one with most owners tells all
+                seen.add((b" ".join(passage), tuple(owners)))
+        best: dict[bytes, list] = {}
+        for passage, owners in seen:
+            known = best.setdefault(passage, list(owners))
+            best[passage] = [a if a is not None else o for a, o in zip(known, owners)]
+        for passage, owners in best.items():
+            compiled.add(passage.split(b" "), owners)
+        if best:
+            compiled.automaton.make_automaton()
+        for key, words in split.items():
+            gone = compiled.covered(words, key[1], size) if best and len(words) >= size else np.zeros(len(words), bool)
+            kept = [w for w, x in zip(words, gone.tolist()) if not x] if gone.any() else words
+            row = (key[1], len(words), _spans(gone), b" ".join(kept).decode())
+            for _ in range(self.docs[key][1]):
+                yield row
+
+
 def _stream(size: int):
-    """Per shard: its phrases first, compiled once, then its documents."""
+    """Per shard: its passages, then its documents."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
+    def batch(rows: list) -> pa.RecordBatch:
+        ids, n, removed, kept = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, span),
+                                           pa.array(kept, pa.string())], names=["id", "n_words", "removed", "kept"])
+
+    def results(shard: _Shard):
+        rows, held = [], 0
+        for row in shard.rows(size):
+            rows.append(row)
+            held += len(row[3])
+            if held > SHARD_BYTES or len(rows) == 1024:
+                yield batch(rows)
+                rows, held = [], 0
+        if rows:
+            yield batch(rows)
+
     def run(batches):
-        shard, held = None, None
+        number, shard = None, _Shard()
         for b in batches:
-            out = {"id": [], "n_words": [], "removed": [], "kept": []}
-            for at, kind, doc_id, text, owners in zip(*(b.column(c).to_pylist() for c in ("shard", "kind", "id", "text", "owners"))):
-                if at != shard:
-                    shard, held = at, None
-                if kind == _PHRASE:
-                    held = held or PhraseAutomaton()
-                    held.add(text, owners)
-                    continue
-                words = (text or "").encode().split()
-                removed = []
-                if held is not None and len(words) >= size:
-                    if held.automaton is None:
-                        held.compile()
-                    gone = held.covered(words, doc_id, size)
-                    removed, n = _spans(gone), len(words)
-                    words = [w for w, x in zip(words, gone.tolist()) if not x]
+            for at, kind, r1, i, text, start, owners in zip(*(c.to_pylist() for c in b.columns)):
+                if at != number:
+                    yield from results(shard)
+                    number, shard = at, _Shard()
+                if kind == _PASSAGE:
+                    shard.passages.setdefault(r1, []).append((start, owners))
                 else:
-                    n = len(words)
-                out["id"].append(doc_id)
-                out["n_words"].append(n)
-                out["removed"].append(removed)
-                out["kept"].append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["id"], pa.int64()), pa.array(out["n_words"], pa.int64()), pa.array(out["removed"], span),
-                 pa.array(out["kept"], pa.string())], names=["id", "n_words", "removed", "kept"])
+                    shard.docs.setdefault((r1, i), [text, 0])[1] += 1
+        yield from results(shard)
     return run
 
 
-def confirmed_phrases(found: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(c1, c2, text, owners) of the contexts that hold a window of two documents.
-
-    ``found`` has one row per occurrence: id, c1, c2 and text.  ``owners`` has
-    each window's smallest id, null where the window is in one document only."""
-    distinct = materialize(found.groupBy("c1", "c2").agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("open"),
-        F.first("text").alias("text")), "phrase-contexts")
-    windows = materialize(distinct.mapInArrow(
-        _windows(size), "c1 long, c2 long, lo long, hi long, open boolean, j int, h1 long, h2 long"), "phrase-windows")
-    owned = (windows.groupBy("h1", "h2").agg(F.min("lo").alias("owner"), F.max("hi").alias("most"), F.max("open").alias("open"))
-             .where((F.col("owner") < F.col("most")) | (F.col("owner").isNotNull() & F.col("open"))).select("h1", "h2", "owner"))
-    owners = (windows.select("c1", "c2", "j", "h1", "h2").join(owned, ["h1", "h2"])
-              .groupBy("c1", "c2").agg(F.map_from_entries(F.collect_list(F.struct("j", "owner"))).alias("by_j"),
-                                       F.min("owner").alias("least")))
-    n = F.regexp_count("text", F.lit(" ")) + (2 - size)
-    return (distinct.select("c1", "c2", "text").join(owners, ["c1", "c2"])
-            .select("c1", "c2", "text", "least",
-                    F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.element_at("by_j", j)).alias("owners")))
-
-
 def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW,
                   group: int = GROUP, max_bits: int = MAX_BITS, shard_bytes: int = SHARD_BYTES,
                   shares: int = SHARES) -> DataFrame:
@@ -294,50 +344,57 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     change the result.
     """
     spark = docs.sparkSession
-    k1, k2 = row_key(F.col(id_col).cast("long"), F.col(text_col))
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), k1.alias("r1"), k2.alias("r2"))
+    k1, _ = row_key(F.col(id_col).cast("long"), F.col(text_col))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), k1.alias("r1"))
 
     # shards, and the rows so often repeated that they need several
-    rows = materialize(base.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("bytes")),
-                       "phrase-rows")
+    rows = materialize(base.groupBy("r1").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("bytes")), "phrase-rows")
     total = rows.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
     shards = max(1, -(-(total["bytes"] or 0) // shard_bytes))
-    heavy_from = max(2, -(-(total["n"] or 0) // shares))
-    heavy = rows.where(F.col("n") >= heavy_from).select(
-        "r1", "r2", F.least(F.lit(shards), F.ceil(F.col("n") * (4 * shares) / F.lit(total["n"] or 1))).cast("int").alias("ways"))
-
-    anchors = (base.select("t").mapInArrow(_anchors(size, group), "anchor long")
-               .groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("anchor"))
-    anchors = materialize(anchors, "phrase-anchors")
-    held = anchors.count()
+    heavy = rows.where(F.col("n") >= max(2, -(-(total["n"] or 0) // shares))).select(  # at most `shares` rows
+        "r1", F.least(F.lit(shards), F.ceil(F.col("n") * (4 * shares) / F.lit(total["n"] or 1))).cast("int").alias("ways"))
+    heavy = F.broadcast(heavy)
+
+    anchors = materialize(base.select("t").mapInArrow(_anchors(size, group), "anchor long")
+                          .groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > 1), "phrase-anchors")
+    held = anchors.agg(F.count("*").alias("anchors"), F.sum("n").alias("n")).first()
+    ways = {r["anchor"]: r["ways"] for r in anchors.where(F.col("n") >= max(64, -(-(held["n"] or 0) // shares))).select(
+        "anchor", F.ceil(F.col("n") * (4 * shares) / F.lit(held["n"] or 1)).alias("ways")).collect()}  # at most `shares`
+
     bits = 1 << 16
-    while bits < BITS_PER_ANCHOR * held and bits < max_bits:
+    while bits < BITS_PER_ANCHOR * held["anchors"] and bits < max_bits:
         bits *= 2
-    schema = "id long, r1 long, r2 long, anchor long, c1 long, c2 long, text string"
-    if bits <= max_bits and held <= bits:
+    if held["anchors"] <= bits <= max_bits:
         shipped = spark.sparkContext.broadcast(anchor_bitmap(anchors, bits))
-        found = base.mapInArrow(_contexts(size, group, shipped), schema)
+        found = base.mapInArrow(_contexts(size, group, shipped, ways), _STREAM)
     else:
-        found = base.mapInArrow(_contexts(size, group, None), schema).join(anchors, "anchor", "left_semi")
-    found = materialize(found.select("id", "r1", "r2", "c1", "c2", "text"), "phrase-places")
-    phrases = materialize(confirmed_phrases(found.select("id", "c1", "c2", "text"), size), "phrase-owners")
-
-    # at most `shares` heavy rows: a bounded table
-    heavy = F.broadcast(heavy)
+        found = (base.mapInArrow(_contexts(size, group, None, ways), _STREAM)
+                 .join(anchors.select("anchor"), "anchor", "left_semi"))
+    if ways:
+        owned = (base.select("id", "t").mapInArrow(_heavy_windows(size, group, ways), "anchor long, key long, id long")
+                 .groupBy("anchor", "key").agg(F.min("id").alias("owner"), F.count("*").alias("n"))
+                 .where((F.col("n") > 1) & F.col("owner").isNotNull()))
+        salts = F.explode(F.sequence(F.lit(0), F.col("ways").cast("int") - 1)).alias("salt")
+        shared = F.broadcast(spark.createDataFrame(list(ways.items()), "anchor long, ways long"))
+        little = F.expr("reverse(unhex(lpad(hex(key), 16, '0')))")  # a key's bytes as numpy writes them
+        found = found.unionByName(owned.join(shared, "anchor").select(
+            "anchor", salts, F.lit(_OWNER).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("r1"),
+            F.lit(None).cast("int").alias("start"), little.alias("windows"), "owner"))
+    needs = materialize(found.select(*[c.split()[0] for c in _STREAM.split(", ")]).repartition("anchor", "salt")
+                        .sortWithinPartitions("anchor", "salt", "kind", F.col("id").asc_nulls_last(), "r1", "start")
+                        .mapInArrow(_resolve, "r1 long, start int, owners array<bigint>"), "phrase-needs")
 
     def shard(way):
-        return F.pmod(F.xxhash64("r1", "r2", way), F.lit(shards)).alias("shard")
-
-    ways = F.explode(F.sequence(F.lit(0), F.coalesce("ways", F.lit(1)) - 1)).alias("way")
-    needs = (found.drop("text").join(heavy, ["r1", "r2"], "left").select("*", ways)
-             .groupBy(shard(F.col("way")), "c1", "c2")
-             .agg(F.max("id").alias("top"), F.max(F.col("id").isNull()).alias("open"))
-             .join(phrases, ["c1", "c2"]).where((F.col("least") < F.col("top")) | F.col("open"))
-             .select("shard", F.lit(_PHRASE).alias("kind"), F.lit(None).cast("long").alias("id"), "text", "owners"))
-    dealt = (base.join(heavy, ["r1", "r2"], "left")
-             .select(shard(F.pmod(F.monotonically_increasing_id(), F.coalesce("ways", F.lit(1))).cast("int")),
-                     F.lit(_TEXT).alias("kind"), "id", F.col("t").alias("text"),
-                     F.lit(None).cast("array<bigint>").alias("owners")))
-    return (needs.unionByName(dealt).repartition("shard").sortWithinPartitions("shard", "kind")
+        return F.pmod(F.xxhash64("r1", way), F.lit(shards)).alias("shard")
+
+    way = F.explode(F.sequence(F.lit(0), F.coalesce("ways", F.lit(1)) - 1)).alias("way")
+    passages = needs.join(heavy, "r1", "left").select("*", way).select(
+        shard(F.col("way")), F.lit(_PASSAGE).alias("kind"), "r1", F.lit(None).cast("long").alias("id"),
+        F.lit(None).cast("string").alias("text"), "start", "owners")
+    dealt = base.join(heavy, "r1", "left").select(
+        shard(F.pmod(F.monotonically_increasing_id(), F.coalesce("ways", F.lit(1))).cast("int")), F.lit(_TEXT).alias("kind"),
+        "r1", "id", F.col("t").alias("text"), F.lit(None).cast("int").alias("start"),
+        F.lit(None).cast("array<bigint>").alias("owners"))
+    return (passages.unionByName(dealt).repartition("shard").sortWithinPartitions("shard", "kind")
             .mapInArrow(_stream(size), "id long, n_words long, removed array<struct<start:bigint,length:bigint>>, kept string")
             .withColumnRenamed("id", id_col))
