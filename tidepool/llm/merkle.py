@@ -41,7 +41,7 @@ def field(value: Column) -> Column:
 
 
 def numbered(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``nodes`` with ``pos``: 0, 1, 2, ... within each (non-null) ``group`` by ``order``, nulls first.
+    """``nodes`` with ``pos``: 0, 1, 2, ... within each (non-null) ``group`` by ``order``, nulls first, and its size ``n``.
 
     Rows equal in all of ``order`` get their numbers in any order."""
     by = [F.col(c).asc_nulls_first() for c in [group, *order]]
@@ -50,8 +50,9 @@ def numbered(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
     placed = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "merkle-sorted")
     part = F.shiftrightunsigned("_at", 33)
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (placed.groupBy(group, part.alias("_part")).agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
-             .select(group, "_part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")))
+    parts = (placed.groupBy(group, part.alias("_part")).agg(F.count("*").alias("rows"), F.min("_at").alias("_first"))
+             .select(group, "_part", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+                     F.sum("rows").over(Window.partitionBy(group)).alias("n")))
     return (placed.withColumn("_part", part).join(parts, [group, "_part"])
             .withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"))
 
@@ -114,11 +115,9 @@ _PATH = "array<struct<left:string,right:string>>"
 
 
 def tree(nodes: DataFrame, group: str, fanout: int = FANOUT) -> tuple[list[DataFrame], DataFrame]:
-    """(layers from the leaves up, roots) of the nodes (group, ``pos``, ``h``); roots are (group, ``h``)."""
+    """(layers from the leaves up, roots) of the nodes (group, ``n``, ``pos``, ``h``); roots are (group, ``h``)."""
     levels = _levels(fanout)
-    counts = nodes.groupBy(group).agg(F.count("*").alias("n"))
-    most = counts.agg(F.max("n")).first()[0] or 0
-    nodes = nodes.join(counts, group)
+    most = nodes.agg(F.max("n")).first()[0] or 0
     layers = []
     while True:
         layer = materialize(raise_layer(nodes, group, fanout), f"merkle-layer-{len(layers)}")
@@ -132,10 +131,12 @@ def tree(nodes: DataFrame, group: str, fanout: int = FANOUT) -> tuple[list[DataF
         nodes = layer.select(group, up.alias("n"), "pos", "h")
 
 
-def proofs(layers: list[DataFrame], above: DataFrame, group: str, fanout: int = FANOUT) -> DataFrame:
-    """The lowest layer's rows with ``above``: the path from their ancestor up.  ``above`` in: (group, path of the root)."""
+def proofs(layers: list[DataFrame], above: DataFrame, group: str, fanout: int = FANOUT, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The lowest layer's rows with ``above``: the path from their ancestor up.
+
+    ``above`` in: (group, path of the root) and what the rows of a group carry along."""
     width = fanout ** _levels(fanout)
-    paths = above.select(group, F.lit(0).cast("long").alias("pos"), F.col("path").cast(_PATH).alias("above"))
+    paths = above.select(group, F.lit(0).cast("long").alias("pos"), F.col("path").cast(_PATH).alias("above"), *carried)
     for k, layer in enumerate(reversed(layers)):
         rows = layer.drop("h").join(paths, [group, "pos"])
         if k == len(layers) - 1:
@@ -143,7 +144,7 @@ def proofs(layers: list[DataFrame], above: DataFrame, group: str, fanout: int =
         slots = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("slot")
         rows = rows.select("*", slots).where(F.col("l0")[F.col("slot")].isNotNull())
         paths = rows.select(group, (F.col("pos") * width + F.col("slot")).alias("pos"),
-                            F.concat(_siblings(fanout), "above").alias("above"))
+                            F.concat(_siblings(fanout), "above").alias("above"), *carried)
     raise ValueError("a tree has at least one layer")
 
 
@@ -176,16 +177,16 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang",
     group = F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit("-"))  # sorts as the groups do
     leaves = docs.select(F.col(id_col).alias("id"), group.alias("g"), leaf({}).alias("h"), leaf(tampered or {}).alias("now"))
     leaves = materialize(numbered(leaves, "g", ["id", "h"]), "merkle-leaves")
-    layers, subroots = tree(leaves.select("g", "pos", "h"), "g", fanout)
+    layers, subroots = tree(leaves.select("g", "n", "pos", "h"), "g", fanout)
 
     tops = materialize(numbered(subroots.select(F.lit("").alias("all"), "g", "h"), "all", ["g"]), "merkle-subroots")
-    top_layers, root = tree(tops.select("all", "pos", "h"), "all", fanout)
+    top_layers, root = tree(tops.select("all", "n", "pos", "h"), "all", fanout)
     width = fanout ** _levels(fanout)
     no_path = tops.select("all", F.array().cast(_PATH).alias("path")).distinct()
 
     def with_path(nodes: DataFrame, key: str, lowest: DataFrame) -> DataFrame:
         """The nodes with ``path``, by their rows of the lowest layer."""
-        at = nodes.withColumns({"_up": F.floor(F.col("pos") / width).cast("long"),
+        at = nodes.drop("n").withColumns({"_up": F.floor(F.col("pos") / width).cast("long"),
                                 "slot": F.pmod("pos", F.lit(width)).cast("int")})
         return (at.join(lowest.withColumnRenamed("pos", "_up"), [key, "_up"])
                 .withColumn("path", F.concat(_siblings(fanout), "above")))
@@ -193,7 +194,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang",
     of_groups = with_path(tops, "all", proofs(top_layers, no_path, "all", fanout))
     of_groups = materialize(of_groups.join(root.select("all", F.col("h").alias("root")), "all")
                             .select("g", "path", F.col("h").alias("subroot"), "root"), "merkle-tops")
-    found = with_path(leaves, "g", proofs(layers, of_groups, "g", fanout)).join(of_groups.drop("path"), "g")
+    found = with_path(leaves, "g", proofs(layers, of_groups, "g", fanout, ("subroot", "root")))
     steps = F.transform("path", lambda s: F.concat(s["left"], s["right"]))
     return (found.select(F.col("id").alias(id_col), F.col("h").alias("leaf"), "subroot", "root", "path",
                          F.sha2(F.array_join(steps, ""), 256).alias("proof_sha256"),
