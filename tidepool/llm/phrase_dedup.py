@@ -34,10 +34,12 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HASHES, materialize, row_key, slices
+from .common import SPACES, materialize, row_key, slices
 
 WINDOW = 13
 GROUP = 6
@@ -45,6 +47,7 @@ SHARD_BYTES = 1 << 20
 MAX_BITS = 1 << 30
 BITS_PER_ANCHOR = 12
 SHARES = 1024  # an anchor, or rows equal in id and text, are heavy from this part of all on
+_HELD = 1 << 17  # heavy windows that a task sums up
 _OWNER, _CONTEXT = 0, 1
 _PASSAGE, _TEXT = 0, 1
 
@@ -69,18 +72,56 @@ def _rolled(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
     return _mixed(out)
 
 
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BYTES = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+_SPACE = np.isin(np.arange(256), list(SPACES.encode()))
+_LONG_WORD = 512  # longer words are hashed by XXH64
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(n + n // 4, base, np.uint64)
+            x[0] = 1
+            _POWERS[k] = np.multiply.accumulate(x)
+    return _POWERS
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of an Arrow column of texts, and the words of each text."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    inside = ~_SPACE[data]
+    inner = offsets[(offsets > 0) & (offsets < len(data))]  # where a text follows another
+    new, last = inside.copy(), inside.copy()
+    new[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    new[inner] |= inside[inner]
+    last[inner - 1] |= inside[inner - 1]
+    starts, ends = np.flatnonzero(new), np.flatnonzero(last) + 1
+    counts = np.diff(np.searchsorted(starts, offsets))
+    power, inverse = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * power[:len(data)], out=sums[1:])
+    out = _mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    for k in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[starts[k]:ends[k]].tobytes())
+    return out, counts
+
+
 class Batch:
     """The words of a few texts, one after the other, and the contexts of their windows."""
 
-    def __init__(self, texts: list, size: int, group: int):
-        split = [(t or "").encode().split() for t in texts]
-        words = [w for ws in split for w in ws]
-        lengths = np.array([len(ws) for ws in split], np.int64)
+    def __init__(self, texts: pa.Array, size: int, group: int):
+        self.hashes, lengths = word_hashes(texts)
         self.before = np.cumsum(lengths) - lengths  # words of the texts before
-        n, spread = len(words), size - group + 1
+        n, spread = len(self.hashes), size - group + 1
         none = np.zeros(0, np.int64)
         self.first, self.last, self.doc, self.anchor = none, none, none, none.astype(np.uint64)
-        self.hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
         if n < size:
             return
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
@@ -109,7 +150,7 @@ def _anchors(size: int, group: int):
     def run(batches):
         for b in batches:
             for part in slices(b, "t"):
-                x = Batch(part.column("t").to_pylist(), size, group)
+                x = Batch(part.column("t"), size, group)
                 order = np.lexsort((x.anchor, x.doc))
                 anchor, doc = x.anchor[order], x.doc[order]
                 new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])[:len(anchor)]
@@ -153,7 +194,7 @@ def _contexts(size: int, group: int, shipped, ways: dict[int, int]):
             r1 = b.column("r1").to_pylist()
             new = [r not in seen and not seen.add(r) for r in r1]
             for part in slices(b.filter(pa.array(new, pa.bool_())), "t"):
-                x = Batch(part.column("t").to_pylist(), size, group)
+                x = Batch(part.column("t"), size, group)
                 keep = np.flatnonzero(bitmap.holds(x.anchor)) if bitmap is not None else np.arange(len(x.anchor))
                 if not len(keep):
                     continue
@@ -175,84 +216,83 @@ def _contexts(size: int, group: int, shipped, ways: dict[int, int]):
 
 
 def _heavy_windows(size: int, group: int, ways: dict[int, int]):
-    """The windows of heavy anchors: (anchor, key, id), each once per slice."""
+    """The windows of heavy anchors: (anchor, key, least id, greatest id); a task sums up what it has seen lately."""
     heavy = np.array(sorted(ways), np.int64)
 
+    def rows(seen: dict) -> pa.RecordBatch:
+        keys, ids = list(seen), list(seen.values())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+             pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64())],
+            names=["anchor", "key", "least", "most"])
+
     def run(batches):
+        seen: dict[tuple[int, int], tuple[int, int]] = {}
         for b in batches:
-            for part in slices(b, "t"):
-                x = Batch(part.column("t").to_pylist(), size, group)
+            for part in slices(b.filter(pc.is_valid(b.column("id"))), "t"):
+                x = Batch(part.column("t"), size, group)
                 keep = np.flatnonzero(np.isin(x.anchor.view(np.int64), heavy))
                 if not len(keep):
                     continue
                 count = x.last[keep] - x.first[keep] + 1
                 at = np.repeat(x.first[keep] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(x.anchor[keep].view(np.int64), count)), pa.array(_rolled(x.hashes, size, 3)[at].view(np.int64)),
-                     part.column("id").take(pa.array(np.repeat(x.doc[keep], count)))], names=["anchor", "key", "id"])
+                ids = part.column("id").to_numpy()[x.doc[keep]]
+                for key, i in zip(zip(np.repeat(x.anchor[keep].view(np.int64), count).tolist(),
+                                      _rolled(x.hashes, size, 3)[at].view(np.int64).tolist()), np.repeat(ids, count).tolist()):
+                    lo, hi = seen.get(key, (i, i))
+                    seen[key] = (min(lo, i), max(hi, i))
+                if len(seen) > _HELD:
+                    yield rows(seen)
+                    seen = {}
+        yield rows(seen)
     return run
 
 
 def _resolve(batches):
     """Sorted by anchor, salt, kind, id and place: every window's smallest id, and the contexts that lose windows to one."""
-    held, owners, before = None, {}, None
+    held, owners, whole, before = None, {}, {}, None
     for b in batches:
-        out = {"r1": [], "start": [], "owners": []}
+        r1s, starts, flat, ends = [], [], [], [0]
         for anchor, salt, kind, i, r1, start, windows, owner in zip(*(c.to_pylist() for c in b.columns)):
             if held != (anchor, salt):
-                held, owners = (anchor, salt), {}
+                held, owners, whole = (anchor, salt), {}, {}
             if kind == _OWNER:
                 owners[windows] = owner
                 continue
             if before == (anchor, r1, start):  # an equal row of another task
                 continue
             before = (anchor, r1, start)
-            by = []
-            for k in range(0, len(windows), 8):
-                key = windows[k:k + 8]
-                of = owners.get(key)
-                if of is None and i is not None:
-                    owners[key] = i  # rows come by id
-                by.append(of if of is not None and (i is None or of < i) else None)
-            if any(o is not None for o in by):
-                out["r1"].append(r1)
-                out["start"].append(start)
-                out["owners"].append(by)
-        yield pa.RecordBatch.from_arrays([pa.array(out["r1"], pa.int64()), pa.array(out["start"], pa.int32()),
-                                          pa.array(out["owners"], pa.list_(pa.int64()))], names=["r1", "start", "owners"])
-
-
-class PassageAutomaton:
-    """Passages over word numbers: every word is two characters, so that no node has many children."""
+            known = whole.get(windows)
+            if known is not None and (i is None or known[0] < i):  # every owner of these windows is known, and smaller
+                by = known[1]
+            else:
+                by, all_of = [], []
+                for k in range(0, len(windows), 8):
+                    key = windows[k:k + 8]
+                    of = owners.get(key)
+                    if of is None and i is not None:
+                        of = owners[key] = i  # rows come by id
+                    all_of.append(of)
+                    by.append(of if of is not None and (i is None or of < i) else None)
+                if i is not None:
+                    whole[windows] = (max(all_of), all_of)
+                if by.count(None) == len(by):
+                    continue
+            r1s.append(r1)
+            starts.append(start)
+            flat += by
+            ends.append(len(flat))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(r1s, pa.int64()), pa.array(starts, pa.int32()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], names=["r1", "start", "owners"])
 
-    def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton()
-
-    def add(self, words: list[bytes], owners: list) -> None:
-        number = self.number
-        ids = [number.setdefault(w, len(number) + 1) for w in words]
-        self.automaton.add_word(self._string(np.array(ids, np.int64)), (len(ids), tuple(owners)))
-
-    @staticmethod
-    def _string(ids: np.ndarray) -> str:
-        pair = np.empty((len(ids), 2), np.uint32)
-        pair[:, 0], pair[:, 1] = 256 + (ids >> 8), ids & 255
-        pair[:, 0] += np.where(pair[:, 0] >= 0xD800, 0x800, 0).astype(np.uint32)  # past the surrogates
-        return pair.astype("<u4").tobytes().decode("utf-32-le")
-
-    def covered(self, words: list[bytes], doc_id: int | None, size: int) -> np.ndarray:
-        """Which words a window covers that a smaller id owns (any id, where the document has none)."""
-        edge = np.zeros(len(words) + 1, np.int64)
-        get = self.number.get
-        ids = np.array([get(w, 0) for w in words], np.int64)
-        for end, (n, owners) in self.automaton.iter(self._string(ids)):
-            start = (end + 1) // 2 - n
-            for j, owner in enumerate(owners):
-                if owner is not None and (doc_id is None or owner < doc_id):
-                    edge[start + j] += 1
-                    edge[start + j + size] -= 1
-        return np.cumsum(edge[:-1]) > 0
+
+def _string(ids: np.ndarray) -> str:
+    """Word numbers as text, two characters a word, so that no node of an automaton has many children."""
+    pair = np.empty((len(ids), 2), np.uint32)
+    pair[:, 0], pair[:, 1] = 256 + (ids >> 8), ids & 255
+    pair[:, 0] += np.where(pair[:, 0] >= 0xD800, 0x800, 0).astype(np.uint32)  # past the surrogates
+    return pair.astype("<u4").tobytes().decode("utf-32-le")
 
 
 def _spans(gone: np.ndarray) -> list[dict]:
@@ -260,36 +300,73 @@ def _spans(gone: np.ndarray) -> list[dict]:
     return [{"start": a, "length": z - a} for a, z in zip(edge[::2], edge[1::2])]
 
 
-class _Shard:
+class Shard:
     """The passages and documents of one shard; equal rows are held once."""
 
     def __init__(self):
         self.passages: dict[int, list] = {}
         self.docs: dict[tuple, list] = {}
 
+    def add_passage(self, r1: int, start: int, owners: list) -> None:
+        self.passages.setdefault(r1, []).append((start, owners))
+
+    def add_document(self, r1: int, doc_id: int | None, text: str | None) -> None:
+        self.docs.setdefault((r1, doc_id), [text, 0])[1] += 1
+
+    def _compile(self, texts: dict, size: int) -> ahocorasick.Automaton:
+        """The automaton of all passages; contexts that follow each other are one passage."""
+        found: dict[str, list] = {}
+        for (r1, _), text in texts.items():
+            first, joined = 0, []
+            for start, owners in [*sorted(self.passages.pop(r1, ())), (-1, ())]:
+                if joined and start == first + len(joined):
+                    joined += owners
+                    continue
+                if joined:
+                    passage = text[2 * first:2 * (first + len(joined) + size - 1)]
+                    known = found.setdefault(passage, joined)
+                    if known is not joined:  # elsewhere it loses other windows
+                        found[passage] = [o if o is not None else n for o, n in zip(known, joined)]
+                first, joined = start, list(owners)
+        automaton = ahocorasick.Automaton()
+        for passage, owners in found.items():
+            automaton.add_word(passage, (len(passage) // 2, owners, None if None in owners else max(owners)))
+        automaton.make_automaton()
+        return automaton
+
     def rows(self, size: int):
         """(id, number of words, removed spans, kept text) of every document."""
-        compiled, seen = PassageAutomaton(), set()
         split = {key: (text or "").encode().split() for key, (text, _) in self.docs.items()}
-        for (r1, _), words in split.items():
-            for start, owners in self.passages.pop(r1, ()):
-                passage = words[start:start + size + len(owners) - 1]
-                # equal passages can lose different windows to their documents: the one with most owners tells all
-                seen.add((b" ".join(passage), tuple(owners)))
-        best: dict[bytes, list] = {}
-        for passage, owners in seen:
-            known = best.setdefault(passage, list(owners))
-            best[passage] = [a if a is not None else o for a, o in zip(known, owners)]
-        for passage, owners in best.items():
-            compiled.add(passage.split(b" "), owners)
-        if best:
-            compiled.automaton.make_automaton()
+        if not self.passages:
+            for key, words in split.items():
+                yield from [(key[1], len(words), [], b" ".join(words).decode())] * self.docs[key][1]
+            return
+        number: dict[bytes, int] = {}
+        flat = [number.setdefault(w, len(number)) for words in split.values() for w in words]
+        text, at, texts = _string(np.array(flat, np.int64)), 0, {}
+        for key, words in split.items():
+            texts[key] = text[2 * at:2 * (at + len(words))]
+            at += len(words)
+        automaton = self._compile(texts, size)
         for key, words in split.items():
-            gone = compiled.covered(words, key[1], size) if best and len(words) >= size else np.zeros(len(words), bool)
-            kept = [w for w, x in zip(words, gone.tolist()) if not x] if gone.any() else words
-            row = (key[1], len(words), _spans(gone), b" ".join(kept).decode())
-            for _ in range(self.docs[key][1]):
-                yield row
+            doc_id, edge = key[1], None
+            for end, (n, owners, most) in automaton.iter(texts[key]):
+                if edge is None:
+                    edge = [0] * (len(words) + 1)
+                start = (end + 1) // 2 - n
+                if most is not None and (doc_id is None or most < doc_id):
+                    edge[start] += 1
+                    edge[start + n] -= 1
+                    continue
+                for j, owner in enumerate(owners, start):
+                    if owner is not None and (doc_id is None or owner < doc_id):
+                        edge[j] += 1
+                        edge[j + size] -= 1
+            removed, kept = [], words
+            if edge is not None:
+                gone = np.cumsum(edge[:-1]) > 0
+                removed, kept = _spans(gone), [w for w, x in zip(words, gone.tolist()) if not x]
+            yield from [(doc_id, len(words), removed, b" ".join(kept).decode())] * self.docs[key][1]
 
 
 def _stream(size: int):
@@ -301,7 +378,7 @@ def _stream(size: int):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, span),
                                            pa.array(kept, pa.string())], names=["id", "n_words", "removed", "kept"])
 
-    def results(shard: _Shard):
+    def results(shard: Shard):
         rows, held = [], 0
         for row in shard.rows(size):
             rows.append(row)
@@ -313,16 +390,16 @@ def _stream(size: int):
             yield batch(rows)
 
     def run(batches):
-        number, shard = None, _Shard()
+        number, shard = None, Shard()
         for b in batches:
             for at, kind, r1, i, text, start, owners in zip(*(c.to_pylist() for c in b.columns)):
                 if at != number:
                     yield from results(shard)
-                    number, shard = at, _Shard()
+                    number, shard = at, Shard()
                 if kind == _PASSAGE:
-                    shard.passages.setdefault(r1, []).append((start, owners))
+                    shard.add_passage(r1, start, owners)
                 else:
-                    shard.docs.setdefault((r1, i), [text, 0])[1] += 1
+                    shard.add_document(r1, i, text)
         yield from results(shard)
     return run
 
@@ -371,9 +448,8 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = (base.mapInArrow(_contexts(size, group, None, ways), _STREAM)
                  .join(anchors.select("anchor"), "anchor", "left_semi"))
     if ways:
-        owned = (base.select("id", "t").mapInArrow(_heavy_windows(size, group, ways), "anchor long, key long, id long")
-                 .groupBy("anchor", "key").agg(F.min("id").alias("owner"), F.count("*").alias("n"))
-                 .where((F.col("n") > 1) & F.col("owner").isNotNull()))
+        owned = (base.select("id", "t").mapInArrow(_heavy_windows(size, group, ways), "anchor long, key long, least long, most long")
+                 .groupBy("anchor", "key").agg(F.min("least").alias("owner"), F.max("most").alias("most")))
         salts = F.explode(F.sequence(F.lit(0), F.col("ways").cast("int") - 1)).alias("salt")
         shared = F.broadcast(spark.createDataFrame(list(ways.items()), "anchor long, ways long"))
         little = F.expr("reverse(unhex(lpad(hex(key), 16, '0')))")  # a key's bytes as numpy writes them
