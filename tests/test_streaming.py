@@ -13,7 +13,9 @@ from tests.compare import compare
 from tidepool.streaming.catalog import STREAM_ORACLE_SQL, STREAM_QUERIES
 from tidepool.streaming.operators import (flag_members_refreshed, processing_time_window, stream_city_changes,
                                           stream_rolling)
-from tidepool.streaming.runners import LateRowsDropped, read_back, run_to_parquet
+from tidepool.plans.catalog import EVENT_ORDER
+from tidepool.streaming.ordered import activity_step, city_step, hold, rolling_step, run_in_order
+from tidepool.streaming.runners import LateRowsDropped, event_stream, read_back, run_to_parquet
 
 SCHEMA = "seller_id string, product string, quantity int, product_price double, sale_ts bigint"
 T0 = int(dt.datetime(2024, 1, 1).timestamp() * 1000)
@@ -298,16 +300,89 @@ def _overlapping(scratch, part_rows):
     return f"{scratch}/sf"
 
 
+CLOSING = (99, 100_000, 1, "z", 1.0)  # far in the future: the watermark passes all rows before
+
+
 @pytest.mark.parametrize("name", ["stream_rolling_sums", "stream_alerts"])
-def test_part_files_that_overlap_within_the_delay_fail_per_record_queries(spark, scratch, one_file_per_trigger, name):
+def test_part_files_that_overlap_within_the_delay_come_in_event_order(spark, scratch, one_file_per_trigger, name):
     # event 3 stands between 1 and 2 but comes a micro-batch later, inside the 5 s that the watermark allows
-    sf = _overlapping(scratch, [[(1, 0, 7, "a", 1.0), (2, 3, 7, "a", 2.0)], [(3, 1, 7, "b", 4.0), (4, 2, 7, "a", 8.0)]])
-    with pytest.raises(LateRowsDropped, match="event_id"):
-        STREAM_QUERIES[name](spark, sf)
+    sf = _overlapping(scratch, [[(1, 0, 7, "a", 1.0), (2, 3, 7, "a", 2.0)], [(3, 1, 7, "b", 4.0), (4, 2, 7, "a", 8.0)],
+                                [(5, 4, 7, "b", 1.0), (6, 2, 8, "b", 1.0)], [CLOSING]])
+    got = STREAM_QUERIES[name](spark, sf).toPandas()
+    con = duckdb.connect()
+    for t, path in (("events", "events.parquet/*.parquet"), ("customer", "customer.parquet"), ("supplier", "supplier.parquet")):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{path}')")
+    ok, msg = compare(got, con.execute(STREAM_ORACLE_SQL[name]).df())
+    assert ok, msg
+    if name == "stream_rolling_sums":
+        assert sorted(zip(got["event_id"], got["running_count"], got["running_sum"])) == [
+            (1, 1, 100), (2, 3, 1100), (3, 1, 400), (4, 2, 900), (5, 3, 600), (6, 2, 500)]
+
+
+def test_rows_later_than_the_delay_fail_event_order(spark, scratch, one_file_per_trigger):
+    sf = _overlapping(scratch, [[(1, 0, 7, "a", 1.0)], [(2, 5000, 7, "a", 2.0)], [(3, 9000, 7, "a", 2.0)], [(4, 1, 7, "a", 8.0)],
+                                [CLOSING]])
+    with pytest.raises(LateRowsDropped):
+        STREAM_QUERIES["stream_rolling_sums"](spark, sf)
 
 
 def test_ties_of_time_over_micro_batches_go_by_the_tie_breaker(spark, scratch, one_file_per_trigger):
-    sf = _overlapping(scratch, [[(2, 3, 7, "a", 2.0), (1, 3, 7, "a", 1.0)], [(4, 3, 7, "a", 8.0), (9, 1, 7, "b", 1.0)]])
+    sf = _overlapping(scratch, [[(2, 3, 7, "a", 2.0), (1, 3, 7, "a", 1.0)], [(4, 3, 7, "a", 8.0), (9, 1, 7, "b", 1.0)], [CLOSING]])
     got = STREAM_QUERIES["stream_rolling_sums"](spark, sf).collect()
     assert sorted((r["event_id"], r["running_count"], r["running_sum"]) for r in got) == [
         (1, 1, 100), (2, 2, 300), (4, 3, 1100), (9, 1, 100)]
+
+
+def _ordered_run(spark, src, out):
+    ev = event_stream(spark, src, max_files_per_trigger=1).withWatermark("evt", "5 seconds").select(
+        "user_id", "event_type", *EVENT_ORDER, "evt", F.col("value").cast("bigint").alias("v"))
+    return run_in_order(hold(ev, "evt", EVENT_ORDER), "ordered", {
+        "sums": rolling_step(["user_id"], EVENT_ORDER, "v"),
+        "moves": city_step("user_id", "evt", "1 day", "event_type", EVENT_ORDER, [], 2),
+        "busy": activity_step("user_id", "evt", "1 day", EVENT_ORDER, ["user_id", "event_id"], 2)}, path=out)
+
+
+def test_a_later_run_and_a_repeated_batch_go_on_from_what_was_carried(spark, scratch):
+    day = 86_400
+    rows = [(i, 700 * i, i % 3, "abca"[i % 4], float(i)) for i in range(1, 300)]
+    sf = _overlapping(scratch, [rows[:100], rows[100:150]])
+    first = {k: v.count() for k, v in _ordered_run(spark, sf, f"{scratch}/out").items()}
+    more = pd.DataFrame([(e, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), u, t, v, '{"k": 1}')
+                         for e, s, u, t, v in [*rows[150:], (998, 8 * day, 5, "z", 0.0), (999, 9 * day, 5, "z", 0.0)]],
+                        columns=["event_id", "ts", "user_id", "event_type", "value", "props"])
+    more.to_parquet(f"{sf}/events.parquet/part-900.parquet", index=False, coerce_timestamps="us")
+    # the last micro-batch is forgotten, as if the run had died before its commit: it is repeated
+    commits = sorted((int(c) for c in os.listdir(f"{scratch}/out/_checkpoint/commits") if c.isdigit()))
+    for at in (f"{scratch}/out/_checkpoint/commits/{commits[-1]}", f"{scratch}/out/_checkpoint/commits/.{commits[-1]}.crc"):
+        if os.path.exists(at):
+            os.remove(at)
+    got = _ordered_run(spark, sf, f"{scratch}/out")
+    want_sums, want_moves, per_day = [], [], {}
+    for user in range(3):
+        n = total = 0
+        last, changes, today = None, 0, None
+        for e, s, u, t, v in rows:
+            if u != user:
+                continue
+            n, total = n + 1, total + int(v)
+            want_sums.append((e, n, total))
+            if s // day != today:
+                last, changes, today = None, 0, s // day
+            changes += last is not None and t != last
+            last = t
+            if changes >= 2:
+                want_moves.append((e, changes))
+            per_day.setdefault((user, s // day), []).append(e)
+    assert sorted((r["event_id"], r["running_count"], r["running_sum"]) for r in got["sums"].collect()
+                  if r["user_id"] < 5) == sorted(want_sums)
+    assert sorted((r["event_id"], r["n_changes"]) for r in got["moves"].collect()) == sorted(want_moves)
+    assert sorted((r["user_id"], r["event_id"], r["n"]) for r in got["busy"].collect()) == sorted(
+        (u, es[0], len(es)) for (u, _), es in per_day.items() if len(es) > 2)
+    assert 0 < first["sums"] < len(want_sums)
+
+
+def test_event_order_queries_run_without_python(spark, scratch):
+    sf = _overlapping(scratch, [[(1, 0, 7, "a", 1.0)], [CLOSING]])
+    ev = event_stream(spark, sf).withWatermark("evt", "5 seconds")
+    plan = hold(ev, "evt", EVENT_ORDER)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan

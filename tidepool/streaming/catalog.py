@@ -9,11 +9,10 @@ and closes with a no-data batch that advances the watermark.
 Contract for disorder: rows of later micro-batches may be older than rows of
 earlier ones by no more than the watermark delay.  A run in which any row was
 dropped as late raises instead of returning a short result.  The per-record
-queries (``stream_rolling_sums`` and the city changes of ``stream_alerts``) write
-a row as it comes, so they bear no disorder of a key's rows between micro-batches
-and raise at the first such row.  A table whose part
-files are not split by time has to fit one micro-batch (see the rate limits in
-``runners``) or be given a longer delay.
+queries (``stream_rolling_sums`` and the city changes of ``stream_alerts``) hold
+rows back until the watermark has passed their ten minutes and write them in event
+order.  A table whose part files are not split by time has to fit one
+micro-batch (see the rate limits in ``runners``) or be given a longer delay.
 """
 
 from __future__ import annotations
@@ -31,7 +30,8 @@ from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW,
                              EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
                              SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
-from .operators import flag_members_refreshed, stream_city_changes, stream_rolling
+from .operators import flag_members_refreshed
+from .ordered import activity_step, city_step, hold, rolling_step, run_in_order
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
 from .stateful import PreviousWindowDelta, WindowReport
 
@@ -140,39 +140,33 @@ def stream_window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four rules on a stream: membership (stateless; the lists are read
-    again for every micro-batch), the windowed activity rule (emitted when its
-    window closes) and the city-change rule (emitted per transaction)."""
-    ev = _stream(spark, sf_dir)
-    txns = ev.select(*TXN_COLS, "evt")
-
+    again for every micro-batch), and over one more read of the feed, in event
+    order, the windowed activity rule (emitted when its window closes) and the
+    city-change rule (emitted per transaction)."""
     def lists(session: SparkSession):
         return [("user_id", _alarmed(session, sf_dir), "c_custkey", rules.RULE_ALARMED),
                 ("user_id", _lost(session, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)]
 
     members = flag_members_refreshed(event_stream(spark, sf_dir).select(*TXN_COLS), lists, TXN_COLS)
-    per_window = windows.tumbling(txns, "evt", ACTIVITY_WINDOW, ["user_id"], {
-        "n": F.count(F.lit(1)),
-        "_first": windows.first_by([c for c in TXN_COLS if c != "user_id"], EVENT_ORDER)})
-    busy = per_window.where(F.col("n") > ACTIVITY_THRESHOLD).select(
-        F.lit(rules.RULE_EXCESSIVE).alias("rule"),
-        *[(F.col(c) if c == "user_id" else F.col(f"_first.{c}")).alias(c) for c in TXN_COLS],
-        instant_to_ntz("window_start").alias("window_start"), F.col("n").cast("bigint").alias("n"))
-    busy = read_back(spark, run_to_parquet(busy, "stream_alerts_busy", "append", fail_on_late=True), busy.schema)
-    moves = stream_city_changes(txns, "user_id", "evt", CITY_WINDOW, "event_type", EVENT_ORDER,
-                                TXN_COLS, CITY_MIN_CHANGES)
-    moves = moves.select(F.lit(rules.RULE_CITY_CHANGE).alias("rule"), *TXN_COLS,
-                         instant_to_ntz("window_start").alias("window_start"), F.col("n_changes").alias("n"))
-    moves = read_back(spark, run_to_parquet(moves, "stream_alerts_moves", "append", fail_on_late=True), moves.schema)
-    return rules.union_alerts(members, busy, moves)
+    txns = hold(_stream(spark, sf_dir).select(*TXN_COLS, "evt"), "evt", EVENT_ORDER)
+    alerts = run_in_order(txns, "stream_alerts", {
+        "busy": activity_step("user_id", "evt", ACTIVITY_WINDOW, EVENT_ORDER, TXN_COLS, ACTIVITY_THRESHOLD),
+        "moves": city_step("user_id", "evt", CITY_WINDOW, "event_type", EVENT_ORDER, TXN_COLS, CITY_MIN_CHANGES)})
+
+    def flagged(name: str, rule: str, n: str) -> DataFrame:
+        return alerts[name].select(F.lit(rule).alias("rule"), *TXN_COLS,
+                                   instant_to_ntz("window_start").alias("window_start"), F.col(n).cast("bigint").alias("n"))
+
+    return rules.union_alerts(members, flagged("busy", rules.RULE_EXCESSIVE, "n"),
+                              flagged("moves", rules.RULE_CITY_CHANGE, "n_changes"))
 
 
 def stream_rolling_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-record running count and sum (in cents) per event type."""
-    S.configure(spark)
-    ev = event_stream(spark, sf_dir).select("event_type", *EVENT_ORDER,
-                                            (money() * 100).cast("bigint").alias("cents"))
-    out = run_to_parquet(stream_rolling(ev, ["event_type"], EVENT_ORDER, "cents"), "stream_rolling_sums")
-    return read_back(spark, out)
+    """Per-record running count and sum (in cents) per event type, in event order."""
+    ev = _stream(spark, sf_dir).select("event_type", *EVENT_ORDER, "evt", (money() * 100).cast("bigint").alias("cents"))
+    out = run_in_order(hold(ev, "evt", EVENT_ORDER), "stream_rolling_sums",
+                       {"sums": rolling_step(["event_type"], EVENT_ORDER, "cents")})
+    return out["sums"].select("event_type", *EVENT_ORDER, "running_count", "running_sum")
 
 
 def stream_event_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +191,9 @@ def _closed(sql: str, end_col: str = "window_end") -> str:
             f"(SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'")
 
 
+# rows whose ten minutes the final watermark has passed
+RELEASED = "time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'"
+
 STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
     "stream_sliding": stream_sliding,
@@ -217,9 +214,9 @@ STREAM_ORACLE_SQL = {
     "stream_alerts": (f"{ORACLE_SQL['flag_alarmed']} UNION ALL {ORACLE_SQL['flag_lost_card']} UNION ALL "
                       f"SELECT * FROM ({ORACLE_SQL['excessive_activity']}) WHERE window_start + "
                       f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds' "
-                      f"UNION ALL {ORACLE_SQL['city_change_alerts']}"),
+                      f"UNION ALL SELECT * FROM ({ORACLE_SQL['city_change_alerts']}) WHERE {RELEASED}"),
     "stream_rolling_sums": (f"SELECT event_id, ts, event_type, running_count, CAST(round(running_sum * 100) AS BIGINT) "
-                            f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']})"),
+                            f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']}) WHERE {RELEASED}"),
     "stream_event_join": """
         SELECT p.user_id, p.event_id AS purchase_id, e.event_id AS error_id, p.ts AS purchase_ts, e.ts AS error_ts
         FROM events p JOIN events e ON p.user_id = e.user_id

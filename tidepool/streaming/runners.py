@@ -7,13 +7,14 @@ from the commit log instead of starting over.
 
 from __future__ import annotations
 
-import json
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import session as S
 from ..functions.time import ntz_to_instant
@@ -80,13 +81,50 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
               .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
 
 
-def rows_dropped(query) -> int:
-    """Rows that stateful operators dropped as late, over the kept progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        report = p if isinstance(p, dict) else json.loads(p.json)
-        total += sum(op.get("numRowsDroppedByWatermark", 0) for op in report.get("stateOperators", []))
-    return total
+class _LateRows(StreamingQueryListener):
+    """Rows that one query's stateful operators drop as late, summed over all its progress reports."""
+
+    def __init__(self) -> None:
+        self.by_run: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        with self.changed:
+            run = str(event.progress.runId)
+            self.by_run[run] = self.by_run.get(run, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def of(self, run: str, timeout_s: float = 60.0) -> int:
+        """Late rows of an ended run, once all its reports are in."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: run in self.ended, timeout_s):
+                raise RuntimeError("the query's end was not reported; late rows are not known")
+            return self.by_run.get(run, 0)
+
+
+def late_rows(spark: SparkSession, writer, folder: str | None = None, timeout_s: float | None = None) -> int:
+    """Start a stream writer, wait for its end and return the rows that it dropped as late."""
+    listener = _LateRows()
+    spark.streams.addListener(listener)
+    try:
+        query = writer.start(folder) if folder else writer.start()
+        query.awaitTermination(timeout_s)
+        if query.exception() is not None:
+            raise query.exception()
+        if query.isActive:  # the timeout came first
+            return 0
+        return listener.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
@@ -102,23 +140,18 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     """
     spark = df.sparkSession
     out = path or S.scratch_path(spark, name)
-    if fail_on_late:
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     writer = (df.writeStream.format("parquet").outputMode(output_mode)
               .option("checkpointLocation", f"{out}/_checkpoint")
               .trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(out)
     try:
-        query.awaitTermination(timeout_s)
-        if query.exception() is not None:
-            raise query.exception()
+        late = late_rows(spark, writer, out, timeout_s)
     except StreamingQueryException as failed:
         if (said := re.search(rf"{LateRowsDropped.__name__}: (.*)", str(failed))) is None:
             raise
         raise LateRowsDropped(f"{name}: {said[1]}") from failed
-    if fail_on_late and (late := rows_dropped(query)):
+    if fail_on_late and late:
         raise LateRowsDropped(f"{name}: {late} rows came later than the watermark delay; "
                               "raise the delay or the rate limit, or order the files by time")
     return out
@@ -145,4 +178,4 @@ def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return reader.parquet(folder)
 
 
-__all__ = ["use_rocksdb_state", "event_stream", "rows_dropped", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]
+__all__ = ["use_rocksdb_state", "event_stream", "late_rows", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]
