@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from .. import session as S
 from ..functions import json as J
+from ..functions.money import money
 from ..functions.parse import (AMOUNT_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE, TICK_LINE, key_by_field, parse_lines,
                                split_fields)
 from ..functions.render import alert_line
@@ -34,7 +35,6 @@ from ..sources.tables import events, table
 
 EVENT_ORDER = ["ts", "event_id"]
 TXN_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
-MONEY = "decimal(12,2)"
 
 # Window widths, thresholds and gaps of the catalogue.
 REVENUE_WINDOW = "1 hour"
@@ -50,14 +50,6 @@ DISTINCT_BELOW = 5.0
 WATERMARK = "5 seconds"
 
 
-def money(col: str = "value"):
-    """The amount as exact cents; an amount with a part of a cent is an error, not rounded."""
-    v = F.col(col)
-    whole = F.abs(v * 100 - F.round(v * 100)) < 1e-4
-    return F.when(v.isNull() | whole, v.cast(MONEY)).otherwise(
-        F.raise_error(F.concat(F.lit(f"{col} has a part of a cent: "), v.cast("string"))).cast(MONEY))
-
-
 def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.configure(spark)
     return events(spark, sf_dir)

@@ -8,7 +8,8 @@ the distributed plans against the obvious formulation.
 from __future__ import annotations
 
 VOL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
-MONEY = "CAST(value AS DECIMAL(12,2))"
+# the stored digits, whatever their number: nothing is rounded to cents here
+MONEY = "CAST(CAST(value AS VARCHAR) AS DECIMAL(18,6))"
 EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
 
 
@@ -86,7 +87,7 @@ FROM orders WHERE o_orderstatus = 'F'
 
 _AVG_PICKUP = """
 SELECT o_orderkey, o_custkey,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) OVER w AS DOUBLE) / CAST(COUNT(*) OVER w AS DOUBLE) AS avg_price
+       CAST(SUM(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18,6))) OVER w AS DOUBLE) / CAST(COUNT(*) OVER w AS DOUBLE) AS avg_price
 FROM orders WHERE o_orderstatus = 'F'
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """

@@ -12,14 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as S
+from ..functions.money import money
 from ..sources.tables import events
 
-_REVENUE = "CAST(SUM(CAST(value AS DECIMAL(12,2)) * volume) AS DOUBLE)"
+_REVENUE = "CAST(SUM(amount * volume) AS DOUBLE)"
 
 
 def _view(spark: SparkSession, sf_dir: str) -> None:
     S.configure(spark)
-    events(spark, sf_dir).createOrReplaceTempView("salesitems")
+    events(spark, sf_dir).withColumn("amount", money()).createOrReplaceTempView("salesitems")
 
 
 def tumbling_revenue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
