@@ -4,8 +4,8 @@ Conventions of the whole subpackage:
 
 * words are maximal runs of ``[^\\x20\\x09-\\x0D]``, lower-casing touches A-Z only;
 * a null text counts as an empty one unless an operator says otherwise;
-* columns an operator adds for its own use start with ``__``, so columns of
-  the input with clashing names stay untouched;
+* columns an operator adds to rows of the input get names that the input does
+  not use (``unused``), so clashing names stay untouched;
 * an intermediate result that is read more than once, or that ends a long
   lineage, is written below ``spark.checkpoint.dir`` and read back.
 """
@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import configure, scratch_path
 
@@ -54,6 +55,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered_copies(df: DataFrame, key: list[str], name: str, counted: DataFrame | None = None, shares: int = 1024) -> DataFrame:
+    """``df`` with ``name``: 1, 2, ... among the rows that are equal in ``key`` (and so may be numbered in any order).
+
+    ``key`` has no nulls.  A group of at least a ``shares``-th of all rows (there
+    are at most ``shares``) is numbered in two steps, so that it is not in one
+    task: within salts, written first, and from where the salts before end.
+    ``counted`` may be a slimmer table with the same keys, to count them."""
+    counted = df if counted is None else counted
+    least = max(2, shares, -(-counted.count() // shares))
+    heavy = counted.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*key).collect()
+    plain = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    if not heavy:
+        return df.withColumn(name, plain)
+    heavy = F.broadcast(df.sparkSession.createDataFrame(heavy, df.select(*key).schema))
+    salt, before, n = unused(df, "salt"), unused(df, "before"), unused(df, "n")
+    salted = materialize(df.join(heavy, key, "left_semi").select(*df.columns).withColumn(
+        salt, F.pmod(F.monotonically_increasing_id(), F.lit(4 * shares)).cast("int")), "copies")
+    ahead = Window.partitionBy(*key).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (salted.groupBy(*key, salt).agg(F.count("*").alias(n))  # a row per group and salt
+              .select(*key, salt, F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(before)))
+    within = F.row_number().over(Window.partitionBy(*key, salt).orderBy(*key))
+    dealt = (salted.withColumn(name, within).join(starts, [*key, salt])
+             .withColumn(name, (F.col(name) + F.col(before)).cast("int")).select(*df.columns, name))
+    return df.join(heavy, key, "left_anti").select(*df.columns).withColumn(name, plain).unionByName(dealt)
+
+
 def row_key(*cols: Column) -> tuple[Column, Column]:
     """128-bit identity of a row's values as two longs; never null."""
     parts = [x for c in cols for x in (c.isNull(), c)]

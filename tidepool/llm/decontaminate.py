@@ -22,17 +22,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, unused
 
 ERROR_RATE = 0.08
 MIN_CHARS = 1
-WORD_CHARS = 12  # items of up to so many characters without a budget stand as whole words
+WORD_CHARS = 12  # the filter stage counts items of up to so many characters only where they stand as whole words
 BLOCK_CHARS = 1 << 20
 _IN_WORD = regex.compile(r"[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]",
                          regex.V1)  # not of scripts that write words without blanks
 
-_LEAKS = "array<struct<item_id: bigint, distance: int, item_chars: int>>"
-
 
 def normalise(text: str | None) -> str:
     """Lower case, white space runs as one blank, none at the ends."""
@@ -69,6 +67,16 @@ def _whole(text: str, lo: int, hi: int) -> bool:
     return not any(0 < at < len(text) and _IN_WORD.match(text[at - 1]) and _IN_WORD.match(text[at]) for at in (lo, hi))
 
 
+def _stands_whole(text: str, item: str) -> bool:
+    """Some occurrence of ``item`` cuts no word."""
+    at = text.find(item)
+    while at >= 0:
+        if _whole(text, at, at + len(item)):
+            return True
+        at = text.find(item, at + 1)
+    return False
+
+
 class ItemMatcher:
     """Finds all items of one block in a text."""
 
@@ -90,19 +98,19 @@ class ItemMatcher:
         if self.items:
             self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int, int, int]]:
-        """(item id, smallest distance, item characters) of every item within its budget."""
+    def find(self, text: str) -> list[tuple]:
+        """(item id, smallest distance, item characters, whole word) of every item within its budget."""
         if not self.items or not text:
             return []
         starts: dict[int, set[int]] = {}
-        words: set[int] = set()
+        exact: dict[int, bool] = {}  # items without a budget: does one stand as whole words
         for end, (size, owners) in self.automaton.iter(text):
             for item, offset in owners:
-                if self.items[item][2] > WORD_CHARS or self.items[item][3]:
+                if self.items[item][3]:
                     starts.setdefault(item, set()).add(end - size + 1 - offset)
-                elif item not in words and _whole(text, end - size + 1, end + 1):
-                    words.add(item)
-        found = [(self.items[item][0], 0, self.items[item][2]) for item in words]
+                elif not exact.get(item):
+                    exact[item] = _whole(text, end - size + 1, end + 1)
+        found = [(self.items[item][0], 0, self.items[item][2], whole) for item, whole in exact.items()]
         for item, at in starts.items():
             item_id, whole, m, k, bits = self.items[item]
             best = k + 1
@@ -112,8 +120,8 @@ class ItemMatcher:
                 if not best:
                     break
             if best <= k:
-                found.append((item_id, best, m))
-        return sorted(found)
+                found.append((item_id, best, m, None if best else _stands_whole(text, whole)))
+        return sorted(found, key=lambda f: (f[0] is None, f[0]))
 
 
 def _windows(starts: list[int], k: int):
@@ -130,16 +138,16 @@ def _windows(starts: list[int], k: int):
 _MATCHERS: dict[int, ItemMatcher] = {}
 
 
-def _leaks_of(shipped, rate: float):
+def _leaks_of(shipped, rate: float, id_type: str):
     """A column function for one block of items."""
-    @F.pandas_udf(_LEAKS)
+    @F.pandas_udf(f"array<struct<item_id: {id_type}, distance: int, item_chars: int, whole_word: boolean>>")
     def leaks(texts: pd.Series) -> pd.Series:
         key = shipped.id if hasattr(shipped, "id") else id(shipped)
         if key not in _MATCHERS:
             _MATCHERS.clear()
             _MATCHERS[key] = ItemMatcher(shipped.value, rate)
         find = _MATCHERS[key].find
-        return pd.Series([[{"item_id": i, "distance": d, "item_chars": m} for i, d, m in find(normalise(t))]
+        return pd.Series([[{"item_id": i, "distance": d, "item_chars": m, "whole_word": w} for i, d, m, w in find(normalise(t))]
                           for t in texts], dtype=object)
 
     return leaks
@@ -148,7 +156,7 @@ def _leaks_of(shipped, rate: float):
 def _blocks(items: DataFrame, item_id: str, item_text: str, min_chars: int):
     """Normalised items, in blocks of about ``BLOCK_CHARS`` characters."""
     block, size = [], 0
-    for r in items.select(F.col(item_id).cast("long"), F.col(item_text)).orderBy(item_id).toLocalIterator():
+    for r in items.select(F.col(item_id), F.col(item_text)).orderBy(item_id).toLocalIterator():
         text = normalise(r[1])
         if len(text) < min_chars:
             continue
@@ -165,7 +173,8 @@ def leak_columns(docs: DataFrame, items: DataFrame, text_col: str = "text", item
                  item_text: str = "text", rate: float = ERROR_RATE, min_chars: int = MIN_CHARS) -> list[Column]:
     """One array column of leaks per block of items, to select from ``docs``."""
     sc = docs.sparkSession.sparkContext
-    return [_leaks_of(sc.broadcast(block), rate)(F.col(text_col)) for block in _blocks(items, item_id, item_text, min_chars)]
+    id_type = items.schema[item_id].dataType.simpleString()
+    return [_leaks_of(sc.broadcast(block), rate, id_type)(F.col(text_col)) for block in _blocks(items, item_id, item_text, min_chars)]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -173,17 +182,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document row and benchmark item that it contains.
 
-    Columns: the id, ``item_id``, ``distance`` (smallest edit distance of the
-    normalised item to any substring of the normalised text, at most
-    ``floor(rate * item_chars)``) and ``item_chars``.  Both sides are
-    lower-cased with white space collapsed.  Items of up to ``WORD_CHARS``
-    characters with no budget count where they stand as whole words (letters and
-    digits of scripts written with blanks do not go on over their ends).  Empty
-    items, and those shorter than ``min_chars`` where a caller sets it, match
-    nothing; null or empty texts contain nothing.  Repeated document or item rows give repeated
-    result rows; equal items with two ids give one row each.
+    Columns: the id, ``item_id`` (of any type that sorts), ``distance``
+    (smallest edit distance of the normalised item to any substring of the
+    normalised text, at most ``floor(rate * item_chars)``), ``item_chars`` and
+    ``whole_word``: whether an exact occurrence cuts no word at its ends
+    (letters and digits of scripts written with blanks do not go on over them),
+    null for an inexact one.  Both sides are lower-cased with white space
+    collapsed; items of every length are found by the same rule.  Empty items,
+    and those shorter than ``min_chars`` where a caller sets it, match nothing;
+    null or empty texts contain nothing.  Items with a null id are found like
+    others.  Repeated document or item rows give repeated result rows; equal
+    items with two ids give one row each.
     """
-    schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, item_id bigint, distance int, item_chars int"
+    schema = (f"{id_col} {docs.schema[id_col].dataType.simpleString()}, item_id {items.schema[item_id].dataType.simpleString()}, "
+              "distance int, item_chars int, whole_word boolean")
     cols = leak_columns(docs, items, text_col, item_id, item_text, rate, min_chars)
     found = [docs.select(F.col(id_col), F.explode(c).alias("leak")).select(id_col, "leak.*") for c in cols]
     if not found:
@@ -194,9 +206,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", rate: float = ERROR_RATE,
-                      min_chars: int = MIN_CHARS) -> DataFrame:
-    """The rows of ``docs`` that contain no benchmark item; columns as given."""
-    out = docs
+                      min_chars: int = MIN_CHARS, word_chars: int = WORD_CHARS) -> DataFrame:
+    """The rows of ``docs`` that contain no benchmark item; columns as given.
+
+    An item of up to ``word_chars`` characters counts only where it stands as
+    whole words, so that a short word among the items does not take every text
+    that holds its letters; 0 counts every occurrence."""
+    out, name = docs, unused(docs, "leaks")
     for c in leak_columns(docs, items, text_col, rate=rate, min_chars=min_chars):
-        out = out.withColumn("__leaks", c).where(F.size("__leaks") == 0).drop("__leaks")
+        counts = F.filter(name, lambda x: (x["item_chars"] > word_chars) | F.coalesce(x["whole_word"], F.lit(True)))
+        out = out.withColumn(name, c).where(F.size(counts) == 0).drop(name)
     return out
