@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, unused
 
 DEFAULT_VERDICT = "allow"
 
@@ -82,5 +82,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
                .groupBy("host", "path").agg(best)
                .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("r_verdict")))
 
-    return (at.join(winners, ["host", "path"], "left")
-            .select(*keep, "host", "path", "rule", F.coalesce("r_verdict", F.lit(default)).alias("verdict")))
+    won = unused(pages, "verdict")
+    return (at.join(winners.withColumnRenamed("r_verdict", won), ["host", "path"], "left")
+            .select(*keep, "host", "path", "rule", F.coalesce(won, F.lit(default)).alias("verdict")))
