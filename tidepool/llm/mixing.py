@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, row_key, unit_interval, word_count
+from .common import materialize, numbered_copies, row_key, unit_interval, unused, word_count
 
 # Weights of the sources in code point order, and the budgets.
 WEIGHTS = (5, 2, 1)
@@ -133,8 +133,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     k1, k2 = row_key(F.col(id_col), F.col(text_col), F.col(source_col))
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
                        k1.alias("key"), k2.alias("key2"))
-    slim = slim.withColumn("copy", F.row_number().over(Window.partitionBy("key", "key2").orderBy("key")))
-    slim = materialize(slim, "mix-sizes")
+    slim = materialize(numbered_copies(materialize(slim, "mix-rows"), ["key", "key2"], "copy"), "mix-sizes")
 
     targets = source_targets(slim, weights, total_share, most)
     targets = materialize(targets.withColumn("bin", F.xxhash64(F.lit(seed), F.col("source").isNull(), "source")), "mix-targets")
@@ -168,12 +167,12 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: every input row as often as its copies say, columns as given."""
-    plan = plan_mix(docs, id_col, text_col, source_col, **options).where(F.col("copies") > 0)
+    plan = materialize(plan_mix(docs, id_col, text_col, source_col, **options).select("key", "key2", "copy", "copies"), "mix-plan")
     # equal rows meet their copies by their number, one to one
-    per_row = plan.select(*[F.col(c).alias(f"__{c}") for c in ("key", "key2", "copy", "copies")])
+    key, key2, copy, copies, again = (unused(docs, c) for c in ("key", "key2", "copy", "copies", "again"))
+    per_row = plan.select(*[F.col(c).alias(n) for c, n in (("key", key), ("key2", key2), ("copy", copy), ("copies", copies))])
     k1, k2 = row_key(F.col(id_col), F.col(text_col), F.col(source_col))
-    numbered = docs.withColumns({"__key": k1, "__key2": k2}).withColumn(
-        "__copy", F.row_number().over(Window.partitionBy("__key", "__key2").orderBy("__key")))
-    return (numbered.join(per_row, ["__key", "__key2", "__copy"])
-            .withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    numbered = numbered_copies(docs.withColumns({key: k1, key2: k2}), [key, key2], copy, counted=per_row)
+    return (numbered.join(per_row.where(F.col(copies) > 0), [key, key2, copy])
+            .withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*docs.columns))

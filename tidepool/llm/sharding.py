@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, row_key
+from .common import materialize, numbered_copies, row_key, unused
 
 SHARDS = 24
 SEED = 91
@@ -84,8 +84,7 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     slim = docs.select(F.col(id_col).alias("id"), k1.alias("key"), k2.alias("key2"),
                        (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(F.encode(text, "utf-8")).alias("text_crc32"))
-    slim = materialize(slim.withColumn("copy", F.row_number().over(Window.partitionBy("key", "key2").orderBy("key"))),
-                       "shard-rows")
+    slim = materialize(numbered_copies(materialize(slim, "shard-sizes"), ["key", "key2"], "copy"), "shard-rows")
     n = slim.count()
     parts = min(MAX_PARTS, max(1, -(-n // PART_ROWS)))
 
@@ -118,11 +117,11 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def shuffle_into_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
                         seed: int = SEED) -> DataFrame:
     """The rows themselves with ``shard`` and ``slot`` (columns of these names are replaced)."""
-    places = assign_shards(docs, id_col, text_col, shards, seed).select(
-        *[F.col(c).alias(f"__{c}") for c in ("key", "key2", "copy", "shard", "slot")])
+    key, key2, copy, shard, slot = (unused(docs, c) for c in ("key", "key2", "copy", "shard", "slot"))
+    places = materialize(assign_shards(docs, id_col, text_col, shards, seed), "shard-places").select(
+        *[F.col(c).alias(n) for c, n in (("key", key), ("key2", key2), ("copy", copy), ("shard", shard), ("slot", slot))])
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
-    number = F.row_number().over(Window.partitionBy("__key", "__key2").orderBy("__key"))
-    return (docs.withColumns({"__key": k1, "__key2": k2}).withColumn("__copy", number)
-            .join(places, ["__key", "__key2", "__copy"])
-            .select(*keep, F.col("__shard").alias("shard"), F.col("__slot").alias("slot")))
+    return (numbered_copies(docs.withColumns({key: k1, key2: k2}), [key, key2], copy, counted=places)
+            .join(places, [key, key2, copy])
+            .select(*keep, F.col(shard).alias("shard"), F.col(slot).alias("slot")))
