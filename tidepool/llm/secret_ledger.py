@@ -116,11 +116,12 @@ def scan_versions(versions: DataFrame, ledger: str, path_col: str = "doc_id", te
     run = uuid.uuid4().hex
     texts = versions.select(F.col(path_col).cast("string").alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     texts = texts.select("path", "t", row_key(F.col("path"), F.col("t"))[0].alias("r1"), F.sha2("t", 256).alias("blob"))
-    (texts.select("path", "r1", "blob", F.lit(run).alias("run"))
-     .write.mode("append").parquet(f"{ledger}/versions"))
+    # the run's versions are listed in a folder of its own; they count once the run is complete
+    listed = texts.select("path", "r1", "blob", F.lit(run).alias("run"))
+    listed.write.parquet(f"{ledger}/started/{run}")
+    mine = spark.read.schema(listed.schema).parquet(f"{ledger}/started/{run}")
 
     # blobs with unseen (blob, rule version) pairs, with the kinds still to scan
-    mine = _table(spark, ledger, "versions", _VERSIONS).where(F.col("run") == run)
     current = rows(spark, [(r[0], r[1]) for r in rules], "kind string, version int")
     seen = (_table(spark, ledger, "scans", _SCANS).join(current, ["kind", "version"], "left_semi")
             .groupBy("blob").agg(F.collect_set("kind").alias("seen")))
@@ -134,6 +135,7 @@ def scan_versions(versions: DataFrame, ledger: str, path_col: str = "doc_id", te
         (unseen.select("blob", F.explode("todo").alias("kind")).join(current, "kind")
          .select("blob", "kind", "version", F.lit(run).alias("run"))
          .write.mode("append").parquet(f"{ledger}/scans"))
+    mine.write.mode("append").parquet(f"{ledger}/versions")
     path_type = versions.schema[path_col].dataType
     return findings_by_path(spark, ledger, rules, run).select(F.col("path").cast(path_type).alias(path_col), "blob", "spans")
 
