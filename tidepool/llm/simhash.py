@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, row_key
+from .common import materialize, row_key, unused
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -180,9 +180,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
                   max_bits: int = MAX_BITS) -> DataFrame:
     """One document of every component, columns as given: the smallest id (nulls last), of repeated rows one."""
+    r1, r2 = unused(docs, "r1"), unused(docs, "r2")
     rows = near_duplicates(docs, id_col, text_col, size, max_bits)
     best = (rows.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), "r1", "r2")).alias("b"))
-            .select(F.col("b.r1").alias("__r1"), F.col("b.r2").alias("__r2")))
+            .select(F.col("b.r1").alias(r1), F.col("b.r2").alias(r2)))
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    kept = docs.withColumns({"__r1": k1, "__r2": k2}).join(best, ["__r1", "__r2"], "left_semi")
-    return kept.dropDuplicates(["__r1", "__r2"]).select(*docs.columns)
+    kept = docs.withColumns({r1: k1, r2: k2}).join(best, [r1, r2], "left_semi")
+    return kept.dropDuplicates([r1, r2]).select(*docs.columns)
