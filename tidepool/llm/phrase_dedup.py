@@ -44,7 +44,7 @@ from .common import SPACES, materialize, row_key, slices
 WINDOW = 13
 GROUP = 6
 SHARD_BYTES = 1 << 20
-MAX_BITS = 1 << 30
+MAX_BITS = 1 << 28
 BITS_PER_ANCHOR = 12
 SHARES = 1024  # an anchor, or rows equal in id and text, are heavy from this part of all on
 _HELD = 1 << 17  # heavy windows that a task sums up
