@@ -43,9 +43,28 @@ def parse_document(col) -> Column:
     return F.try_parse_json(_c(col))
 
 
+def document_field(doc, path: str, dtype: str) -> Column:
+    """One value of a VARIANT by its path, e.g. ``$.user.id`` or ``$.tags[0]``; null where it is absent or of another type."""
+    return F.try_variant_get(_c(doc), path, dtype)
+
+
+def document_schema(doc) -> Column:
+    """Aggregate: the schema that all documents of a group fit."""
+    return F.schema_of_variant_agg(_c(doc))
+
+
+def explode_document(df: DataFrame, doc_col: str, keep: Sequence[str]) -> DataFrame:
+    """One row per field of an object or element of an array: ``keep``, ``pos``, ``key`` (null in arrays), ``value`` as JSON text.
+
+    Fields come in the order of their names.  Null and scalar documents give no row."""
+    fields = df.sparkSession.tvf.variant_explode(F.col(doc_col).outer())
+    return df.lateralJoin(fields).select(*keep, "pos", "key", F.to_json("value").alias("value"))
+
+
 def json_field(col, path: str, dtype: str = "string") -> Column:
     """Extract one field, e.g. ``json_field('props', '$.k', 'int')``."""
     return F.get_json_object(_c(col), path).cast(dtype)
 
 
-__all__ = ["decode", "encode", "to_messages", "parse_document", "json_field"]
+__all__ = ["decode", "encode", "to_messages", "parse_document", "document_field", "document_schema",
+           "explode_document", "json_field"]

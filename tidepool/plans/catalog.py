@@ -29,7 +29,7 @@ from ..functions.parse import (AMOUNT_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE,
 from ..functions.render import alert_line
 from ..functions.rowstats import row_sample_stdev, row_total
 from ..functions.time import millis_to_ts, ntz_micros, parse_ts
-from ..operators import aggregates, changes, rolling, rules, split, text, windows
+from ..operators import aggregates, changes, fold, rolling, rules, split, text, windows
 from ..operators.joins import equi_join
 from ..sources.tables import events, table
 
@@ -236,6 +236,55 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
                          key_col="user_id", timestamp_format="yyyy-MM-dd HH:mm:ss")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as nested documents; every tenth is cut short and so not a document."""
+    ev = table(spark, sf_dir, "events")
+    doc = F.format_string('{"user": {"id": %d, "kind": "%s"}, "props": %s, "tags": ["%s", %d]}',
+                          "user_id", "event_type", "props", "event_type", "event_id")
+    cut = F.when(F.col("event_id") % 10 == 0, F.substr(doc, F.lit(1), F.length(doc) - 1)).otherwise(doc)
+    return ev.select("event_id", J.parse_document(cut).alias("doc"))
+
+
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of schemaless documents by path; bad documents give nulls."""
+    return _documents(spark, sf_dir).select(
+        "event_id", J.document_field("doc", "$.user.id", "bigint").alias("user_id"),
+        J.document_field("doc", "$.user.kind", "string").alias("kind"), J.document_field("doc", "$.props.k", "int").alias("k"),
+        J.document_field("doc", "$.tags[1]", "bigint").alias("second_tag"),
+        J.document_field("doc", "$.user.kind", "int").alias("kind_as_int"))
+
+
+def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemaless documents as one row per top-level field; bad documents give none."""
+    return J.explode_document(_documents(spark, sf_dir), "doc", ["event_id"])
+
+
+# -- reduces with a merge of the user's own -----------------------------------
+
+def _rise_state():
+    """One event's share in the largest rise: lowest and highest value, and the rise from a low to a later high."""
+    return F.struct(F.col("value").alias("low"), F.col("value").alias("high"), F.lit(0.0).alias("rise"))
+
+
+def _merge_rise(a, b):
+    return F.struct(F.least(a["low"], b["low"]).alias("low"), F.greatest(a["high"], b["high"]).alias("high"),
+                    F.greatest(a["rise"], b["rise"], b["high"] - a["low"]).alias("rise"))
+
+
+def rolling_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the largest rise of its type's value so far."""
+    ev = _ev(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    out = fold.running_fold(ev, ["event_type"], EVENT_ORDER, _rise_state(), _merge_rise)
+    return out.select("event_id", "ts", "event_type", F.col("state.rise").alias("rise"))
+
+
+def window_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest rise of each event type's value per day."""
+    ev = _ev(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    out = fold.window_fold(ev, "ts", REDUCE_WINDOW, ["event_type"], EVENT_ORDER, _rise_state(), _merge_rise)
+    return out.select("event_type", "window_start", F.col("state.rise").alias("rise"), F.col("state.low").alias("low"))
+
+
 # -- change detection ------------------------------------------------------
 
 def window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +416,10 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_text": alert_text,
     "json_decode": json_decode,
     "json_encode": json_encode,
+    "json_documents": json_documents,
+    "json_fields": json_fields,
+    "rolling_rise": rolling_rise,
+    "window_rise": window_rise,
     "window_change": window_change,
     "large_delta": large_delta,
     "frequent_change": frequent_change,

@@ -308,7 +308,35 @@ ORACLE_SQL: dict[str, str] = {
     "row_stats": _ROW_STATS,
 }
 
+_RISE = """
+SELECT event_id, ts, event_type, d, value, MAX(value - low) OVER w AS rise FROM (
+    SELECT *, MIN(value) OVER w AS low FROM (SELECT *, {part} AS d FROM events)
+    WINDOW w AS (PARTITION BY event_type, d ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WINDOW w AS (PARTITION BY event_type, d ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+_DOCUMENTS = """
+SELECT event_id, CASE WHEN json_valid(doc) THEN doc END AS doc FROM (
+    SELECT event_id, '{"user": {"id": ' || user_id || ', "kind": "' || event_type || '"}, "props": ' || props
+                     || ', "tags": ["' || event_type || '", ' || event_id || ']'
+                     || CASE WHEN event_id % 10 = 0 THEN '' ELSE '}' END AS doc FROM events)
+"""
+
+_JSON_FIELDS = f"""
+SELECT d.event_id, CAST(row_number() OVER (PARTITION BY d.event_id ORDER BY f.key) - 1 AS INTEGER) AS pos, f.key AS key,
+       CAST(json(f.value) AS VARCHAR) AS value
+FROM ({_DOCUMENTS}) d, json_each(d.doc) f WHERE d.doc IS NOT NULL
+"""
+
 ORACLE_SQL.update({
+    "rolling_rise": f"SELECT event_id, ts, event_type, rise FROM ({_RISE.format(part=1)})",
+    "window_rise": f"""SELECT event_type, d AS window_start, MAX(rise) AS rise, MIN(value) AS low
+                       FROM ({_RISE.format(part=bucket('1 day'))}) GROUP BY event_type, d""",
+    "json_documents": f"""SELECT event_id, CAST(json_extract_string(doc, '$.user.id') AS BIGINT) AS user_id,
+                          json_extract_string(doc, '$.user.kind') AS kind, CAST(json_extract_string(doc, '$.props.k') AS INTEGER) AS k,
+                          CAST(json_extract_string(doc, '$.tags[1]') AS BIGINT) AS second_tag,
+                          TRY_CAST(json_extract_string(doc, '$.user.kind') AS INTEGER) AS kind_as_int FROM ({_DOCUMENTS})""",
+    "json_fields": _JSON_FIELDS,
     "tumbling_revenue_sql": _TUMBLING,
     "sliding_revenue_sql": _SLIDING,
     "session_revenue_sql": _SESSION,

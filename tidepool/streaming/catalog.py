@@ -26,12 +26,13 @@ from ..functions.time import instant_to_ntz
 from ..operators import rules, windows
 from ..operators.joins import equi_join
 from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, CITY_MIN_CHANGES,
-                             CITY_WINDOW, DELTA_THRESHOLD,
+                             CITY_WINDOW, DELTA_THRESHOLD, DISTINCT_BELOW,
                              EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
                              SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, money)
 from ..plans.oracle import ORACLE_SQL
+from .changelog import count_changes, current, distinct_changes, run_to_changelog
 from .operators import flag_members_refreshed
-from .ordered import activity_step, city_step, hold, rolling_step, run_in_order
+from .ordered import activity_step, city_step, hold, member_step, rolling_step, run_in_order
 from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
 from .stateful import PreviousWindowDelta, WindowReport
 
@@ -186,6 +187,47 @@ def stream_event_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, out)
 
 
+def stream_regular_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams joined on the user without a time bound: every signup with every purchase.
+
+    Both sides stay in the join's state for good, as the regular join that it stands for keeps them."""
+    S.configure(spark)
+    use_rocksdb_state(spark)
+
+    def of(kind: str, prefix: str) -> DataFrame:
+        return event_stream(spark, sf_dir).where(F.col("event_type") == kind).select(
+            "user_id", F.col("event_id").alias(f"{prefix}_id"))
+
+    joined = equi_join(of("signup", "signup"), of("purchase", "purchase"), "user_id")
+    return read_back(spark, run_to_parquet(joined, "stream_regular_join"))
+
+
+def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous count per user: the latest version of every key of the changelog."""
+    S.configure(spark)
+    use_rocksdb_state(spark)
+    counts = count_changes(event_stream(spark, sf_dir), ["user_id"])
+    return current(spark, run_to_changelog(counts, "stream_group_count"), ["user_id"])
+
+
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous distinct (user, event type) of small events; a key's state expires with the watermark."""
+    keys = ["user_id", "event_type"]
+    rows = _stream(spark, sf_dir).where(F.col("value") < DISTINCT_BELOW).select(*keys, "evt")
+    out = run_to_changelog(distinct_changes(rows, keys), "stream_distinct", "append")
+    return current(spark, out, keys).select(*keys)
+
+
+def stream_member_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarmed users' events, where the list changes with the stream: an error puts its user on the list,
+    a signup takes the user off, both from the next event on.  The list starts as the customers in debt."""
+    update = F.when(F.col("event_type") == "error", True).when(F.col("event_type") == "signup", False)
+    rows = hold(_stream(spark, sf_dir).select(*TXN_COLS, "evt", update.alias("on_list")), "evt", EVENT_ORDER)
+    found = run_in_order(rows, "stream_member_updates", {"members": member_step(
+        "user_id", EVENT_ORDER, "on_list", TXN_COLS, _alarmed(spark, sf_dir), "c_custkey")})
+    return found["members"].select(*TXN_COLS)
+
+
 def _closed(sql: str, end_col: str = "window_end") -> str:
     return (f"SELECT * FROM ({sql}) WHERE {end_col} <= "
             f"(SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'")
@@ -203,6 +245,10 @@ STREAM_QUERIES = {
     "stream_window_change": stream_window_change,
     "stream_rolling_sums": stream_rolling_sums,
     "stream_event_join": stream_event_join,
+    "stream_regular_join": stream_regular_join,
+    "stream_group_count": stream_group_count,
+    "stream_distinct": stream_distinct,
+    "stream_member_updates": stream_member_updates,
 }
 
 STREAM_ORACLE_SQL = {
@@ -222,4 +268,16 @@ STREAM_ORACLE_SQL = {
         FROM events p JOIN events e ON p.user_id = e.user_id
         WHERE p.event_type = 'purchase' AND e.event_type = 'error'
           AND e.ts BETWEEN p.ts - INTERVAL '1 hour' AND p.ts + INTERVAL '1 hour'""",
+    "stream_regular_join": """
+        SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id FROM events s JOIN events p ON s.user_id = p.user_id
+        WHERE s.event_type = 'signup' AND p.event_type = 'purchase'""",
+    "stream_group_count": "SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id",
+    "stream_distinct": ORACLE_SQL["distinct_where"],
+    "stream_member_updates": f"""
+        SELECT event_id, ts, user_id, event_type, value FROM (
+            SELECT *, LAST_VALUE(on_list IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+            FROM (SELECT *, CASE event_type WHEN 'error' THEN TRUE WHEN 'signup' THEN FALSE END AS on_list FROM events))
+        WHERE on_list IS NULL AND {RELEASED}
+          AND COALESCE(before, user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))""",
 }

@@ -166,4 +166,36 @@ def activity_step(key: str, time_col: str, size: str, order: Sequence[str], keep
     return step
 
 
-__all__ = ["hold", "run_in_order", "rolling_step", "city_step", "activity_step", "RELEASE", "UNTIL"]
+def member_step(key: str, order: Sequence[str], update: str, keep: Sequence[str], members: DataFrame | None = None,
+                member_key: str | None = None) -> Step:
+    """Rows whose key is a member at their place in the order; the list is changed by rows of the same stream.
+
+    A row with ``update`` true puts its key on the list and one with false takes it
+    off, from the next row on; the last update wins.  Rows without ``update`` are checked.  A
+    key without any update so far is a member if the table ``members`` has it; the table
+    is read again for every batch.  Carried: the last update of every key that had one, so the carry
+    grows with the updated keys, not with the table.  A null key is never a member."""
+    names = list(dict.fromkeys([key, *keep, *order]))
+
+    def step(rows: DataFrame, carry: DataFrame | None, until: Column) -> tuple[DataFrame, DataFrame]:
+        rows = rows.where(F.col(key).isNotNull()).select(*names, F.col(update).alias("_update"))
+        # the previous non-null update of the key, hot keys split along the order
+        found = change_counts(rows, [key], order, F.col("_update"), prev_name="_on").where(F.col("_update").isNull())
+        on = [F.col("_on")]
+        if carry is not None:
+            found = _join_carry(found, carry, [key])
+            on.append(F.col("_member"))
+        if members is not None:
+            listed = members.select(F.col(member_key).alias("_listed")).where(F.col("_listed").isNotNull()).dropDuplicates()
+            found = found.join(listed, F.col(key) == F.col("_listed"), "left")
+            on.append(F.col("_listed").isNotNull())
+        last = (rows.where(F.col("_update").isNotNull()).groupBy(key)
+                .agg(F.max_by("_update", F.struct(*order)).alias("_member")))
+        if carry is not None:
+            last = (last.withColumn("_later", F.lit(1)).unionByName(carry.withColumn("_later", F.lit(0)))
+                    .groupBy(key).agg(F.max_by("_member", "_later").alias("_member")))
+        return found.where(F.coalesce(*on, F.lit(False))).select(*names), last
+    return step
+
+
+__all__ = ["hold", "run_in_order", "rolling_step", "city_step", "activity_step", "member_step", "RELEASE", "UNTIL"]
