@@ -1,0 +1,130 @@
+"""Continuous counts, distinct rows and member lists that change with the stream."""
+
+import datetime as dt
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.plans.catalog import EVENT_ORDER
+from tidepool.streaming.changelog import (changelog, compact, count_changes, current, distinct_changes,
+                                          run_to_changelog)
+from tidepool.streaming.ordered import hold, member_step, run_in_order
+from tidepool.streaming.runners import event_stream
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def _part(folder, number, rows):
+    """One file of events (event_id, seconds, user, type, value)."""
+    os.makedirs(f"{folder}/events.parquet", exist_ok=True)
+    path = f"{folder}/events.parquet/part-{number:03d}.parquet"
+    pd.DataFrame([(e, T0 + dt.timedelta(seconds=s), u, t, float(v), '{"k": 1}') for e, s, u, t, v in rows],
+                 columns=["event_id", "ts", "user_id", "event_type", "value", "props"]) \
+        .astype({"user_id": "Int64"}).to_parquet(path, index=False, coerce_timestamps="us")
+    os.utime(path, (1_700_000_000 + 10 * number,) * 2)
+
+
+def _forget_last_commit(out):
+    """As if the run had died before its last micro-batch was committed: it is repeated."""
+    commits = f"{out}/_checkpoint/commits"
+    last = max(int(c) for c in os.listdir(commits) if c.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+
+
+def _counts(spark, src, out):
+    counts = count_changes(event_stream(spark, src, max_files_per_trigger=1), ["user_id"])
+    return run_to_changelog(counts, "counts", path=out)
+
+
+def _table(spark, out):
+    return {r["user_id"]: r["n"] for r in current(spark, out, ["user_id"]).collect()}
+
+
+def test_counts_over_batches_replays_and_compaction(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    _part(src, 0, [(1, 0, 7, "a", 1), (2, 1, 7, "a", 1), (3, 2, 8, "a", 1)])
+    _part(src, 1, [(4, 3, 7, "a", 1)])
+    _counts(spark, src, out)
+    assert _table(spark, out) == {7: 3, 8: 1}
+    # a key has a version for each micro-batch that changed it
+    assert sorted((r["user_id"], r["n"]) for r in changelog(spark, out).collect()) == [(7, 2), (7, 3), (8, 1)]
+    _forget_last_commit(out)
+    _counts(spark, src, out)
+    assert _table(spark, out) == {7: 3, 8: 1} and changelog(spark, out).count() == 3
+    assert compact(spark, out, ["user_id"]) is not None
+    assert compact(spark, out, ["user_id"]) is None  # nothing new
+    _part(src, 2, [(5, 4, 9, "a", 1), (6, 5, 8, "a", 1)])
+    _counts(spark, src, out)
+    assert _table(spark, out) == {7: 3, 8: 2, 9: 1}
+    compact(spark, out, ["user_id"])
+    assert _table(spark, out) == {7: 3, 8: 2, 9: 1}
+
+
+def test_a_snapshot_cut_short_is_not_read(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    _part(src, 0, [(1, 0, 7, "a", 1)])
+    _counts(spark, src, out)
+    done = compact(spark, out, ["user_id"])
+    os.remove(f"{out}/snapshot/batch={done}/_SUCCESS")
+    for name in os.listdir(f"{out}/snapshot/batch={done}"):
+        if name.endswith(".parquet"):
+            os.remove(f"{out}/snapshot/batch={done}/{name}")
+    assert _table(spark, out) == {7: 1}
+
+
+def test_no_batch_is_an_error(spark, scratch):
+    with pytest.raises(ValueError):
+        current(spark, f"{scratch}/none", ["user_id"])
+
+
+def test_distinct_state_expires_and_the_table_stays_distinct(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    _part(src, 0, [(1, 0, 7, "a", 1), (2, 1, 7, "a", 1), (3, 2, 8, "b", 1)])
+    _part(src, 1, [(4, 1000, 9, "c", 1)])
+    _part(src, 2, [(5, 2000, 7, "a", 1)])  # its first row is long gone from the state
+    _part(src, 3, [(6, 2001, 7, "a", 1)])
+    keys = ["user_id", "event_type"]
+    rows = event_stream(spark, src, max_files_per_trigger=1).withWatermark("evt", "5 seconds").select(*keys, "evt")
+    run_to_changelog(distinct_changes(rows, keys), "distinct", "append", path=out)
+    again = changelog(spark, out).where(F.col("user_id") == 7).count()
+    assert again == 2  # written again after its state had expired, not for the row one second later
+    assert sorted((r["user_id"], r["event_type"]) for r in current(spark, out, keys).collect()) == [
+        (7, "a"), (8, "b"), (9, "c")]
+
+
+def _members(spark, src, members, out):
+    update = F.when(F.col("event_type") == "on", True).when(F.col("event_type") == "off", False)
+    ev = event_stream(spark, src, max_files_per_trigger=1).withWatermark("evt", "5 seconds").select(
+        "user_id", *EVENT_ORDER, "evt", update.alias("on_list"))
+    step = member_step("user_id", EVENT_ORDER, "on_list", ["user_id"], members, "member")
+    return run_in_order(hold(ev, "evt", EVENT_ORDER), "members", {"m": step}, path=out)["m"]
+
+
+def test_updates_count_from_their_place_in_the_stream(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    members = spark.createDataFrame([(5,), (5,), (6,), (None,)], "member long")
+    _part(src, 0, [(1, 0, 7, "t", 1), (2, 1, 7, "on", 1), (3, 2, 7, "t", 1),  # within one micro-batch
+                   (4, 3, 5, "t", 1), (5, 4, 5, "off", 1), (6, 5, 5, "t", 1), (7, 6, 6, "t", 1),
+                   (8, 7, None, "on", 1), (9, 8, None, "t", 1)])
+    _part(src, 1, [(10, 1000, 7, "t", 1), (11, 1000, 7, "off", 1), (12, 1000, 7, "on", 1), (13, 1000, 7, "t", 1),
+                   (14, 1001, 5, "t", 1), (15, 1002, 8, "t", 1)])
+    _part(src, 2, [(16, 5000, 7, "off", 1), (17, 5001, 7, "t", 1), (18, 5002, 6, "t", 1)])
+    _part(src, 3, [(99, 90000, 1, "t", 1)])
+    got = sorted(r["event_id"] for r in _members(spark, src, members, out).collect())
+    assert got == [3, 4, 7, 10, 13, 18]
+
+
+def test_updates_without_a_first_list_and_repeated_batches(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    _part(src, 0, [(1, 0, 7, "on", 1), (2, 1, 7, "t", 1)])
+    _part(src, 1, [(3, 1000, 7, "t", 1), (4, 1001, 8, "t", 1)])
+    _part(src, 2, [(5, 9000, 7, "off", 1)])
+    _members(spark, src, None, out)
+    _forget_last_commit(out)
+    _part(src, 3, [(6, 9900, 7, "t", 1), (7, 90000, 1, "t", 1)])
+    got = sorted(r["event_id"] for r in _members(spark, src, None, out).collect())
+    assert got == [2, 3]

@@ -67,6 +67,21 @@ def test_schemaless_document_fields(spark):
     assert (got[0]["lang"], got[0]["f"]) == ("en", 12) and got[1]["lang"] is None
 
 
+def test_documents_by_path_by_field_and_their_schema(spark):
+    rows = [(1, '{"b": {"x": 1.5}, "a": [1, "two", null]}'), (2, "{bad"), (3, None), (4, "7"), (5, '{"a": [], "c": "t"}'),
+            (6, '["p", {"q": 2}]')]
+    docs = spark.createDataFrame(rows, "id int, value string").select("id", J.parse_document("value").alias("doc"))
+    paths = docs.select("id", J.document_field("doc", "$.a[0]", "int").alias("n"), J.document_field("doc", "$.a[1]", "int").alias("bad"),
+                        J.document_field("doc", "$.b.x", "double").alias("x")).orderBy("id").collect()
+    assert [tuple(r) for r in paths] == [(1, 1, None, 1.5)] + [(i, None, None, None) for i in range(2, 7)]
+    fields = J.explode_document(docs, "doc", ["id"]).orderBy("id", "pos").collect()
+    assert [tuple(r) for r in fields if r["pos"] is not None] == [
+        (1, 0, "a", '[1,"two",null]'), (1, 1, "b", '{"x":1.5}'), (5, 0, "a", "[]"), (5, 1, "c", '"t"'),
+        (6, 0, None, '"p"'), (6, 1, None, '{"q":2}')]
+    schema = docs.where("id in (1, 5)").agg(J.document_schema("doc").alias("s")).first()["s"]
+    assert schema == "OBJECT<a: ARRAY<VARIANT>, b: OBJECT<x: DECIMAL(2,1)>, c: STRING>"
+
+
 def test_time_helpers_are_zone_free(spark):
     df = spark.createDataFrame([(1_700_000_000_123,)], "ms long")
     row = df.select(millis_to_ts("ms").alias("t")).select(
