@@ -2,7 +2,7 @@
 
 Base figures of every text come from exact passes over its words and lines.
 The classifier is a logistic regression on hashed word n-grams (1 and 2
-words) and character n-grams (3 and 4 bytes); a feature is an n-gram's share
+words) and character n-grams (3 and 4 code points); a feature is an n-gram's share
 of the text's n-grams of its kind, so a score is the mean weight of the
 text's n-grams per kind and needs no sparse vectors.  It learns from a bounded
 sample of labelled rows, is calibrated (Platt) on labelled rows kept out of
@@ -73,21 +73,23 @@ def repeated_words(ids: np.ndarray, size: int = WINDOW_WORDS) -> int:
 class Text:
     """One text's words, as the figures and the features need them."""
 
+    text: str
     raw: bytes
     ids: np.ndarray
     unique: list[bytes]
 
     @classmethod
     def of(cls, text: str | None) -> Text:
-        raw = (text or "").encode("utf-8")
+        text = text or ""
+        raw = text.encode("utf-8")
         seen: dict[bytes, int] = {}
         ids = np.fromiter((seen.setdefault(w, len(seen)) for w in raw.split()), np.int64)
-        return cls(raw, ids, list(seen))
+        return cls(text, raw, ids, list(seen))
 
-    def figures(self, text: str | None) -> tuple[int, int, int, int, int]:
+    def figures(self) -> tuple[int, int, int, int, int]:
         """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
         raw = self.raw
-        chars = len(text or "") - (len(raw) - len(raw.translate(None, SPACES)))
+        chars = len(self.text) - (len(raw) - len(raw.translate(None, SPACES)))
         symbols = len(raw) - len(raw.translate(None, SYMBOLS))
         lines = [x for x in raw.split(b"\n") if x.strip()]
         return len(self.ids), chars, symbols, len(lines) - len(set(lines)), repeated_words(self.ids)
@@ -99,15 +101,16 @@ class Text:
             yield _bucket(words, 1), len(words)
             if len(words) > 1:
                 yield _bucket(words[:-1] * np.uint32(0x01000193) + words[1:], 2), len(words) - 1
-            codes = np.frombuffer(self.raw, np.uint8)
+            codes = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
             for size in (3, 4):
                 total = len(codes) - size + 1
                 for at in range(0, max(total, 0), _CHUNK):
-                    part = codes[at:at + _CHUNK + size - 1].astype(np.uint32)
+                    part = codes[at:at + _CHUNK + size - 1]
                     n = len(part) - size + 1
                     h = np.zeros(n, np.uint32)
                     for j in range(size):
-                        h = (h << np.uint32(8)) | part[j:j + n]
+                        h = (h ^ part[j:j + n]) * np.uint32(0x01000193)
+                        h ^= h >> np.uint32(15)
                     yield _bucket(h, size + 1), total
 
 
@@ -257,7 +260,7 @@ def judge_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
             out = []
             for t in b.column("t").to_pylist():
                 text = Text.of(t)
-                out.append((*text.figures(t), shipped.value.probability(text)))
+                out.append((*text.figures(), shipped.value.probability(text)))
             cols = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())],
