@@ -151,8 +151,8 @@ def flips(value, n, r):
     return value
 
 
-@pytest.mark.parametrize("crowd", [simhash.CROWD, 2])
-def test_links_against_all_pairs(spark, crowd):
+@pytest.mark.parametrize("crowd, hot_rows", [(simhash.CROWD, simhash.HOT_ROWS), (2, simhash.HOT_ROWS), (simhash.CROWD, 1), (2, 1)])
+def test_links_against_all_pairs(spark, crowd, hot_rows):
     r = random.Random(11)
     centres = [r.getrandbits(64) for _ in range(8)]
     values = {flips(c, r.randint(0, 4), r) for c in centres for _ in range(60)}  # dense groups
@@ -160,9 +160,10 @@ def test_links_against_all_pairs(spark, crowd):
     for _ in range(40):
         chain.append(flips(chain[-1], 3, r))  # links of exactly three bits, a long way
     values |= set(chain) | {r.getrandbits(64) for _ in range(300)} | {0, 2**64 - 1, 7, 2**63, 1 << 31, 0xF}
+    values |= {(r.getrandbits(32) << 32) | 0xABCD1234 for _ in range(500)}  # a template family: one segment is equal
     want = brute_components(values)
     signed = [(v - 2**64 if v >= 2**63 else v,) for v in values]
-    got = simhash.link_fingerprints(spark.createDataFrame(signed, "fp long"), crowd=crowd).collect()
+    got = simhash.link_fingerprints(spark.createDataFrame(signed, "fp long"), crowd=crowd, hot_rows=hot_rows).collect()
     assert len(got) == len(values)
     parts, other = defaultdict(set), defaultdict(set)
     for x in got:
@@ -172,6 +173,17 @@ def test_links_against_all_pairs(spark, crowd):
     assert sorted(map(sorted, parts.values())) == sorted(map(sorted, other.values()))
 
 
+def test_hot_buckets_get_the_same_hub(spark):
+    r = random.Random(12)
+    low = [(r.getrandbits(31) << 32) | 77 for _ in range(700)]  # over a third of all in the buckets of one segment
+    fps = spark.createDataFrame([(x,) for x in set(low) | {r.getrandbits(63) for _ in range(900)}], "fp long")
+    hot = simhash._hot_buckets(fps, 1)
+    assert hot.count() == 32  # the segment's variants
+    assert simhash._hot_buckets(fps, simhash.HOT_ROWS).isEmpty()
+    split, plain = simhash._members(fps, 1), simhash._members(fps, simhash.HOT_ROWS)
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty() and plain.count() >= 32 * 700
+
+
 def test_components_of_paths_and_stars(spark):
     r = random.Random(2)
     names = r.sample(range(10**6), 120)

@@ -18,7 +18,8 @@ bucket and is either inside one component already or joined here.
 
 Scale: all exchanges carry 16-byte rows; buckets are keyed by 31 bits of
 fingerprint and shuffled once (of a dense group each of its 64 variants has its
-own), the joins are plain equi-joins that the skew join can split, and components are found by rounds of joins over written tables.
+own; buckets with more than a task's share of all fingerprints get their hub
+from a pre-aggregated table and stay where they are), the joins are plain equi-joins that the skew join can split, and components are found by rounds of joins over written tables.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 CROWD = 256  # buckets with more members are joined by byte of the other segment
+HOT_ROWS = 100_000  # buckets with fewer members never count as hot
+_SAMPLED = 200  # sampled members of a bucket that has a task's share of all fingerprints
 _CHUNK = 1 << 15
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -85,6 +88,33 @@ def _variants(fps: DataFrame) -> DataFrame:
                 " & ~shiftleft(1L, slot % 32) & 4294967295L)").alias("bucket")))
 
 
+def _hot_buckets(fps: DataFrame, least: int) -> DataFrame:
+    """Buckets that hold, by a sample, over a 2P-th of all fingerprints and over ``least`` (P: shuffle partitions).
+
+    A fingerprint is in 64 buckets, so there are at most some 128 P of them.  The
+    sample decides where members meet their hub, not which hub it is."""
+    parts = 2 * int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = fps.count()
+    one_in = max(1, n // (_SAMPLED * parts))
+    picked = fps.where(F.pmod(F.xxhash64(F.lit("sample"), "fp"), F.lit(one_in)) == 0)
+    seen = _variants(picked).groupBy("bucket").agg(F.count("*").alias("n"))
+    return materialize(seen.where(F.col("n") * one_in > max(least, n // parts)).select("bucket"), "simhash-hot")
+
+
+def _members(fps: DataFrame, hot_rows: int) -> DataFrame:
+    """(bucket, fp, hub) of the buckets with two fingerprints or more; the hub is the bucket's smallest."""
+    hot, variants = _hot_buckets(fps, hot_rows), _variants(fps)
+    any_hot = not hot.isEmpty()
+    cold = variants.join(F.broadcast(hot), "bucket", "left_anti") if any_hot else variants
+    whole = Window.partitionBy("bucket")
+    found = cold.withColumns({"hub": F.min("fp").over(whole), "n": F.count("*").over(whole)})
+    if any_hot:
+        rows = variants.join(F.broadcast(hot), "bucket")
+        hubs = rows.groupBy("bucket").agg(F.min("fp").alias("hub"), F.count("*").alias("n"))  # a row per hot bucket
+        found = found.unionByName(rows.join(F.broadcast(hubs), "bucket"))
+    return found.where(F.col("n") > 1).select("bucket", "fp", "hub")
+
+
 def _apart(a, b):
     return F.bit_count(a.bitwiseXOR(b))
 
@@ -128,17 +158,13 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
 
 
-def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(fp, root): the component of every distinct fingerprint; links are ``max_bits`` or fewer bits.
 
-    ``crowd`` only chooses how a bucket's members meet; links are the same."""
+    ``crowd`` and ``hot_rows`` only choose how a bucket's members meet; links are the same."""
     if max_bits > 3:
         raise ValueError("two segments with one wiped bit each cover distances up to 3")
-    whole = Window.partitionBy("bucket")
-    # members of buckets with two fingerprints or more, with the bucket's hub
-    crowded = materialize(
-        _variants(fps).withColumns({"hub": F.min("fp").over(whole), "n": F.count("*").over(whole)})
-        .where(F.col("n") > 1).drop("n"), "simhash-members")
+    crowded = materialize(_members(fps, hot_rows), "simhash-members")
     stars = crowded.where((F.col("fp") != F.col("hub")) & (_apart(F.col("fp"), F.col("hub")) <= max_bits))
     first = materialize(components(stars.select(F.col("fp").alias("a"), F.col("hub").alias("b"))), "simhash-stars")
 
