@@ -16,9 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
-from .runners import LateRowsDropped, late_rows
-
-BATCH = "batch"
+from .runners import BATCH, LateRowsDropped, late_rows, whole_batches
 
 
 def count_changes(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -53,17 +51,6 @@ def run_to_changelog(changes: DataFrame, name: str, output_mode: str = "update",
     return out
 
 
-def _batches(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the whole ``batch=N`` folders, ascending."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = [s.getPath() for s in fs.listStatus(path)]
-    return sorted(int(p.getName().split("=")[1]) for p in found if p.getName().startswith(f"{BATCH}=")
-                  and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-
 def changelog(spark: SparkSession, out: str) -> DataFrame:
     """All versions, with the micro-batch that wrote them as ``batch``."""
     return spark.read.option("basePath", f"{out}/changes").parquet(f"{out}/changes")
@@ -71,7 +58,7 @@ def changelog(spark: SparkSession, out: str) -> DataFrame:
 
 def current(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """The latest version of every key: the newest snapshot and the batches after it."""
-    snapshots, batches = _batches(spark, f"{out}/snapshot"), _batches(spark, f"{out}/changes")
+    snapshots, batches = whole_batches(spark, f"{out}/snapshot"), whole_batches(spark, f"{out}/changes")
     newest = snapshots[-1] if snapshots else -1
     parts = [f"{out}/changes/{BATCH}={n}" for n in batches if n > newest]
     rows = spark.read.option("basePath", f"{out}/changes").parquet(*parts) if parts else None
@@ -90,7 +77,7 @@ def compact(spark: SparkSession, out: str, keys: Sequence[str]) -> int | None:
     """Write the table as of the newest batch as a snapshot; returns the batch's number (None: nothing to do).
 
     Call it between runs.  A snapshot cut short has no success mark and is not read."""
-    batches, snapshots = _batches(spark, f"{out}/changes"), _batches(spark, f"{out}/snapshot")
+    batches, snapshots = whole_batches(spark, f"{out}/changes"), whole_batches(spark, f"{out}/snapshot")
     if not batches or (snapshots and snapshots[-1] >= batches[-1]):
         return None
     current(spark, out, keys).write.mode("overwrite").parquet(f"{out}/snapshot/{BATCH}={batches[-1]}")

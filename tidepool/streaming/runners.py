@@ -171,6 +171,20 @@ def run_foreach_batch(df: DataFrame, name: str, handler: Callable[[DataFrame, in
         raise query.exception()
 
 
+BATCH = "batch"
+
+
+def whole_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the ``batch=N`` folders below ``folder`` that were written to their end, ascending."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = at(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith(f"{BATCH}=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(at(p, "_SUCCESS")))
+
+
 def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     reader = spark.read
     if schema is not None:
@@ -178,4 +192,4 @@ def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return reader.parquet(folder)
 
 
-__all__ = ["use_rocksdb_state", "event_stream", "late_rows", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "read_back", "STATE_PROVIDER"]
+__all__ = ["use_rocksdb_state", "event_stream", "late_rows", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "BATCH", "whole_batches", "read_back", "STATE_PROVIDER"]
