@@ -89,6 +89,37 @@ def test_bank_job_alert_lines(spark, scratch, zone):
     assert sum("LOST card" in g for g in got) == len(X.LOST_TXN_IDS)
 
 
+def _txn(txn_id, at, customer, card):
+    cols = X.TXN_LINES[0].split(",")
+    changed = {"txn_id": txn_id, "txn_ts": f"2021-03-05 10:00:{at:02d}", "customer_id": customer, "card_id": card}
+    return ",".join(changed.get(n, v) for (n, _), v in zip(TXN_LINE, cols))
+
+
+def test_bank_job_lists_change_while_it_runs(spark, scratch, monkeypatch):
+    _write(f"{scratch}/txns/a.txt", [_txn("t1", 1, "id_new", "c_1"), _txn("t2", 2, "id_old", "c_2")], 1_700_000_000)
+    _write(f"{scratch}/txns/b.txt", [_txn("t3", 3, "id_new", "c_1"), _txn("t4", 4, "id_x", "c_lost")], 1_700_000_010)
+    _write(f"{scratch}/alarmed/a.txt", ["id_old,acc_1"])
+    _write(f"{scratch}/lost/a.txt", ["c_none,2021-03-05 09:00:00,Ann,Lost"])
+    flag, calls = jobs.rules.flag_members_many, []
+
+    def flag_then_add(*args):
+        found = flag(*args)
+        if not calls:  # new list lines arrive after the first micro-batch has read the lists
+            _write(f"{scratch}/alarmed/b.txt", ["id_new,acc_2"])
+            _write(f"{scratch}/lost/b.txt", ["c_lost,2021-03-05 09:30:00,Bob,Lost"])
+        calls.append(1)
+        return found
+
+    monkeypatch.setattr(jobs.rules, "flag_members_many", flag_then_add)
+    args = (spark, f"{scratch}/txns", f"{scratch}/alarmed", f"{scratch}/lost", f"{scratch}/out")
+    assert jobs.bank_job(*args, files_per_trigger=1) == 0
+    found = [g for g in _lines(spark, f"{scratch}/out") if "ALARMED" in g or "LOST card" in g]
+    assert [[t for t in ("t1", "t2", "t3", "t4") if f"{t}," in g] for g in sorted(found)] == [["t4"], ["t3"], ["t2"]]
+    jobs.bank_job(*args, files_per_trigger=1)  # nothing new: nothing is written again
+    again = [g for g in _lines(spark, f"{scratch}/out") if "ALARMED" in g or "LOST card" in g]
+    assert sorted(again) == sorted(found)
+
+
 def test_stock_job_minute_report(spark, scratch, zone):
     ticks = []
     for line in X.MINUTE_REPORT:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import duckdb
 import pandas as pd
@@ -9,13 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators import rules, windows
+from tidepool.operators.joins import ttl_join
 from tests.compare import compare
 from tidepool.streaming.catalog import STREAM_ORACLE_SQL, STREAM_QUERIES
 from tidepool.streaming.operators import (flag_members_refreshed, processing_time_window, stream_city_changes,
                                           stream_rolling)
 from tidepool.plans.catalog import EVENT_ORDER
 from tidepool.streaming.ordered import activity_step, city_step, hold, rolling_step, run_in_order
-from tidepool.streaming.runners import LateRowsDropped, event_stream, read_back, run_to_parquet
+from tidepool.streaming.runners import LateRowsDropped, event_stream, read_back, run_to_parquet, use_rocksdb_state
 
 SCHEMA = "seller_id string, product string, quantity int, product_price double, sale_ts bigint"
 T0 = int(dt.datetime(2024, 1, 1).timestamp() * 1000)
@@ -148,6 +150,59 @@ def test_processing_time_window_counts_every_row(spark, scratch):
     assert sum(r["n"] for r in latest.collect()) == 3
 
 
+def test_processing_time_window_closes_without_new_rows(spark, scratch):
+    src = f"{scratch}/src"
+    _write_batches(src, [[("a1", "x", 1, 1.0, 1), (None, "y", 2, 1.0, 2)], [("b2", "z", 1, 1.0, 3)]])
+    raw = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(src)
+    agg = processing_time_window(raw, "2 seconds", ["seller_id"], {"n": F.count(F.lit(1)), "q": F.sum("quantity")},
+                                 heartbeat=True)
+    assert set(agg.columns) == {"seller_id", "window_start", "window_end", "n", "q"}
+    q = (agg.writeStream.format("memory").queryName("beats").outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(processingTime="500 milliseconds").start())
+    try:
+        until = time.time() + 90  # no file comes any more
+        while time.time() < until and spark.table("beats").agg(F.sum("n")).first()[0] != 3:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.table("beats").collect()
+    assert sorted((r["seller_id"] or "", r["n"], r["q"]) for r in rows) == [("", 1, 2), ("a1", 1, 1), ("b2", 1, 1)]
+    assert all(r["window_end"] - r["window_start"] == dt.timedelta(seconds=2) for r in rows)
+
+
+@pytest.mark.parametrize("ttl,found", [("1 hour", {("l1", "r1"), ("l1", "r2"), ("l4", "r4")}), ("2 seconds", {("l4", "r4")})])
+def test_ttl_join_forgets_old_rows(spark, scratch, ttl, found):
+    def side(name):
+        return spark.readStream.schema(f"k string, {name} string").json(f"{scratch}/{name}")
+
+    def add(name, n, *rows):
+        os.makedirs(f"{scratch}/{name}", exist_ok=True)
+        pd.DataFrame(rows, columns=["k", name]).to_json(f"{scratch}/{name}/{n}.json", orient="records", lines=True)
+
+    use_rocksdb_state(spark)
+    kept = []
+    for n, (lefts, rights) in enumerate([
+            ([("a", "l1"), (None, "l0")], [("z", "r0"), (None, "r00")]),
+            ([("m", "l2")], [("n", "r3")]),               # time goes by on both sides
+            ([("b", "l4")], [("b", "r4"), ("a", "r1"), ("a", "r2")])]):
+        add("l", n, *lefts)
+        add("r", n, *rights)
+        q = (ttl_join(side("l"), side("r"), "k", ttl).writeStream.format("parquet").option("path", f"{scratch}/out")
+             .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        kept.append(q.lastProgress.stateOperators[0].numRowsTotal)
+        time.sleep(3)
+    got = spark.read.schema("k string, l string, r string").parquet(f"{scratch}/out")
+    assert sorted((r["l"], r["r"]) for r in got.collect()) == sorted(found)
+    if ttl == "2 seconds":  # the third run's rows at most; the others have left the state
+        assert kept[-1] <= 4
+    else:
+        assert kept[-1] >= 8
+    left, right = (spark.createDataFrame([("a", f"{c}1"), ("a", f"{c}2"), (None, "x")], f"k string, {c} string") for c in "lr")
+    assert ttl_join(left, right, "k", ttl).count() == 4  # tables: all pairs
+
+
 def test_fan_out_split_from_one_stream(spark, scratch):
     """One stream, three outputs (pass-through, even as text, odd as numbers)
     written from one foreachBatch over a persisted micro-batch."""

@@ -20,6 +20,7 @@ transaction/tick order as tie-breaker.
 from __future__ import annotations
 
 import argparse
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from .functions.parse import (ALARMED_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE,
 from .operators import aggregates, rolling, rules, split, text, windows
 from .sinks.files import write_csv, write_text
 from .streaming.operators import stream_city_changes, stream_rolling
+from .streaming.parts import fan_out
 from .streaming.runners import use_rocksdb_state
 from .streaming.stateful import PreviousWindowDelta, WindowReport
 
@@ -109,21 +111,29 @@ def cab_job(spark: SparkSession, input_path: str, output: str | None = None) ->
 def bank_job(spark: SparkSession, input_dir: str, alarmed_path: str, lost_path: str, output: str,
              window: str = "10 seconds", threshold: int = 10, lateness: str = "0 seconds",
              files_per_trigger: int = FILES_PER_TRIGGER):
-    """Four fraud rules over a transaction feed, one alert stream in hourly buckets."""
+    """Four fraud rules over a transaction feed, as alert lines below ``rules=.../batch=N/`` in hourly buckets.
+
+    The member lists are files or folders of lines and are read again for every
+    micro-batch, so lines added while the job runs count from the next one on.  Each batch is
+    written once, also when it is repeated.  Returns the number of transactions that came too late for the
+    windowed rules (a warning names it); the lists are checked for these as well."""
     S.configure(spark)
     use_rocksdb_state(spark)
     raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(input_dir)
-    txns = parse_lines(raw, TXN_LINE, keep=["value"]) \
-        .withColumn("evt", F.to_timestamp("txn_ts", "yyyy-MM-dd HH:mm:ss")) \
-        .withWatermark("evt", lateness)
-    alarmed = parse_lines(spark.read.text(alarmed_path), ALARMED_LINE)
-    lost = parse_lines(spark.read.text(lost_path), LOST_CARD_LINE)
+    parsed = parse_lines(raw, TXN_LINE, keep=["value"])
+    txns = parsed.withColumn("evt", F.to_timestamp("txn_ts", "yyyy-MM-dd HH:mm:ss")).withWatermark("evt", lateness)
     cols = ["customer_id", "value"]
 
-    a = rules.flag_members(txns, "customer_id", alarmed, "customer_id", rules.RULE_ALARMED, cols) \
-        .select(render.alert_line(rules.RULE_ALARMED, "customer_id", "value").alias("value"))
-    lc = rules.flag_members(txns, "card_id", lost, "card_id", rules.RULE_LOST_CARD, cols) \
-        .select(render.alert_line(rules.RULE_LOST_CARD, "customer_id", "value").alias("value"))
+    def member_alerts(batch: DataFrame) -> DataFrame:
+        def members(path: str, fields) -> DataFrame:
+            return parse_lines(batch.sparkSession.read.text(path), fields)
+
+        hits = rules.flag_members_many(batch, [
+            ("customer_id", members(alarmed_path, ALARMED_LINE), "customer_id", rules.RULE_ALARMED),
+            ("card_id", members(lost_path, LOST_CARD_LINE), "card_id", rules.RULE_LOST_CARD)], cols)
+        lines = [F.when(F.col("rule") == rule, render.alert_line(rule, *cols)) for rule in (rules.RULE_ALARMED, rules.RULE_LOST_CARD)]
+        return hits.select(F.coalesce(*lines).alias("value"))
+
     busy = windows.tumbling(txns, "evt", window, ["customer_id"], {
         "n": F.count(F.lit(1)), "first_line": windows.first_by("value", ["evt", "txn_id"])}) \
         .where(F.col("n") > threshold) \
@@ -131,13 +141,12 @@ def bank_job(spark: SparkSession, input_dir: str, alarmed_path: str, lost_path:
     moves = stream_city_changes(txns, "customer_id", "evt", window, "city", ["evt", "txn_id"],
                                 ["value"], 2) \
         .select(render.alert_line(rules.RULE_CITY_CHANGE, "customer_id", "value").alias("value"))
-    alerts = rules.union_alerts(a, lc, busy, moves)
-    writer = (alerts.withColumn("bucket", F.date_format(F.current_timestamp(), "yyyy-MM-dd--HH"))
-              .writeStream.format("text").partitionBy("bucket").outputMode("append")
-              .option("checkpointLocation", f"{output}/_checkpoint").trigger(availableNow=True))
-    query = writer.start(output)
-    query.awaitTermination()
-    return query
+    fan_out(parsed, {"rules=members": member_alerts}, output, file_format="text", checkpoint="_checkpoint-members")
+    late = fan_out(rules.union_alerts(busy, moves), {"rules=windows": lambda batch: batch}, output, file_format="text",
+                   checkpoint="_checkpoint-windows")
+    if late:
+        warnings.warn(f"bank: {late} transactions came later than the watermark delay of {lateness}", stacklevel=2)
+    return late
 
 
 _TICK_ORDER = ["ts", "line_key"]

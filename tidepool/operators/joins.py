@@ -76,5 +76,20 @@ def equi_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: s
                                        *[F.col(f"r.{c}") for c in right.columns if c not in on])
 
 
+def ttl_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, ttl: str) -> DataFrame:
+    """Regular inner equi-join of two streams whose rows are remembered for ``ttl`` after they arrive.
+
+    Every pair of rows that arrive at most ``ttl`` apart comes out once, when the later of them
+    arrives; arrival is the clock of the micro-batch, so which pairs are that close depends on the run.
+    No row is ever late.  A row leaves the state once both sides have moved on by more than
+    ``ttl`` (set ``spark.sql.streaming.multipleWatermarkPolicy`` to ``max`` before the first start if one
+    side may fall silent).  Expiry looks over the whole state once a micro-batch.  Two tables arrive at
+    once: all pairs."""
+    arrived = ["_left_arrival", "_right_arrival"]
+    left, right = (df.withColumn(name, F.current_timestamp()) for df, name in zip((left, right), arrived))
+    return equi_join(left, right, on, left_time=arrived[0], right_time=arrived[1], watermark="0 seconds",
+                     within=ttl).drop(*arrived)
+
+
 __all__ = ["BROADCAST_MAX_BYTES", "fits", "sized_broadcast", "null_safe_on",
-           "semi_join", "equi_join"]
+           "semi_join", "equi_join", "ttl_join"]

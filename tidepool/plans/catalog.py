@@ -26,11 +26,13 @@ from ..functions import json as J
 from ..functions.money import money
 from ..functions.parse import (AMOUNT_LINE, CAB_LINE, LOST_CARD_LINE, SALE_LINE, TICK_LINE, key_by_field, parse_lines,
                                split_fields)
-from ..functions.render import alert_line
+from ..functions.render import alert_line, window_report
 from ..functions.rowstats import row_sample_stdev, row_total
 from ..functions.time import millis_to_ts, ntz_micros, parse_ts
 from ..operators import aggregates, changes, fold, rolling, rules, split, text, windows
 from ..operators.joins import equi_join
+from ..sinks.files import write_csv, write_text
+from ..sources.files import csv_table, text_lines
 from ..sources.tables import events, table
 
 EVENT_ORDER = ["ts", "event_id"]
@@ -293,6 +295,14 @@ def window_change(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  EVENT_ORDER)
 
 
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of every window as the line that the job writes, percent changes with two decimals."""
+    at = "yyyy-MM-dd HH:mm:ss"
+    line = window_report(F.date_format("first_ts", at), F.date_format("last_ts", at), "max_price", "min_price",
+                         "max_price_change", "max_volume", "min_volume", "max_volume_change")
+    return window_change(spark, sf_dir).select("event_type", "window_start", line.alias("line"))
+
+
 def large_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
     return changes.large_delta(ev, "ts", CHANGE_WINDOW, ["event_type"], "value", EVENT_ORDER,
@@ -308,6 +318,33 @@ def frequent_change(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("prev_city").alias("prev_event_type"), "n_changes")
 
 
+# -- files ---------------------------------------------------------------------
+
+def csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as a folder of CSV files, each with a header line, and read back with their types."""
+    S.configure(spark)
+    o = table(spark, sf_dir, "orders")
+    folder = S.scratch_path(spark, "csv_folder")
+    write_csv(o, folder, sep=";", header=True)
+    return csv_table(spark, folder, o.schema, header=True, sep=";")
+
+
+EVENT_LINE = [("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double")]
+
+
+def event_lines(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Events written as text lines of their fields; returns the folder."""
+    S.configure(spark)
+    folder = S.scratch_path(spark, name)
+    write_text(table(spark, sf_dir, "events"), folder, [n for n, _ in EVENT_LINE], wrap=None)
+    return folder
+
+
+def text_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of text lines read back into typed columns."""
+    return parse_lines(text_lines(spark, event_lines(spark, sf_dir, "text_folder")), EVENT_LINE, strict=False)
+
+
 # -- rules -------------------------------------------------------------------
 
 def _txns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,6 +451,9 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_lost_card": parse_lost_card,
     "lines_by_field": lines_by_field,
     "alert_text": alert_text,
+    "report_lines": report_lines,
+    "csv_folder": csv_folder,
+    "text_folder": text_folder,
     "json_decode": json_decode,
     "json_encode": json_encode,
     "json_documents": json_documents,

@@ -175,6 +175,20 @@ SELECT event_type, window_start, window_end, max_price, min_price, max_volume, m
 FROM l
 """
 
+def _two_decimals(x: str) -> str:
+    """``x`` with two decimals, half up on its decimal digits; a small negative value keeps its sign."""
+    rounded = f"CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)) AS DECIMAL(20, 2))"
+    return f"CASE WHEN {x} < 0 AND {rounded} = 0 THEN '-0.00' ELSE CAST({rounded} AS VARCHAR) END"
+
+
+_REPORT_LINES = f"""
+SELECT event_type, window_start,
+       strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' - ' || strftime(last_ts, '%Y-%m-%d %H:%M:%S') || ', ' ||
+       CAST(max_price AS VARCHAR) || ', ' || CAST(min_price AS VARCHAR) || ', ' || {_two_decimals('max_price_change')} || ', ' ||
+       CAST(max_volume AS VARCHAR) || ', ' || CAST(min_volume AS VARCHAR) || ', ' || {_two_decimals('max_volume_change')} AS line
+FROM ({_WINDOW_CHANGE})
+"""
+
 _LARGE_DELTA = f"""
 WITH w AS (
   SELECT event_type, {bucket('6 hours')} AS window_start, {bucket('6 hours')} + INTERVAL '6 hours' AS window_end,
@@ -292,6 +306,9 @@ ORACLE_SQL: dict[str, str] = {
     "parse_lost_card": _PARSE_LOST,
     "lines_by_field": _LINES_BY_FIELD,
     "alert_text": _ALERT_TEXT,
+    "report_lines": _REPORT_LINES,
+    "csv_folder": "SELECT * FROM orders",
+    "text_folder": "SELECT event_id, user_id, event_type, value FROM events",
     "json_decode": _JSON_DECODE,
     "json_encode": _JSON_ENCODE,
     "window_change": _WINDOW_CHANGE,

@@ -24,12 +24,14 @@ from pyspark.sql import types as T
 from .. import session as S
 from ..functions.time import instant_to_ntz
 from ..operators import rules, windows
-from ..operators.joins import equi_join
+from ..functions.parse import parse_lines
+from ..operators.joins import equi_join, ttl_join
 from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW, CITY_MIN_CHANGES,
                              CITY_WINDOW, DELTA_THRESHOLD, DISTINCT_BELOW,
-                             EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
-                             SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, money)
+                             EVENT_LINE, EVENT_ORDER, REVENUE_WINDOW, SESSION_GAP, SLIDING_SIZE,
+                             SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, event_lines, money)
 from ..plans.oracle import ORACLE_SQL
+from ..sources.files import text_lines
 from .changelog import count_changes, current, distinct_changes, run_to_changelog
 from .operators import flag_members_refreshed
 from .ordered import activity_step, city_step, hold, member_step, rolling_step, run_in_order
@@ -38,6 +40,7 @@ from .stateful import PreviousWindowDelta, WindowReport
 
 
 JOIN_WITHIN = "1 hour"
+JOIN_TTL = "1 day"
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +205,27 @@ def stream_regular_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark, run_to_parquet(joined, "stream_regular_join"))
 
 
+def stream_ttl_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regular join with a state that forgets: every click with every error of its user that arrives
+    within ``JOIN_TTL``; the run is far shorter, so these are all of them."""
+    S.configure(spark)
+    use_rocksdb_state(spark)
+
+    def of(kind: str, prefix: str) -> DataFrame:
+        return event_stream(spark, sf_dir).where(F.col("event_type") == kind).select(
+            "user_id", F.col("event_id").alias(f"{prefix}_id"))
+
+    joined = ttl_join(of("click", "click"), of("error", "error"), "user_id", JOIN_TTL)
+    return read_back(spark, run_to_parquet(joined, "stream_ttl_join", fail_on_late=True))
+
+
+def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of text lines as a stream, parsed into typed columns."""
+    lines = text_lines(spark, event_lines(spark, sf_dir, "stream_text_lines"), streaming=True)
+    rows = parse_lines(lines, EVENT_LINE, strict=False)
+    return read_back(spark, run_to_parquet(rows, "stream_text_lines_out"), rows.schema)
+
+
 def stream_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous count per user: the latest version of every key of the changelog."""
     S.configure(spark)
@@ -246,6 +270,8 @@ STREAM_QUERIES = {
     "stream_rolling_sums": stream_rolling_sums,
     "stream_event_join": stream_event_join,
     "stream_regular_join": stream_regular_join,
+    "stream_ttl_join": stream_ttl_join,
+    "stream_text_lines": stream_text_lines,
     "stream_group_count": stream_group_count,
     "stream_distinct": stream_distinct,
     "stream_member_updates": stream_member_updates,
@@ -271,6 +297,10 @@ STREAM_ORACLE_SQL = {
     "stream_regular_join": """
         SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id FROM events s JOIN events p ON s.user_id = p.user_id
         WHERE s.event_type = 'signup' AND p.event_type = 'purchase'""",
+    "stream_ttl_join": """
+        SELECT c.user_id, c.event_id AS click_id, e.event_id AS error_id FROM events c JOIN events e ON c.user_id = e.user_id
+        WHERE c.event_type = 'click' AND e.event_type = 'error'""",
+    "stream_text_lines": ORACLE_SQL["text_folder"],
     "stream_group_count": "SELECT user_id, COUNT(*) AS n FROM events GROUP BY user_id",
     "stream_distinct": ORACLE_SQL["distinct_where"],
     "stream_member_updates": f"""

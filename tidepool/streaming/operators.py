@@ -127,12 +127,27 @@ def flag_members_refreshed(txns: DataFrame, load_checks: Callable[[SparkSession]
 
 
 def processing_time_window(df: DataFrame, size: str, keys: Sequence[str],
-                           aggs: Mapping[str, Column], lateness: str = "0 seconds") -> DataFrame:
+                           aggs: Mapping[str, Column], lateness: str = "0 seconds",
+                           heartbeat: bool = False) -> DataFrame:
     """Tumbling window on arrival (processing) time: the clock of the
-    micro-batch stamps each row; results are not reproducible run to run."""
+    micro-batch stamps each row; results are not reproducible run to run.
+
+    A window closes with the first micro-batch that has rows after its end.  With
+    ``heartbeat`` a row a second of a clock stream moves the time on while no
+    row arrives, so windows close by themselves; heartbeats are a group of their own in
+    every window and never come out or count."""
+    if heartbeat:
+        clock = df.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+        beats = clock.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields],
+                             F.lit(True).alias("_beat"))
+        df = df.withColumn("_beat", F.lit(False)).unionByName(beats)
     stamped = df.withColumn("_proc_time", F.current_timestamp()) \
         .withWatermark("_proc_time", lateness)
-    return windows.tumbling(stamped, "_proc_time", size, keys, aggs)
+    if not heartbeat:
+        return windows.tumbling(stamped, "_proc_time", size, keys, aggs)
+    # an aggregate decides, so that the filter stays above the watermark
+    found = windows.tumbling(stamped, "_proc_time", size, [*keys, "_beat"], {**aggs, "_beats": F.max("_beat")})
+    return found.where(~F.col("_beats")).drop("_beat", "_beats")
 
 
 __all__ = ["stream_rolling", "stream_city_changes", "flag_members_refreshed", "processing_time_window"]

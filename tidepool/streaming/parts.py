@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks.files import with_bucket
-from .runners import BATCH, whole_batches
+from .runners import BATCH, late_rows, whole_batches
 
 ROWS_PER_PART = 1_000_000
 
@@ -31,10 +31,11 @@ def write_once(df: DataFrame, folder: str, epoch: int, rows_per_part: int = ROWS
 
 
 def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], DataFrame]], root: str,
-            rows_per_part: int = ROWS_PER_PART, file_format: str = "parquet") -> None:
+            rows_per_part: int = ROWS_PER_PART, file_format: str = "parquet", checkpoint: str = "_checkpoint") -> int:
     """Run a stream to its end into every sink; ``sinks`` gives each sink's rows of a micro-batch.
 
-    The progress is kept below ``root``, so a later run goes on where the last one ended."""
+    The progress is kept below ``root``, so a later run goes on where the last one ended; several streams with
+    the same ``root`` need a ``checkpoint`` name each.  Returns the number of rows dropped as late."""
     def handle(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
@@ -43,11 +44,8 @@ def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], DataFrame]]
         finally:
             batch.unpersist()
 
-    query = (df.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/_checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    return late_rows(df.sparkSession, df.writeStream.foreachBatch(handle)
+                     .option("checkpointLocation", f"{root}/{checkpoint}").trigger(availableNow=True))
 
 
 def written(spark: SparkSession, folder: str, file_format: str = "parquet") -> DataFrame:
