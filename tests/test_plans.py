@@ -54,8 +54,9 @@ def test_chunked_scan_broadcasts_only_bounded_tables(plans):
     assert s["broadcasts"] <= 3 and s["windows"] == 2
 
 
-def test_sliding_windows_expand_panes_not_rows(plans):
-    nodes = re.findall(r"^\(\d+\) (\w[\w ]*?)\s*$", plans["sliding_revenue"], re.M)
+@pytest.mark.parametrize("name", ["sliding_revenue", "sliding_revenue_sql"])
+def test_sliding_windows_expand_panes_not_rows(plans, name):
+    nodes = re.findall(r"^\(\d+\) (\w[\w ]*?)\s*$", plans[name], re.M)
     assert "HashAggregate" in nodes[:nodes.index("Expand")] and "SortAggregate" not in nodes
 
 

@@ -92,6 +92,25 @@ def test_sliding_stream_matches_batch(spark, scratch):
     assert out.exceptAll(exp).count() == 0 and exp.exceptAll(out).count() == 0
 
 
+def test_sliding_sums_stream_matches_batch(spark, scratch):
+    """Panes of a stream, out of order between micro-batches within the delay, give the batch windows."""
+    src = f"{scratch}/src"
+    rows = [(f"s{i % 3}", "a", 1, float(i), _s(7 * i)) for i in range(40)] + [(None, "a", 1, 2.5, _s(33))]
+    batches = [rows[:6] + rows[7:8], rows[6:7] + rows[8:21] + rows[40:], rows[22:30] + rows[21:22], rows[30:40],
+               [("s0", "a", 1, 0.0, _s(900))]]
+    batches[0].append(batches[1].pop())  # the null key comes early
+    _write_batches(src, batches)
+    # rows are at most 7 s older than the newest of an earlier batch
+    sales = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(src) \
+        .withColumn("evttime", F.timestamp_millis("sale_ts")).withWatermark("evttime", "10 seconds")
+    args = ("evttime", "30 seconds", "10 seconds", ["seller_id"], {"s": F.col("product_price")}, "n")
+    out = read_back(spark, run_to_parquet(windows.sliding_sums(sales, *args), "sp", path=f"{scratch}/out", fail_on_late=True))
+    batch = spark.createDataFrame(rows, SCHEMA).withColumn("evttime", F.timestamp_millis("sale_ts"))
+    plain = windows.sliding(batch, *args[:4], {"s": F.sum("product_price"), "n": F.count(F.lit(1))})
+    for exp in (windows.sliding_sums(batch, *args), plain):
+        assert sorted(map(str, out.select(*exp.columns).collect())) == sorted(map(str, exp.collect()))
+
+
 def test_stream_rolling_per_record(spark, scratch):
     src = f"{scratch}/src"
     _write_batches(src, [

@@ -49,14 +49,17 @@ def sliding_sums(df: DataFrame, time_col: str, size: str, slide: str, keys: Sequ
 
     Rows are first added up per slide-wide pane, each once; only the panes
     (one row per key and slide) are then expanded into the windows they belong
-    to.  ``size`` must be a multiple of ``slide``.
+    to.  ``size`` must be a multiple of ``slide``.  On a stream (append mode, a watermark on
+    ``time_col``) a pane goes on to its windows when it is closed.
     """
     pane_aggs = {n: F.sum(e) for n, e in sums.items()}
     if count_name:
         pane_aggs[count_name] = F.count(F.lit(1))
-    panes = tumbling(df, time_col, slide, keys, pane_aggs)
-    return sliding(panes.drop("window_end").withColumnRenamed("window_start", "_pane"), "_pane", size, slide, keys,
-                   {n: F.sum(n) for n in pane_aggs})
+    if df.isStreaming:  # the pane itself hands the watermark on
+        panes = df.groupBy(F.window(time_col, slide).alias("_pane"), *keys).agg(*_agg_list(pane_aggs))
+    else:
+        panes = tumbling(df, time_col, slide, keys, pane_aggs).drop("window_end").withColumnRenamed("window_start", "_pane")
+    return sliding(panes, "_pane", size, slide, keys, {n: F.sum(n) for n in pane_aggs})
 
 
 def session(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],

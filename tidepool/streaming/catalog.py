@@ -65,10 +65,9 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _stream(spark, sf_dir)
-    agg = windows.sliding(ev, "evt", SLIDING_SIZE, SLIDING_SLIDE, ["user_id"], {
-        "window_sales": F.sum(money() * F.col("volume")).cast("double"),
-        "n_events": F.count(F.lit(1))})
-    out = run_to_parquet(agg, "stream_sliding", "append", fail_on_late=True)
+    agg = windows.sliding_sums(ev, "evt", SLIDING_SIZE, SLIDING_SLIDE, ["user_id"],
+                               {"window_sales": money() * F.col("volume")}, "n_events")
+    out = run_to_parquet(agg.withColumn("window_sales", F.col("window_sales").cast("double")), "stream_sliding", "append", fail_on_late=True)
     return _ntz_bounds(read_back(spark, out), ["user_id"], ["window_sales", "n_events"])
 
 
