@@ -41,6 +41,12 @@ def test_split_job(spark, scratch):
     assert [r[0] for r in outs["odd"].collect()] == X.ODD_EXPECTED
 
 
+def test_split_job_whole_input(spark, scratch):
+    outs = jobs.split_job(spark, _write(f"{scratch}/in/all.txt", [str(v) for v in X.ALL_INTEGERS]))
+    assert [r[0] for r in outs["even"].collect()] == X.ALL_EVEN
+    assert [r[0] for r in outs["odd"].collect()] == X.ALL_ODD
+
+
 def test_cab_job(spark, scratch):
     trips = ["c1,P1,suv,Ann,yes,Airport,Mall,3", "c2,P2,mini,Bob,no,Airport,Mall,bad",
              "c3,P3,suv,Cid,yes,Airport,Park,5", "c4,P4,mini,Dee,yes,Station,Mall,2"]
@@ -89,6 +95,18 @@ def test_bank_job_alert_lines(spark, scratch, zone):
     assert sum("LOST card" in g for g in got) == len(X.LOST_TXN_IDS)
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_bank_job_whole_input_gives_the_golden_member_alerts(spark, scratch, parts):
+    size = -(-len(X.ALL_TXN_LINES) // parts)
+    for i in range(parts):
+        _write(f"{scratch}/txns/{i}.txt", X.ALL_TXN_LINES[i * size:(i + 1) * size], 1_700_000_000 + 10 * i)
+    alarmed = _write(f"{scratch}/alarmed.txt", X.ALL_ALARMED_LINES)
+    lost = _write(f"{scratch}/lost.txt", X.ALL_LOST_CARD_LINES)
+    jobs.bank_job(spark, f"{scratch}/txns", alarmed, lost, f"{scratch}/out", window="1 hour")
+    got = _lines(spark, f"{scratch}/out")
+    assert sorted(g for g in got if "ALARMED" in g or "LOST card" in g) == sorted(X.ALL_MEMBER_ALERTS)
+
+
 def _txn(txn_id, at, customer, card):
     cols = X.TXN_LINES[0].split(",")
     changed = {"txn_id": txn_id, "txn_ts": f"2021-03-05 10:00:{at:02d}", "customer_id": customer, "card_id": card}

@@ -135,3 +135,23 @@ def test_session_split_equals_plain_sessions(spark, n_chunks):
     exp = session(df, "ts", "30 seconds", ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))})
     assert got.count() == exp.count()
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
+
+
+@pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz"])
+def test_session_sums_equal_plain_sessions(spark, dtype):
+    import random
+
+    from tidepool.operators.windows import session, session_sums
+    rnd = random.Random(dtype)
+    rows, t = [], 0
+    for i in range(2500):
+        t += rnd.choice([0, 1, 2, 5, 29, 30, 30, 31, 200])      # gaps around the 30 s session gap, ties
+        k = "hot" if rnd.random() < 0.4 else rnd.choice([None, *(f"k{j}" for j in range(30))])
+        rows.append((k, None if rnd.random() < 0.01 else t, rnd.choice([None, 1, 2, 3])))
+    rows += [("instant", 77, 1)] * 500 + [("edge", s, 1) for s in (29, 30, 59, 60, 90, 121)]
+    df = spark.createDataFrame(rows, "k string, s long, v long").withColumn("ts", F.timestamp_seconds("s").cast(dtype))
+    got = session_sums(df, "ts", "30 seconds", ["k"], {"total": F.col("v")}, "n")
+    exp = session(df, "ts", "30 seconds", ["k"], {"total": F.sum("v"), "n": F.count(F.lit(1))}).select(*got.columns)
+    assert got.dtypes == exp.dtypes and got.count() == exp.count()
+    assert got.exceptAll(exp).count() == 0
+    assert session_sums(df.limit(0), "ts", "30 seconds", ["k"], {"total": F.col("v")}).count() == 0

@@ -60,6 +60,12 @@ def test_sliding_windows_expand_panes_not_rows(plans, name):
     assert "HashAggregate" in nodes[:nodes.index("Expand")] and "SortAggregate" not in nodes
 
 
+@pytest.mark.parametrize("name", ["session_revenue", "session_revenue_sql"])
+def test_sessions_add_rows_up_before_any_shuffle(plans, name):
+    nodes = re.findall(r"^\(\d+\) (\w[\w ]*?)\s*$", plans[name], re.M)
+    assert "HashAggregate" in nodes[:nodes.index("Exchange")] and summarise(plans[name])["scans"] == 1
+
+
 def test_alert_union_plans_without_eager_jobs(spark):
     from pyspark.sql import functions as F
     from tidepool.operators import rules

@@ -68,13 +68,37 @@ def session(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
 
     Plain form: every row of a key meets in one task (sessions are merged
     after the shuffle).  On streams ``sessionWindow.merge.sessions.in.local.
-    partition`` pre-merges per task; for batch input with hot keys use
-    :func:`session_split`.
+    partition`` pre-merges per task; for tables use :func:`session_sums`.
     """
     grouped = df.groupBy(F.session_window(time_col, gap).alias("_w"), *keys).agg(*_agg_list(aggs))
     return _flatten(grouped, "_w", keys, list(aggs))
 
 
+def session_sums(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
+                 sums: Mapping[str, Column], count_name: str | None = None) -> DataFrame:
+    """Sessions of sums and a row count on a table, through panes.
+
+    Rows of a key within one gap-wide pane share a session whatever else there
+    is, so they are added up first, by a partial aggregate in every map task.
+    What is left of a key is one row per pane; sessions are built over these
+    with a gap that starts at the pane's last row, so panes join exactly as
+    their rows would have.  A hot key thus reaches its task as at most one row per
+    gap of the time it covers, however many rows share an instant.
+    ``gap`` is a fixed time: no months, and no days on times with a zone.  Rows
+    without a time are left out.
+    """
+    pane_aggs = {"_first": F.min(time_col), "_last": F.max(time_col), **{n: F.sum(e) for n, e in sums.items()}}
+    if count_name:
+        pane_aggs[count_name] = F.count(F.lit(1))
+    panes = tumbling(df, time_col, gap, keys, pane_aggs).drop("window_start", "window_end")
+    dtype = df.schema[time_col].dataType.simpleString()
+    until = F.col("_last") + F.expr(f"INTERVAL {gap}")
+    span = F.concat(_micros_between("_first", until, dtype).cast("string"), F.lit(" microseconds"))
+    names = [*sums, *([count_name] if count_name else [])]
+    grouped = panes.groupBy(F.session_window("_first", span).alias("_w"), *keys).agg(*[F.sum(n).alias(n) for n in names])
+    return _flatten(grouped, "_w", keys, names)
+
+
 def session_split(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
                   sums: Mapping[str, Column], count_name: str | None = None,
                   n_chunks: int | None = None) -> DataFrame:
@@ -135,7 +159,7 @@ def session_split(df: DataFrame, time_col: str, gap: str, keys: Sequence[str],
     return light.unionByName(heavy)
 
 
-def _micros_between(start: str, end: str, dtype: str) -> Column:
+def _micros_between(start: str | Column, end: str | Column, dtype: str) -> Column:
     from ..functions.time import order_number
 
     return order_number(end, dtype) - order_number(start, dtype)
@@ -175,5 +199,5 @@ def window_reduce(df: DataFrame, time_col: str, size: str, keys: Sequence[str],
     return out
 
 
-__all__ = ["tumbling", "sliding", "sliding_sums", "session", "session_split", "global_window", "window_reduce",
+__all__ = ["tumbling", "sliding", "sliding_sums", "session", "session_sums", "session_split", "global_window", "window_reduce",
            "first_by", "last_by"]

@@ -78,8 +78,8 @@ def sliding_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _ev(spark, sf_dir)
-    out = windows.session_split(ev, "ts", SESSION_GAP, ["user_id"],
-                                {"window_sales": money() * F.col("volume")}, "n_events")
+    out = windows.session_sums(ev, "ts", SESSION_GAP, ["user_id"],
+                               {"window_sales": money() * F.col("volume")}, "n_events")
     return out.withColumn("window_sales", F.col("window_sales").cast("double"))
 
 

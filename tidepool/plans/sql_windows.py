@@ -5,7 +5,8 @@ key is ``window(ts, size)``, ``window(ts, size, slide)`` (size first, unlike
 ``HOP(time, slide, size)``) or ``session_window(ts, gap)`` (gap as a string;
 an interval literal is rejected there).  Catalyst produces the same plan as
 the DataFrame form.  The sliding query adds rows up per slide-wide pane and
-expands the panes, not the rows, into windows.
+expands the panes, not the rows, into windows; the session query adds rows up
+per gap-wide pane, whose rows always share a session, and merges the panes.
 """
 
 from __future__ import annotations
@@ -48,11 +49,19 @@ def sliding_revenue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_revenue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     _view(spark, sf_dir)
-    return spark.sql(f"""
+    return spark.sql("""
+        WITH panes AS (
+            SELECT user_id, MIN(ts) AS first_ts, MAX(ts) AS last_ts, SUM(amount * volume) AS sales, COUNT(*) AS n
+            FROM salesitems
+            GROUP BY user_id, window(ts, '3 hours')),
+        spans AS (
+            SELECT *, CONCAT(CAST(TIMESTAMPDIFF(MICROSECOND, first_ts, last_ts + INTERVAL 3 HOURS) AS STRING),
+                             ' microseconds') AS span
+            FROM panes)
         SELECT user_id, session_window.start AS window_start, session_window.end AS window_end,
-               {_REVENUE} AS window_sales, COUNT(*) AS n_events
-        FROM salesitems
-        GROUP BY user_id, session_window(ts, '3 hours')""")
+               CAST(SUM(sales) AS DOUBLE) AS window_sales, SUM(n) AS n_events
+        FROM spans
+        GROUP BY user_id, session_window(first_ts, span)""")
 
 
 SQL_QUERIES = {
