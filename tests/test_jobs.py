@@ -151,6 +151,16 @@ def test_stock_job_minute_report(spark, scratch, zone):
     assert sorted(_lines(spark, f"{scratch}/out/report")) == sorted(X.MINUTE_REPORT)
 
 
+def test_stock_job_tells_late_ticks(spark, scratch):
+    _write(f"{scratch}/ticks/t1.txt", ["06/10/2010,08:00:00,100.0,5", "06/10/2010,08:30:00,101.0,6"], 1_700_000_000)
+    assert jobs.stock_job(spark, f"{scratch}/ticks", f"{scratch}/out") == 0
+    _write(f"{scratch}/ticks/t2.txt", ["06/10/2010,08:00:30,300.0,7", "06/10/2010,09:00:00,102.0,8"], 1_700_000_010)
+    with pytest.warns(UserWarning, match="stock: 2 rows came after"):
+        assert jobs.stock_job(spark, f"{scratch}/ticks", f"{scratch}/out") == 2
+    got = _lines(spark, f"{scratch}/out/report")
+    assert len(got) == 2 and not any("300.0" in g for g in got)
+
+
 def test_word_count_stream_job_per_record(spark, scratch):
     _write(f"{scratch}/lines/a.txt", X.WORDS[:3], 1_700_000_000)   # xinchao New None
     _write(f"{scratch}/lines/b.txt", X.WORDS[3:], 1_700_000_010)   # Tokyo New NeW

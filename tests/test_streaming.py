@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import rules, windows
 from tidepool.operators.joins import ttl_join
-from tests.compare import compare
+from tests.compare import compare, duckdb_frame
+from tests.conftest import SF001
 from tidepool.streaming.catalog import STREAM_ORACLE_SQL, STREAM_QUERIES
 from tidepool.streaming.operators import (flag_members_refreshed, processing_time_window, stream_city_changes,
                                           stream_rolling)
@@ -460,3 +461,10 @@ def test_event_order_queries_run_without_python(spark, scratch):
     ev = event_stream(spark, sf).withWatermark("evt", "5 seconds")
     plan = hold(ev, "evt", EVENT_ORDER)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_late_feed_drops_rows_behind_the_watermark_only(spark):
+    closed = duckdb_frame("SELECT COUNT(*) FROM events WHERE time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' "
+                          "<= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'", SF001).iloc[0, 0]
+    counted = STREAM_QUERIES["stream_late_rows"](spark, SF001).agg(F.sum("n_events")).first()[0]
+    assert closed * 0.9 <= counted < closed

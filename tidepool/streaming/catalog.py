@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import session as S
-from ..functions.time import instant_to_ntz
+from ..functions.time import instant_to_ntz, ntz_micros
 from ..operators import rules, windows
 from ..functions.parse import parse_lines
 from ..operators.joins import equi_join, ttl_join
@@ -32,6 +32,7 @@ from ..plans.catalog import (ACTIVITY_THRESHOLD, ACTIVITY_WINDOW, CHANGE_WINDOW,
                              SLIDING_SLIDE, TXN_COLS, WATERMARK, _alarmed, _lost, event_lines, money)
 from ..plans.oracle import ORACLE_SQL
 from ..sources.files import text_lines
+from ..sources.tables import table
 from .changelog import count_changes, current, distinct_changes, run_to_changelog
 from .operators import flag_members_refreshed
 from .ordered import activity_step, city_step, hold, member_step, rolling_step, run_in_order
@@ -41,6 +42,7 @@ from .stateful import PreviousWindowDelta, WindowReport
 
 JOIN_WITHIN = "1 hour"
 JOIN_TTL = "1 day"
+LATE_PARTS = 3  # runs that bring the feed of stream_late_rows
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +253,32 @@ def stream_member_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found["members"].select(*TXN_COLS)
 
 
+def _late_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the ``part`` of the feed that brings them: thirds of the time span, every tenth event one part late."""
+    ev = table(spark, sf_dir, "events").where(F.col("ts").isNotNull())
+    micros = ntz_micros(F.col("ts"))
+    first, last = ev.agg(F.min(micros), F.max(micros)).first()
+    span = 1 if first is None else last - first + 1
+    third = F.least(F.expr(f"(_us - {first or 0}) * {LATE_PARTS} div {span}"), F.lit(LATE_PARTS - 1))
+    late = (F.col("event_id") % 10 == 0) & (third < LATE_PARTS - 1)
+    return ev.withColumn("_us", micros).withColumn("part", third + late.cast("int")).drop("_us")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts per event type over a feed that comes in three runs, a tenth of each run's rows one run late.
+
+    Late rows whose hour the watermark of the runs before has passed are dropped, the others count."""
+    S.configure(spark)
+    use_rocksdb_state(spark)
+    feed, src, out = _late_feed(spark, sf_dir), S.scratch_path(spark, "late-feed"), S.scratch_path(spark, "stream_late_rows")
+    for part in range(LATE_PARTS):
+        feed.where(F.col("part") == part).drop("part").write.mode("append").parquet(src)
+        ev = event_stream(spark, src, "*.parquet").withWatermark("evt", WATERMARK)
+        counts = windows.tumbling(ev, "evt", REVENUE_WINDOW, ["event_type"], {"n_events": F.count(F.lit(1))})
+        run_to_parquet(counts, "stream_late_rows", "append", path=out)
+    return _ntz_bounds(read_back(spark, out, counts.schema), ["event_type"], ["n_events"])
+
+
 def _closed(sql: str, end_col: str = "window_end") -> str:
     return (f"SELECT * FROM ({sql}) WHERE {end_col} <= "
             f"(SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'")
@@ -274,6 +302,7 @@ STREAM_QUERIES = {
     "stream_group_count": stream_group_count,
     "stream_distinct": stream_distinct,
     "stream_member_updates": stream_member_updates,
+    "stream_late_rows": stream_late_rows,
 }
 
 STREAM_ORACLE_SQL = {
@@ -309,4 +338,16 @@ STREAM_ORACLE_SQL = {
             FROM (SELECT *, CASE event_type WHEN 'error' THEN TRUE WHEN 'signup' THEN FALSE END AS on_list FROM events))
         WHERE on_list IS NULL AND {RELEASED}
           AND COALESCE(before, user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))""",
+    "stream_late_rows": f"""
+        WITH span AS (SELECT epoch_us(MIN(ts)) AS first, epoch_us(MAX(ts)) - epoch_us(MIN(ts)) + 1 AS width FROM events),
+        thirds AS (SELECT event_id, ts, event_type, (epoch_us(ts) - first) * {LATE_PARTS} // width AS third FROM events, span),
+        fed AS (SELECT *, third + CASE WHEN event_id % 10 = 0 AND third < {LATE_PARTS - 1} THEN 1 ELSE 0 END AS part,
+                       time_bucket(INTERVAL '1 hour', ts) AS window_start FROM thirds),
+        marks AS (SELECT p.part, MAX(f.ts) - INTERVAL '5 seconds' AS mark
+                  FROM (SELECT DISTINCT part FROM fed) p JOIN fed f ON f.part < p.part GROUP BY p.part)
+        SELECT event_type, window_start, window_start + INTERVAL '1 hour' AS window_end, COUNT(*) AS n_events
+        FROM fed LEFT JOIN marks USING (part)
+        WHERE (mark IS NULL OR window_start + INTERVAL '1 hour' > mark)
+          AND window_start + INTERVAL '1 hour' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds'
+        GROUP BY event_type, window_start""",
 }
