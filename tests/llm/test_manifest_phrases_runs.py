@@ -162,6 +162,19 @@ def test_a_third_of_all_rows_equal_goes_to_several_shards(spark):
     assert got == sorted(brute_phrases(rows), key=key)
 
 
+def test_anchors_in_very_many_documents_equal_brute_force(spark):
+    # heavy anchors stand in at least 64 texts and are salted; every share needs the owners of all others
+    r = random.Random(5)
+    common = [prose(300 + k, 30).split() for k in range(4)]
+    rows = []
+    for i in r.sample(range(1000), 260):
+        words = [w for _ in range(r.randint(1, 3)) for w in r.choice(common)[r.randint(0, 12):r.randint(20, 30)] + prose(2000 + i, 3).split()]
+        rows.append((i if r.random() < 0.95 else None, " ".join(words), "en", "s", 0))
+    rows += rows[:20]
+    for shares in (4, 16):
+        assert phrases(spark.createDataFrame(rows, SCHEMA), shares=shares) == sorted(brute_phrases(rows), key=key)
+
+
 def test_spans_are_the_removed_words(spark):
     passage = prose(3, 20)
     rows = [(1, passage, "en", "s", 0), (2, f"x y {passage} z {passage}", "en", "s", 0)]

@@ -257,7 +257,7 @@ def _resolve(batches):
             if held != (anchor, salt):
                 held, owners, whole = (anchor, salt), {}, {}
             if kind == _OWNER:
-                owners[windows] = owner
+                owners[windows[::-1]] = owner
                 continue
             if before == (anchor, r1, start):  # an equal row of another task
                 continue
@@ -452,10 +452,10 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .groupBy("anchor", "key").agg(F.min("least").alias("owner"), F.max("most").alias("most")))
         salts = F.explode(F.sequence(F.lit(0), F.col("ways").cast("int") - 1)).alias("salt")
         shared = F.broadcast(spark.createDataFrame(list(ways.items()), "anchor long, ways long"))
-        little = F.expr("reverse(unhex(lpad(hex(key), 16, '0')))")  # a key's bytes as numpy writes them
+        big = F.expr("unhex(lpad(hex(key), 16, '0'))")  # a key's bytes in the other order than numpy writes them
         found = found.unionByName(owned.join(shared, "anchor").select(
             "anchor", salts, F.lit(_OWNER).alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("r1"),
-            F.lit(None).cast("int").alias("start"), little.alias("windows"), "owner"))
+            F.lit(None).cast("int").alias("start"), big.alias("windows"), "owner"))
     needs = materialize(found.select(*[c.split()[0] for c in _STREAM.split(", ")]).repartition("anchor", "salt")
                         .sortWithinPartitions("anchor", "salt", "kind", F.col("id").asc_nulls_last(), "r1", "start")
                         .mapInArrow(_resolve, "r1 long, start int, owners array<bigint>"), "phrase-needs")
