@@ -408,6 +408,30 @@ def test_ties_of_time_over_micro_batches_go_by_the_tie_breaker(spark, scratch, o
         (1, 1, 100), (2, 2, 300), (4, 3, 1100), (9, 1, 100)]
 
 
+@pytest.mark.parametrize("name", ["stream_alerts"])
+def test_rows_still_held_and_rows_without_a_time_come_when_the_feed_ends(spark, scratch, one_file_per_trigger, name):
+    # user 7 changes city in the last ten minutes; a window of 30 days ends 2024-01-18, between the last release and the watermark
+    end = 17 * 86_400
+    sf = _overlapping(scratch, [[(i, end - 9_000 + i, 8, "ab"[i % 2], 1.0) for i in range(50)],
+                                [(60 + i, end + 6 + i % 2, 7, "abc"[i % 3], 2.0) for i in range(5)]])
+    ts = pd.Series([None, None, None], dtype="datetime64[us]")
+    late = pd.DataFrame({"event_id": [2, 72, 71], "ts": ts, "user_id": [7, 7, 7], "event_type": ["a", "a", "b"],
+                         "value": [1.0, 2.0, 4.0], "props": ['{"k": 1}'] * 3})
+    late.to_parquet(f"{sf}/events.parquet/part-009.parquet", index=False, coerce_timestamps="us")
+    got = STREAM_QUERIES[name](spark, sf).toPandas()
+    con = duckdb.connect()
+    for t, path in (("events", "events.parquet/*.parquet"), ("customer", "customer.parquet"), ("supplier", "supplier.parquet")):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{path}')")
+    want = con.execute(STREAM_ORACLE_SQL[name]).df()
+    ok, msg = compare(got, want)
+    assert ok, msg
+    if name == "stream_rolling_sums":
+        assert len(got) == 58
+    else:
+        assert {"excessive_activity", "frequent_city_change"} <= set(got["rule"])
+        assert {61, 63, 64, 72} <= set(got.loc[got["rule"] == "frequent_city_change", "event_id"])
+
+
 def _ordered_run(spark, src, out):
     ev = event_stream(spark, src, max_files_per_trigger=1).withWatermark("evt", "5 seconds").select(
         "user_id", "event_type", *EVENT_ORDER, "evt", F.col("value").cast("bigint").alias("v"))

@@ -11,7 +11,8 @@ earlier ones by no more than the watermark delay.  A run in which any row was
 dropped as late raises instead of returning a short result.  The per-record
 queries (``stream_rolling_sums`` and the city changes of ``stream_alerts``) hold
 rows back until the watermark has passed their ten minutes and write them in event
-order.  A table whose part files are not split by time has to fit one
+order; the city changes take their table as a feed that has ended and bring the rows still
+held then, and those without a time last.  A table whose part files are not split by time has to fit one
 micro-batch (see the rate limits in ``runners``) or be given a longer delay.
 """
 
@@ -36,7 +37,7 @@ from ..sources.tables import table
 from .changelog import count_changes, current, distinct_changes, run_to_changelog
 from .operators import flag_members_refreshed
 from .ordered import activity_step, city_step, hold, member_step, rolling_step, run_in_order
-from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state
+from .runners import event_stream, read_back, run_to_parquet, use_rocksdb_state, with_event_columns
 from .stateful import PreviousWindowDelta, WindowReport
 
 
@@ -51,6 +52,11 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_stream(spark, sf_dir).withWatermark("evt", WATERMARK)
 
 
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``_stream`` as a table."""
+    return with_event_columns(table(spark, sf_dir, "events"))
+
+
 def _ntz_bounds(df: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
     return df.select(*keys, instant_to_ntz("window_start").alias("window_start"),
                      instant_to_ntz("window_end").alias("window_end"), *rest)
@@ -153,10 +159,13 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ("user_id", _lost(session, sf_dir), "s_suppkey", rules.RULE_LOST_CARD)]
 
     members = flag_members_refreshed(event_stream(spark, sf_dir).select(*TXN_COLS), lists, TXN_COLS)
-    txns = hold(_stream(spark, sf_dir).select(*TXN_COLS, "evt"), "evt", EVENT_ORDER)
-    alerts = run_in_order(txns, "stream_alerts", {
+    def txns(events: DataFrame) -> DataFrame:
+        return events.select(*TXN_COLS, "evt")
+
+    alerts = run_in_order(hold(txns(_stream(spark, sf_dir)), "evt", EVENT_ORDER), "stream_alerts", {
         "busy": activity_step("user_id", "evt", ACTIVITY_WINDOW, EVENT_ORDER, TXN_COLS, ACTIVITY_THRESHOLD),
-        "moves": city_step("user_id", "evt", CITY_WINDOW, "event_type", EVENT_ORDER, TXN_COLS, CITY_MIN_CHANGES)})
+        "moves": city_step("user_id", "evt", CITY_WINDOW, "event_type", EVENT_ORDER, TXN_COLS, CITY_MIN_CHANGES)},
+        feed=txns(_feed(spark, sf_dir)), time_col="evt", delay=WATERMARK)
 
     def flagged(name: str, rule: str, n: str) -> DataFrame:
         return alerts[name].select(F.lit(rule).alias("rule"), *TXN_COLS,
@@ -314,7 +323,7 @@ STREAM_ORACLE_SQL = {
     "stream_alerts": (f"{ORACLE_SQL['flag_alarmed']} UNION ALL {ORACLE_SQL['flag_lost_card']} UNION ALL "
                       f"SELECT * FROM ({ORACLE_SQL['excessive_activity']}) WHERE window_start + "
                       f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds' "
-                      f"UNION ALL SELECT * FROM ({ORACLE_SQL['city_change_alerts']}) WHERE {RELEASED}"),
+                      f"UNION ALL {ORACLE_SQL['city_change_alerts']}"),
     "stream_rolling_sums": (f"SELECT event_id, ts, event_type, running_count, CAST(round(running_sum * 100) AS BIGINT) "
                             f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']}) WHERE {RELEASED}"),
     "stream_event_join": """

@@ -12,6 +12,9 @@ carried over from the batches before: running totals, the last city, counts of
 windows still open.  Batch, results and carry are written in folders named by
 the micro-batch, so a batch that is repeated after a failure overwrites itself
 and starts from the same carry.
+
+A feed that has ended is finished: the rows that the watermark has not passed,
+and then those without an event time, go through the steps as last batches.
 """
 
 from __future__ import annotations
@@ -56,11 +59,48 @@ def _latest(spark: SparkSession, folder: str, before: int) -> str | None:
     return f"{folder}/batch={max(numbers)}" if numbers else None
 
 
+def _run_steps(session: SparkSession, out: str, steps: dict[str, Step], rows: DataFrame, epoch: int, until: Column) -> None:
+    for step_name, step in steps.items():
+        before = _latest(session, f"{out}/{step_name}-carry", epoch)
+        results, carry = step(rows, session.read.parquet(before) if before else None, until)
+        results.write.mode("overwrite").parquet(f"{out}/{step_name}/batch={epoch}")
+        carry.write.mode("overwrite").parquet(f"{out}/{step_name}-carry/batch={epoch}")
+
+
+def _finish(feed: DataFrame, time_col: str, delay: str, out: str, steps: dict[str, Step]) -> None:
+    """The rows of an ended feed that the stream has not released: by time, then those without a time.
+
+    Released are all rows before the end of the last window released.  Windows of
+    the steps close up to the last watermark, as they do on the stream."""
+    spark = feed.sparkSession
+    newest = _latest(spark, f"{out}/rows", 1 << 62)
+    epoch = int(newest.rsplit("=", 1)[1]) + 1 if newest else 0
+    micros = F.unix_micros(time_col)
+    done = read_back(spark, f"{out}/rows").agg(F.max(F.unix_micros(UNTIL))).first()[0] if newest else None
+    last = feed.agg(F.max(micros)).first()[0]
+    until = F.timestamp_micros(F.lit(last).cast("bigint")) - F.expr(f"INTERVAL {delay}")
+    timed = F.col(time_col).isNotNull()
+    if done is not None:
+        timed = F.col(time_col) >= F.timestamp_micros(F.lit(done).cast("bigint"))
+    for part in (feed.where(timed), feed.where(F.col(time_col).isNull())):
+        rows_at = f"{out}/rows/batch={epoch}"
+        rows = part.withColumn(UNTIL, F.lit(None).cast("timestamp"))
+        rows.write.mode("overwrite").parquet(rows_at)
+        rows = spark.read.schema(rows.schema).parquet(rows_at)
+        if not rows.isEmpty():
+            _run_steps(spark, out, steps, rows, epoch, until)
+        epoch += 1
+
+
 def run_in_order(released: DataFrame, name: str, steps: dict[str, Step], path: str | None = None,
-                 fail_on_late: bool = True) -> dict[str, DataFrame]:
+                 fail_on_late: bool = True, feed: DataFrame | None = None, time_col: str | None = None,
+                 delay: str | None = None) -> dict[str, DataFrame]:
     """Run every step over the released batches; returns each step's results so far as a table.
 
-    With ``path`` a later run goes on where the last one ended."""
+    With ``path`` a later run goes on where the last one ended.  With ``feed``,
+    the held stream's rows as a table, the feed has ended: the rows still held
+    (``delay`` is the watermark's on ``time_col``) and those without a time are
+    brought to the steps too, and no later run may follow."""
     spark = released.sparkSession
     out = path or S.scratch_path(spark, name)
 
@@ -70,13 +110,8 @@ def run_in_order(released: DataFrame, name: str, steps: dict[str, Step], path: s
         batch.write.mode("overwrite").parquet(rows_at)
         rows = session.read.schema(batch.schema).parquet(rows_at)
         until = rows.agg(F.max(UNTIL)).first()[0]
-        if until is None:  # nothing was released
-            return
-        for step_name, step in steps.items():
-            before = _latest(session, f"{out}/{step_name}-carry", epoch)
-            results, carry = step(rows, session.read.parquet(before) if before else None, F.lit(until))
-            results.write.mode("overwrite").parquet(f"{out}/{step_name}/batch={epoch}")
-            carry.write.mode("overwrite").parquet(f"{out}/{step_name}-carry/batch={epoch}")
+        if until is not None:  # else nothing was released
+            _run_steps(session, out, steps, rows, epoch, F.lit(until))
 
     writer = (released.writeStream.outputMode("append").foreachBatch(handle)
              .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True))
@@ -84,6 +119,8 @@ def run_in_order(released: DataFrame, name: str, steps: dict[str, Step], path: s
     if fail_on_late and late:
         raise LateRowsDropped(f"{name}: {late} rows came later than the watermark delay; "
                               "raise the delay or the rate limit, or order the files by time")
+    if feed is not None:
+        _finish(feed, time_col, delay, out, steps)
     tables = {}
     for step_name, step in steps.items():
         if _latest(spark, f"{out}/{step_name}", 1 << 62):
@@ -122,12 +159,14 @@ def city_step(key: str, time_col: str, size: str, city: str, order: Sequence[str
               min_changes: int = 2) -> Step:
     """Rows from the ``min_changes``-th city change of a key's window on, with ``window_start`` and ``n_changes``.
 
-    Carried: last city and changes of the windows still open."""
+    Rows without a time make a window of their own, without a start.  Carried: last city and changes
+    of the windows still open."""
     def step(rows: DataFrame, carry: DataFrame | None, until: Column) -> tuple[DataFrame, DataFrame]:
-        w = F.window(time_col, size)
+        timed = F.col(time_col).isNotNull()
+        w = F.window(F.coalesce(F.col(time_col), F.timestamp_seconds(F.lit(0))), size)  # a null would lose its row
         names = list(dict.fromkeys([key, *keep, *order]))
         value = F.nullif(F.lower(F.col("_city")), F.lit(""))
-        rows = rows.select(w.start.alias("window_start"), w.end.alias("_end"), F.col(city).alias("_city"),
+        rows = rows.select(F.when(timed, w.start).alias("window_start"), F.when(timed, w.end).alias("_end"), F.col(city).alias("_city"),
                            *names, F.lit(1).alias("_later"))
         if carry is not None:  # a window's last city goes before its new rows
             past = carry.select("window_start", "_end", F.col("_last").alias("_city"), key, F.lit(0).alias("_later"))

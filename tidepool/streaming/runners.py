@@ -76,9 +76,13 @@ def event_stream(spark: SparkSession, folder: str, glob: str = "events.parquet",
             folder, glob = table, None
     else:
         schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    raw = parquet_stream(spark, folder, schema, glob, max_files_per_trigger, max_bytes_per_trigger)
-    return raw.withColumn("evt", ntz_to_instant("ts")) \
-              .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
+    return with_event_columns(parquet_stream(spark, folder, schema, glob, max_files_per_trigger, max_bytes_per_trigger))
+
+
+def with_event_columns(events: DataFrame) -> DataFrame:
+    """Adds the instant-typed event time ``evt`` and the integer ``volume`` to rows of ``events``."""
+    return events.withColumn("evt", ntz_to_instant("ts")) \
+                 .withColumn("volume", F.get_json_object("props", "$.k").cast("int"))
 
 
 class _LateRows(StreamingQueryListener):
@@ -192,4 +196,4 @@ def read_back(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return reader.parquet(folder)
 
 
-__all__ = ["use_rocksdb_state", "event_stream", "late_rows", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "BATCH", "whole_batches", "read_back", "STATE_PROVIDER"]
+__all__ = ["use_rocksdb_state", "event_stream", "with_event_columns", "late_rows", "LateRowsDropped", "run_to_parquet", "run_foreach_batch", "BATCH", "whole_batches", "read_back", "STATE_PROVIDER"]
