@@ -11,7 +11,7 @@ earlier ones by no more than the watermark delay.  A run in which any row was
 dropped as late raises instead of returning a short result.  The per-record
 queries (``stream_rolling_sums`` and the city changes of ``stream_alerts``) hold
 rows back until the watermark has passed their ten minutes and write them in event
-order; the city changes take their table as a feed that has ended and bring the rows still
+order; the first two take their table as a feed that has ended and bring the rows still
 held then, and those without a time last.  A table whose part files are not split by time has to fit one
 micro-batch (see the rate limits in ``runners``) or be given a longer delay.
 """
@@ -177,9 +177,12 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_rolling_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-record running count and sum (in cents) per event type, in event order."""
-    ev = _stream(spark, sf_dir).select("event_type", *EVENT_ORDER, "evt", (money() * 100).cast("bigint").alias("cents"))
-    out = run_in_order(hold(ev, "evt", EVENT_ORDER), "stream_rolling_sums",
-                       {"sums": rolling_step(["event_type"], EVENT_ORDER, "cents")})
+    def cents(events: DataFrame) -> DataFrame:
+        return events.select("event_type", *EVENT_ORDER, "evt", (money() * 100).cast("bigint").alias("cents"))
+
+    out = run_in_order(hold(cents(_stream(spark, sf_dir)), "evt", EVENT_ORDER), "stream_rolling_sums",
+                       {"sums": rolling_step(["event_type"], EVENT_ORDER, "cents")},
+                       feed=cents(_feed(spark, sf_dir)), time_col="evt", delay=WATERMARK)
     return out["sums"].select("event_type", *EVENT_ORDER, "running_count", "running_sum")
 
 
@@ -325,7 +328,7 @@ STREAM_ORACLE_SQL = {
                       f"INTERVAL '30 days' <= (SELECT MAX(ts) FROM events) - INTERVAL '5 seconds' "
                       f"UNION ALL {ORACLE_SQL['city_change_alerts']}"),
     "stream_rolling_sums": (f"SELECT event_id, ts, event_type, running_count, CAST(round(running_sum * 100) AS BIGINT) "
-                            f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']}) WHERE {RELEASED}"),
+                            f"AS running_sum FROM ({ORACLE_SQL['rolling_reduce']})"),
     "stream_event_join": """
         SELECT p.user_id, p.event_id AS purchase_id, e.event_id AS error_id, p.ts AS purchase_ts, e.ts AS error_ts
         FROM events p JOIN events e ON p.user_id = e.user_id
