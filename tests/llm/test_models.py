@@ -107,6 +107,30 @@ def test_language_sample_is_bounded_and_ignores_held_out_rows(spark):
     assert {r["count"] for r in picked.groupBy("lang").count().collect()} == {20}
 
 
+def test_rare_languages_and_rows_beyond_the_sample_are_learned(spark):
+    r = np.random.default_rng(3)
+
+    def text(letters, n=40):
+        return " ".join("".join(r.choice(list(letters), 5)) for _ in range(n))
+
+    rows = [(i, text("abcdefgh"), "aa") for i in range(3000)] + [(3000 + i, text("ijklmnop"), "bb") for i in range(600)]
+    rows += [(4000 + i, text("qrstuvwx"), "rare") for i in range(5)]  # under a 512th of all rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_languages(docs, per_class=50)
+    assert model.languages == ["aa", "bb", "rare"]
+    assert [model.predict(text(x))[0] for x in ("abcdefgh", "ijklmnop", "qrstuvwx")] == ["aa", "bb", "rare"]
+    # the rows beyond the sample teach: letters that only they have tell the language
+    draw = F.xxhash64(F.lit("draw"), "text", "doc_id")
+    bounds = langid._sample_bounds(docs.where(~langid.held_out(F.col("doc_id"))).select("lang", draw.alias("draw")), 50)
+    late = docs.withColumn("draw", draw).join(bounds, "lang").select(
+        "doc_id", "lang", "text", ((F.col("lang") == "bb") & (F.col("draw") > F.col("bound"))).alias("rest")).collect()
+    moved = [(x["doc_id"], "б" * 200 if x["rest"] else x["text"], x["lang"]) for x in late]
+    sample = spark.createDataFrame([m for m, x in zip(moved, late) if not x["rest"]], docs.schema)
+    assert langid.train_languages(sample, per_class=10_000).predict("б" * 200)[1] < 0.9
+    changed = langid.train_languages(spark.createDataFrame(moved, docs.schema), per_class=50)
+    assert changed.predict("б" * 200)[0] == "bb" and changed.predict("б" * 200)[1] > 0.9
+
+
 def test_keep_known_drops_texts_without_letters(edge):
     model = langid.train_languages(edge)
     kept = langid.keep_known(edge, model, least=0.0001)

@@ -4,12 +4,18 @@ Features are TF-IDF values of hashed character n-grams (1 to 3 characters of
 the lower-cased text): an n-gram's share of the text's n-grams of its length,
 times its inverse document frequency over all documents that may be learned
 from.  The weights are trained with follow-the-regularised-leader and an
-elastic net (most stay exactly 0) on a bounded sample; a temperature fitted
-on sampled rows kept out of training calibrates the probabilities.
+elastic net (most stay exactly 0); a temperature fitted on some rows kept out
+of training calibrates the probabilities.
+
+Training starts on a bounded sample of every language, in several epochs on the
+driver.  All other learnable rows then train once, where they lie: each task
+goes on from the start, and the tasks' states are averaged by their rows
+(parameter mixing).  No language and no row is left out.
 
 Scale: document frequencies are counted over all learnable documents, one
-array per task summed by bucket; training sees at most ``TRAIN_PER_CLASS``
-documents a language; predictions read each text once where it lies.
+array per task summed by bucket; so are the changes of the training state; a
+prediction reads its text once where it lies.  State and weights take
+``BUCKETS`` numbers a language in every task.
 """
 
 from __future__ import annotations
@@ -29,10 +35,11 @@ from .common import unused
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3)
-TRAIN_PER_CLASS = 400  # the model learns from at most so many documents of each language
-LEAST_SHARE = 512  # a language is learned from this part of the learnable rows on, so at most so many are
+TRAIN_PER_CLASS = 400  # training starts on at most so many documents of each language; the others follow in the tasks
+START_ROWS = 1 << 14  # and on about so many in all, at least one of each language
 UNKNOWN = "und"
 _EPOCHS, _ALPHA, _BETA, _L1, _L2 = 4, 0.5, 1.0, 2e-4, 1e-4
+_MOST = 16.0  # a row of a rare language weighs no more in a task, so that no single step freezes its n-grams
 _SCALE = 30.0
 _CHUNK = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
@@ -96,47 +103,105 @@ def _frequencies(batches):
              pa.array([*df[at].tolist(), *docs.values()], pa.int64())], names=["lang", "bucket", "df"])
 
 
+def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the text's n-grams, ascending, and their values before inverse document frequency."""
+    kept, share = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for bucket, total in _grams(text):
+        u, n = np.unique(bucket, return_counts=True)
+        kept.append(u.astype(np.int64))
+        share.append(_SCALE * n / total)
+    at, inverse = np.unique(np.concatenate(kept), return_inverse=True)
+    return at, np.bincount(inverse, np.concatenate(share), len(at)).astype(np.float32)
+
+
 def _sparse(batches):
     for b in batches:
         index, value = [], []
         for t in b.column("t").to_pylist():
-            kept, share = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for bucket, total in _grams(t):
-                u, n = np.unique(bucket, return_counts=True)
-                kept.append(u.astype(np.int64))
-                share.append(_SCALE * n / total)
-            u, inverse = np.unique(np.concatenate(kept), return_inverse=True)
+            u, x = _features(t)
             index.append(u.astype(np.int32).tobytes())
-            value.append(np.bincount(inverse, np.concatenate(share), len(u)).astype(np.float32).tobytes())
+            value.append(x.tobytes())
         yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("draw"), pa.array(index, pa.binary()),
                                           pa.array(value, pa.binary())], names=["lang", "draw", "index", "value"])
 
 
-def _ftrl(index: list, value: list, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+class Ftrl:
     """Per-coordinate FTRL-proximal with L1 and L2; bucket ``BUCKETS`` is the bias, unpenalised."""
-    z = np.zeros((BUCKETS + 1, classes))
-    n = np.zeros((BUCKETS + 1, classes))
-    l1 = np.full((BUCKETS + 1, 1), _L1)
-    l1[BUCKETS] = 0.0
-
-    def weights(at):
-        return np.where(np.abs(z[at]) <= l1[at], 0.0,
-                        -(z[at] - np.sign(z[at]) * l1[at]) / ((_BETA + np.sqrt(n[at])) / _ALPHA + _L2))
 
+    def __init__(self, classes: int):
+        self.z = np.zeros((BUCKETS + 1, classes))
+        self.n = np.zeros((BUCKETS + 1, classes))
+        self.l1 = np.full((BUCKETS + 1, 1), _L1)
+        self.l1[BUCKETS] = 0.0
+
+    def copy(self) -> Ftrl:
+        other = Ftrl(self.z.shape[1])
+        other.z, other.n = self.z.copy(), self.n.copy()
+        return other
+
+    def weights(self, at: np.ndarray) -> np.ndarray:
+        z = self.z[at]
+        return np.where(np.abs(z) <= self.l1[at], 0.0,
+                        -(z - np.sign(z) * self.l1[at]) / ((_BETA + np.sqrt(self.n[at])) / _ALPHA + _L2))
+
+    def learn(self, index: np.ndarray, value: np.ndarray, label: int, each: float) -> None:
+        at, x = np.append(index, BUCKETS), np.append(value, 1.0)[:, None]
+        w = self.weights(at)
+        p = _softmax((w * x).sum(axis=0))
+        p[label] -= 1.0
+        g = each * p * x
+        n = self.n[at]
+        after = n + g * g
+        self.z[at] += g - (np.sqrt(after) - np.sqrt(n)) / _ALPHA * w
+        self.n[at] = after
+
+
+def _ftrl(index: list, value: list, label: np.ndarray, classes: int) -> Ftrl:
+    state = Ftrl(classes)
     count = np.maximum(1, np.bincount(label, minlength=classes))
     each = len(label) / (classes * count)  # languages weigh the same
     for _ in range(_EPOCHS):
         for i in range(len(label)):
-            at, x = np.append(index[i], BUCKETS), np.append(value[i], 1.0)[:, None]
-            w = weights(at)
-            p = _softmax((w * x).sum(axis=0))
-            p[label[i]] -= 1.0
-            g = each[label[i]] * p * x
-            sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / _ALPHA
-            z[at] += g - sigma * w
-            n[at] += g * g
-    w = weights(np.arange(BUCKETS + 1))
-    return w[:BUCKETS], w[BUCKETS]
+            state.learn(index[i], value[i], label[i], each[label[i]])
+    return state
+
+
+def _learn_on(shipped):
+    """Goes on from the shipped state with the rows of one task; its changes, times its rows (their number: bucket -1)."""
+    def run(batches):
+        start, idf, number, each = shipped.value
+        state, rows = None, 0
+        for b in batches:
+            state = state or start.copy()
+            for lang, t in zip(b.column("lang").to_pylist(), b.column("t").to_pylist()):
+                at, x = _features(t)
+                state.learn(at, x * idf[at], number[lang], each[number[lang]])
+            rows += b.num_rows
+        if not rows:
+            return
+        dz, dn = (state.z - start.z) * rows, (state.n - start.n) * rows
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([float(rows)]),
+                                          pa.array([0.0])], names=["bucket", "class", "dz", "dn"])
+        for k in range(dz.shape[1]):
+            at = np.flatnonzero((dz[:, k] != 0) | (dn[:, k] != 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at.astype(np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(dz[at, k]), pa.array(dn[at, k])],
+                names=["bucket", "class", "dz", "dn"])
+    return run
+
+
+def _mix_in(state: Ftrl, rest: DataFrame, idf: np.ndarray, number: dict[str, int], each: np.ndarray) -> None:
+    """Adds the mean change of all tasks that go on from ``state``; ``BUCKETS`` rows a language reach the driver."""
+    shipped = rest.sparkSession.sparkContext.broadcast((state, idf, number, each))
+    moved = (rest.mapInArrow(_learn_on(shipped), "bucket int, class int, dz double, dn double")
+             .groupBy("bucket", "class").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn")).toPandas())
+    if moved.empty:
+        return
+    rows = moved.loc[moved["bucket"] == -1, "dz"].sum()
+    moved = moved[moved["bucket"] >= 0]
+    at = moved["bucket"].to_numpy(), moved["class"].to_numpy()
+    state.z[at] += moved["dz"].to_numpy() / rows
+    state.n[at] += moved["dn"].to_numpy() / rows
 
 
 def _temperature(logits: np.ndarray, label: np.ndarray) -> float:
@@ -163,11 +228,12 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     per_class: int = TRAIN_PER_CLASS) -> LanguageModel:
     """Learn from the text and language of rows that are not held out.
 
-    Rows with a null language or a text without a letter teach nothing, nor do
-    those of a language with less than a ``LEAST_SHARE``-th of the learnable
-    rows, which is then never predicted: the model has a fixed bound.  At
-    most ``per_class`` rows of a language, those with the smallest hashes of
-    text and id, are trained on; document frequencies cover all learnable rows.
+    Rows with a null language or a text without a letter teach nothing; every
+    other row does, and every language of theirs is learned.  Training starts on
+    at most ``per_class`` rows of a language, those with the smallest hashes of
+    text and id, and goes on with all other rows, each once (see above; repeats
+    of a row of the start count once).  How the rows are dealt into tasks has a
+    small part in the weights.
     """
     rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
                       ).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"),
@@ -176,12 +242,12 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     df_rows = (rows.select("lang", "t").mapInArrow(_frequencies, "lang string, bucket int, df long")
                .groupBy("lang", "bucket").agg(F.sum("df").alias("df")).toPandas())
     counts = df_rows[df_rows["bucket"] == -1]
-    counts = counts[counts["df"] * LEAST_SHARE >= counts["df"].sum()]
     if counts.empty:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     # a bound on the hash picks each language's sample without moving any text
-    share = _sample_bounds(rows, per_class, dict(zip(counts["lang"], counts["df"])))
-    picked = rows.join(F.broadcast(share), "lang").where(F.col("draw") <= F.col("bound")).select("lang", "draw", "t")
+    per_class = max(1, min(per_class, START_ROWS // len(counts)))
+    bounded = rows.join(F.broadcast(_sample_bounds(rows, per_class, dict(zip(counts["lang"], counts["df"])))), "lang")
+    picked = bounded.where(F.col("draw") <= F.col("bound")).select("lang", "draw", "t")
     picked = picked.dropDuplicates(["lang", "draw"])  # repeated rows share a draw
     sample = picked.mapInArrow(_sparse, "lang string, draw long, index binary, value binary").toPandas()
     sample = sample.sort_values(["draw", "lang"], kind="stable").reset_index(drop=True)
@@ -196,10 +262,16 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     index = [np.frombuffer(x, np.int32).astype(np.int64) for x in sample["index"]]
     value = [np.frombuffer(x, np.float32) * idf[i] for x, i in zip(sample["value"], index)]
     label = pd.Categorical(sample["lang"], categories=languages).codes.astype(np.int64)
-    train = np.flatnonzero(np.arange(len(label)) % 5 != 4)
-    if len(set(label[train])) < len(languages):
-        train = np.arange(len(label))
-    w, bias = _ftrl([index[i] for i in train], [value[i] for i in train], label[train], len(languages))
+    train = np.arange(len(label)) % 5 != 4
+    train = np.flatnonzero(train | ~np.isin(label, label[train]))  # every language is trained
+    state = _ftrl([index[i] for i in train], [value[i] for i in train], label[train], len(languages))
+    if docs_n > len(label):
+        number = {lang: k for k, lang in enumerate(languages)}
+        count = counts.set_index("lang")["df"].reindex(languages).to_numpy(float)
+        _mix_in(state, bounded.where(F.col("draw") > F.col("bound")).select("lang", "t"), idf, number,
+                np.minimum(_MOST, docs_n / (len(languages) * count)))
+    w = state.weights(np.arange(BUCKETS + 1))
+    w, bias = w[:BUCKETS], w[BUCKETS]
     check = np.setdiff1d(np.arange(len(label)), train)
     check = check if len(check) else train
     logits = np.array([bias + value[i] @ w[index[i]] for i in check])
