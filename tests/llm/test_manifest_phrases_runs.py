@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,6 +177,27 @@ def test_anchors_in_very_many_documents_equal_brute_force(spark):
         assert phrases(spark.createDataFrame(rows, SCHEMA), shares=shares) == sorted(brute_phrases(rows), key=key)
 
 
+@pytest.mark.parametrize("arrow", ["true", "false"])
+def test_a_bitmap_comes_to_the_driver_without_a_row_for_each_word(spark, arrow):
+    bits, setting = 1 << 24, "spark.sql.execution.arrow.pyspark.enabled"
+    anchors = spark.range(300_000, numPartitions=4).select(F.xxhash64("id").alias("anchor"))
+    want = np.zeros(bits, np.bool_)
+    want[[r["anchor"] & (bits - 1) for r in anchors.collect()]] = True
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, arrow)
+    tracemalloc.start()
+    try:
+        bitmap = phrase_dedup.anchor_bitmap(anchors, bits)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(setting, before)
+    assert peak < 10 * bits // 8
+    assert (np.unpackbits(bitmap.words.view(np.uint8), bitorder="little").view(np.bool_) == want).all()
+    empty = phrase_dedup.anchor_bitmap(anchors.where("false"), 1 << 16)
+    assert not empty.holds(np.arange(1 << 16, dtype=np.uint64)).any()
+
+
 def test_spans_are_the_removed_words(spark):
     passage = prose(3, 20)
     rows = [(1, passage, "en", "s", 0), (2, f"x y {passage} z {passage}", "en", "s", 0)]

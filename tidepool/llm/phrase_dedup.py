@@ -20,10 +20,11 @@ smallest id that holds it.
 Scale: texts are exchanged once, to their shards; anchors are 16-byte rows, a
 fifth as many as words, and contexts travel without words.  Anchors seen twice
 are kept as a bitmap of at most ``MAX_BITS`` bits in every task while that holds
-them (false positives only make more contexts); beyond, contexts find their
-anchor in a join.  An anchor that holds a large share of the contexts (no more
-than ``SHARES`` of them can) goes to several tasks, each of which gets the
-owners of the anchor's recurring windows, found by a combined aggregation.
+them (false positives only make more contexts), which passes through the driver
+packed; beyond, contexts find their anchor in a join.  An anchor that holds a
+large share of the contexts (no more than ``SHARES`` of them can) goes to several
+tasks, each of which gets the owners of the anchor's recurring windows, found by
+a combined aggregation.
 Rows equal in id and text that are a large share of all go to several shards; a
 shard holds each of them once.  Memory is a batch, the distinct windows of one
 anchor, or one shard.
@@ -48,6 +49,7 @@ MAX_BITS = 1 << 28
 BITS_PER_ANCHOR = 12
 SHARES = 1024  # an anchor, or rows equal in id and text, are heavy from this part of all on
 _HELD = 1 << 17  # heavy windows that a task sums up
+_WORDS = 1 << 12  # words of the bitmap that come to the driver in a row
 _OWNER, _CONTEXT = 0, 1
 _PASSAGE, _TEXT = 0, 1
 
@@ -169,13 +171,32 @@ class Bitmap:
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _packed(batches):
+    """The words of a bitmap and their bits as bytes, ``_WORDS`` to a row."""
+    def row(held: list) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        return pa.RecordBatch.from_arrays([pa.array([t.column(c).to_numpy().tobytes()], pa.binary()) for c in ("word", "ones")],
+                                          names=["words", "ones"])
+
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= _WORDS:
+            yield row(held)
+            held, n = [], 0
+    if n:
+        yield row(held)
+
+
 def anchor_bitmap(recurring: DataFrame, bits: int) -> Bitmap:
-    """The bitmap of a table of anchors; at most ``bits / 64`` longs come to the driver."""
+    """The bitmap of a table of anchors; the driver holds its ``bits / 8`` bytes and a partition of what comes to it."""
     words = (recurring.select(F.expr(f"shiftright(anchor & {bits - 1}L, 6)").alias("word"),
                               F.expr("shiftleft(1L, CAST(anchor & 63 AS INT))").alias("one"))
-             .groupBy("word").agg(F.bit_or("one").alias("ones")).toPandas())
+             .groupBy("word").agg(F.bit_or("one").alias("ones")))
     out = np.zeros(bits // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["ones"].to_numpy(np.int64).view(np.uint64)
+    for r in materialize(words.mapInArrow(_packed, "words binary, ones binary"), "phrase-bitmap").toLocalIterator():
+        out[np.frombuffer(r["words"], np.int64)] = np.frombuffer(r["ones"], np.uint64)
     return Bitmap(out, bits)
 
 
